@@ -53,8 +53,8 @@ def _tile(k: int):
         out = {"query_id": [], "vec_id": [], "score": [], "list_id": []}
         if queries.num_rows and rows.num_rows:
             dim = rows["dim"][0].as_py()
-            flat = lambda t: t["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
-            q_id, r_id, q_vec, r_vec = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy(), flat(queries), flat(rows)
+            flat = lambda values: values.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+            q_id, r_id, q_vec, r_vec = queries["q_id"].to_numpy(), rows["vec_id"].to_numpy(), flat(queries["q_vector"]), flat(rows["vector"])
             order = np.argsort(r_id)
             r_id, r_vec = r_id[order], r_vec[order]
             for at in range(0, len(q_id), 256):
@@ -89,10 +89,10 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
     shards, tiles = max(1, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(n_queries / TILE_QUERIES))
     part = lambda m: F.pmod(F.xxhash64("vec_id"), F.lit(m))
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)).cast("array<long>"))
-    queries = rows.where(is_query).withColumn("tile", part(tiles)).withColumn("shard", every(shards))
+    own = [F.col("dim").alias("q_dim"), F.col("vec_id").alias("q_id"), F.col("vector").alias("q_vector")]  # both sides come from one plan
+    queries = rows.where(is_query).select(*own, every(shards).alias("q_shard"), part(tiles).alias("q_tile"))
     held = rows.withColumn("shard", part(shards)).withColumn("tile", every(tiles))
-    key = ["dim", "shard", "tile"]
-    lists = queries.groupBy(*key).cogroup(held.groupBy(*key)).applyInArrow(_tile(k), "query_id long, vec_id long, score long, list_id long")
+    lists = queries.groupBy("q_dim", "q_shard", "q_tile").cogroup(held.groupBy("dim", "shard", "tile")).applyInArrow(_tile(k), "query_id long, vec_id long, score long, list_id long")
     best = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id")))
     while shards > 1:  # each level merges FAN_IN lists of at most k rows
         shards = math.ceil(shards / FAN_IN)
