@@ -2,26 +2,54 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import topk
+from ionloom.llm import linededup, sptok, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The vocabulary file of the box; any other SentencePiece model works as well.
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and what they decode to, as digests."""
+    return sptok.encode(_table(spark, sf_dir, "documents"), PIECE_MODEL, digests=True)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that repeat in at least three documents stay in the largest doc_id only."""
+    kept = linededup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best rows for every fiftieth vector."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
 
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_line_dedup": op3_line_dedup,
     "op6_exact_topk": op6_exact_topk,
 }
 
 ORACLES = {
+    "op3_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, pos, line, translate(regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+r AS (SELECT key, max(doc_id) AS keep FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT l.*, r.keep IS NOT NULL AND l.doc_id <> r.keep AS gone FROM l LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+""",
     "op6_exact_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
