@@ -6,13 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import linededup, sptok, topk
+from ionloom.llm import langid, linededup, sptok, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learnt from the documents that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    return langid.identify(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 #: The vocabulary file of the box; any other SentencePiece model works as well.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -34,6 +41,7 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op6_exact_topk": op6_exact_topk,
