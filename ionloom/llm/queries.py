@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import langid, linededup, sptok, topk
+from ionloom.llm import langid, linededup, sptok, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back by its index row."""
+    folder, index = warc.write_archives(_table(spark, sf_dir, "pages"))
+    return warc.read_records(folder, index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best rows for every fiftieth vector."""
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
@@ -44,6 +50,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
+    "op5_warc": op5_warc,
     "op6_exact_topk": op6_exact_topk,
 }
 
@@ -57,6 +64,13 @@ m AS (SELECT l.*, r.keep IS NOT NULL AND l.doc_id <> r.keep AS gone FROM l LEFT
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
+""",
+    "op5_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """,
     "op6_exact_topk": """
 WITH v AS (
