@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import langid, linededup, sptok, topk, warc
+from ionloom.llm import html_extract, langid, linededup, sptok, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 #: The vocabulary file of the box; any other SentencePiece model works as well.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -51,6 +56,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
+    "op10_html_extraction": op10_html_extraction,
     "op6_exact_topk": op6_exact_topk,
 }
 
