@@ -144,7 +144,7 @@ def repeated_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bi
     suspects = docs.mapInArrow(_suspects(min_chars, bits, filters), "doc_id long, key string")
     holders = materialize(suspects.distinct(), "linededup")
     repeated = holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep")).where(F.col("n_docs") >= min_docs)
-    return holders, repeated
+    return holders, materialize(repeated, "linededup-keys")  # a table of its own, so that Spark may split the hot keys of the join with it
 
 
 def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
