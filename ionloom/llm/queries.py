@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import html_extract, langid, linededup, sptok, topk, warc
+from ionloom.llm import html_extract, langid, linededup, ngram_join, sptok, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,11 +51,17 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of documents whose four-word shingles link at a Jaccard similarity of 0.85."""
+    return ngram_join.link_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op10_html_extraction": op10_html_extraction,
     "op6_exact_topk": op6_exact_topk,
 }
