@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import html_extract, langid, linededup, ngram_join, sptok, topk, warc
+from ionloom.llm import hmm_lm, html_extract, langid, linededup, ngram_join, sptok, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,12 +56,22 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+def op9_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every whole text under the unigram base and under the hidden Markov model."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    train = docs.where(~hmm_lm.held_out(F.col("doc_id")))
+    counts = hmm_lm.count_words(train)
+    scored = hmm_lm.score(docs, counts, hmm_lm.fit(train, counts))
+    return scored.select("doc_id", hmm_lm.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op9_hmm_scoring": op9_hmm_scoring,
     "op10_html_extraction": op10_html_extraction,
     "op6_exact_topk": op6_exact_topk,
 }
