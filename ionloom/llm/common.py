@@ -32,6 +32,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the batches that go to Python hold about 8 MB, however long the rows, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(8 << 20))
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes | None]]]:
     """Slices (start, stop, texts as bytes) of a batch of about ``limit`` bytes of text; one longer text is a slice of its own."""
     texts, start, held = [], 0, 0
@@ -56,3 +63,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     h *= np.uint64(0xC4CEB9FE1A85EC53)
     h ^= h >> np.uint64(33)
     return h
+
+
+_BYTE = np.random.Generator(np.random.PCG64(41)).integers(0, 2**64, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]  # A-Z hash like a-z
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(SPACE)] = True
+_BASE = 0x2545F4914F6CDD1D
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all words, number of words of each text): words are runs of anything but ASCII white space, A-Z
+    lower-cased. A word's hash is a polynomial over random values of its bytes, found for all words at once from running sums."""
+    raw = np.frombuffer(b"\n".join([*(t or b"" for t in texts), b""]), np.uint8)
+    n = len(raw)
+    if len(_powers[0]) < n + 1:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            steps = np.full(max(n + 1, 3 << 19), base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps)
+    space = _IS_SPACE[raw]
+    before = np.concatenate([[True], space[:-1]])
+    start, stop = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _powers[0][:n], out=sums[1:])
+    h = mix((sums[stop] - sums[start]) * _powers[1][start] + (stop - start).astype(np.uint64))
+    ends = np.cumsum([len(t or b"") + 1 for t in texts])
+    return h, np.diff(np.searchsorted(start, ends), prepend=0)

@@ -17,7 +17,6 @@ document N = V = 0 and the model is uniform. No rows give no rows. Extra columns
 
 from __future__ import annotations
 
-import hashlib
 import math
 import secrets
 from collections.abc import Iterator
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import chunks, materialize, mix
+from ionloom.llm.common import CHUNK_BYTES, bounded_batches, chunks, materialize, mix, word_hashes
 
 #: Latent states, word classes, rounds of Baum-Welch, tokens of a training segment, and bytes of text that advance together.
 STATES, CLASSES, ROUNDS, SEGMENT, BATCH_BYTES = 8, 4096, 4, 128, 4 << 20
@@ -49,23 +48,23 @@ class Model:
     within: np.ndarray
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return found
-
-
-def tokens(texts: list[bytes | None], words: _Words) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all tokens, number of tokens of each text)."""
-    split = [(t or b"").lower().split() for t in texts]
-    size = np.array([len(x) + 1 for x in split], np.int64)
-    out = np.full(int(size.sum()), END, np.uint64)
-    end = np.zeros(len(out), bool)
-    end[np.cumsum(size) - 1] = True
-    out[~end] = np.fromiter((words[w] for x in split for w in x), np.uint64, len(out) - len(split))
-    return out, size
+    parts, sizes, at = [], [], 0
+    while at < len(texts):  # in pieces of bounded size, for the sums over their bytes
+        stop, held = at, 0
+        while stop < len(texts) and (stop == at or held + len(texts[stop] or b"") <= CHUNK_BYTES):
+            held += len(texts[stop] or b"")
+            stop += 1
+        words, size = word_hashes(texts[at:stop])
+        out = np.full(len(words) + len(size), END, np.uint64)
+        inside = np.ones(len(out), bool)
+        inside[np.cumsum(size + 1) - 1] = False
+        out[inside] = words
+        parts.append(out)
+        sizes.append(size + 1)
+        at = stop
+    return np.concatenate(parts), np.concatenate(sizes)
 
 
 def class_of(h: np.ndarray, classes: int) -> np.ndarray:
@@ -124,16 +123,21 @@ def expectations(obs: np.ndarray, length: np.ndarray, model: Model, first: np.nd
 
 
 def log_likelihood(obs: np.ndarray, length: np.ndarray, model: Model) -> np.ndarray:
-    """Natural log of each whole sequence's probability, by the scaled forward recursion."""
+    """Natural log of each whole sequence's probability, by the forward recursion, scaled at every eighth step."""
     order, begin, running = _layout(length)
     by_class = np.ascontiguousarray(model.emit.T)
     total, alpha = np.zeros(len(length)), None
-    for t, n in enumerate(running.tolist()):
+    steps = running.tolist()
+    for t, n in enumerate(steps):
         b = by_class[obs[begin[:n] + t]]
-        alpha = (np.broadcast_to(model.start, b.shape) if t == 0 else alpha[:n] @ model.move) * b
-        scale = alpha.sum(axis=1, keepdims=True)
-        alpha = alpha / scale
-        total[:n] += np.log(scale[:, 0])
+        alpha = model.start * b if t == 0 else alpha[:n] @ model.move * b
+        after = steps[t + 1] if t + 1 < len(steps) else 0
+        if t % 8 == 7:
+            scale = alpha.sum(axis=1)
+            alpha /= scale[:, None]
+            total[:n] += np.log(scale)
+        if after < n:  # these end here
+            total[after:n] += np.log(alpha[after:].sum(axis=1))
     out = np.empty(len(length))
     out[order] = total
     return out
@@ -149,12 +153,12 @@ def _segments(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _expect(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words = sent.value, _Words()
+        model = sent.value
         states, n_classes = model.emit.shape
         total = np.zeros((states, 1 + states + n_classes), np.int64)
         for batch in batches:
             for _, _, texts in chunks(batch, "text", BATCH_BYTES):
-                h, size = tokens(texts, words)
+                h, size = tokens(texts)
                 length, first = _segments(size)
                 start, move, emit = expectations(class_of(h, n_classes - 1), length, model, first)
                 total += np.rint(np.concatenate([start[:, None], move, emit], axis=1) * _UNIT).astype(np.int64)
@@ -172,12 +176,11 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = _Words()
     for batch in batches:
         held, size = [], 0
         for _, _, texts in [*chunks(batch, "text"), (0, 0, None)]:
             if texts is not None:
-                held.append(tokens(texts, words)[0])
+                held.append(tokens(texts)[0])
                 size += len(held[-1])
             if held and (texts is None or size > 4_000_000):
                 h, c = np.unique(np.concatenate(held), return_counts=True)
@@ -187,11 +190,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count_words(train: DataFrame) -> DataFrame:
     """(h, class, c): the training count of every distinct token, by its hash."""
+    bounded_batches(train.sparkSession)
     return materialize(train.select("text").mapInArrow(_count, "h long, c long, class long").groupBy("h", "class").agg(F.sum("c").alias("c")), "lm-counts")
 
 
 def fit(train: DataFrame, counts: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over all rows of ``train``; ``counts`` are its word counts."""
+    bounded_batches(train.sparkSession)
     context = train.sparkSession.sparkContext
     share, within = np.ones(CLASSES + 1), np.zeros(CLASSES + 1)
     for r in counts.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # CLASSES + 1 rows at most
@@ -214,28 +219,28 @@ def fit(train: DataFrame, counts: DataFrame, states: int = STATES, rounds: int =
 
 def _score(sent, known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words = sent.value, _Words()
+        model = sent.value
         heads, counts = known.value
-        tail_kind = pa.list_(pa.struct([("h", pa.int64()), ("tf", pa.int64())]))
         for batch in batches:
-            for start, stop, texts in chunks(batch, "text", BATCH_BYTES):
-                h, size = tokens(texts, words)
+            for start, stop, texts in chunks(batch, "text", 2 * BATCH_BYTES):
+                h, size = tokens(texts)
                 obs = class_of(h, model.emit.shape[1] - 1)
                 edge = np.cumsum(size) - size
                 score = log_likelihood(obs, size, model) / math.log(10) - np.add.reduceat(model.within[obs], edge)
                 place = np.minimum(np.searchsorted(heads, h), max(0, len(heads) - 1))
                 hit = heads[place] == h if len(heads) else np.zeros(len(h), bool)
                 c = np.where(hit, counts[place], 0) if len(heads) else np.zeros(len(h))
-                tails = []
                 doc = np.repeat(np.arange(len(size)), size)[~hit]
                 rare = h[~hit]
-                cut = np.searchsorted(doc, np.arange(len(size) + 1))
-                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                    own, tf = np.unique(rare[a:b], return_counts=True)
-                    tails.append([{"h": x, "tf": y} for x, y in zip(own.view(np.int64).tolist(), tf.tolist(), strict=True)])
+                by = np.lexsort((rare, doc))
+                doc, rare = doc[by], rare[by]
+                new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])])) if len(doc) else np.zeros(0, np.int64)
+                tf = np.diff(new, append=len(doc))
+                cut = np.searchsorted(doc[new], np.arange(len(size) + 1)).astype(np.int32)
+                tails = pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays([pa.array(rare[new].view(np.int64)), pa.array(tf)], ["h", "tf"]))
                 yield pa.record_batch({
                     "row": pa.array([secrets.randbits(63) for _ in texts], pa.int64()), "doc_id": batch.column("doc_id").slice(start, stop - start), "n_tokens": pa.array(size), "score": pa.array(score),
-                    "known": pa.array(np.add.reduceat(hit.astype(np.int64), edge)), "logs": pa.array(np.add.reduceat(np.log10(c + 1), edge)), "tail": pa.array(tails, tail_kind),
+                    "known": pa.array(np.add.reduceat(hit.astype(np.int64), edge)), "logs": pa.array(np.add.reduceat(np.log10(c + 1), edge)), "tail": tails,
                 })
 
     return run
@@ -243,6 +248,7 @@ def _score(sent, known):
 
 def score(df: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (both log10) for every row (doc_id, text) of ``df``."""
+    bounded_batches(df.sparkSession)
     context = df.sparkSession.sparkContext
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n, v = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).first())

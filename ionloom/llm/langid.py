@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import chunks
+from ionloom.llm.common import bounded_batches, chunks
 
 #: Length of the vectors, letters in an n-gram, and the seed of the letters' vectors.
 DIM, GRAM, SEED = 1024, 3, 20250
@@ -109,6 +109,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(df: DataFrame, max_langs: int = 1000) -> dict[str, list[int]]:
     """Prototype by label, learnt from all rows of ``df`` with a label. Partial sums leave the tasks, DIM numbers for each
     label; the driver gets the prototypes alone, of at most ``max_langs`` labels (more are an error)."""
+    bounded_batches(df.sparkSession)
     labelled = df.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     summed = labelled.mapInArrow(_sums, "lang string, i int, v long").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     rows = summed.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("v")).orderBy("lang").take(max_langs + 1)
@@ -139,6 +140,7 @@ def _predict(model, key: str):
 
 def identify(df: DataFrame, model: dict[str, list[int]]) -> DataFrame:
     """doc_id, lang_pred and score (the cosine with the language's prototype, at least 0) for every whole text."""
+    bounded_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_predict(sent, "doc_id"), "doc_id long, lang_pred string, score double")

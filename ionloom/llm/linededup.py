@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import SPACE, materialize, mix
+from ionloom.llm.common import SPACE, bounded_batches, materialize, mix
 
 #: The twice-seen filter is sent to every task, so its bits have a fixed bound (32 MB) whatever the input; beyond about
 #: 10**8 repeated keys it lets more lines through to the exact confirmation.
@@ -133,6 +133,7 @@ def repeated_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bi
     """(holders, repeated): the suspected (doc_id, key) pairs, and of their keys those in ``min_docs`` documents with the
     doc_id that keeps them (key, n_docs, keep)."""
     spark = df.sparkSession
+    bounded_batches(spark)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bits = MIN_BITS
     while bits < min(max_bits, BITS_PER_DOC * docs.count()):

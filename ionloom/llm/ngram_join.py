@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import chunks, materialize, mix
+from ionloom.llm.common import bounded_batches, chunks, materialize, mix, word_hashes
 from ionloom.llm.graph import components
 
 #: Slots of the count sketch (sent to every task: 4 MB, whatever the input) and the slices in which it is summed.
@@ -43,28 +43,16 @@ HEAD_ROUNDS = 3
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Words(dict):
-    """Word hashes, kept for the words met last."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return found
-
-
-def shingle_sets(texts: list[bytes | None], n: int, words: _Words) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], n: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    split = [(t or b"").lower().split() for t in texts]
-    size = [len(x) for x in split]
-    flat = np.fromiter((words[w] for x in split for w in x), np.uint64, sum(size))
+    flat, size = word_hashes(texts)
     out, at = [], 0
     if len(flat) >= n:
         rolled = np.zeros(len(flat) - n + 1, np.uint64)
         for k in range(n):
             rolled = rolled * _PRIME + flat[k : k + len(rolled)]
         rolled = mix(rolled)
-    for length in size:
+    for length in size.tolist():
         if length >= n:
             out.append(np.unique(rolled[at : at + length - n + 1]))
         elif length:
@@ -84,10 +72,10 @@ def _slot(h: np.ndarray) -> np.ndarray:
 
 def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = _Words(), np.zeros(SLOTS, np.uint32)
+        counts = np.zeros(SLOTS, np.uint32)
         for batch in batches:
             for _, _, texts in chunks(batch, "text"):
-                counts += np.bincount(_slot(np.concatenate(shingle_sets(texts, n, words))), minlength=SLOTS).astype(np.uint32)
+                counts += np.bincount(_slot(np.concatenate(shingle_sets(texts, n))), minlength=SLOTS).astype(np.uint32)
         parts = counts.reshape(SLICES, -1)
         used = [k for k in range(SLICES) if parts[k].any()]
         yield pa.record_batch({"slice": pa.array(used, pa.int32()), "counts": pa.array([zlib.compress(parts[k].tobytes(), 1) for k in used], pa.binary())})
@@ -159,12 +147,12 @@ def _families(ids: list, sets: list[tuple[int, int, np.ndarray]], percent: int)
 
 def _index(n: int, percent: int, sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, levels = _Words(), _order(sent.value)
+        levels = _order(sent.value)
         ids, sets, held = [], [], 0
         for batch in batches:
             for start, stop, texts in chunks(batch, "text"):
                 ids += batch.column("doc_id").slice(start, stop - start).to_pylist()
-                sets += [(_digest(s), len(s), _prefix(s, levels, percent) if len(s) else s) for s in shingle_sets(texts, n, words)]
+                sets += [(_digest(s), len(s), _prefix(s, levels, percent) if len(s) else s) for s in shingle_sets(texts, n)]
                 held += sum(len(t or b"") for t in texts)
                 if held >= LOCAL_BYTES:
                     yield _families(ids, sets, percent)
@@ -350,10 +338,9 @@ def _probe_blocks(percent: int):
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
             for start, stop, texts in chunks(batch, "text"):
-                sets = shingle_sets(texts, n, words)
+                sets = shingle_sets(texts, n)
                 keep = np.array([_digest(s) for s in sets]) == batch.column("node").slice(start, stop - start).to_numpy()
                 part = batch.slice(start, stop - start).filter(pa.array(keep))  # another text under a repeated doc_id goes
                 columns = {c: part.column(c) for c in ("family", "block", "blocks", "node", "n")}
@@ -379,6 +366,7 @@ def _linked(blocks: DataFrame, percent: int) -> DataFrame:
 def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) for every row (doc_id, text) of ``df``."""
     spark = df.sparkSession
+    bounded_batches(spark)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = docs.select("text").mapInArrow(_sketch(n), "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_add_up, "slice int, levels binary")
     sent = spark.sparkContext.broadcast({r.slice: bytes(r.levels) for r in parts.collect()})  # SLOTS bytes at most

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from ionloom.llm.common import chunks
+from ionloom.llm.common import bounded_batches, chunks
 
 _SPACE = "▁".encode()  # stands for a space in pieces
 
@@ -174,6 +174,7 @@ def encode(df: DataFrame, model_path: str, digests: bool = False) -> DataFrame:
     the last two are the SHA-256 of their bytes (ids_sha256, decoded_sha256) and the arrays stay out, so that nothing
     long leaves the tasks. Executors read the model from ``model_path``.
     """
+    bounded_batches(df.sparkSession)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if digests:
         out = docs.mapInArrow(_encode(model_path, False), "doc_id long, n_tokens long, n_bytes_spanned long, ids_le string, decoded string")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import materialize, shared_dir
+from ionloom.llm.common import bounded_batches, materialize, shared_dir
 
 #: Bytes after which a task begins a new archive; of one read; and of the gap up to which two ranges are read as one.
 ARCHIVE_BYTES, READ_BYTES, GAP_BYTES = 1 << 30, 8 << 20, 64 << 10
@@ -80,6 +80,7 @@ def _write(folder: str, date: str):
 
 def write_archives(df: DataFrame, min_bytes: int = 100, date: str = "1970-01-01T00:00:00Z") -> tuple[str, DataFrame]:
     """Write one record for each row (page_id, url, html); returns the folder of the archives and their index."""
+    bounded_batches(df.sparkSession)
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     pages = df.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     pages = pages.select("*", F.sha2("payload", 256).alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
