@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import hmm_lm, html_extract, langid, linededup, ngram_join, sptok, topk, warc
+from ionloom.llm import decontam, hmm_lm, html_extract, langid, linededup, ngram_join, sptok, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,11 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a passage like a benchmark item, with the item."""
+    return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every whole text under the unigram base and under the hidden Markov model."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,12 +76,29 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_decontamination": op8_decontamination,
     "op9_hmm_scoring": op9_hmm_scoring,
     "op10_html_extraction": op10_html_extraction,
     "op6_exact_topk": op6_exact_topk,
 }
 
+#: Words and shingles as strings: the exact search that the fingerprints only speed up.
+_SHINGLES = r"""
+dw AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
+iw AS (SELECT item_id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM benchmark WHERE text IS NOT NULL),
+dg AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS g FROM dw WHERE w[1] <> ''),
+ig AS (SELECT item_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS g FROM iw WHERE w[1] <> '')"""
+
 ORACLES = {
+    "op8_decontamination": f"""
+WITH {_SHINGLES},
+p AS (SELECT doc_id, g, unnest(g) AS h, generate_subscripts(g, 1) - 1 AS pos FROM dg),
+a AS (SELECT DISTINCT len(g) AS n, unnest(g) AS h, generate_subscripts(g, 1) - 1 AS item_pos FROM ig),
+win AS (SELECT DISTINCT doc_id, n, g[s + 1:s + n] AS g FROM (SELECT doc_id, g, n, greatest(0, least(pos - item_pos, len(g) - n)) AS s FROM p JOIN a USING (h))),
+x AS (SELECT doc_id, item_id, list_sum(list_transform(list_distinct(win.g), lambda x: least(len(list_filter(win.g, lambda y: y = x)), len(list_filter(ig.g, lambda y: y = x))))) AS shared,
+  len(win.g) + len(ig.g) AS sizes FROM win JOIN ig ON win.n = len(ig.g))
+SELECT doc_id, item_id, max(shared / (sizes - shared)) AS similarity FROM x WHERE 100 * shared >= 80 * (sizes - shared) GROUP BY ALL
+""",
     "op3_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, pos, line, translate(regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
