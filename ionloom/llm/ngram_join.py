@@ -416,7 +416,7 @@ def _cross_links(large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     main = materialize(counts.groupBy(F.col("family").alias("f")).agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("n_labels")).where(F.col("n_labels") > 1), "ngram-main")
     open_ = named.join(main, named["family"] == main["f"])
     inner = open_.select("family", "block", F.lit(False).alias("outer"), "node", "label", "shingles")
-    outer = open_.where(F.col("label") != F.col("main")).select("family", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).cast("long").alias("block"), F.lit(True).alias("outer"), "node", "label", "shingles")
+    outer = open_.where(F.col("label") != F.col("main")).select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("outer"), "node", "label", "shingles")
     both = inner.unionByName(outer)
     dealt = both.repartition("family", "block").sortWithinPartitions("family", "block", "outer")
     return materialize(dealt.mapInArrow(_probe_blocks(percent), "a long, b long"), "ngram-cross")
