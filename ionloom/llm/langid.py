@@ -146,6 +146,44 @@ def identify(df: DataFrame, model: dict[str, list[int]]) -> DataFrame:
     return docs.mapInArrow(_predict(sent, "doc_id"), "doc_id long, lang_pred string, score double")
 
 
+def _known_rows(model, letters: int, least: float):
+    judge = _predict(model, "row_")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            numbered = pa.record_batch({"row_": pa.array(range(batch.num_rows), pa.int64()), "text": texts})
+            judged = pa.Table.from_batches(judge(iter([numbered]))) if batch.num_rows else None
+            if judged is None:
+                continue
+            known = [
+                label != UNKNOWN and (score >= least or _n_letters(text, letters) < letters)
+                for label, score, text in zip(judged["lang_pred"].to_pylist(), judged["score"].to_pylist(), texts, strict=True)
+            ]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return run
+
+
+def _n_letters(text: pa.Scalar, enough: int) -> int:
+    """Letters of a text, counted up to ``enough``."""
+    found = 0
+    for c in text.as_py() or "":
+        found += c.isalpha()
+        if found >= enough:
+            break
+    return found
+
+
+def keep_known(df: DataFrame, model: dict[str, list[int]], letters: int = 200, least: float = 0.2) -> DataFrame:
+    """The rows of ``df``, all columns, without those whose text has no letter and those of at least ``letters`` letters
+    whose score is below ``least``. A short text's score says little, so short ones stay; without a prototype all are ``und``
+    and go."""
+    bounded_batches(df.sparkSession)
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    return df.mapInArrow(_known_rows(sent, letters, least), df.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that no prototype learns from: CRC-32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -148,11 +148,45 @@ def repeated_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bi
     return holders, materialize(repeated, "linededup-keys")  # a table of its own, so that Spark may split the hot keys of the join with it
 
 
+def _gone(holders: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(held_by_, gone_): the keys that a doc_id loses."""
+    lost = holders.join(repeated.select("key", "keep"), "key").where(~F.col("doc_id").eqNullSafe(F.col("keep")))
+    return lost.groupBy(F.col("doc_id").alias("held_by_")).agg(F.collect_list("key").alias("gone_"))
+
+
 def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, n_lines (before dropping), n_dropped, kept (the remaining lines joined by \\n) for every row of ``df``."""
-    holders, repeated = repeated_lines(df, min_chars, min_docs, max_bits)
-    verdicts = repeated.select("key", "keep")
-    gone = holders.join(verdicts, "key").where(~F.col("doc_id").eqNullSafe(F.col("keep"))).groupBy(F.col("doc_id").alias("held_by")).agg(F.collect_list("key").alias("gone"))
+    gone = _gone(*repeated_lines(df, min_chars, min_docs, max_bits))
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["held_by"]), "left").select("doc_id", "text", "gone")
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["held_by_"]), "left").select("doc_id", "text", F.col("gone_").alias("gone"))
     return joined.mapInArrow(_apply(min_chars), "doc_id long, n_lines long, n_dropped long, kept string")
+
+
+def _rewrite(min_chars: int, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {c: batch.column(c) for c in names}
+            texts = batch.column("text").to_pylist()
+            sizes = batch.column("n_chars").to_pylist() if "n_chars" in names else None
+            for i, gone in enumerate(batch.column("gone_").to_pylist()):
+                if not gone:
+                    continue
+                raw, drop = (texts[i] or "").encode(), {k.encode() for k in gone}
+                kept = [line for line, key in zip(raw.split(b"\n"), keys_of(raw, min_chars), strict=True) if key is None or key not in drop]
+                texts[i] = b"\n".join(kept).decode("utf-8", "replace")
+                if sizes is not None:
+                    sizes[i] = len(texts[i])
+            columns["text"] = pa.array(texts, pa.string())
+            if sizes is not None:
+                columns["n_chars"] = pa.array(sizes, batch.column("n_chars").type)
+            yield pa.record_batch(columns)
+
+    return run
+
+
+def with_kept_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``df``, all columns, with the lines dropped from text and n_chars set to what is left of it. A text
+    that loses no line stays as it is, null included."""
+    gone = _gone(*repeated_lines(df, min_chars, min_docs, max_bits))
+    joined = df.join(gone, df["doc_id"].eqNullSafe(gone["held_by_"]), "left").drop("held_by_")
+    return joined.mapInArrow(_rewrite(min_chars, df.columns), df.schema)
