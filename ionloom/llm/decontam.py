@@ -19,6 +19,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ionloom.llm.common import materialize
+
 #: Words of a shingle; blocks of a 64-bit fingerprint; bits in which a block may differ, and so all 64.
 SHINGLE, BLOCKS, BLOCK_RADIUS = 5, 8, 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
@@ -52,7 +54,8 @@ def grams(df: DataFrame, id_col: str, as_id: str) -> DataFrame:
 
 def matches(df: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, item_id and similarity (the largest over the document's windows) of every pair that reaches ``percent``."""
-    items = grams(benchmark, "item_id", "item_id").withColumn("n", F.size("grams"))
+    # written tables between the steps keep each step's expressions out of the filters and join conditions of the one before
+    items = materialize(grams(benchmark, "item_id", "item_id"), "decontam-items").withColumn("n", F.size("grams"))
     total = items.agg(F.sum("n")).first()[0] or 0
     sent = F.broadcast if total <= BROADCAST_SHINGLES else (lambda side: side)
     docs = grams(df, "doc_id", "doc_id")
@@ -61,10 +64,11 @@ def matches(df: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame
     placed = docs.select("doc_id", "grams", F.posexplode_outer("grams").alias("pos", "h"))
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("item_pos"), F.size("grams") - F.col("n")))
     hits = placed.join(sent(anchors), placed["h"] == anchors["anchor"])
-    windows = hits.select("doc_id", "n", F.slice("grams", start + 1, F.col("n")).alias("grams")).distinct().withColumn("print", F.expr(_SIMHASH))
+    windows = materialize(hits.select("doc_id", "n", F.slice("grams", start + 1, F.col("n")).alias("grams")).distinct(), "decontam-windows")
+    windows = materialize(windows.withColumn("print", F.expr(_SIMHASH)), "decontam-prints")
 
-    filed = items.select("item_id", F.col("n").alias("item_n"), F.col("grams").alias("item_grams"), F.expr(_SIMHASH).alias("print"))
-    filed = filed.select("item_id", "item_n", "item_grams", F.col("print").alias("item_print"), F.posexplode(F.expr(_BLOCKS)).alias("item_block", "v"))
+    filed = materialize(items.withColumn("print", F.expr(_SIMHASH)), "decontam-filed")
+    filed = filed.select("item_id", F.col("n").alias("item_n"), F.col("grams").alias("item_grams"), F.col("print").alias("item_print"), F.posexplode(F.expr(_BLOCKS)).alias("item_block", "v"))
     nearby = F.explode(F.array(*(F.lit(m) for m in _near_values())))
     filed = filed.withColumn("differ", nearby).withColumn("item_value", F.col("differ").bitwiseXOR(F.col("v"))).drop("differ", "v")
     looked_up = windows.select("doc_id", "n", "grams", "print", F.posexplode(F.expr(_BLOCKS)).alias("block", "value"))
