@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ionloom.llm import decontam, langid, linededup, ngram_join, sptok
-from ionloom.llm.common import materialize
+from ionloom.llm.common import id_filter, materialize, maybe_in
 from ionloom.llm.queries import PIECE_MODEL
 
 #: A text of this many letters whose cosine with every language is below the least is in none of them.
@@ -33,8 +33,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links connect, the one with the smallest doc_id stays."""
     groups = materialize(ngram_join.link_components(docs), "pipeline-groups")
-    copies = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _only(docs, copies, "left_anti").dropDuplicates(["doc_id", "text"])
+    copies = materialize(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "pipeline-copies")
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("doc_id")
+    judged = id_filter(copies.union(repeated), "doc_id")  # only documents that it may hold move to be judged
+    left = _only(maybe_in(docs, "doc_id", judged), copies, "left_anti").dropDuplicates(["doc_id", "text"])
+    return maybe_in(docs, "doc_id", judged, wanted=False).unionByName(left)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker turns into arrays at once.
 CHUNK_BYTES = 1 << 20
@@ -91,3 +93,62 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     h = mix((sums[stop] - sums[start]) * _powers[1][start] + (stop - start).astype(np.uint64))
     ends = np.cumsum([len(t or b"") + 1 for t in texts])
     return h, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+#: Bits of an id filter at most (32 MB in every task), slices in which it is built, and probes for an id.
+FILTER_BITS, FILTER_SLICES, FILTER_PROBES = 1 << 28, 64, 3
+
+
+def _places(ids: np.ndarray, bits: int) -> np.ndarray:
+    h = mix(ids.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    steps = np.arange(FILTER_PROBES, dtype=np.uint64)[:, None]
+    inside = np.uint64(bits // FILTER_SLICES)
+    own = (h % np.uint64(FILTER_SLICES)) * inside
+    return own[None, :] + (((h >> np.uint64(8))[None, :] + steps * (mix(h) | np.uint64(1))[None, :]) % inside)
+
+
+def id_filter(ids: DataFrame, column: str):
+    """A Bloom filter of the non-null ids, broadcast; its size follows their number up to FILTER_BITS, beyond which it
+    lets more strangers through."""
+    spark = ids.sparkSession
+    held = ids.select(F.col(column).cast("long").alias("id")).where(F.col("id").isNotNull())
+    bits = 1 << 16
+    while bits < min(FILTER_BITS, 12 * held.count()):
+        bits *= 2
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column("id").to_numpy()
+            first = (_places(found, bits)[0] // np.uint64(bits // FILTER_SLICES)).astype(np.int32)
+            yield pa.record_batch({"slice": first, "id": batch.column("id")})
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        size = bits // FILTER_SLICES
+        for batch in batches:
+            places, own = _places(batch.column("id").to_numpy(), bits), batch.column("slice").to_numpy()
+            for k in np.unique(own).tolist():
+                held.setdefault(k, np.zeros(size, bool))[(places[:, own == k].ravel() - np.uint64(k * size)).astype(np.int64)] = True
+        yield pa.record_batch({"slice": pa.array(list(held), pa.int32()), "bits": pa.array([zlib.compress(np.packbits(v).tobytes(), 1) for v in held.values()], pa.binary())})
+
+    rows = held.mapInArrow(slices, "slice int, id long").repartition(FILTER_SLICES, "slice").mapInArrow(build, "slice int, bits binary").collect()  # FILTER_BITS at most
+    return spark.sparkContext.broadcast((bits, {r.slice: bytes(r.bits) for r in rows}))
+
+
+def maybe_in(df: DataFrame, column: str, held, wanted: bool = True) -> DataFrame:
+    """The rows whose id the filter may hold, or with ``wanted`` false those whose id it surely doesn't; a null id may be held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, parts = held.value
+        size = bits // FILTER_SLICES // 8
+        flat = np.zeros(bits // 8, np.uint8)
+        for k, v in parts.items():
+            flat[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(v), np.uint8)
+        for batch in batches:
+            ids = batch.column(column).cast(pa.int64())
+            places = _places(ids.fill_null(0).to_numpy(), bits)
+            hit = ((flat[places >> np.uint64(3)] >> (np.uint8(7) - (places & np.uint64(7)).astype(np.uint8))) & 1).all(axis=0)
+            hit |= ids.is_null().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == wanted))
+
+    return df.mapInArrow(run, df.schema)

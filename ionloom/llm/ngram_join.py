@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import bounded_batches, chunks, materialize, mix, word_hashes
+from ionloom.llm.common import bounded_batches, chunks, id_filter, materialize, maybe_in, mix, word_hashes
 from ionloom.llm.graph import components
 
 #: Slots of the count sketch (sent to every task: 4 MB, whatever the input) and the slices in which it is summed.
@@ -270,37 +270,42 @@ def link_block(nodes: list[int], sets: list[np.ndarray], percent: int) -> list[i
     return out
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], stream: str | None = None) -> Iterator[tuple[tuple, dict[str, list]]]:
-    """Runs of rows with equal keys in sorted batches, columns as lists (sets as arrays). Runs in which the column
+def _runs(batches: Iterator[pa.RecordBatch], n: int, keys: tuple[str, ...], stream: str | None = None) -> Iterator[tuple[tuple, dict[str, list]]]:
+    """Runs of rows with equal keys in sorted batches, columns as lists, with the sets of their texts. A text that isn't
+    the node's, under a repeated doc_id, is left out, and so is a node that a run has already. Runs in which the column
     ``stream`` is true come in pieces."""
     now, held = None, None
     for batch in batches:
-        columns = {c: batch.column(c).to_pylist() for c in batch.schema.names if c != "shingles"}
-        values = batch.column("shingles")
-        flat, bounds = values.values.to_numpy().view(np.uint64), values.offsets.to_numpy()
-        for i in range(batch.num_rows):
-            key = tuple(columns[k][i] for k in keys)
-            if key != now or stream and columns[stream][i] and len(held["shingles"]) >= BLOCK_SETS:
-                if held:
-                    yield now, held
-                now, held = key, {c: [] for c in batch.schema.names}
-            for c, v in columns.items():
-                held[c].append(v[i])
-            held["shingles"].append(flat[bounds[i] : bounds[i + 1]].copy())
-    if held:
+        for start, stop, texts in chunks(batch, "text"):
+            part = batch.slice(start, stop - start)
+            columns = {c: part.column(c).to_pylist() for c in part.schema.names if c != "text"}
+            for i, s in enumerate(shingle_sets(texts, n)):
+                key = tuple(columns[k][i] for k in keys)
+                if key != now or stream and columns[stream][i] and len(held["node"]) >= BLOCK_SETS:
+                    if held and held["node"]:
+                        yield now, held
+                    now, held, seen = key, {c: [] for c in (*columns, "shingles")}, set()
+                node = columns["node"][i]
+                if node in seen or _digest(s) != node:
+                    continue
+                seen.add(node)
+                for c, v in columns.items():
+                    held[c].append(v[i])
+                held["shingles"].append(s)
+    if held and held["node"]:
         yield now, held
 
 
-def _link_blocks(percent: int):
+def _link_blocks(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _runs(batches, ("family", "block")):
+        for _, rows in _runs(batches, n, ("family", "block")):
             first = link_block(rows["node"], rows["shingles"], percent)
             yield pa.record_batch({"a": pa.array(rows["node"], pa.int64()), "b": pa.array(first, pa.int64())})
 
     return run
 
 
-def _probe_blocks(percent: int):
+def _probe_blocks(n: int, percent: int):
     """Links between the outer sets of a family and the sets of one of its blocks, which come first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +317,7 @@ def _probe_blocks(percent: int):
                 x = parent[x]
             return x
 
-        for (family, block, is_outer), rows in _runs(batches, ("family", "block", "outer"), "outer"):
+        for (family, block, is_outer), rows in _runs(batches, n, ("family", "block", "outer"), "outer"):
             if not is_outer:
                 tree, order, known, rank = _trie_of(rows["shingles"])
                 nodes, label = [rows["node"][i] for i in order.tolist()], np.array([rows["label"][i] for i in order.tolist()], np.int64)
@@ -336,19 +341,6 @@ def _probe_blocks(percent: int):
     return run
 
 
-def _sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, stop, texts in chunks(batch, "text"):
-                sets = shingle_sets(texts, n)
-                keep = np.array([_digest(s) for s in sets]) == batch.column("node").slice(start, stop - start).to_numpy()
-                part = batch.slice(start, stop - start).filter(pa.array(keep))  # another text under a repeated doc_id goes
-                columns = {c: part.column(c) for c in ("family", "block", "blocks", "node", "n")}
-                yield pa.record_batch(columns | {"shingles": pa.array([s.view(np.int64) for s, k in zip(sets, keep, strict=True) if k], pa.list_(pa.int64()))})
-
-    return run
-
-
 def _dealt(nodes: DataFrame, level: int = 0) -> DataFrame:
     """The rows with block and blocks: a family's rows (family, node, n) are dealt by hash into as many blocks as they need."""
     size = nodes.groupBy(F.col("family").alias("f")).agg(F.count("*").alias("c"), F.sum("n").alias("t")).select("f", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("t") / BLOCK_SHINGLES)).alias("blocks"))
@@ -357,10 +349,10 @@ def _dealt(nodes: DataFrame, level: int = 0) -> DataFrame:
     return nodes.join(size, nodes["family"] == size["f"], "left").select(*nodes.columns, blocks.alias("blocks"), F.pmod(F.xxhash64("node", F.lit(level)), blocks).alias("block"))
 
 
-def _linked(blocks: DataFrame, percent: int) -> DataFrame:
+def _linked(blocks: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b): every set's node and the node that stands for its component in its block."""
-    rows = blocks.select("family", "block", "node", "shingles").repartition("family", "block").sortWithinPartitions("family", "block")
-    return materialize(rows.mapInArrow(_link_blocks(percent), "a long, b long"), "ngram-links")
+    rows = blocks.select("family", "block", "node", "text").repartition("family", "block").sortWithinPartitions("family", "block")
+    return materialize(rows.mapInArrow(_link_blocks(n, percent), "a long, b long"), "ngram-links")
 
 
 def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -381,23 +373,24 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     several = materialize(distinct.groupBy(F.col("family").alias("f")).agg(F.count("*").alias("c")).where(F.col("c") > 1).select("f"), "ngram-families")
     wanted = materialize(_dealt(distinct.join(several, distinct["family"] == several["f"], "left_semi")), "ngram-wanted")
 
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["id"])).select("family", "block", "blocks", "node", "n", "text")
-    blocks = materialize(texts.mapInArrow(_sets(n), "family long, block long, blocks long, node long, n long, shingles array<long>"), "ngram-sets")
-    found = [_linked(blocks, percent)]
-    large = rest = blocks.where(F.col("blocks") > 1)
+    near = maybe_in(docs, "doc_id", id_filter(wanted, "id"))  # few other texts move
+    texts = materialize(near.join(wanted, near["doc_id"].eqNullSafe(wanted["id"])).select("family", "block", "blocks", "node", "n", "text"), "ngram-texts")
+    found = [_linked(texts, n, percent)]
+    large = rest = texts.where(F.col("blocks") > 1)
     for level in range(1, HEAD_ROUNDS + 1):  # one set for each component of a block goes on
         if rest.isEmpty():
             break
         heads = found[-1].where(F.col("a") == F.col("b")).select("a")
-        heads = rest.join(heads, rest["node"] == heads["a"], "left_semi").select("family", "node", "n", "shingles")
-        rest = materialize(_dealt(heads, level), "ngram-heads")
-        found.append(_linked(rest, percent))
+        dealt = materialize(_dealt(rest.select("family", "node", "n").join(heads, rest["node"] == heads["a"], "left_semi").distinct(), level), "ngram-heads")
+        again = dealt.select(F.col("family").alias("f_"), F.col("node").alias("n_"), F.col("block").alias("to_"), F.col("blocks").alias("of_"))
+        rest = rest.join(again, (rest["family"] == again["f_"]) & (rest["node"] == again["n_"])).select("family", F.col("to_").alias("block"), F.col("of_").alias("blocks"), "node", "n", "text")
+        found.append(_linked(rest, n, percent))
         rest = rest.where(F.col("blocks") > 1)
     union = found[0]
     for more in found[1:]:
         union = union.union(more)
     if len(found) > 1:
-        union = union.union(_cross_links(large, union, percent))
+        union = union.union(_cross_links(large, union, n, percent))
     labels = components(union)
     nodes = index.select("doc_id", F.col("node").alias("of"), "n")
     named = nodes.join(labels, nodes["of"] == labels["node"], "left").select("doc_id", "n", F.coalesce("label", "of").alias("label"))
@@ -407,16 +400,18 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     return named.join(least, named["label"] == least["l"], "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _cross_links(large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+def _cross_links(large: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
     """The links between different blocks of a family that the components so far don't hold."""
     labels = components(links)
-    named = large.join(labels.select(F.col("node").alias("of"), "label"), large["node"] == F.col("of"), "left").select("family", "node", "n", "shingles", "blocks", "block", F.coalesce("label", "node").alias("label"))
-    named = materialize(named, "ngram-named")
+    nodes = large.select("family", "node", "blocks", "block").distinct()
+    named = materialize(nodes.join(labels.select(F.col("node").alias("of"), "label"), nodes["node"] == F.col("of"), "left").select("family", "node", "blocks", "block", F.coalesce("label", "node").alias("label")), "ngram-named")
     counts = named.groupBy("family", "label").agg(F.count("*").alias("c"))
     main = materialize(counts.groupBy(F.col("family").alias("f")).agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("n_labels")).where(F.col("n_labels") > 1), "ngram-main")
     open_ = named.join(main, named["family"] == main["f"])
-    inner = open_.select("family", "block", F.lit(False).alias("outer"), "node", "label", "shingles")
-    outer = open_.where(F.col("label") != F.col("main")).select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("outer"), "node", "label", "shingles")
-    both = inner.unionByName(outer)
+    inner = open_.select("family", "block", F.lit(False).alias("outer"), "node", "label")
+    outer = open_.where(F.col("label") != F.col("main")).select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("outer"), "node", "label")
+    asked = materialize(inner.unionByName(outer), "ngram-asked")
+    texts = large.select(F.col("family").alias("f_"), F.col("node").alias("n_"), "text")
+    both = asked.join(texts, (asked["family"] == texts["f_"]) & (asked["node"] == texts["n_"])).select("family", "block", "outer", "node", "label", "text")
     dealt = both.repartition("family", "block").sortWithinPartitions("family", "block", "outer")
-    return materialize(dealt.mapInArrow(_probe_blocks(percent), "a long, b long"), "ngram-cross")
+    return materialize(dealt.mapInArrow(_probe_blocks(n, percent), "a long, b long"), "ngram-cross")
