@@ -24,8 +24,8 @@ from ionloom.llm.common import materialize
 #: Words of a shingle; blocks of a 64-bit fingerprint; bits in which a block may differ, and so all 64.
 SHINGLE, BLOCKS, BLOCK_RADIUS = 5, 8, 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
-#: Item shingles up to which the item tables are broadcast (24 MB); more are joined by shuffles.
-BROADCAST_SHINGLES = 1_000_000
+#: Rows of an item table up to which it is broadcast (some 40 MB); larger ones are joined by shuffles.
+BROADCAST_ROWS = 1_000_000
 
 _WORDS = r"split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ')), ' ')"
 _GRAMS = f"""CASE WHEN size(words) >= {SHINGLE}
@@ -56,24 +56,27 @@ def matches(df: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame
     """doc_id, item_id and similarity (the largest over the document's windows) of every pair that reaches ``percent``."""
     # written tables between the steps keep each step's expressions out of the filters and join conditions of the one before
     items = materialize(grams(benchmark, "item_id", "item_id"), "decontam-items").withColumn("n", F.size("grams"))
-    total = items.agg(F.sum("n")).first()[0] or 0
-    sent = F.broadcast if total <= BROADCAST_SHINGLES else (lambda side: side)
+    n_items, n_shingles = items.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    sent = lambda side, rows: F.broadcast(side) if rows <= BROADCAST_ROWS else side
     docs = grams(df, "doc_id", "doc_id")
 
     anchors = items.select("n", F.posexplode_outer("grams").alias("item_pos", "anchor")).distinct()
     placed = docs.select("doc_id", "grams", F.posexplode_outer("grams").alias("pos", "h"))
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("item_pos"), F.size("grams") - F.col("n")))
-    hits = placed.join(sent(anchors), placed["h"] == anchors["anchor"])
+    hits = placed.join(sent(anchors, n_shingles), placed["h"] == anchors["anchor"])
     windows = materialize(hits.select("doc_id", "n", F.slice("grams", start + 1, F.col("n")).alias("grams")).distinct(), "decontam-windows")
     windows = materialize(windows.withColumn("print", F.expr(_SIMHASH)), "decontam-prints")
 
-    filed = materialize(items.withColumn("print", F.expr(_SIMHASH)), "decontam-filed")
-    filed = filed.select("item_id", F.col("n").alias("item_n"), F.col("grams").alias("item_grams"), F.col("print").alias("item_print"), F.posexplode(F.expr(_BLOCKS)).alias("item_block", "v"))
-    nearby = F.explode(F.array(*(F.lit(m) for m in _near_values())))
-    filed = filed.withColumn("differ", nearby).withColumn("item_value", F.col("differ").bitwiseXOR(F.col("v"))).drop("differ", "v")
+    prints = materialize(items.withColumn("print", F.expr(_SIMHASH)), "decontam-items")
+    nearby = _near_values()
+    filed = prints.select("item_id", F.col("n").alias("item_n"), F.col("print").alias("item_print"), F.posexplode(F.expr(_BLOCKS)).alias("item_block", "v"))
+    filed = filed.withColumn("differ", F.explode(F.array(*(F.lit(m) for m in nearby)))).withColumn("item_value", F.col("differ").bitwiseXOR(F.col("v"))).drop("differ", "v")
     looked_up = windows.select("doc_id", "n", "grams", "print", F.posexplode(F.expr(_BLOCKS)).alias("block", "value"))
-    met = looked_up.join(sent(filed), (F.col("n") == F.col("item_n")) & (F.col("block") == F.col("item_block")) & (F.col("value") == F.col("item_value")))
-    near = met.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("doc_id", "item_id", "grams", "item_grams").distinct()
+    same_block = (F.col("n") == F.col("item_n")) & (F.col("block") == F.col("item_block")) & (F.col("value") == F.col("item_value"))
+    met = looked_up.join(sent(filed, n_items * BLOCKS * len(nearby)), same_block)
+    near = met.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("doc_id", "item_id", "item_print", "grams").distinct()
+    texts = prints.select(F.col("item_id").alias("i_"), F.col("print").alias("p_"), F.col("grams").alias("item_grams"))
+    near = near.join(sent(texts, n_shingles), (near["item_print"] == texts["p_"]) & near["item_id"].eqNullSafe(texts["i_"]))
 
     shared = near.select("doc_id", "item_id", F.expr(_SHARED).alias("shared"), (F.size("grams") + F.size("item_grams")).alias("sizes"))
     alike = shared.where(100 * F.col("shared") >= percent * (F.col("sizes") - F.col("shared")))

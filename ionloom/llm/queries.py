@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import decontam, hmm_lm, html_extract, langid, linededup, ngram_join, sptok, topk, warc
+from ionloom.llm import decontam, hmm_lm, html_extract, langid, license_scan, linededup, ngram_join, sptok, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence that a document states."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back by its index row."""
     folder, index = warc.write_archives(_table(spark, sf_dir, "pages"))
@@ -74,6 +79,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_warc": op5_warc,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_decontamination": op8_decontamination,
@@ -89,7 +95,23 @@ iw AS (SELECT item_id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{
 dg AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS g FROM dw WHERE w[1] <> ''),
 ig AS (SELECT item_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS g FROM iw WHERE w[1] <> '')"""
 
+def _license_sql() -> str:
+    known, ordered = license_scan._tables(license_scan.SENTENCES, license_scan.RULES)
+    rows = lambda table: ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in table)
+    numbered = [(licence, rule, run, i) for i, (licence, rule, run) in enumerate(ordered)]
+    return rf"""
+WITH k(form, sid) AS (VALUES {rows(known.items())}), u(licence, rule, run, n) AS (VALUES {rows(numbered)}),
+c AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '([.!?:;])\s+', '\1' || chr(1), 'g'), '\n\s*\n', chr(1), 'g'), '\n([ \t]*[A-Z0-9*("-])', chr(1) || '\1', 'g'), chr(1)) AS parts FROM documents),
+s AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM c),
+f AS (SELECT doc_id, count(*) AS n_sentences, ',' || string_agg(sid, ',' ORDER BY pos) || ',' AS run
+  FROM s JOIN k ON trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) = form GROUP BY 1)
+SELECT doc_id, licence, rule, n_sentences FROM f JOIN u ON contains(f.run, ',' || u.run || ',')
+QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY n::INTEGER) = 1
+"""
+
+
 ORACLES = {
+    "op4_license_scan": _license_sql(),
     "op8_decontamination": f"""
 WITH {_SHINGLES},
 p AS (SELECT doc_id, g, unnest(g) AS h, generate_subscripts(g, 1) - 1 AS pos FROM dg),
