@@ -23,6 +23,7 @@ no other. No rows give no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 from ionloom.llm.common import bounded_batches, chunks, id_filter, materialize, maybe_in, mix, word_hashes
 from ionloom.llm.graph import components
 
-#: Slots of the count sketch (sent to every task: 4 MB, whatever the input) and the slices in which it is summed.
-SLOTS, SLICES = 1 << 22, 64
+#: Slots of the count sketch (a byte each, sent to every task, whatever the input) and the slices in which it is summed.
+SLOTS, SLICES = 1 << 24, 64
 #: Sets and shingles of a block, about; bytes of text of which a task forms its own families at once.
 BLOCK_SETS, BLOCK_SHINGLES, LOCAL_BYTES = 256, 400_000, 32 << 20
 #: Rounds in which the heads of blocks meet; what they leave apart is for the exact probes.
@@ -67,15 +68,16 @@ def shingle_sets(texts: list[bytes | None], n: int) -> list[np.ndarray]:
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(42)).astype(np.int64)
+    return (h >> np.uint64(40)).astype(np.int64)
 
 
 def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.uint32)
+        counts = np.zeros(SLOTS, np.uint8)  # of one task, up to 255
         for batch in batches:
             for _, _, texts in chunks(batch, "text"):
-                counts += np.bincount(_slot(np.concatenate(shingle_sets(texts, n))), minlength=SLOTS).astype(np.uint32)
+                slots, seen = np.unique(_slot(np.concatenate(shingle_sets(texts, n))), return_counts=True)
+                counts[slots] = np.minimum(counts[slots] + seen, 255)
         parts = counts.reshape(SLICES, -1)
         used = [k for k in range(SLICES) if parts[k].any()]
         yield pa.record_batch({"slice": pa.array(used, pa.int32()), "counts": pa.array([zlib.compress(parts[k].tobytes(), 1) for k in used], pa.binary())})
@@ -87,7 +89,7 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, part in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
-            total[k] = total.get(k, 0) + np.frombuffer(zlib.decompress(part.as_py()), np.uint32).astype(np.uint64)
+            total[k] = total.get(k, 0) + np.frombuffer(zlib.decompress(part.as_py()), np.uint8).astype(np.uint64)
     levels = [np.ceil(np.log2(v + 1)).astype(np.uint8) for v in total.values()]
     yield pa.record_batch({"slice": pa.array(list(total), pa.int32()), "levels": pa.array([zlib.compress(v.tobytes(), 1) for v in levels], pa.binary())})
 
@@ -341,12 +343,18 @@ def _probe_blocks(n: int, percent: int):
     return run
 
 
-def _dealt(nodes: DataFrame, level: int = 0) -> DataFrame:
-    """The rows with block and blocks: a family's rows (family, node, n) are dealt by hash into as many blocks as they need."""
-    size = nodes.groupBy(F.col("family").alias("f")).agg(F.count("*").alias("c"), F.sum("n").alias("t")).select("f", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("t") / BLOCK_SHINGLES)).alias("blocks"))
-    size = materialize(size.where(F.col("blocks") > 1), "ngram-sizes")
-    blocks = F.coalesce(F.col("blocks"), F.lit(1))
-    return nodes.join(size, nodes["family"] == size["f"], "left").select(*nodes.columns, blocks.alias("blocks"), F.pmod(F.xxhash64("node", F.lit(level)), blocks).alias("block"))
+def _dealt(nodes: DataFrame, percent: int, level: int = 0) -> DataFrame:
+    """The rows (family, node, n) with block and blocks. A family that fits makes one block; a larger one is cut into
+    classes of size, each a step of ``percent``, and those by hash into as many blocks as they need."""
+    step = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))).alias("step")
+    held = nodes.withColumn("step", step)
+    need = lambda: F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    large = held.groupBy(F.col("family").alias("f")).agg(need().alias("blocks")).where(F.col("blocks") > 1)
+    steps = held.groupBy(F.col("family").alias("sf"), F.col("step").alias("ss")).agg(need().alias("parts"))
+    size = materialize(steps.join(large, steps["sf"] == large["f"]).select("sf", "ss", "parts", "blocks"), "ngram-sizes")
+    dealt = held.join(size, (held["family"] == size["sf"]) & (held["step"] == size["ss"]), "left")
+    block = F.shiftleft("step", 32) + F.pmod(F.xxhash64("node", F.lit(level)), "parts")
+    return dealt.select(*nodes.columns, F.coalesce("blocks", F.lit(1)).alias("blocks"), F.coalesce(block, F.lit(0)).alias("block"))
 
 
 def _linked(blocks: DataFrame, n: int, percent: int) -> DataFrame:
@@ -371,7 +379,7 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     labelled = docs_of.join(families, docs_of["root"] == families["node"], "left").select("doc_id", docs_of["node"], "n", F.coalesce("label", "root").alias("family"))
     distinct = materialize(labelled.groupBy("family", "node").agg(F.min("doc_id").alias("id"), F.first("n").alias("n")), "ngram-nodes")
     several = materialize(distinct.groupBy(F.col("family").alias("f")).agg(F.count("*").alias("c")).where(F.col("c") > 1).select("f"), "ngram-families")
-    wanted = materialize(_dealt(distinct.join(several, distinct["family"] == several["f"], "left_semi")), "ngram-wanted")
+    wanted = materialize(_dealt(distinct.join(several, distinct["family"] == several["f"], "left_semi"), percent), "ngram-wanted")
 
     near = maybe_in(docs, "doc_id", id_filter(wanted, "id"))  # few other texts move
     texts = materialize(near.join(wanted, near["doc_id"].eqNullSafe(wanted["id"])).select("family", "block", "blocks", "node", "n", "text"), "ngram-texts")
@@ -381,7 +389,11 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
         if rest.isEmpty():
             break
         heads = found[-1].where(F.col("a") == F.col("b")).select("a")
-        dealt = materialize(_dealt(rest.select("family", "node", "n").join(heads, rest["node"] == heads["a"], "left_semi").distinct(), level), "ngram-heads")
+        sets = rest.select("family", "node", "n").distinct()
+        marked = sets.join(heads, sets["node"] == heads["a"], "left").select("family", "node", "n", F.col("a").isNotNull().alias("head"))
+        shrinks = marked.groupBy(F.col("family").alias("sf")).agg(F.count_if("head").alias("heads"), F.count("*").alias("all")).where("2 * heads <= all").select("sf")
+        chosen = marked.where("head").join(shrinks, F.col("family") == F.col("sf"), "left_semi").drop("head")
+        dealt = materialize(_dealt(materialize(chosen, "ngram-heads"), percent, level), "ngram-heads")
         again = dealt.select(F.col("family").alias("f_"), F.col("node").alias("n_"), F.col("block").alias("to_"), F.col("blocks").alias("of_"))
         rest = rest.join(again, (rest["family"] == again["f_"]) & (rest["node"] == again["n_"])).select("family", F.col("to_").alias("block"), F.col("of_").alias("blocks"), "node", "n", "text")
         found.append(_linked(rest, n, percent))
@@ -403,13 +415,16 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 def _cross_links(large: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
     """The links between different blocks of a family that the components so far don't hold."""
     labels = components(links)
-    nodes = large.select("family", "node", "blocks", "block").distinct()
-    named = materialize(nodes.join(labels.select(F.col("node").alias("of"), "label"), nodes["node"] == F.col("of"), "left").select("family", "node", "blocks", "block", F.coalesce("label", "node").alias("label")), "ngram-named")
+    nodes = large.select("family", "node", "n", "block").distinct()
+    named = materialize(nodes.join(labels.select(F.col("node").alias("of"), "label"), nodes["node"] == F.col("of"), "left").select("family", "node", "n", "block", F.coalesce("label", "node").alias("label")), "ngram-named")
     counts = named.groupBy("family", "label").agg(F.count("*").alias("c"))
     main = materialize(counts.groupBy(F.col("family").alias("f")).agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("n_labels")).where(F.col("n_labels") > 1), "ngram-main")
     open_ = named.join(main, named["family"] == main["f"])
     inner = open_.select("family", "block", F.lit(False).alias("outer"), "node", "label")
-    outer = open_.where(F.col("label") != F.col("main")).select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("outer"), "node", "label")
+    sizes = materialize(open_.groupBy(F.col("family").alias("bf"), F.col("block").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most")), "ngram-ranges")
+    apart = open_.where(F.col("label") != F.col("main")).select("family", "node", "n", "label")
+    in_range = (F.col("family") == F.col("bf")) & (100 * F.col("most") >= percent * F.col("n")) & (percent * F.col("least") <= 100 * F.col("n"))
+    outer = apart.join(sizes, in_range).select("family", F.col("to").alias("block"), F.lit(True).alias("outer"), "node", "label")
     asked = materialize(inner.unionByName(outer), "ngram-asked")
     texts = large.select(F.col("family").alias("f_"), F.col("node").alias("n_"), "text")
     both = asked.join(texts, (asked["family"] == texts["f_"]) & (asked["node"] == texts["n_"])).select("family", "block", "outer", "node", "label", "text")
