@@ -382,7 +382,7 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     wanted = materialize(_dealt(distinct.join(several, distinct["family"] == several["f"], "left_semi"), percent), "ngram-wanted")
 
     near = maybe_in(docs, "doc_id", id_filter(wanted, "id"))  # few other texts move
-    texts = materialize(near.join(wanted, near["doc_id"].eqNullSafe(wanted["id"])).select("family", "block", "blocks", "node", "n", "text"), "ngram-texts")
+    texts = materialize(near.join(wanted.hint("merge"), near["doc_id"].eqNullSafe(wanted["id"])).select("family", "block", "blocks", "node", "n", "text"), "ngram-texts")
     found = [_linked(texts, n, percent)]
     large = rest = texts.where(F.col("blocks") > 1)
     for level in range(1, HEAD_ROUNDS + 1):  # one set for each component of a block goes on
