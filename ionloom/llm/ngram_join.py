@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,9 +119,9 @@ def _find(parent: list[int], i: int) -> int:
     return i
 
 
-def _families(ids: list, sets: list[tuple[int, int, np.ndarray]], percent: int) -> pa.RecordBatch:
-    """One row for each document: its node, its size, the node that stands for its family in this task, and on that node's
-    row the shingles with the sizes by which the family may chain to others."""
+def _families(ids: list, sets: list[tuple[int, int, np.ndarray]], percent: int, base: int) -> pa.RecordBatch:
+    """One row for each document: its node, its size, the number of its family in this task (from ``base`` on), and on one
+    row of the family the shingles, cut to 48 bits, with the range of sizes by which the family may chain to others."""
     size = np.array([n for _, n, _ in sets], np.int64)
     filled = [i for i, (_, n, _) in enumerate(sets) if n]
     parent = list(range(len(sets)))
@@ -142,25 +143,25 @@ def _families(ids: list, sets: list[tuple[int, int, np.ndarray]], percent: int)
     begin, end = np.searchsorted(of[by], np.arange(len(sets))), np.searchsorted(of[by], np.arange(len(sets)), side="right")
     take = lambda values: pa.array([values[by[a:b]] if b > a else None for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.list_(pa.int64()))
     return pa.record_batch({
-        "doc_id": pa.array(ids, pa.int64()), "node": pa.array([k for k, _, _ in sets], pa.int64()), "n": pa.array(size), "root": pa.array([sets[r][0] for r in root], pa.int64()),
-        "w": take(w.view(np.int64)[first]), "lo": take(length[first]), "hi": take(length[last]),
+        "doc_id": pa.array(ids, pa.int64()), "node": pa.array([k for k, _, _ in sets], pa.int64()), "n": pa.array(size), "root": pa.array([base + r for r in root], pa.int64()),
+        "w": take((w >> np.uint64(16)).astype(np.int64)[first]), "range": take((length[first] << 32) + length[last]),
     })
 
 
 def _index(n: int, percent: int, sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _order(sent.value)
-        ids, sets, held = [], [], 0
+        ids, sets, held, base = [], [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             for start, stop, texts in chunks(batch, "text"):
                 ids += batch.column("doc_id").slice(start, stop - start).to_pylist()
                 sets += [(_digest(s), len(s), _prefix(s, levels, percent) if len(s) else s) for s in shingle_sets(texts, n)]
                 held += sum(len(t or b"") for t in texts)
                 if held >= LOCAL_BYTES:
-                    yield _families(ids, sets, percent)
-                    ids, sets, held = [], [], 0
+                    yield _families(ids, sets, percent, base)
+                    ids, sets, held, base = [], [], 0, base + len(ids)
         if ids:
-            yield _families(ids, sets, percent)
+            yield _families(ids, sets, percent, base)
 
     return run
 
@@ -171,7 +172,8 @@ def _chains(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, root, most = None, 0, 0
         for batch in batches:
-            w, r, lo, hi = (batch.column(c).to_numpy() for c in ("w", "root", "lo", "hi"))
+            w, r, sizes = (batch.column(c).to_numpy() for c in ("w", "root", "range"))
+            lo, hi = sizes >> 32, sizes & 0xFFFFFFFF
             alone = np.ones(len(w), bool)  # a shingle of one row only chains nothing
             if len(w) > 1:
                 same = w[1:] == w[:-1]
@@ -370,10 +372,10 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = docs.select("text").mapInArrow(_sketch(n), "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_add_up, "slice int, levels binary")
     sent = spark.sparkContext.broadcast({r.slice: bytes(r.levels) for r in parts.collect()})  # SLOTS bytes at most
-    index = materialize(docs.mapInArrow(_index(n, percent, sent), "doc_id long, node long, n long, root long, w array<long>, lo array<long>, hi array<long>"), "ngram-index")
+    index = materialize(docs.mapInArrow(_index(n, percent, sent), "doc_id long, node long, n long, root long, w array<long>, range array<long>"), "ngram-index")
 
-    tokens = index.where(F.col("w").isNotNull()).select("root", F.explode(F.arrays_zip("w", "lo", "hi")).alias("t")).select("root", "t.w", "t.lo", "t.hi")
-    edges = tokens.repartition(F.col("w")).sortWithinPartitions("w", "lo").mapInArrow(_chains(percent), "a long, b long")
+    tokens = index.where(F.col("w").isNotNull()).select("root", F.explode(F.arrays_zip("w", "range")).alias("t")).select("root", "t.w", "t.range")
+    edges = tokens.repartition(F.col("w")).sortWithinPartitions("w", "range").mapInArrow(_chains(percent), "a long, b long")
     families = components(edges)
     docs_of = index.where(F.col("n") > 0).select("doc_id", "node", "n", "root")
     labelled = docs_of.join(families, docs_of["root"] == families["node"], "left").select("doc_id", docs_of["node"], "n", F.coalesce("label", "root").alias("family"))
