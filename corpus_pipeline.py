@@ -10,7 +10,7 @@ from ionloom.llm.common import id_filter, materialize, maybe_in
 from ionloom.llm.queries import PIECE_MODEL
 
 #: A text of this many letters whose cosine with every language is below the least is in none of them.
-LETTERS, LEAST_SCORE = 200, 0.2
+LETTERS, LEAST_SCORE = 200, 0.1
 
 
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
