@@ -53,7 +53,7 @@ def test_features_variants_alignments(spark, tmp_path):
 def test_tag_formats(spark, tmp_path):
     head = "H\n" * 25
     direct = text_formats.read_direct_tags(spark, put(tmp_path, "a.tags", head + "S\t12\tx\nT\tAB0\t10.12345\t0\nT\tCC\t0\t3.5\nS\t13\nT\tDD\t1\t2\n"), "s1").collect()
-    assert [(r.scanid, r.sequence, r.ngap, r.tag) for r in direct] == [("s1.12", "ABO", 10.1234, "10.1234,ABO"), ("s1.12", "CC", 0.0, "CC,3.5"), ("s1.13", "DD", 1.0, "1.0,DD,2.0")]
+    assert [(r.scanid, r.sequence, r.ngap, r.tag) for r in direct] == [("s1.12", "ABO", 10.1235, "10.1235,ABO"), ("s1.12", "CC", 0.0, "CC,3.5"), ("s1.13", "DD", 1.0, "1.0,DD,2.0")]
     novor = text_formats.read_novor(spark, put(tmp_path, "n.csv", "scanNum,peptide\n 7, AM(O)K[x]\n"), "s1").first()
     assert (novor.scanid, novor.sequence, novor.tag) == ("s1.7", "AMK", "AMK")
     block = ">> 0 4 title\n#Index\tRnkScr\n0\t9.1\t5\t100.0\t0.0\t500\t2\tPEPT\n>> 0 5 t\n# No solutions found.\n"
