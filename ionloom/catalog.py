@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ionloom.functions import ids, numeric, sequences
-from ionloom.operators import matching, quant, relational, stats
+from ionloom.operators import annotation, matching, quant, relational, stats
 from ionloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -753,3 +753,132 @@ def storey_q(spark, d):
     price = F.col("p_retailprice")
     rows = table(spark, d, "part").select("p_partkey", ((price - F.floor(price / 100) * 100 + 1) / 101).alias("p"))
     return stats.storey_q(rows, "p", "p_partkey").select("p_partkey", F.round("p", 9).alias("p"), F.round("q", 9).alias("q"))
+
+
+# ---- annotation, genome tracks and the rest ----
+
+@query("""WITH t AS (SELECT p_partkey AS member, unnest(string_split(p_name, ' ')) AS term FROM part)
+SELECT term, string_agg(DISTINCT member::VARCHAR, ';' ORDER BY member::VARCHAR) AS members, count(DISTINCT member)::INTEGER AS n FROM t WHERE term <> '' GROUP BY 1 HAVING count(DISTINCT member) >= 2""")
+def gene_sets(spark, d):
+    sets = annotation.gene_sets(table(spark, d, "part").withColumn("member", F.col("p_partkey").cast("string")), "member", F.split("p_name", " "), 2)
+    return sets.withColumn("members", F.array_join("members", ";"))
+
+
+@query("SELECT a.r_name AS treated, b.r_name AS control FROM region a JOIN region b ON a.r_name < b.r_name")
+def contrasts(spark, d):
+    return annotation.contrasts(table(spark, d, "region").select(F.col("r_regionkey").alias("sample"), F.col("r_name").alias("level")))
+
+
+@query("""SELECT l_partkey AS protein, l_linenumber AS form, p_type AS name, p_size AS start, p_size + 10 AS "end", p_size < l_linenumber * 5 AS excluded FROM (SELECT DISTINCT l_partkey, l_linenumber FROM lineitem) JOIN part ON l_partkey = p_partkey""")
+def domain_exclusion(spark, d):
+    domains = table(spark, d, "part").select(F.col("p_partkey").alias("protein"), F.col("p_type").alias("name"), F.col("p_size").alias("start"), (F.col("p_size") + 10).alias("end"))
+    forms = table(spark, d, "lineitem").select(F.col("l_partkey").alias("protein"), F.col("l_linenumber").alias("form"), (F.col("l_linenumber") * 5).alias("aa_start")).distinct()
+    return annotation.domains_in_proteoforms(domains, forms)
+
+
+_ALIGNED = f"""a AS (SELECT doc_id AS hit, (doc_id % 9 + 1)::INTEGER AS query_from, regexp_replace(substr({_LETTERS}, 1, 60), 'Q', '-', 'g') AS query_seq, substr(translate(substr({_LETTERS}, 1, 60), 'EO', '+ '), 1, 60) AS midline FROM documents)"""
+
+
+@query(f"""WITH {_ALIGNED}, c AS (SELECT hit, query_from, i, substr(query_seq, i, 1) AS q, substr(midline, i, 1) AS m FROM (SELECT *, unnest(range(1, length(query_seq) + 1)) AS i FROM a)),
+p AS (SELECT *, query_from - 1 + sum((q <> '-')::INT) OVER w AS place, sum((NOT (q = m AND q <> '-'))::INT) OVER w AS breaks FROM c WINDOW w AS (PARTITION BY hit ORDER BY i)),
+s AS (SELECT hit, breaks, min(place)::BIGINT AS query_start, max(place)::BIGINT AS query_end FROM p WHERE q = m AND q <> '-' GROUP BY ALL)
+SELECT hit, row_number() OVER (PARTITION BY hit ORDER BY query_start)::INTEGER AS segment, query_start, query_end FROM s""")
+def alignment_segments(spark, d):
+    head = F.substring("seq", 1, 60)
+    rows = peptides_of(spark, d).select(F.col("doc_id").alias("hit"), (F.col("doc_id") % 9 + 1).cast("int").alias("query_from"), F.regexp_replace(head, "Q", "-").alias("query_seq"), F.translate(head, "EO", "+ ").alias("midline"))
+    return annotation.match_segments(rows)
+
+
+@query("SELECT user_id::VARCHAR AS scanid, string_agg(DISTINCT event_type, ';' ORDER BY event_type) AS sequences FROM events GROUP BY 1")
+def concatenated_tags(spark, d):
+    return annotation.concatenated_tags(table(spark, d, "events").select(F.col("user_id").cast("string").alias("scanid"), F.col("event_type").alias("sequence")))
+
+
+@query("""WITH c AS (SELECT l_suppkey AS sample, l_partkey AS taxon, count(*) AS n FROM lineitem GROUP BY ALL),
+p AS (SELECT sample, count(*) FILTER (WHERE n > 10) AS abundant, count(*) FILTER (WHERE n <= 10) AS s, coalesce(sum(n) FILTER (WHERE n <= 10), 0) AS total, count(*) FILTER (WHERE n = 1) AS f1, coalesce(sum(n * (n - 1)) FILTER (WHERE n <= 10), 0) AS pairs FROM c GROUP BY 1),
+q AS (SELECT *, nullif(1 - f1 / nullif(total, 0), 0) AS cov FROM p)
+SELECT sample, round(coalesce(abundant + s / cov + f1 / cov * coalesce(greatest(0.0, s / cov * (pairs / nullif(total * (total - 1), 0)) - 1), 0), (abundant + s)::DOUBLE), 6) AS ace FROM q""")
+def alpha_diversity(spark, d):
+    counts = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("taxon")).agg(F.count("*").alias("n"))
+    return annotation.abundance_coverage(counts).withColumn("ace", F.round("ace", 6))
+
+
+@query("""WITH g AS (SELECT l_partkey AS id, l_returnflag AS grp, l_quantity AS value FROM lineitem), """ + _RANKS + """,
+m AS (SELECT id, grp, avg(r) AS mean, count(*) AS n FROM r GROUP BY ALL), t AS (SELECT id, sum(c ** 3 - c) AS ties, sum(c)::DOUBLE AS n FROM (SELECT id, value, count(*) AS c FROM r GROUP BY ALL) GROUP BY 1)
+SELECT x.id, x.grp AS a, y.grp AS b, round((x.mean - y.mean) / nullif(sqrt((t.n * (t.n + 1) / 12 - ties / (12 * (t.n - 1))) * (1 / x.n + 1 / y.n)), 0), 7) AS z FROM m x JOIN m y ON x.id = y.id AND x.grp < y.grp JOIN t ON t.id = x.id""")
+def dunn_test(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_returnflag").alias("grp"), F.col("l_quantity").alias("value"))
+    return annotation.dunn(rows).withColumn("z", F.round("z", 7))
+
+
+@query(f"WITH {_GROUPS}, s AS (SELECT id, ma - mb AS d, sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1 / na + 1 / nb)) AS e FROM m WHERE na >= 2 AND nb >= 2) SELECT id, round(d, 8) AS log_fc, round(sign(d) * greatest(0.0, (abs(d) - 1) / e), 7) AS t FROM s")
+def threshold_t(spark, d):
+    return annotation.threshold_t(_two_groups(spark, d), "O", "F", 1.0).select("id", F.round("log_fc", 8).alias("log_fc"), F.round("t", 7).alias("t"))
+
+
+@query()
+def sample_components(spark, d):
+    return annotation.sample_components(_long(spark, d))
+
+
+@query(f"WITH {_GROUPS}, s AS (SELECT (ma - mb) AS d FROM m WHERE na >= 2 AND nb >= 2 AND abs(ma - mb) > 3) SELECT CASE WHEN d > 0 THEN 'up' ELSE 'down' END AS direction, count(*) AS n, count(*) || ' ' || CASE WHEN d > 0 THEN 'up' ELSE 'down' END || ' at p < 0.05' AS text FROM s GROUP BY 1")
+def significant_summary(spark, d):
+    tested = stats.t_test(_two_groups(spark, d), "O", "F").withColumn("p", F.when(F.abs("log_fc") > 3, 0.01).otherwise(1.0))
+    return annotation.significant_summary(tested, "p")
+
+
+@query(f"""WITH p AS (SELECT DISTINCT substr({_LETTERS}, 1, 6) AS pattern FROM documents WHERE doc_id % 20 = 0), t AS (SELECT {_LETTERS} AS s FROM documents),
+i AS (SELECT s, unnest(range(1, length(s) - 4)) AS k FROM t WHERE length(s) >= 6), h AS (SELECT substr(s, k, 6) AS pattern, count(*) AS n FROM i GROUP BY 1)
+SELECT pattern, coalesce(n, 0)::BIGINT AS n FROM p LEFT JOIN h USING (pattern) WHERE length(pattern) = 6""")
+def frame_specific_peptides(spark, d):
+    texts = peptides_of(spark, d).select(F.col("doc_id").alias("text_id"), F.col("seq").alias("text"))
+    patterns = peptides_of(spark, d).where("doc_id % 20 = 0").select(F.substring("seq", 1, 6).alias("pattern")).where("length(pattern) = 6")
+    return matching.unique_in_frames(patterns, texts)
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 40 THEN 1 WHEN p_type = 'SMALL' THEN 2 WHEN p_retailprice > 1000 THEN 3 ELSE 13 END AS code FROM part")
+def evidence_codes(spark, d):
+    code = matching.evidence_code([(F.col("p_size") > 40, 1), (F.col("p_type") == "SMALL", 2), (F.col("p_retailprice") > 1000, 3)], 13)
+    return table(spark, d, "part").select("p_partkey", code.alias("code"))
+
+
+@query("""WITH a AS (SELECT p_partkey AS a_id, p_brand AS strand, p_partkey AS a_start, p_partkey + p_size AS a_end FROM part), b AS (SELECT s_suppkey AS b_id, 'Brand#' || s_nationkey AS strand, s_suppkey * 15 AS b_start, s_suppkey * 15 + 60 AS b_end FROM supplier)
+SELECT a_id, b_id FROM a JOIN b ON a.strand = b.strand AND b_start <= a_start AND a_end <= b_end""")
+def same_strand_containment(spark, d):
+    a = table(spark, d, "part").select(F.col("p_partkey").alias("a_id"), F.col("p_brand").alias("strand"), F.col("p_partkey").alias("a_start"), (F.col("p_partkey") + F.col("p_size")).alias("a_end"))
+    b = table(spark, d, "supplier").select(F.col("s_suppkey").alias("b_id"), F.concat(F.lit("Brand#"), F.col("s_nationkey").cast("string")).alias("strand"), (F.col("s_suppkey") * 15).alias("b_start"), (F.col("s_suppkey") * 15 + 60).alias("b_end"))
+    return relational.overlaps(a, b, 64, ["strand"]).where("b_start <= a_start AND a_end <= b_end").select("a_id", "b_id")
+
+
+@query("SELECT doc_id, quality, toxic, lang, n_chars FROM labels JOIN documents USING (doc_id)")
+def natural_join(spark, d):
+    return table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id").select("doc_id", "quality", "toxic", "lang", "n_chars")
+
+
+@query("SELECT p_brand, p_type, count(*) FILTER (WHERE p_size <= 25) AS small, count(*) FILTER (WHERE p_size > 25) AS large FROM part GROUP BY ALL")
+def annotation_matrix(spark, d):
+    size = F.when(F.col("p_size") <= 25, "small").otherwise("large")
+    return table(spark, d, "part").withColumn("size", size).groupBy("p_brand", "p_type").pivot("size", ["small", "large"]).agg(F.count(F.lit(1))).na.fill(0)
+
+
+@query("SELECT p_brand, p_type, p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_retailprice DESC, p_partkey) = 1")
+def isoform_collapse(spark, d):
+    return relational.top_per_key(table(spark, d, "part"), ["p_brand", "p_type"], [F.desc("p_retailprice"), F.asc("p_partkey")]).select("p_brand", "p_type", "p_partkey")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier ORDER BY md5(s_suppkey::VARCHAR) LIMIT 10")
+def fixed_shuffle(spark, d):
+    """Rows in an order that only the key decides, which a run can repeat."""
+    return table(spark, d, "supplier").orderBy(F.md5(F.col("s_suppkey").cast("string").cast("binary"))).limit(10).select("s_suppkey", "s_name")
+
+
+@query("WITH RECURSIVE f(n, a, b) AS (SELECT 1, 1::BIGINT, 1::BIGINT UNION ALL SELECT n + 1, b, a + b FROM f WHERE n < 40) SELECT n, a AS fib FROM f")
+def fibonacci(spark, d):
+    return spark.sql("WITH RECURSIVE f(n, a, b) AS (SELECT 1, 1L, 1L UNION ALL SELECT n + 1, b, a + b FROM f WHERE n < 40) SELECT n, a AS fib FROM f")
+
+
+@query("""WITH e AS (SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL) SELECT strftime(start, '%Y-%m-%d %H:%M') AS start, event_type, n FROM e""")
+def windowed_counts(spark, d):
+    from ionloom.streaming.tags import windowed_counts as counted
+
+    return counted(table(spark, d, "events")).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm"))

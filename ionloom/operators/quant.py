@@ -60,10 +60,12 @@ def organism_prob(scored: DataFrame, retained: DataFrame, proteins: DataFrame) -
 
 def ranked_proteins(evidence: DataFrame, proteins: DataFrame) -> DataFrame:
     """The whole ranking: NSAF, cover, organism probability, cover again by the combined probability."""
-    scored = nsaf(saf(spectral_counts(evidence), proteins))
-    first = greedy_cover(with_rank(scored, "summed_nsaf").select("acc", "rank"), evidence)
-    prob = organism_prob(scored, first, proteins)
-    second = with_rank(prob, "combined_prob")
+    scans = evidence.select("acc", "sample", "scan").distinct().persist()  # a row for each scan of a protein; used four times
+    scored = nsaf(saf(spectral_counts(scans), proteins)).persist()  # a row for each protein, as are those below
+    first = greedy_cover(with_rank(scored, "summed_nsaf").select("acc", "rank"), scans).persist()
+    prob = organism_prob(scored, first, proteins).persist()
+    second = with_rank(prob, "combined_prob").persist()
+    evidence = scans
     return second.join(greedy_cover(second.select("acc", "rank"), evidence).select("acc", "new_scans"), "acc")
 
 
