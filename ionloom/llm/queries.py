@@ -111,6 +111,25 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY n::INTEGER) = 1
 
 
 ORACLES = {
+    "op7_ngram_jaccard": r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, other) AS (SELECT a, b FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+m AS (SELECT doc_id, min(other) AS least FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(m.least, w.doc_id), w.doc_id) AS component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+""",
+    # for pages that mark one article of headings and paragraphs, as those of the tables do
+    "op10_html_extraction": r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+b AS (SELECT page_id, url, unnest(string_split(regexp_replace(body, '</?(p|h1)>', chr(1), 'g'), chr(1))) AS part, generate_subscripts(string_split(regexp_replace(body, '</?(p|h1)>', chr(1), 'g'), chr(1)), 1) AS pos FROM a),
+t AS (SELECT page_id, url, pos, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(part, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS line FROM b),
+g AS (SELECT page_id, url, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE line <> ''), '') AS text FROM t GROUP BY ALL)
+SELECT page_id, url, text, length(text) AS n_chars FROM g
+""",
     "op4_license_scan": _license_sql(),
     "op8_decontamination": f"""
 WITH {_SHINGLES},
