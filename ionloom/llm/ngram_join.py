@@ -39,7 +39,7 @@ from ionloom.llm.graph import components
 #: Slots of the count sketch (a byte each, sent to every task, whatever the input) and the slices in which it is summed.
 SLOTS, SLICES = 1 << 24, 64
 #: Sets and shingles of a block, about; bytes of text of which a task forms its own families at once.
-BLOCK_SETS, BLOCK_SHINGLES, LOCAL_BYTES = 256, 400_000, 32 << 20
+BLOCK_SETS, BLOCK_SHINGLES, LOCAL_BYTES = 128, 400_000, 32 << 20
 #: Rounds in which the heads of blocks meet; what they leave apart is for the exact probes.
 HEAD_ROUNDS = 3
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
