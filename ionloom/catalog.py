@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ionloom.functions import ids, numeric, sequences
 from ionloom.operators import annotation, matching, quant, relational, stats
+from ionloom.plans import metaproteomics
 from ionloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,13 +214,13 @@ def anti(spark, d):
     return table(spark, d, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
-@query("""WITH m AS (SELECT doc_id, unnest(string_split(substr(text, 1, 200), ' ')) AS word, generate_subscripts(string_split(substr(text, 1, 200), ' '), 1) AS pos FROM documents),
+@query("""WITH m AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS pos FROM documents),
 k AS (SELECT 'the' AS word, 'ART' AS v UNION ALL SELECT 'of', 'PRE' UNION ALL SELECT 'and', 'CON' UNION ALL SELECT 'de', 'PRE'),
 f AS (SELECT doc_id, v, min(pos) AS pos FROM m JOIN k USING (word) GROUP BY ALL)
 SELECT doc_id, string_agg(v, ';' ORDER BY pos) AS "values" FROM f GROUP BY 1""")
 def explode_join(spark, d):
     lookup = spark.createDataFrame([("the", "ART"), ("of", "PRE"), ("and", "CON"), ("de", "PRE")], "word string, v string")
-    groups = table(spark, d, "documents").select("doc_id", F.substring("text", 1, 200).alias("members"))
+    groups = table(spark, d, "documents").select("doc_id", F.col("text").alias("members"))
     return relational.explode_join(groups, "doc_id", "members", lookup, "word", "v", sep=" ").withColumn("values", F.replace("values", F.lit(" "), F.lit(";")))
 
 
@@ -246,20 +247,21 @@ def reciprocal(spark, d):
     return relational.reciprocal(pairs, "x", "y")
 
 
-@query("""WITH f AS (SELECT 0 AS source, c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT 1, s_suppkey, s_name FROM supplier UNION ALL SELECT 2, p_partkey, p_name FROM part)
+@query("""WITH f AS (SELECT 0 AS source, c_custkey AS k, c_name AS name FROM customer WHERE c_acctbal > 5000 UNION ALL SELECT 1, s_suppkey, s_name FROM supplier UNION ALL SELECT 2, p_partkey, p_name FROM part)
 SELECT o.k, source, name FROM (SELECT DISTINCT o_custkey AS k FROM orders) o LEFT JOIN (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY k ORDER BY source) = 1) USING (k)""")
 def prioritised_fallback(spark, d):
     keys = table(spark, d, "orders").select(F.col("o_custkey").alias("k")).distinct()
     pick = lambda t, k, n: table(spark, d, t).select(F.col(k).alias("k"), F.col(n).alias("name"))
-    sources = [pick("customer", "c_custkey", "c_name").where("k % 3 = 0"), pick("supplier", "s_suppkey", "s_name"), pick("part", "p_partkey", "p_name")]
+    rich = table(spark, d, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    sources = [rich, pick("supplier", "s_suppkey", "s_name"), pick("part", "p_partkey", "p_name")]
     return relational.with_fallback(keys, sources, "k").select("k", "source", "name")
 
 
-@query("""WITH h AS (SELECT DISTINCT l_suppkey AS id, l_orderkey AS ref FROM lineitem WHERE l_orderkey % 7 = 0),
+@query("""WITH h AS (SELECT DISTINCT l_suppkey AS id, l_orderkey AS ref FROM lineitem),
 a AS (SELECT s_suppkey AS a, s_suppkey + 1 AS b FROM supplier)
 SELECT x.id AS a, y.id AS b, x.ref FROM h x JOIN h y ON x.ref = y.ref AND x.id < y.id WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.a = x.id AND a.b = y.id)""")
 def shared_reference_pairs(spark, d):
-    hits = table(spark, d, "lineitem").where("l_orderkey % 7 = 0").select(F.col("l_suppkey").alias("id"), F.col("l_orderkey").alias("ref"))
+    hits = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), F.col("l_orderkey").alias("ref"))
     aligned = table(spark, d, "supplier").select((F.col("s_suppkey") + 1).alias("a"), F.col("s_suppkey").alias("b"))
     return relational.shared_reference_pairs(hits, aligned)
 
@@ -351,14 +353,14 @@ def acetylated_strains(spark, d):
     return relational.joined_set(rows, "l_suppkey", "l_returnflag").withColumnRenamed("values", "strains")
 
 
-@query("""WITH f AS (SELECT l_suppkey AS contig, l_partkey * 3 AS s, l_partkey * 3 + p_size AS e, l_quantity::BIGINT AS v FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey < 5),
-x AS (SELECT contig, unnest(range(s, e + 1)) AS position, v FROM f)
-SELECT contig, position, sum(v)::BIGINT AS coverage FROM x GROUP BY ALL""")
+@query("""WITH f AS (SELECT l_suppkey AS contig, l_partkey * 3 AS s, l_partkey * 3 + p_size AS e, l_quantity::BIGINT AS v FROM lineitem JOIN part ON l_partkey = p_partkey),
+x AS (SELECT contig, s AS position, v AS change, 1 AS o FROM f UNION ALL SELECT contig, e + 1, -v, -1 FROM f), g AS (SELECT contig, position, sum(change) AS change, sum(o) AS o FROM x GROUP BY ALL),
+r AS (SELECT contig, position AS start, lead(position) OVER w - 1 AS "end", sum(change) OVER w AS value, sum(o) OVER w AS o FROM g WINDOW w AS (PARTITION BY contig ORDER BY position))
+SELECT contig, start, "end", value::BIGINT AS value FROM r WHERE o > 0""")
 def base_coverage(spark, d):
-    rows = table(spark, d, "lineitem").where("l_suppkey < 5").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select(F.col("l_suppkey").alias("contig"), (F.col("l_partkey") * 3).alias("start"), (F.col("l_partkey") * 3 + F.col("p_size")).alias("end"), F.col("l_quantity").cast("bigint").alias("v"))
-    runs = relational.base_coverage(rows, "v", ["contig"])
-    return runs.select("contig", F.explode(F.sequence("start", "end")).alias("position"), F.col("value").alias("coverage"))
+    return relational.base_coverage(rows, "v", ["contig"])
 
 
 @query("SELECT l_partkey, l_returnflag AS grp, round(avg(l_extendedprice), 7) AS mean, round(var_samp(l_extendedprice), 2) AS variance FROM lineitem GROUP BY ALL")
@@ -402,11 +404,11 @@ def benjamini_hochberg(spark, d):
     return relational.benjamini_hochberg(rows, "p", "p_partkey").select("p_partkey", F.round("p", 9).alias("p"), F.round("adjusted", 9).alias("adjusted"))
 
 
-@query("""WITH h AS (SELECT l_suppkey AS q, l_partkey AS s, l_orderkey, l_linenumber, l_extendedprice AS score FROM lineitem WHERE l_suppkey < 10),
+@query("""WITH h AS (SELECT l_suppkey AS q, l_partkey AS s, l_orderkey, l_linenumber, l_extendedprice AS score FROM lineitem),
 b AS (SELECT q, s, row_number() OVER (PARTITION BY q ORDER BY best DESC, s) AS alignment_rank FROM (SELECT q, s, max(score) AS best FROM h GROUP BY q, s))
 SELECT h.q, h.s, l_orderkey, l_linenumber, alignment_rank, row_number() OVER (PARTITION BY h.q, h.s ORDER BY score DESC, l_orderkey, l_linenumber) AS hsp_rank FROM h JOIN b ON h.q = b.q AND h.s = b.s""")
 def alignment_ranks(spark, d):
-    hits = table(spark, d, "lineitem").where("l_suppkey < 10").select(F.col("l_suppkey").alias("q"), F.col("l_partkey").alias("s"), "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("score"))
+    hits = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("q"), F.col("l_partkey").alias("s"), "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("score"))
     return relational.ranked_hits(hits, "q", "s", "score").select("q", "s", "l_orderkey", "l_linenumber", F.col("alignment_rank").cast("bigint").alias("alignment_rank"), F.col("hsp_rank").cast("bigint").alias("hsp_rank"))
 
 
@@ -500,10 +502,9 @@ def parse_ids(spark, d):
     return table(spark, d, "supplier").select("s_suppkey", ids.parse_ids(cell).alias("ids"), ids.organism(header).alias("organism"))
 
 
-@query(r"SELECT doc_id, translate(substr(text, 1, 100), 'I', 'L') AS il, regexp_replace(substr(text, 1, 100), '[^A-Z]', '', 'g') AS bare, regexp_replace(source, '[.\s/()\[\]\\]+', '_', 'g') AS field FROM documents")
+@query(r"SELECT doc_id, translate(text, 'I', 'L') AS il, regexp_replace(text, '[^A-Z]', '', 'g') AS bare, regexp_replace(source, '[.\s/()\[\]\\]+', '_', 'g') AS field FROM documents")
 def text_cleaning(spark, d):
-    head = F.substring("text", 1, 100)
-    return table(spark, d, "documents").select("doc_id", ids.il_equivalent(head).alias("il"), ids.bare_peptide(head).alias("bare"), ids.clean_field("source").alias("field"))
+    return table(spark, d, "documents").select("doc_id", ids.il_equivalent("text").alias("il"), ids.bare_peptide("text").alias("bare"), ids.clean_field("source").alias("field"))
 
 
 @query("SELECT l_orderkey, l_linenumber, round_even(l_extendedprice * 2 - 1.007276 * 2, 4) AS mw, round(log2(l_quantity), 9) AS l2, CASE WHEN l_discount > 0 THEN round(-log10(l_discount), 9) END AS nl FROM lineitem")
@@ -531,12 +532,16 @@ def peptides_of(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"))
 
 
-def nucleotides(spark: SparkSession, d: str, length: int = 600) -> DataFrame:
+def benchmark_letters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "benchmark").select("item_id", F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq"))
+
+
+def nucleotides(spark: SparkSession, d: str) -> DataFrame:
     letters = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC")
-    return table(spark, d, "documents").select(F.col("doc_id").alias("contig"), F.substring(letters, 1, length).alias("seq"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("contig"), letters.alias("seq"))
 
 
-_ACGT = "SELECT doc_id AS contig, substr(translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC'), 1, 600) AS seq FROM documents"
+_ACGT = "SELECT doc_id AS contig, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents"
 
 
 @query(f"""WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace({_LETTERS}, '([RK])([^P])', '\\1|\\2', 'g'), '([RK])([^P|])', '\\1|\\2', 'g'), '|')) AS peptide FROM documents)
@@ -546,22 +551,22 @@ def digest(spark, d):
     return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("peptide").alias("kinds"), F.max(F.length("peptide")).alias("longest"))
 
 
-@query(f"""WITH p AS (SELECT doc_id, substr({_LETTERS}, 1, 40) AS s FROM documents)
+@query(f"""WITH p AS (SELECT doc_id, {_LETTERS} AS s FROM documents)
 SELECT doc_id, (length(s) - length(regexp_replace(regexp_replace(s, '([RK])([^P])', '\\1|\\2', 'g'), '([RK])([^P|])', '\\1|\\2', 'g'))) * -1 AS trypsin, length(regexp_replace(s, '[^RK]', '', 'g')) AS any_site FROM p""")
 def missed_cleavages(spark, d):
-    rows = peptides_of(spark, d).select("doc_id", F.substring("seq", 1, 40).alias("s"))
+    rows = peptides_of(spark, d).select("doc_id", F.col("seq").alias("s"))
     return rows.select("doc_id", sequences.missed_cleavages("s").cast("bigint").alias("trypsin"), sequences.missed_cleavages("s", False).cast("bigint").alias("any_site"))
 
 
 _MASSES = ", ".join(f"('{a}', {m})" for a, m in sequences.RESIDUE_MASS.items())
 
 
-@query(f"""WITH m(r, w) AS (VALUES {_MASSES}), p AS (SELECT doc_id, substr({_LETTERS}, 1, 20) AS s FROM documents),
-x AS (SELECT doc_id, unnest(string_split(s, '')) AS r FROM p WHERE NOT regexp_matches(s, '[XZB]') AND s <> '')
-SELECT doc_id, round(sum(w + CASE WHEN r = 'C' THEN 57.021464 ELSE 0 END)::DOUBLE + 18.010565, 3) AS mass FROM x JOIN m USING (r) GROUP BY 1""")
+@query(f"""WITH m(r, w) AS (VALUES {_MASSES}), p AS (SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace({_LETTERS}, '([RK])([^P])', '\\1|\\2', 'g'), '([RK])([^P|])', '\\1|\\2', 'g'), '|')) AS s FROM documents),
+k AS (SELECT DISTINCT s FROM p WHERE length(s) BETWEEN 7 AND 30 AND NOT regexp_matches(s, '[XZB]')), x AS (SELECT s, unnest(string_split(s, '')) AS r FROM k)
+SELECT s AS peptide, round(sum(w + CASE WHEN r = 'C' THEN 57.021464 ELSE 0 END)::DOUBLE + 18.010565, 3) AS mass FROM x JOIN m USING (r) GROUP BY 1""")
 def peptide_mass(spark, d):
-    rows = peptides_of(spark, d).select("doc_id", F.substring("seq", 1, 20).alias("s")).where("s <> ''").withColumn("mass", sequences.peptide_mass("s"))
-    return rows.where(F.col("mass") < 1e9).select("doc_id", F.round("mass", 3).alias("mass"))
+    rows = peptides_of(spark, d).select(F.explode_outer(sequences.tryptic_peptides("seq")).alias("peptide")).where("peptide IS NOT NULL").distinct()
+    return rows.withColumn("mass", F.round(sequences.peptide_mass("peptide"), 3)).where(F.col("mass") < 1e9)
 
 
 @query(f"""WITH p AS (SELECT doc_id, {_LETTERS} AS s FROM documents), q AS (SELECT doc_id, s, unnest(range(1, length(s) - 2)) AS i FROM p WHERE length(s) >= 4)
@@ -571,12 +576,11 @@ def occurrences(spark, d):
     return rows.select("doc_id", F.size("at").cast("bigint").alias("n"), F.get("at", F.lit(0)).alias("first"))
 
 
-@query(f"""WITH p AS (SELECT substr({_LETTERS}, 1, 12) AS pattern FROM documents WHERE doc_id % 10 = 0), t AS (SELECT doc_id, {_LETTERS} AS s FROM documents)
-SELECT doc_id AS text_id, pattern FROM t JOIN (SELECT DISTINCT pattern FROM p WHERE pattern <> '') p ON contains(s, pattern)""")
+@query(f"""WITH p AS (SELECT DISTINCT {_LETTERS} AS pattern FROM benchmark), t AS (SELECT doc_id, {_LETTERS} AS s FROM documents)
+SELECT doc_id AS text_id, pattern FROM t JOIN p ON contains(s, pattern) WHERE pattern <> ''""")
 def containment(spark, d):
     texts = peptides_of(spark, d).select(F.col("doc_id").alias("text_id"), F.col("seq").alias("text"))
-    patterns = peptides_of(spark, d).where("doc_id % 10 = 0").select(F.substring("seq", 1, 12).alias("pattern"))
-    return matching.contained_pairs(texts, patterns)
+    return matching.contained_pairs(texts, benchmark_letters(spark, d).select(F.col("seq").alias("pattern")))
 
 
 @query(f"""WITH k(pattern) AS (VALUES ('ERE'), ('TIO'), ('THE'), ('AND')), t AS (SELECT doc_id, {_LETTERS} AS s FROM documents),
@@ -603,20 +607,24 @@ def translation(spark, d):
     return nucleotides(spark, d).where("length(seq) >= 3").select("contig", sequences.translate("seq").alias("protein"))
 
 
-@query(f"""WITH g AS ({_ACGT}), s AS (SELECT contig, '+' AS strand, seq AS s, length(seq) AS n FROM g UNION ALL SELECT contig, '-', reverse(translate(seq, 'ACGT', 'TGCA')), length(seq) FROM g),
+_ORFS = f"""g AS ({_ACGT}), s AS (SELECT contig, '+' AS strand, seq AS s, length(seq) AS n FROM g UNION ALL SELECT contig, '-', reverse(translate(seq, 'ACGT', 'TGCA')), length(seq) FROM g),
 i AS (SELECT contig, strand, s, n, unnest(range(1, n - 1)) AS stop FROM s WHERE n >= 3),
 m AS (SELECT DISTINCT contig, strand, s, n, stop, (stop - 1) % 3 AS frame FROM i WHERE substr(s, stop, 3) IN ('TAA', 'TAG', 'TGA')
   OR stop = (stop - 1) % 3 + 3 * ((n - (stop - 1) % 3) // 3) - 2),
-o AS (SELECT *, coalesce(lag(stop) OVER (PARTITION BY contig, strand, frame ORDER BY stop) + 3, frame + 1) AS f, stop + 2 AS t FROM m)
-SELECT contig, strand, (CASE strand WHEN '+' THEN f ELSE n - t + 1 END)::INTEGER AS start, (CASE strand WHEN '+' THEN t ELSE n - f + 1 END)::INTEGER AS "end", substr(s, f, t - f + 1) AS seq FROM o WHERE t - f + 1 >= 60""")
+o AS (SELECT *, coalesce(lag(stop) OVER (PARTITION BY contig, strand, frame ORDER BY stop) + 3, frame + 1) AS f, stop + 2 AS t FROM m),
+orfs AS (SELECT contig, strand, (CASE strand WHEN '+' THEN f ELSE n - t + 1 END)::INTEGER AS start, (CASE strand WHEN '+' THEN t ELSE n - f + 1 END)::INTEGER AS "end", substr(s, f, t - f + 1) AS seq FROM o WHERE t - f + 1 >= 60)"""
+
+
+@query("WITH " + _ORFS + " SELECT * FROM orfs")
 def six_frame(spark, d):
     return matching.open_frames(nucleotides(spark, d), 20, 250)
 
 
-@query(f"""WITH g AS ({_ACGT}), x AS (SELECT contig AS orf, seq, unnest(range(0, length(seq) // 3)) AS i FROM g WHERE contig % 4 = 0)
+@query(f"""WITH {_ORFS}, k AS (SELECT contig || strand || start || ':' || "end" AS orf, seq FROM orfs), x AS (SELECT orf, seq, unnest(range(0, length(seq) // 3)) AS i FROM k)
 SELECT orf, (row_number() OVER (PARTITION BY orf ORDER BY i) - 1)::INTEGER AS k, (3 * i + 1)::INTEGER AS start, substr(seq, (3 * i + 1)::INTEGER) AS seq FROM x WHERE substr(seq, (3 * i + 1)::INTEGER, 3) IN ('TTG', 'CTG', 'ATT', 'ATC', 'ATA', 'ATG', 'GTG')""")
 def alt_tss(spark, d):
-    return matching.alternative_starts(nucleotides(spark, d).where("contig % 4 = 0").withColumnRenamed("contig", "orf"))
+    orf = F.concat(F.col("contig").cast("string"), "strand", F.col("start").cast("string"), F.lit(":"), F.col("end").cast("string"))
+    return matching.alternative_starts(matching.open_frames(nucleotides(spark, d), 20).select(orf.alias("orf"), "seq"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'F' THEN l_partkey * 100 + 3 * l_linenumber ELSE l_partkey * 100 + 899 - 3 * (l_linenumber + l_suppkey % 9 + 1) + 1 END AS start,
@@ -627,18 +635,17 @@ def project_coords(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", at.alias("x")).select("l_orderkey", "l_linenumber", "x.start", "x.end")
 
 
-@query(f"""WITH s AS (SELECT doc_id AS id, substr({_LETTERS}, 1, 60) AS seq FROM documents), g AS (SELECT seq, min(id) AS first, string_agg(id::VARCHAR, ';' ORDER BY id) AS members FROM s GROUP BY 1)
+@query(f"""WITH s AS (SELECT doc_id AS id, {_LETTERS} AS seq FROM documents), g AS (SELECT seq, min(id) AS first, string_agg(id::VARCHAR, ';' ORDER BY id) AS members FROM s GROUP BY 1)
 SELECT row_number() OVER (ORDER BY first) AS nr_id, seq, members FROM g""")
 def nr_sequences(spark, d):
-    return matching.non_redundant(peptides_of(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 60).alias("seq")))
+    return matching.non_redundant(peptides_of(spark, d).select(F.col("doc_id").alias("id"), "seq"))
 
 
-@query(f"""WITH s AS (SELECT doc_id, substr({_LETTERS}, 1, 50) AS a, substr({_LETTERS}, 2, 50) AS b FROM documents), x AS (SELECT doc_id, a, b, unnest(range(1, least(length(a), length(b)) + 1)) AS i FROM s)
-SELECT doc_id AS pair, i::INTEGER AS position, substr(a, i, 1) || '->' || substr(b, i, 1) AS variant FROM x WHERE substr(a, i, 1) <> substr(b, i, 1)""")
+@query("""WITH s AS (SELECT p_partkey AS pair, p_name AS a, translate(p_name, 'aeiou', 'eioua') AS b FROM part), x AS (SELECT pair, a, b, unnest(range(1, length(a) + 1)) AS i FROM s)
+SELECT pair, i::INTEGER AS position, substr(a, i, 1) || '->' || substr(b, i, 1) AS variant FROM x WHERE substr(a, i, 1) <> substr(b, i, 1)""")
 def alignment_differences(spark, d):
-    rows = peptides_of(spark, d).select(F.col("doc_id").alias("pair"), F.substring("seq", 1, 50).alias("q"), F.substring("seq", 2, 50).alias("s"))
-    n = F.least(F.length("q"), F.length("s"))
-    return matching.alignment_differences(rows.select("pair", F.substring(F.col("q"), F.lit(1), n).alias("query"), F.substring(F.col("s"), F.lit(1), n).alias("subject")))
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("pair"), F.col("p_name").alias("query"), F.translate("p_name", "aeiou", "eioua").alias("subject"))
+    return matching.alignment_differences(rows)
 
 
 @query("""WITH h AS (SELECT l_orderkey, l_linenumber, l_partkey % 12 AS pos, l_suppkey % 5 AS annotated, substr('KRMAG', (l_suppkey % 5 + 1)::INTEGER, 1) AS before, CASE WHEN l_linenumber % 2 = 0 THEN 'ATG' ELSE 'AAA' END AS codon, substr('MAK', (l_orderkey % 3 + 1)::INTEGER, 1) AS first FROM lineitem)
@@ -776,7 +783,7 @@ def domain_exclusion(spark, d):
     return annotation.domains_in_proteoforms(domains, forms)
 
 
-_ALIGNED = f"""a AS (SELECT doc_id AS hit, (doc_id % 9 + 1)::INTEGER AS query_from, regexp_replace(substr({_LETTERS}, 1, 60), 'Q', '-', 'g') AS query_seq, substr(translate(substr({_LETTERS}, 1, 60), 'EO', '+ '), 1, 60) AS midline FROM documents)"""
+_ALIGNED = """a AS (SELECT p_partkey AS hit, (p_partkey % 9 + 1)::INTEGER AS query_from, translate(upper(p_name), 'L', '-') AS query_seq, translate(upper(p_name), 'EO', '+ ') AS midline FROM part)"""
 
 
 @query(f"""WITH {_ALIGNED}, c AS (SELECT hit, query_from, i, substr(query_seq, i, 1) AS q, substr(midline, i, 1) AS m FROM (SELECT *, unnest(range(1, length(query_seq) + 1)) AS i FROM a)),
@@ -784,8 +791,8 @@ p AS (SELECT *, query_from - 1 + sum((q <> '-')::INT) OVER w AS place, sum((NOT
 s AS (SELECT hit, breaks, min(place)::BIGINT AS query_start, max(place)::BIGINT AS query_end FROM p WHERE q = m AND q <> '-' GROUP BY ALL)
 SELECT hit, row_number() OVER (PARTITION BY hit ORDER BY query_start)::INTEGER AS segment, query_start, query_end FROM s""")
 def alignment_segments(spark, d):
-    head = F.substring("seq", 1, 60)
-    rows = peptides_of(spark, d).select(F.col("doc_id").alias("hit"), (F.col("doc_id") % 9 + 1).cast("int").alias("query_from"), F.regexp_replace(head, "Q", "-").alias("query_seq"), F.translate(head, "EO", "+ ").alias("midline"))
+    name = F.upper("p_name")
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("hit"), (F.col("p_partkey") % 9 + 1).cast("int").alias("query_from"), F.translate(name, "L", "-").alias("query_seq"), F.translate(name, "EO", "+ ").alias("midline"))
     return annotation.match_segments(rows)
 
 
@@ -827,12 +834,12 @@ def significant_summary(spark, d):
     return annotation.significant_summary(tested, "p")
 
 
-@query(f"""WITH p AS (SELECT DISTINCT substr({_LETTERS}, 1, 6) AS pattern FROM documents WHERE doc_id % 20 = 0), t AS (SELECT {_LETTERS} AS s FROM documents),
-i AS (SELECT s, unnest(range(1, length(s) - 4)) AS k FROM t WHERE length(s) >= 6), h AS (SELECT substr(s, k, 6) AS pattern, count(*) AS n FROM i GROUP BY 1)
-SELECT pattern, coalesce(n, 0)::BIGINT AS n FROM p LEFT JOIN h USING (pattern) WHERE length(pattern) = 6""")
+@query(f"""WITH p AS (SELECT DISTINCT unnest(string_split(regexp_replace(regexp_replace({_LETTERS}, '([RK])([^P])', '\\1|\\2', 'g'), '([RK])([^P|])', '\\1|\\2', 'g'), '|')) AS pattern FROM benchmark),
+t AS (SELECT {_LETTERS} AS s FROM documents), k AS (SELECT pattern FROM p WHERE length(pattern) BETWEEN 7 AND 30)
+SELECT pattern, coalesce(sum((length(s) - length(replace(s, pattern, ''))) // length(pattern)), 0)::BIGINT AS n FROM k LEFT JOIN t ON contains(s, pattern) GROUP BY 1""")
 def frame_specific_peptides(spark, d):
     texts = peptides_of(spark, d).select(F.col("doc_id").alias("text_id"), F.col("seq").alias("text"))
-    patterns = peptides_of(spark, d).where("doc_id % 20 = 0").select(F.substring("seq", 1, 6).alias("pattern")).where("length(pattern) = 6")
+    patterns = benchmark_letters(spark, d).select(F.explode_outer(sequences.tryptic_peptides("seq")).alias("pattern")).where("pattern IS NOT NULL")
     return matching.unique_in_frames(patterns, texts)
 
 
@@ -866,10 +873,10 @@ def isoform_collapse(spark, d):
     return relational.top_per_key(table(spark, d, "part"), ["p_brand", "p_type"], [F.desc("p_retailprice"), F.asc("p_partkey")]).select("p_brand", "p_type", "p_partkey")
 
 
-@query("SELECT s_suppkey, s_name FROM supplier ORDER BY md5(s_suppkey::VARCHAR) LIMIT 10")
+@query("SELECT s_suppkey, s_name FROM supplier ORDER BY md5(s_suppkey::VARCHAR)")
 def fixed_shuffle(spark, d):
     """Rows in an order that only the key decides, which a run can repeat."""
-    return table(spark, d, "supplier").orderBy(F.md5(F.col("s_suppkey").cast("string").cast("binary"))).limit(10).select("s_suppkey", "s_name")
+    return table(spark, d, "supplier").orderBy(F.md5(F.col("s_suppkey").cast("string").cast("binary"))).select("s_suppkey", "s_name")
 
 
 @query("WITH RECURSIVE f(n, a, b) AS (SELECT 1, 1::BIGINT, 1::BIGINT UNION ALL SELECT n + 1, b, a + b FROM f WHERE n < 40) SELECT n, a AS fib FROM f")
@@ -882,3 +889,99 @@ def windowed_counts(spark, d):
     from ionloom.streaming.tags import windowed_counts as counted
 
     return counted(table(spark, d, "events")).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm"))
+
+
+# ---- tags, variants and headers ----
+
+@query("""WITH s AS (SELECT DISTINCT l_returnflag AS strain, l_suppkey || ':' || l_linenumber AS cluster FROM lineitem WHERE l_quantity > 47), k AS (SELECT DISTINCT strain FROM s)
+SELECT s.strain, k.strain AS other, cluster FROM s JOIN k ON s.strain <> k.strain WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.strain = k.strain AND o.cluster = s.cluster)""")
+def strain_differences(spark, d):
+    rows = table(spark, d, "lineitem").where("l_quantity > 47").select(F.col("l_returnflag").alias("strain"), F.col("l_suppkey").alias("protein"), F.col("l_linenumber").alias("position"))
+    return metaproteomics.map_clusters(rows)
+
+
+_ALPHABET = ", ".join(f"('{a}', {m}::DOUBLE)" for a, m in sorted(sequences.RESIDUE_MASS.items()) if a in "ARNDCEQGHLKMFPSTWYV")
+
+
+@query(f"""WITH r(x, m) AS (VALUES {_ALPHABET}), g AS (SELECT p_partkey AS gap_id, 57.02146 + (p_partkey % 400)::DOUBLE AS mass FROM part),
+k AS (SELECT a.x AS residues, a.m AS m FROM r a UNION ALL SELECT a.x || b.x, a.m + b.m FROM r a JOIN r b ON a.x <= b.x UNION ALL SELECT a.x || b.x || c.x, a.m + b.m + c.m FROM r a JOIN r b ON a.x <= b.x JOIN r c ON b.x <= c.x)
+SELECT gap_id, residues FROM g JOIN k ON abs(mass - m) <= 0.05""")
+def gap_sequences(spark, d):
+    gaps = table(spark, d, "part").select(F.col("p_partkey").alias("gap_id"), (F.lit(57.02146) + (F.col("p_partkey") % 400).cast("double")).alias("mass"))
+    return matching.gap_sequences(gaps, 0.05, 3)
+
+
+@query(f"""WITH m(r, w) AS (VALUES {_MASSES}), p AS (SELECT DISTINCT unnest(string_split(regexp_replace(regexp_replace({_LETTERS}, '([RK])([^P])', '\\1|\\2', 'g'), '([RK])([^P|])', '\\1|\\2', 'g'), '|')) AS s FROM documents),
+x AS (SELECT s, unnest(string_split(s, '')) AS r FROM p WHERE length(s) BETWEEN 7 AND 30 AND NOT regexp_matches(s, '[XZB]')),
+t AS (SELECT s, sum(w + CASE WHEN r = 'C' THEN 57.021464 ELSE 0 END)::DOUBLE + 18.010565 AS own FROM x JOIN m USING (r) GROUP BY 1)
+SELECT s AS sequence FROM t WHERE abs(own + 2 * 40.0::DOUBLE - 110.5 * length(s)) <= 100 + 2 * 1.5""")
+def consistent_tags(spark, d):
+    rows = peptides_of(spark, d).select(F.explode_outer(sequences.tryptic_peptides("seq")).alias("sequence")).where("sequence IS NOT NULL").distinct()
+    rows = rows.select("sequence", F.lit(40.0).alias("n_gap"), F.lit(40.0).alias("c_gap"), (F.length("sequence") * F.lit(110.5)).alias("mass"))
+    return matching.consistent_tags(rows, 100.0, 1.5).select("sequence")
+
+
+@query(f"""WITH p AS (SELECT doc_id, {_LETTERS} AS s FROM documents), q AS (SELECT doc_id, substr(s, 10, 1) AS before, substr(s, 11, 1) AS first, substr(s, 20, 1) AS last, substr(s, 21, 1) AS after FROM p WHERE length(s) > 30)
+SELECT doc_id, (before IN ('K', 'R') AND first <> 'P') AND last IN ('K', 'R') AS specific, (before IN ('K', 'R') AND first <> 'P') OR last IN ('K', 'R') AS semi FROM q""")
+def cleavage(spark, d):
+    at = lambda i: F.substring("seq", i, 1)
+    ok = lambda s: sequences.valid_cleavage(at(10), at(11), at(20), at(21), "Trypsin", s)
+    return peptides_of(spark, d).where("length(seq) > 30").select("doc_id", ok("specific").alias("specific"), ok("semi-specific").alias("semi"))
+
+
+@query(f"""WITH g AS ({_ACGT}), v AS (SELECT DISTINCT doc_id AS contig, 20 * (1 + (doc_id * 7 + k) % 25) AS pos, 2 AS n, repeat('T', (k % 4)::INTEGER) AS alt, k FROM documents, (SELECT unnest(range(0, 5)) AS k)),
+u AS (SELECT contig, pos, n, min(alt) AS alt FROM v JOIN g USING (contig) WHERE pos + 2 <= length(seq) GROUP BY ALL),
+p AS (SELECT u.contig, pos, substr(seq, coalesce(lag(pos + n) OVER w, 1)::INTEGER, (pos - coalesce(lag(pos + n) OVER w, 1))::INTEGER) || alt AS piece, pos + n AS after, seq FROM u JOIN g ON u.contig = g.contig WINDOW w AS (PARTITION BY u.contig ORDER BY pos)),
+b AS (SELECT contig, string_agg(piece, '' ORDER BY pos) AS head, max(after) AS after FROM p GROUP BY 1)
+SELECT g.contig, CASE WHEN head IS NULL THEN seq ELSE head || substr(seq, after::INTEGER) END AS seq FROM g LEFT JOIN b USING (contig)""")
+def variant_genome(spark, d):
+    genome = nucleotides(spark, d)
+    k = F.explode(F.sequence(F.lit(0), F.lit(4)))
+    rows = genome.select("contig", F.length("seq").alias("n"), k.alias("k")).select("contig", "n", (20 * (1 + (F.col("contig") * 7 + F.col("k")) % 25)).cast("int").alias("pos"), F.repeat(F.lit("T"), F.col("k") % 4).alias("alt"))
+    variants = rows.where("pos + 2 <= n").groupBy("contig", "pos").agg(F.min("alt").alias("alt")).withColumn("ref", F.lit("NN"))
+    return matching.apply_variants(genome, variants)
+
+
+@query("""SELECT p_partkey, 'x' || p_partkey AS contig, 'x' || p_partkey || '_recno_3.1' AS orf, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand, p_size::BIGINT AS start, p_size::BIGINT + 30 AS "end", 'x' || p_partkey || '_recno_3.0' AS base FROM part""")
+def orf_headers(spark, d):
+    key = F.concat(F.lit("x"), F.col("p_partkey").cast("string"))
+    orf = F.concat(key, F.lit("_recno_3.1"))
+    text = F.concat(key, F.lit("|"), orf, F.lit("|("), F.when(F.col("p_size") % 2 == 0, "+").otherwise("-"), F.lit(")"), F.col("p_size").cast("string"), F.lit(":"), (F.col("p_size") + 30).cast("string"))
+    return table(spark, d, "part").select("p_partkey", ids.orf_fields(text).alias("f"), ids.base_orf(orf).alias("base")).select("p_partkey", "f.*", "base")
+
+
+@query("""SELECT p_partkey, p_name AS protein, 'g' || p_size AS gene, CASE WHEN p_type = 'SMALL' THEN 'Unspecified' ELSE p_type || ' sp' END AS organism, '1.2.' || p_size || '.4' AS ec, 'GO:' || p_size AS go, p_brand || '%20x' AS quoted FROM (SELECT * REPLACE (replace(p_brand, '#', '%23') AS p_brand) FROM part)""")
+def header_fields(spark, d):
+    size = F.col("p_size").cast("string")
+    header = F.concat(F.lit("sp|A|B "), F.col("p_name"), F.when(F.col("p_type") == "SMALL", F.lit("")).otherwise(F.concat(F.lit(" OS="), F.col("p_type"), F.lit(" sp OX=1"))), F.lit(" GN=g"), size, F.lit(" PE=1"))
+    cell = F.concat(F.lit("KEGG:1|GO:"), size, F.lit("|1.2."), size, F.lit(".4"))
+    out = [ids.protein_name(header).alias("protein"), ids.header_value(header, "GN").alias("gene"), ids.organism(header).alias("organism"), ids.leading(F.array_join(ids.ec_numbers(cell), ";")).alias("ec"), F.get(ids.terms(cell, "GO:"), F.lit(0)).alias("go"), ids.url_quoted(F.concat("p_brand", F.lit(" x"))).alias("quoted")]
+    return table(spark, d, "part").select("p_partkey", *out)
+
+
+@query()
+def tag_extension(spark, d):
+    """Tags of three residues in the first tryptic peptide of each text, with the gaps and the mass of that peptide."""
+    rows = peptides_of(spark, d).select(F.col("doc_id").alias("hit_id"), F.regexp_replace("seq", "[BXZ]", "G").alias("protein"))
+    span = F.filter(F.split("protein", sequences.TRYPSIN_SITE), lambda p: F.length(p) >= 6)
+    rows = rows.withColumn("peptide", F.get(span, F.lit(0))).where("peptide IS NOT NULL").withColumn("begin", F.expr("locate(peptide, protein) - 1"))
+    water = sequences.peptide_mass(F.lit(""))
+    rows = rows.select("hit_id", "protein", (F.col("begin") + 2).alias("start"), F.lit(3).alias("length"), (sequences.peptide_mass(F.expr("left(peptide, 2)")) - water).alias("n_gap"), (sequences.peptide_mass(F.expr("substring(peptide, 6)")) - water).alias("c_gap"), sequences.peptide_mass("peptide").alias("mass"))
+    return matching.extend_tags(rows, 0.01, 0.01)
+
+
+@query()
+def corrected_tags(spark, d):
+    name = F.upper("p_name")
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("hit"), F.lit(1).alias("query_from"), name.alias("query_seq"), F.translate(name, "EO", "+ ").alias("midline"), name.alias("sequence"), F.lit(10.0).alias("n_gap"), F.lit(0.0).alias("c_gap"))
+    return matching.corrected_tags(rows)
+
+
+@query()
+def frameshifts(spark, d):
+    """Peptides that begin like one text and go on like the next one, by doc_id."""
+    orfs = peptides_of(spark, d).where("length(seq) >= 26").select(F.col("doc_id").alias("orf"), "seq")
+    pairs = orfs.select(F.col("orf").alias("a"), (F.col("orf") + 1).alias("b")).join(orfs.select(F.col("orf").alias("b")), "b", "left_semi")
+    own = orfs.select(F.col("orf").alias("a"), F.substring("seq", 5, 6).alias("head"))
+    other = orfs.select((F.col("orf") - 1).alias("a"), F.substring("seq", 20, 6).alias("rest"))
+    return matching.frameshift_peptides(pairs, own.join(other, "a").select(F.concat("head", "rest").alias("peptide"), "a"), orfs)
\ No newline at end of file

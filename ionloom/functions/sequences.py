@@ -30,11 +30,16 @@ def _literal_map(values: dict) -> Column:
 
 
 def occurrences(text: Column | str, pattern: Column | str) -> Column:
-    """1-based starts of all occurrences, overlapping ones included."""
+    """1-based starts of all occurrences, overlapping ones included.
+
+    The text is cut before each occurrence, and the starts are the running lengths of the pieces: one pass over the text."""
     text, pattern = _col(text), _col(pattern)
-    last = F.length(text) - F.length(pattern) + 1
-    starts = F.when((last >= 1) & (F.length(pattern) > 0), F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.filter(starts, lambda i: F.substring(text, i, F.length(pattern)) == pattern)
+    pieces = F.split(text, F.concat(F.lit(r"(?=\Q"), pattern, F.lit(r"\E)")))
+    none = F.array().cast("array<int>")
+    step = lambda a, x: F.struct((a["at"] + F.length(x)).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts"))
+    starts = F.aggregate(pieces, F.struct(F.lit(1).alias("at"), none.alias("starts")), step, lambda a: a["starts"])
+    found = F.when(text.startswith(pattern), starts).otherwise(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))))
+    return F.when(F.length(pattern) > 0, found).otherwise(none)
 
 
 def tryptic_peptides(protein: Column | str, shortest: int = 7, longest: int = 30) -> Column:

@@ -79,32 +79,44 @@ def non_redundant(records: DataFrame) -> DataFrame:
     return row_numbers(own, "first", (), "nr_id", descending=False).select("nr_id", "seq", "members")
 
 
-def open_frames(contigs: DataFrame, min_codons: int = 20, chunk: int = 30_000) -> DataFrame:
+def open_frames(contigs: DataFrame, min_codons: int = 20, chunk: int = 300) -> DataFrame:
     """Stop-to-stop open reading frames of all six frames: (contig, strand, start, end, seq), plus-strand coordinates,
     1-based and closed, the stop included; a frame open at the contig's end ends there. ``contigs`` is (contig, seq).
 
-    Contigs are read in chunks, so that one long contig is many rows; only stop positions, a row for some twenty codons,
-    are brought together by frame."""
-    strands = contigs.select("contig", F.upper("seq").alias("seq")).select("contig", F.length("seq").alias("n"), F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("s")), F.struct(F.lit("-").alias("strand"), sequences.reverse_complement("seq").alias("s")))).alias("x")).select("contig", "n", "x.strand", "x.s")
-    pieces = strands.where("n >= 3").select("contig", "n", "strand", F.explode(F.expr(f"transform(sequence(0, n - 1, {chunk}), at -> struct(at, substring(s, at + 1, {chunk} + 2) AS piece))")).alias("p")).select("contig", "n", "strand", "p.at", "p.piece")
+    Contigs are cut into chunks in one pass, so that one long contig is many short rows and no base is sought from a
+    contig's beginning. Stop positions, a row for some twenty codons, come together by frame; a frame's sequence is put
+    together from the chunks that it spans."""
+    both = F.array(F.struct(F.lit("+").alias("strand"), F.upper("seq").alias("s")), F.struct(F.lit("-").alias("strand"), sequences.reverse_complement(F.upper("seq")).alias("s")))
+    strands = contigs.where(F.length("seq") >= 3).select("contig", F.length("seq").alias("n"), F.explode_outer(both).alias("x")).select("contig", "n", "x.strand", F.expr(f"regexp_extract_all(x.s, '(.{{1,{chunk}}})', 1)").alias("parts"))
+    # a piece is a chunk with the next one's first two bases, for the codons that cross
+    cut = F.expr("transform(parts, (p, i) -> struct(p AS part, concat(p, coalesce(left(get(parts, i + 1), 2), '')) AS piece))")
+    pieces = strands.select("contig", "n", "strand", F.posexplode_outer(cut).alias("i", "p")).select("contig", "n", "strand", "i", "p.part", "p.piece")
     stops = ", ".join(f"'{s}'" for s in STOP_CODONS)
-    hits = pieces.select("contig", "n", "strand", F.explode(F.expr(f"transform(filter(sequence(1, least({chunk}, greatest(1, length(piece) - 2))), i -> substring(piece, i, 3) IN ({stops})), i -> at + i)")).alias("stop"))
+    within = F.expr(f"transform(filter(sequence(1, greatest(1, length(piece) - 2)), k -> substring(piece, k, 3) IN ({stops})), k -> i * {chunk} + k)")
+    hits = pieces.select("contig", "n", "strand", F.explode_outer(within).alias("stop")).where("stop IS NOT NULL")
     # a frame's last whole codon ends it, stop or not
-    ends = strands.where("n >= 3").select("contig", "n", "strand", F.explode(F.expr("transform(filter(sequence(0, 2), f -> n - f >= 3), f -> CAST(f + 3 * floor((n - f) / 3) - 2 AS INT))")).alias("stop"))
+    last = F.expr("transform(filter(sequence(0, 2), f -> n - f >= 3), f -> CAST(f + 3 * floor((n - f) / 3) - 2 AS INT))")
+    ends = contigs.where(F.length("seq") >= 3).select("contig", F.length("seq").alias("n"), F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand")).select("contig", "n", "strand", F.explode(last).alias("stop"))
     marks = hits.union(ends).distinct().withColumn("frame", F.pmod(F.col("stop") - 1, F.lit(3)))
     along = Window.partitionBy("contig", "strand", "frame").orderBy("stop")
     orfs = marks.withColumn("from", F.coalesce(F.lag("stop").over(along) + 3, F.col("frame") + 1)).withColumn("to", F.col("stop") + 2)
-    long = orfs.where(F.col("to") - F.col("from") + 1 >= 3 * min_codons)
-    cut = long.join(strands.select("contig", "strand", "s"), ["contig", "strand"]).withColumn("seq", F.substring(F.col("s"), F.col("from"), F.col("to") - F.col("from") + 1))
+    long = orfs.where(F.col("to") - F.col("from") + 1 >= 3 * min_codons).select("contig", "n", "strand", "from", "to")
+    spans = long.withColumn("i", F.explode(F.expr(f"sequence(CAST((from - 1) DIV {chunk} AS INT), CAST((to - 1) DIV {chunk} AS INT))")))
+    found = spans.join(pieces.select("contig", "strand", "i", "part"), ["contig", "strand", "i"]).groupBy("contig", "n", "strand", "from", "to")
+    whole = found.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "part"))), lambda x: x["part"]), "").alias("text"))
+    seq = F.expr(f"substring(text, CAST((from - 1) % {chunk} + 1 AS INT), to - from + 1)").alias("seq")
     plus = F.col("strand") == "+"
-    return cut.select("contig", "strand", F.when(plus, F.col("from")).otherwise(F.col("n") - F.col("to") + 1).alias("start"), F.when(plus, F.col("to")).otherwise(F.col("n") - F.col("from") + 1).alias("end"), "seq")
+    return whole.select("contig", "strand", F.when(plus, F.col("from")).otherwise(F.col("n") - F.col("to") + 1).alias("start"), F.when(plus, F.col("to")).otherwise(F.col("n") - F.col("from") + 1).alias("end"), seq)
 
 
 def alternative_starts(orfs: DataFrame) -> DataFrame:
-    """(orf, k, start, seq): the frame from each of its start codons on, k from 0 for the longest. ``orfs`` is (orf, seq)."""
-    codons = orfs.select("orf", "seq", F.posexplode(sequences.codons("seq")).alias("at", "codon")).where(F.col("codon").isin(*START_CODONS))
-    k = F.row_number().over(Window.partitionBy("orf").orderBy("at")) - 1
-    return codons.select("orf", k.alias("k"), (3 * F.col("at") + 1).alias("start"), F.expr("substring(seq, 3 * at + 1)").alias("seq"))
+    """(orf, k, start, seq): the frame from each of its start codons on, k from 0 for the longest. ``orfs`` is (orf, seq).
+
+    The starts are cut inside the row, so that no exploded row carries the whole frame."""
+    places = F.filter(F.transform(sequences.codons("seq"), lambda c, i: F.struct(c.alias("codon"), (3 * i + 1).alias("start"))), lambda x: x["codon"].isin(*START_CODONS))
+    forms = F.transform(places, lambda x: F.struct(x["start"].alias("start"), F.substring(F.col("seq"), x["start"], F.length("seq")).alias("seq")))
+    rows = orfs.select("orf", F.posexplode_outer(forms).alias("k", "form")).where(F.col("form").isNotNull())
+    return rows.select("orf", "k", "form.start", "form.seq")
 
 
 def start_type(peptide_first: Column, before_codon: Column, before: Column, at: Column, annotated: Column) -> Column:
@@ -229,3 +241,20 @@ def consistent_tags(tags: DataFrame, precursor_tolerance: float, gap_tolerance:
     """Tags (sequence, n_gap, c_gap, mass) whose residues, gaps and water add up to the precursor mass."""
     total = sequences.peptide_mass("sequence") + F.col("n_gap") + F.col("c_gap")
     return tags.where(F.abs(total - F.col("mass")) <= precursor_tolerance + 2 * gap_tolerance)
+
+
+def corrected_tags(alignments: DataFrame, least: int = 3) -> DataFrame:
+    """Tags cut to their longest run of residues that an alignment confirms, with the cut residues' masses added to the gaps.
+
+    ``alignments`` is (hit, query_from, query_seq, midline, sequence, n_gap, c_gap), ``sequence`` the whole tag and
+    ``query_from`` the tag's position (from 1) at which the alignment begins. Returns (hit, sequence, n_gap, c_gap); of
+    equally long runs the first stays, runs shorter than ``least`` go."""
+    from ionloom.operators.annotation import match_segments
+
+    size = F.col("query_end") - F.col("query_start") + 1
+    best = match_segments(alignments.select("hit", "query_from", "query_seq", "midline")).where(size >= least)
+    best = best.withColumn("r", F.row_number().over(Window.partitionBy("hit").orderBy(F.desc(size), "query_start"))).where("r = 1")
+    water = sequences.peptide_mass(F.lit(""))
+    joined = best.join(alignments.select("hit", "sequence", "n_gap", "c_gap"), "hit")
+    before, after = sequences.peptide_mass(F.expr("left(sequence, query_start - 1)")) - water, sequences.peptide_mass(F.expr("substring(sequence, query_end + 1)")) - water
+    return joined.select("hit", F.expr("substring(sequence, query_start, query_end - query_start + 1)").alias("sequence"), (F.col("n_gap") + before).alias("n_gap"), (F.col("c_gap") + after).alias("c_gap"))
