@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zlib
@@ -18,12 +20,20 @@ CHUNK_BYTES = 1 << 20
 SPACE = b" \t\n\x0b\x0c\r"
 
 
+_own_dir: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where the session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="ionloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not _own_dir:
+            _own_dir.append(tempfile.mkdtemp(prefix="ionloom-"))
+            atexit.register(shutil.rmtree, _own_dir[0], True)
+        found = f"file://{_own_dir[0]}"
+    if "://" not in found:  # a plain path lies in the cluster's default store, which only its configuration names
+        path = spark._jvm.org.apache.hadoop.fs.Path(found)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().replace("file:/", "file:///", 1)
     return found.rstrip("/")
 
 
