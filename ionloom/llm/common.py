@@ -37,9 +37,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def temporary(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, which goes when the driver ends in good order."""
+    name = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path.getParent())
+    store.create(path, True).close()  # only what exists can be marked
+    store.deleteOnExit(path)
+    store.delete(path, False)
+    return name
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, so that lost executors cost no rerun of what led to it."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    path = temporary(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import bounded_batches, materialize, shared_dir
+from ionloom.llm.common import bounded_batches, materialize, temporary
 
 #: Bytes after which a task begins a new archive; of one read; and of the gap up to which two ranges are read as one.
 ARCHIVE_BYTES, READ_BYTES, GAP_BYTES = 1 << 30, 8 << 20, 64 << 10
@@ -78,8 +78,9 @@ def _write(folder: str, date: str):
     return run
 
 
-def write_archives(df: DataFrame, min_bytes: int = 100, date: str = "1970-01-01T00:00:00Z") -> tuple[str, DataFrame]:
-    """Write one record for each row (page_id, url, html); returns the folder of the archives and their index."""
+def write_archives(df: DataFrame, folder: str | None = None, min_bytes: int = 100, date: str = "1970-01-01T00:00:00Z") -> tuple[str, DataFrame]:
+    """Write one record for each row (page_id, url, html); returns the folder of the archives and their index. Without a
+    folder, which all executors must reach, the archives are temporary."""
     bounded_batches(df.sparkSession)
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     pages = df.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
@@ -89,7 +90,7 @@ def write_archives(df: DataFrame, min_bytes: int = 100, date: str = "1970-01-01T
     pages = pages.withColumn("key", F.when(F.col("payload_bytes") >= min_bytes, F.col("payload_digest")).otherwise(F.concat(F.lit("short "), F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
     joined = pages.join(first, pages["key"] == first["same"], "left")
     rows = joined.select("page_id", "url", "payload", "payload_digest", "payload_bytes", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
-    folder = f"{shared_dir(df.sparkSession)}/warc-{uuid.uuid4().hex}"
+    folder = folder or temporary(df.sparkSession, "warc")
     return folder, materialize(rows.mapInArrow(_write(folder, date), INDEX), "warc-index")
 
 
