@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ionloom.llm.common import CHUNK_BYTES, bounded_batches, chunks, materialize, mix, word_hashes
 
 #: Latent states, word classes, rounds of Baum-Welch, tokens of a training segment, and bytes of text that advance together.
-STATES, CLASSES, ROUNDS, SEGMENT, BATCH_BYTES = 8, 4096, 4, 128, 4 << 20
+STATES, CLASSES, ROUNDS, SEGMENT, BATCH_BYTES = 8, 4096, 5, 128, 4 << 20
 #: Words whose counts are sent to every task, at most.
 SENT_WORDS = 1 << 16
 _UNIT = 1 << 16
