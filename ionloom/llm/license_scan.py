@@ -103,7 +103,7 @@ def scan(df: DataFrame, sentences: dict[str, str] | None = None, rules: dict[str
     found = docs.select("doc_id", F.expr(f"transform(parts, s -> {_NORMAL})").alias("forms")).select(
         "doc_id", F.filter(F.transform("forms", lambda s: F.try_element_at(by_form, s)), lambda x: x.isNotNull()).alias("known")
     )
-    found = found.where(F.size("known") > 0).select("doc_id", F.size("known").alias("n_sentences"), F.concat(F.lit(","), F.array_join("known", ","), F.lit(",")).alias("run"))
+    found = found.where(F.size("known") > 0).select("doc_id", F.size("known").cast("bigint").alias("n_sentences"), F.concat(F.lit(","), F.array_join("known", ","), F.lit(",")).alias("run"))
     best = {}
     for licence, rule, run in ordered:
         test = F.when(F.contains(F.col("run"), F.lit(f",{run},")), F.lit(rule))
