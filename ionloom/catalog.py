@@ -315,8 +315,8 @@ def spectral_count_matrix(spark, d):
 
 
 @query("""WITH h AS (SELECT l_orderkey AS query, l_partkey AS acc, p_brand AS organism, l_quantity AS score FROM lineitem JOIN part ON l_partkey = p_partkey),
-j AS (SELECT query, acc, organism, score, round(count(*) OVER (PARTITION BY organism) / count(*) OVER () * (count(*) OVER (PARTITION BY acc) / count(*) OVER ()) * (score / sum(score) OVER (PARTITION BY query)), 12) AS prob FROM h)
-SELECT query, acc, organism, prob FROM j QUALIFY row_number() OVER (PARTITION BY query ORDER BY prob DESC, acc, score DESC) = 1""")
+j AS (SELECT query, acc, organism, score, round(count(*) OVER (PARTITION BY organism) * count(*) OVER (PARTITION BY acc) * score / sum(score) OVER (PARTITION BY query), 8) AS weight, count(*) OVER () AS n FROM h)
+SELECT query, acc, organism, weight / (n * n) AS prob FROM j QUALIFY row_number() OVER (PARTITION BY query ORDER BY weight DESC, acc, score DESC) = 1""")
 def taxon_scores(spark, d):
     hits = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     hits = hits.select(F.col("l_orderkey").alias("query"), F.col("l_partkey").alias("acc"), F.col("p_brand").alias("organism"), F.col("l_quantity").alias("score"))

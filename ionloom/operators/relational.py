@@ -227,6 +227,7 @@ def taxon_scores(hits: DataFrame) -> DataFrame:
     acc = hits.groupBy("acc").agg(F.count("*").alias("a_"))
     match = hits.groupBy("query").agg(F.sum("score").alias("m_"))
     joined = hits.join(organism, "organism").join(acc, "acc").join(match, "query").crossJoin(F.broadcast(n))
-    prob = F.round(F.col("o_") / F.col("n_") * (F.col("a_") / F.col("n_")) * F.try_divide(F.col("score"), F.col("m_")), 12)
-    best = top_per_key(joined.withColumn("prob", prob), ["query"], [F.desc("prob"), F.asc("acc"), F.desc("score")])
+    weight = F.round(F.col("o_") * F.col("a_") * F.col("score") / F.col("m_"), 8)  # orders as the product of the shares does
+    best = top_per_key(joined.withColumn("weight_", weight).where(F.col("m_") > 0), ["query"], [F.desc("weight_"), F.asc("acc"), F.desc("score")])
+    best = best.withColumn("prob", F.col("weight_") / (F.col("n_") * F.col("n_")))
     return best.select("query", "acc", "organism", "prob")
