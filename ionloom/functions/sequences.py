@@ -29,17 +29,20 @@ def _literal_map(values: dict) -> Column:
     return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
 
 
-def occurrences(text: Column | str, pattern: Column | str) -> Column:
-    """1-based starts of all occurrences, overlapping ones included.
+def cut_starts(text: Column, lookahead: Column, begins: Column) -> Column:
+    """1-based starts of all matches of a lookahead pattern: the running lengths of the pieces that it cuts the text into.
+    ``begins`` says whether the text itself begins with a match."""
+    step = lambda a, x: F.struct((a["at"] + F.length(x)).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts"))
+    first = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("starts"))
+    starts = F.aggregate(F.split(text, lookahead), first, step, lambda a: a["starts"])
+    return F.when(begins, starts).otherwise(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))))
+
 
-    The text is cut before each occurrence, and the starts are the running lengths of the pieces: one pass over the text."""
+def occurrences(text: Column | str, pattern: Column | str) -> Column:
+    """1-based starts of all occurrences, overlapping ones included, in one pass over the text."""
     text, pattern = _col(text), _col(pattern)
-    pieces = F.split(text, F.concat(F.lit(r"(?=\Q"), pattern, F.lit(r"\E)")))
-    none = F.array().cast("array<int>")
-    step = lambda a, x: F.struct((a["at"] + F.length(x)).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts"))
-    starts = F.aggregate(pieces, F.struct(F.lit(1).alias("at"), none.alias("starts")), step, lambda a: a["starts"])
-    found = F.when(text.startswith(pattern), starts).otherwise(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))))
-    return F.when(F.length(pattern) > 0, found).otherwise(none)
+    found = cut_starts(text, F.concat(F.lit(r"(?=\Q"), pattern, F.lit(r"\E)")), text.startswith(pattern))
+    return F.when(F.length(pattern) > 0, found).otherwise(F.array().cast("array<int>"))
 
 
 def tryptic_peptides(protein: Column | str, shortest: int = 7, longest: int = 30) -> Column:

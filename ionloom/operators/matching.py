@@ -91,8 +91,9 @@ def open_frames(contigs: DataFrame, min_codons: int = 20, chunk: int = 300) -> D
     # a piece is a chunk with the next one's first two bases, for the codons that cross
     cut = F.expr("transform(parts, (p, i) -> struct(p AS part, concat(p, coalesce(left(get(parts, i + 1), 2), '')) AS piece))")
     pieces = strands.select("contig", "n", "strand", F.posexplode_outer(cut).alias("i", "p")).select("contig", "n", "strand", "i", "p.part", "p.piece")
-    stops = ", ".join(f"'{s}'" for s in STOP_CODONS)
-    within = F.expr(f"transform(filter(sequence(1, greatest(1, length(piece) - 2)), k -> substring(piece, k, 3) IN ({stops})), k -> i * {chunk} + k)")
+    stop = "|".join(STOP_CODONS)
+    at_first = F.col("piece").rlike(f"^({stop})")
+    within = F.transform(sequences.cut_starts(F.col("piece"), F.lit(f"(?={stop})"), at_first), lambda k: (F.col("i") * chunk + k).cast("int"))
     hits = pieces.select("contig", "n", "strand", F.explode_outer(within).alias("stop")).where("stop IS NOT NULL")
     # a frame's last whole codon ends it, stop or not
     last = F.expr("transform(filter(sequence(0, 2), f -> n - f >= 3), f -> CAST(f + 3 * floor((n - f) / 3) - 2 AS INT))")
