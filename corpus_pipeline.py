@@ -9,6 +9,9 @@ from ionloom.llm import decontam, langid, linededup, ngram_join, sptok
 from ionloom.llm.common import id_filter, materialize, maybe_in
 from ionloom.llm.queries import PIECE_MODEL
 
+#: Words of a shingle and Jaccard percentage of the near-duplicate stage; op7's query has its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 #: A text of this many letters whose cosine with every language is below the least is in none of them.
 LETTERS, LEAST_SCORE = 200, 0.1
 
@@ -32,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links connect, the one with the smallest doc_id stays."""
-    groups = materialize(ngram_join.link_components(docs), "pipeline-groups")
+    groups = materialize(ngram_join.link_components(docs, n=NEAR_WORDS, percent=NEAR_PERCENT), "pipeline-groups")
     copies = materialize(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "pipeline-copies")
     repeated = groups.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("doc_id")
     judged = id_filter(copies.union(repeated), "doc_id")  # only documents that it may hold move to be judged

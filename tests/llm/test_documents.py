@@ -227,6 +227,30 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         assert stage(spark, docs.limit(0).select("doc_id", "text", "lang", "source", "n_chars"), str(tmp_path)).collect() == []
 
 
+def brute_near(rows):
+    """The ids that are the smallest of their component at 5 words and 0.8."""
+    sets = {d: shingles(t, 5) for d, t in rows}
+    label = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            shared = len(sets[a] & sets[b])
+            if a < b and label[a] != label[b] and 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+                low, high = sorted((label[a], label[b]))
+                label = {d: low if x == high else x for d, x in label.items()}
+    return {d for d, x in label.items() if d == x}
+
+
+def test_pipeline_near_copies_of_one_changed_word(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rows = []
+    for k, n in enumerate((45, 48, 49, 50, 51, 52, 53, 60)):
+        words = [f"k{k}w{i}" for i in range(n)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[: n // 2], "changed", *words[n // 2 + 1 :]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()}
+    assert got == brute_near(rows) and not {5, 7, 9, 11} & got and {1, 3} < got
+
+
 def test_digest_of_sets_is_stable():
     assert ngram_join._digest(ngram_join.shingle_sets([b"A b c d e"], 4)[0]) == ngram_join._digest(ngram_join.shingle_sets([b"x", b"a  B\nc d e"], 4)[1])
     assert hashlib.blake2b(b"").digest()
