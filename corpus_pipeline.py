@@ -16,10 +16,14 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 LETTERS, LEAST_SCORE = 200, 0.1
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is (left_semi) or isn't (left_anti) among the ids; null is an id like others."""
-    picked = ids.select(F.col("doc_id").alias("picked_id_"))
-    return docs.join(picked, docs["doc_id"].eqNullSafe(picked["picked_id_"]), how)
+def _numbered(docs: DataFrame, tag: str) -> DataFrame:
+    """``docs`` with a number for every row, written so that it stays the row's."""
+    return materialize(docs.withColumn("row_", F.monotonically_increasing_id()), tag)
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The numbered rows that aren't among the numbers ``gone``, as documents again."""
+    return rows.join(gone.select(F.col("row_").alias("gone_")), F.col("row_") == F.col("gone_"), "left_anti").drop("row_")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,19 +38,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that links connect, the one with the smallest doc_id stays."""
-    groups = materialize(ngram_join.link_components(docs, n=NEAR_WORDS, percent=NEAR_PERCENT), "pipeline-groups")
-    copies = materialize(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "pipeline-copies")
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("doc_id")
-    judged = id_filter(copies.union(repeated), "doc_id")  # only documents that it may hold move to be judged
-    left = _only(maybe_in(docs, "doc_id", judged), copies, "left_anti").dropDuplicates(["doc_id", "text"])
-    return maybe_in(docs, "doc_id", judged, wanted=False).unionByName(left)
+    """Of each group of rows that links connect, one with the smallest doc_id stays, a null one only if there is no other."""
+    rows = _numbered(docs, "pipeline-rows")
+    linked = ngram_join.link_components(rows.select(F.col("row_").alias("doc_id"), "text"), n=NEAR_WORDS, percent=NEAR_PERCENT)
+    others = materialize(linked.where("doc_id <> component_id").select(F.col("doc_id").alias("row_"), F.col("component_id").alias("group_")), "pipeline-groups")
+    members = materialize(others.union(others.select(F.col("group_").alias("row_"), "group_").distinct()), "pipeline-members")
+    judged = id_filter(members, "row_")  # only documents that it may hold move to be judged
+    near = maybe_in(rows, "row_", judged)
+    ids = near.select(F.col("row_").alias("id_row_"), F.col("doc_id").cast("long").alias("id_"))
+    named = materialize(members.join(ids, F.col("row_") == F.col("id_row_")).select("row_", "group_", "id_"), "pipeline-named")
+    stays = named.groupBy("group_").agg(F.min(F.struct(F.col("id_").isNull(), F.col("id_"), F.col("row_"))).alias("least")).select(F.col("least.row_").alias("stays_"))
+    copies = materialize(named.join(stays, F.col("row_") == F.col("stays_"), "left_anti").select("row_"), "pipeline-copies")
+    return maybe_in(rows, "row_", judged, wanted=False).drop("row_").unionByName(_without(near, copies))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage like a benchmark item."""
-    found = decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _only(docs, found.select("doc_id").distinct(), "left_anti")
+    """Drop the rows whose text holds a passage like a benchmark item."""
+    rows = _numbered(docs, "pipeline-rows")
+    found = decontam.matches(rows.select(F.col("row_").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, found.select(F.col("doc_id").alias("row_")).distinct())
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -251,6 +251,18 @@ def test_pipeline_near_copies_of_one_changed_word(spark, tmp_path):
     assert got == brute_near(rows) and not {5, 7, 9, 11} & got and {1, 3} < got
 
 
+def test_pipeline_drops_rows_not_ids(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(30))
+    rows = [(1, text("a")), (None, text("a")), (None, text("b")), (2, text("c")), (2, text("a")), (None, text("d")), (None, text("d")), (3, text("e")), (3, text("f")), (None, text("f"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.createDataFrame([(1, text("e")), (2, text("b"))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near = Counter(tuple(r) for r in pipeline.near_duplicates(spark, docs, str(tmp_path)).collect())
+    assert near == Counter([(1, text("a")), (None, text("b")), (2, text("c")), (None, text("d")), (3, text("e")), (3, text("f"))])
+    left = Counter(tuple(r) for r in pipeline.decontaminate(spark, docs, str(tmp_path)).collect())
+    assert left == Counter(r for r in rows if r[1] not in (text("e"), text("b")))
+
+
 def test_digest_of_sets_is_stable():
     assert ngram_join._digest(ngram_join.shingle_sets([b"A b c d e"], 4)[0]) == ngram_join._digest(ngram_join.shingle_sets([b"x", b"a  B\nc d e"], 4)[1])
     assert hashlib.blake2b(b"").digest()
