@@ -4,7 +4,8 @@ A page that marks its article (article, main or role=main) gives the text inside
 subtrees are hashed; Spark counts for each host on how many different pages a subtree recurs, and the subtrees that recur
 on many of them are deleted as the site's template. On both kinds, elements that are never article text go by rule:
 menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, known by tag, role
-or class. Copies of one page count once, so that copying a page makes no template of it, and a page that would lose
+or whole class names and ids. Ids don't judge headings and text elements in an article. No class or id drops an element
+around the page's main, nor one around its only articles if these hold more text than the rest. Copies of one page count once, so that copying a page makes no template of it, and a page that would lose
 all its text keeps it. Character references are decoded, white space inside a block becomes one space, blocks are trimmed
 and joined by \\n.
 
@@ -32,6 +33,10 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 NEVER = frozenset("head title nav footer aside form script style noscript template iframe object svg math canvas audio video button select textarea dialog menu".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NEVER_NAMES = frozenset("ad ads adsense advert adverts advertisement advertising sponsor sponsored promo menu nav navbar navigation breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice notices popup modal newsletter subscribe comment comments disqus respond share sharing social related".split())
+# A name of theirs also comes before one of AFTER or behind one of BEFORE, as in share-bar and site-footer.
+AFTER = frozenset("banner bar box buttons container form icons links list overlay posts signup slot thread widget widgets wrap wrapper".split())
+BEFORE = frozenset("main page primary secondary site top".split())
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p li dt dd blockquote pre table caption td th tr figure figcaption ol ul dl span a b i em strong".split())
 HEAD_NAMES = frozenset("header masthead banner topbar".split())
 # What an opening tag ends when it is still open, and where the search for it stops.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
@@ -39,7 +44,6 @@ FENCE = frozenset("html body article main section div aside nav header footer fo
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-WORD = re.compile(r"[a-z0-9]+")
 SPACES = re.compile(r"\s+")
 HAS_MAIN = r"(?i)<(article|main)[\s>]|\srole\s*=\s*[\"']?main\b"
 
@@ -47,28 +51,48 @@ HAS_MAIN = r"(?i)<(article|main)[\s>]|\srole\s*=\s*[\"']?main\b"
 class _Element:
     __slots__ = ("tag", "start", "number", "dropped", "main")
 
-    def __init__(self, tag: str, start: int, number: int, dropped: bool, main: bool) -> None:
+    def __init__(self, tag: str, start: int, number: int, dropped: str, main: bool) -> None:
         self.tag, self.start, self.number, self.dropped, self.main = tag, start, number, dropped, main
 
 
-def _unwanted(tag: str, attributes: str, in_main: bool) -> bool:
+def _names(token: str, names: frozenset[str]) -> bool:
+    first, _, rest = token.replace("_", "-").partition("-")
+    return token in names or first in names and rest in AFTER or first in BEFORE and rest in names
+
+
+def _unwanted(tag: str, attributes: str, in_main: bool) -> str:
+    """What drops the element: "rule", "name" (its class or id) or nothing."""
     if tag in NEVER or tag == "header" and not in_main:
-        return True
+        return "rule"
     if not attributes.strip():
-        return False
+        return ""
+    named = ""
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "role" and value in NEVER_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            words = set(WORD.findall(value))
-            if words & NEVER_NAMES or not in_main and words & HEAD_NAMES:
-                return True
-    return False
+            return "rule"
+        if name == "class" or name == "id" and not (in_main and tag in TEXT_TAGS):
+            if tag not in ("body", "html", "article", "main") and any(_names(t, NEVER_NAMES) or not in_main and _names(t, HEAD_NAMES) for t in value.split()):
+                named = "name"
+    return named
 
 
 def blocks(page: str, with_paths: bool = False) -> tuple[list[tuple[str, list[int]]], bool]:
-    """(text blocks of the page with the hashes of the subtrees that hold them, whether an article is marked).
+    """What ``_blocks`` finds, with the names around the page's main or only articles ignored."""
+    found, marked, main, around = _blocks(page, with_paths)
+    strong, weak = around
+    if strong and not main:
+        return _blocks(page, with_paths, strong)[:2]
+    if weak and not marked:
+        other = _blocks(page, with_paths, weak)[:2]
+        if sum(len(t) for t, _ in other[0]) > sum(len(t) for t, _ in found):
+            return other
+    return found, marked
+
+
+def _blocks(page: str, with_paths: bool, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, list[int]]], bool, bool, tuple[frozenset[int], frozenset[int]]]:
+    """(text blocks of the page with the hashes of the subtrees that hold them, whether an article is marked,
+    whether by main or its role, the elements around a main and around articles that their names drop).
 
     With an article only its blocks come back. Hashes, asked for by ``with_paths``, are those of the block-level elements
     around a block, the outermost last.
@@ -78,7 +102,9 @@ def blocks(page: str, with_paths: bool = False) -> tuple[list[tuple[str, list[in
     hashes: dict[int, int] = {}
     stack: list[_Element] = []
     held: list[str] = []
-    at, number, marked = 0, 0, False
+    at, number, marked, by_main = 0, 0, False, False
+    strong: set[int] = set()
+    weak: set[int] = set()
 
     def flush() -> None:
         text = SPACES.sub(" ", html.unescape("".join(held))).strip()
@@ -139,9 +165,18 @@ def blocks(page: str, with_paths: bool = False) -> tuple[list[tuple[str, list[in
         above = stack[-1] if stack else None
         in_main = above is not None and above.main
         attributes = m[3]
-        dropped = above is not None and above.dropped or _unwanted(tag, attributes, in_main)
-        main = in_main or not dropped and (tag in ("article", "main") or "role" in attributes and bool(re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I)))
+        own = _unwanted(tag, attributes, in_main)
+        if own == "name" and number + 1 in spared:
+            own = ""
+        dropped = "rule" if "rule" in (own, above.dropped if above else "") else own or (above.dropped if above else "")
+        is_main = tag == "main" or "role" in attributes and bool(re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I))
+        if dropped == "name" and (is_main or tag == "article"):
+            (strong if is_main else weak).update(e.number for e in stack if e.dropped)
+            if own:
+                (strong if is_main else weak).add(number + 1)
+        main = in_main or not dropped and (is_main or tag == "article")
         marked |= main
+        by_main |= main and is_main
         if attributes.rstrip().endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
         number += 1
@@ -155,7 +190,7 @@ def blocks(page: str, with_paths: bool = False) -> tuple[list[tuple[str, list[in
     text(page[at:])
     close(0)
     flush()
-    return [(t, [hashes[e.number] for e in path]) for t, path, main in found if main or not marked], marked
+    return [(t, [hashes[e.number] for e in path]) for t, path, main in found if main or not marked], marked, by_main, (frozenset(strong), frozenset(weak))
 
 
 def _main(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

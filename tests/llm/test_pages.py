@@ -48,6 +48,19 @@ def test_article_text():
     assert [t for t, _ in html_extract.blocks(PAGE)[0]] == ["Head & line", "First part of it", "Second <b> inline", "one", "two", "a", "b"]
 
 
+def test_names_drop_by_whole_words_only():
+    get = lambda p: [t for t, _ in html_extract.blocks(p)[0]]
+    for name in ("site has-sidebar", "no-sidebar", "sidebar", "page with-comments", "sidebar-wrapper"):
+        assert get(f'<div class="{name}"><article><p>Text of it</p></article><aside>no</aside></div><p>out</p>') == ["Text of it"], name
+    assert get('<div id="sidebar"><main><p>In</p></main></div><p>Text outside that is longer</p>') == ["In"]
+    assert get('<div class="related"><article>Card</article></div><div><p>The text of the page</p></div>') == ["The text of the page"]
+    body = '<h2 id="market-share">Market</h2><section id="related-work"><p>Work</p></section><h2 id="social-impact">Impact</h2><h2 id="comments">On comments</h2>'
+    assert get(f"<article>{body}</article>") == ["Market", "Work", "Impact", "On comments"]
+    gone = '<div class="share-bar">a</div><div class="x cookie_banner">b</div><div id="comments">c</div><div class="site-footer">d</div><ul class="social-links"><li>e</ul>'
+    assert get(f"<article>{gone}<p>Kept</article>") == ["Kept"] and get(f"{gone}<div class=site-header>f</div><p>Kept") == ["Kept"]
+    assert get('<nav class="sidebar"><main>no</main></nav><p>yes</p>') == ["yes"]
+
+
 def test_odd_markup():
     get = lambda p: [t for t, _ in html_extract.blocks(p)[0]]
     assert get("") == [] and get("plain &amp; text") == ["plain & text"] and get("a < b <p>c</p> </div>d") == ["a < b", "c", "d"]
