@@ -1,8 +1,9 @@
 """Licence recognition by sentence rules.
 
-A text is cut into sentences (after . ! ? : ; and white space, at blank lines, and at line breaks before a capital, a
-digit or a bullet). A sentence is lower-cased and its runs of letters and digits joined by one space; if it is a known
-licence sentence, it becomes that sentence's identifier, otherwise it is left out. A licence is found where one of its
+A text is cut into sentences (after . ! ? : ; and white space, and at blank lines), and these into pieces at line breaks
+before a capital, a digit, a bullet or a comment leader. A piece is lower-cased and its runs of letters and digits joined
+by one space. From each piece on, the longest run of pieces of its sentence that makes a known licence sentence becomes
+that sentence's identifier, so wrapped notices and comments count like lines of their own; the rest is left out. A licence is found where one of its
 rules, an ordered run of identifiers, occurs in the sequence; of several rules of one licence the longest is reported.
 The whole work is expressions over one row, so nothing shuffles and hot sentences cost nothing.
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sentences of public licence texts and notices.
@@ -37,6 +38,11 @@ SENTENCES = {
     "gpl_free": "This program is free software:",
     "gpl3_redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl2_redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl_version": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "lgpl_free": "This library is free software;",
+    "lgpl21_redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3_redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3_redistribute": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl_hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "bsd_grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "bsd_neither": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
@@ -47,29 +53,37 @@ SENTENCES = {
     "ccby_short": "Licensed under CC BY 4.0.",
     "ccbysa_short": "Licensed under CC BY-SA 4.0.",
     "cc0_short": "Licensed under CC0 1.0.",
+    "ccbysa_work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "ccby_work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "ccbync_work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     "mpl_subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl_copy": "If a copy of the MPL was not distributed with this file, You can obtain one at",
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
 RULES = {
     "MIT": [["mit_title", "mit_grant", "mit_notice"], ["mit_name", "mit_grant", "mit_notice"], ["mit_grant", "mit_notice"], ["mit_release"], ["mit_licensed"], ["mit_this"]],
     "Apache-2.0": [["apache_named", "apache_comply", "apache_copy", "apache_asis", "apache_see"], ["apache_named", "apache_comply", "apache_copy"], ["apache_named", "apache_comply"], ["apache_short"]],
     "GPL-3.0": [["gpl_free", "gpl3_redistribute", "gpl_hope"], ["gpl_free", "gpl3_redistribute"], ["gpl3_work"], ["gpl3_licensed"]],
-    "GPL-2.0": [["gpl_free", "gpl2_redistribute", "gpl_hope"], ["gpl_free", "gpl2_redistribute"]],
+    "GPL-2.0": [["gpl_free", "gpl2_redistribute", "gpl_hope"], ["gpl_free", "gpl2_redistribute"], ["gpl_free", "gpl_version"]],
+    "LGPL-2.1": [["lgpl_free", "lgpl21_redistribute"]],
+    "LGPL-3.0": [["gpl_free", "lgpl3_redistribute"], ["lgpl_free", "lgpl3_redistribute"]],
+    "AGPL-3.0": [["gpl_free", "agpl3_redistribute"]],
     "BSD-3-Clause": [["bsd_grant", "bsd_retain", "bsd_reproduce", "bsd_neither"]],
     "BSD-2-Clause": [["bsd_grant", "bsd_retain", "bsd_reproduce"]],
     "ISC": [["isc_grant"]],
     "CC-BY-NC-4.0": [["ccbync_short"], ["ccbync_work"]],
     "CC-BY-4.0": [["ccby_short"], ["ccby_work"]],
-    "CC-BY-SA-4.0": [["ccbysa_short"]],
+    "CC-BY-SA-4.0": [["ccbysa_short"], ["ccbysa_work"]],
     "CC0-1.0": [["cc0_short"]],
     "MPL-2.0": [["mpl_subject"]],
     "Unlicense": [["unlicense"]],
 }
 
-_CUT = "\x01"
+_CUT, _WRAP = "\x01", "\x02"
 _NORMAL = r"trim(regexp_replace(lower(s), '[^\\p{L}\\p{N}]+', ' '))"
+# Comment leaders that are a word or would end a sentence, and line breaks before which a piece ends.
+_WORD_LEADER = r"(?m)^[ \t]*(?:dnl|DNL|rem|REM|;+|!+)[ \t]"
+_BREAK = r"\n(?=[ \t]*(?:[A-Z0-9*(\"#;%-]|//|<!--))"
 
 
 def split_known(sentence: str) -> list[str]:
@@ -96,13 +110,21 @@ def _tables(sentences: dict[str, str], rules: dict[str, list[list[str]]]) -> tup
 def scan(df: DataFrame, sentences: dict[str, str] | None = None, rules: dict[str, list[list[str]]] | None = None) -> DataFrame:
     """doc_id, licence, rule and n_sentences (known sentences of the document) for every licence of every row."""
     known, ordered = _tables(sentences or SENTENCES, rules or RULES)
-    cut = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), r"([.!?:;])\s+", f"$1{_CUT}")
-    cut = F.regexp_replace(cut, r"\n\s*\n|\n(?=[ \t]*[A-Z0-9*(\"-])", _CUT)
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.split(cut, _CUT).alias("parts"))
+    text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), _WORD_LEADER, "# ")
+    cut = F.regexp_replace(F.regexp_replace(text, r"([.!?:;])\s+", f"$1{_CUT}"), r"\n\s*\n", _CUT)
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.split(F.regexp_replace(cut, _BREAK, _WRAP), _CUT).alias("parts"))
     by_form = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    found = docs.select("doc_id", F.expr(f"transform(parts, s -> {_NORMAL})").alias("forms")).select(
-        "doc_id", F.filter(F.transform("forms", lambda s: F.try_element_at(by_form, s)), lambda x: x.isNotNull()).alias("known")
-    )
+    starts = F.create_map(*(F.lit(x) for word in sorted({form.split(" ")[0] for form in known}) for x in (word, True)))
+    most = max(len(form.split(" ")) for form in known)  # a sentence has no more pieces than words
+
+    def identify(pieces: Column) -> Column:
+        size = F.size(pieces)
+        run = lambda i, k: F.try_element_at(by_form, F.array_join(F.slice(pieces, i + 1, k), " "))
+        longest = lambda i: F.filter(F.transform(F.sequence(F.least(F.lit(most), size - i), F.lit(1), F.lit(-1)), lambda k: run(i, k)), lambda x: x.isNotNull())
+        return F.transform(pieces, lambda s, i: F.when(F.try_element_at(starts, F.substring_index(s, " ", 1)), F.get(longest(i), F.lit(0))))
+
+    forms = docs.select("doc_id", F.expr(f"transform(parts, p -> filter(transform(split(p, '{_WRAP}'), s -> {_NORMAL}), s -> s <> ''))").alias("forms"))
+    found = forms.select("doc_id", F.filter(F.flatten(F.transform("forms", identify)), lambda x: x.isNotNull()).alias("known"))
     found = found.where(F.size("known") > 0).select("doc_id", F.size("known").cast("bigint").alias("n_sentences"), F.concat(F.lit(","), F.array_join("known", ","), F.lit(",")).alias("run"))
     best = {}
     for licence, rule, run in ordered:

@@ -187,6 +187,53 @@ def test_licences(spark):
     assert [tuple(r) for r in own.collect()] == [(5, "none", "all", 1)]
 
 
+HEADERS = {
+    "GPL-2.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "Apache-2.0": """Copyright 2020 Somebody
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "MIT": MIT,
+}
+HEADERS["GPL-3.0"] = HEADERS["GPL-2.0"].replace("Foundation; either version 2", "Foundation, either version 3")
+HEADERS["LGPL-3.0"] = HEADERS["GPL-3.0"].replace("General", "Lesser General")
+HEADERS["AGPL-3.0"] = HEADERS["GPL-3.0"].replace("General", "Affero General")
+HEADERS["LGPL-2.1"] = HEADERS["GPL-2.0"].replace("General", "Lesser General").replace("program is free software:", "library is free software;").replace("version 2 ", "version 2.1 ")
+
+
+def test_wrapped_notices_and_comments(spark):
+    import textwrap
+
+    for name, rules in license_scan.RULES.items():  # every rule of the others as sentences, wrapped
+        HEADERS.setdefault(name, "\n".join(textwrap.fill(license_scan.SENTENCES[x], 50) for x in rules[0]))
+    rows, want = [], set()
+    for k, lead in enumerate(("", " * ", "// ", "# ", "dnl ", ";; ", "-- ")):
+        for i, (name, text) in enumerate(HEADERS.items()):
+            rows.append((100 * k + i, "/*\n" * (k == 1) + "\n".join((lead + line).rstrip() for line in text.split("\n")) + "\n */" * (k == 1)))
+            want.add((100 * k + i, name))
+    got = {(r.doc_id, r.licence) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert want <= got and {x for x in got - want if x[1] != "BSD-2-Clause"} == set()
+    whole = {(r.doc_id, r.rule) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (2, "apache_named+apache_comply+apache_copy+apache_asis+apache_see") in whole
+
+
 def test_pipeline_stages_against_brute_force(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     source = "/root/testdata/sf0.001"
