@@ -141,29 +141,62 @@ def quantile_normalise(long: DataFrame) -> DataFrame:
     return ranked.join(level, "place").select("id", "sample", F.col("level").alias("value"))
 
 
+#: Features of a block in a nearest-neighbour comparison, and lists merged by one node of the tree.
+BLOCK_FEATURES, FAN_IN = 512, 16
+
+
+def _nearest_tile(k: int):
+    """For each missing cell of the open features the k nearest of the block's features that have the cell's sample."""
+
+    def run(open_: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(open_) and len(block):
+            block = block.sort_values("id", kind="stable")
+            q, x = (np.array([[np.nan if v is None else v for v in row] for row in rows], float) for rows in (open_["q_vector"], block["vector"]))
+            ids, own = block["id"].tolist(), open_["q_id"].tolist()
+            for i, row in enumerate(q):
+                gap = (x - row) ** 2
+                shared = np.sum(~np.isnan(gap), axis=1)
+                far = np.where(shared > 0, np.nansum(gap, axis=1) / np.maximum(shared, 1), np.inf)
+                far[[n for n, other in enumerate(ids) if other == own[i]]] = np.inf
+                order = np.argsort(far, kind="stable")
+                order = order[np.isfinite(far[order])]
+                for j in np.flatnonzero(np.isnan(row)).tolist():
+                    out += [(own[i], j, far[r], ids[r], x[r, j], block["block"].iat[0]) for r in order[~np.isnan(x[order, j])][:k].tolist()]
+        return pd.DataFrame(out, columns=["id", "pos", "far", "near_id", "value", "list_id"])
+
+    return run
+
+
 def impute_nearest(long: DataFrame, k: int = 5) -> DataFrame:
-    """Missing values as the sample's mean of the k features that are nearest over the shared samples.
-
-    Features are compared with those of their own block of similar overall level, 64 blocks by quantile."""
-    wide = long.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("sample", "value"))).alias("values"), F.avg("value").alias("level"))
-    blocks = row_numbers(wide.where(F.col("level").isNotNull()), "level", ("id",), "place", descending=False).withColumn("block", F.floor(F.col("place") / 512))
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        samples = sorted({s for v in pdf["values"] for s in v})
-        x = np.array([[np.nan if v.get(s) is None else v[s] for s in samples] for v in pdf["values"]], float)
-        gap = np.where(np.isnan(x[:, None]) | np.isnan(x[None]), np.nan, (x[:, None] - x[None]) ** 2)
-        shared = np.sum(~np.isnan(gap), axis=2)
-        far = np.where(shared > 0, np.nansum(gap, axis=2) / np.maximum(shared, 1), np.inf)
-        np.fill_diagonal(far, np.inf)
-        order = np.argsort(far, axis=1, kind="stable")
-        for i, j in np.argwhere(np.isnan(x)):
-            near = [r for r in order[i] if np.isfinite(far[i, r]) and not np.isnan(x[r, j])][:k]
-            if near:
-                x[i, j] = np.mean(x[near, j])
-        return pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy(), len(samples)), "sample": samples * len(pdf), "value": x.ravel()})
+    """Missing values as the sample's mean of the k features that are nearest over the shared samples, ties to the smaller id.
 
+    Every feature with a missing value is compared with all others, in tiles of one block of each. Imputed values don't
+    serve as neighbours' values. A value that no feature can give stays null, and so does all of a feature without values."""
+    samples = [r.sample for r in long.select("sample").where(F.col("sample").isNotNull()).distinct().sort("sample").collect()]  # a row for each
+    if not samples:
+        return long.select("id", "sample", F.col("value").cast("double").alias("value"))
     kind = {f.name: f.dataType.simpleString() for f in long.schema}
-    return blocks.select("id", "values", "block").groupBy("block").applyInPandas(fill, f"id {kind['id']}, sample {kind['sample']}, value double")
+    given = F.map_from_entries(F.collect_list(F.struct("sample", F.nanvl(F.col("value").cast("double"), F.lit(None)).alias("value"))))
+    names = F.array(*(F.lit(s).cast(kind["sample"]) for s in samples))
+    wide = long.where(F.col("sample").isNotNull()).groupBy("id").agg(given.alias("values"))
+    wide = wide.select("id", F.transform(names, lambda s: F.try_element_at("values", s)).alias("vector"))
+    is_open = F.exists("vector", lambda x: x.isNull())
+    n, n_open = wide.select(F.count("*"), F.count_if(is_open)).first()
+    blocks, tiles = max(1, math.ceil(n / BLOCK_FEATURES)), max(1, math.ceil(n_open / BLOCK_FEATURES))
+    part = lambda m: F.pmod(F.xxhash64("id"), F.lit(m))
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)).cast("array<long>"))
+    asked = wide.where(is_open & F.exists("vector", lambda x: x.isNotNull())).select(F.col("id").alias("q_id"), F.col("vector").alias("q_vector"), every(blocks).alias("q_block"), part(tiles).alias("q_tile"))
+    held = wide.withColumn("block", part(blocks)).withColumn("tile", every(tiles))
+    lists = asked.groupBy("q_block", "q_tile").cogroup(held.groupBy("block", "tile")).applyInPandas(_nearest_tile(k), f"id {kind['id']}, pos int, far double, near_id {kind['id']}, value double, list_id long")
+    best = F.slice(F.sort_array(F.collect_list(F.struct("far", "near_id", "value"))), 1, k).alias("best")
+    while blocks > 1:  # each level merges FAN_IN lists of at most k features
+        blocks = math.ceil(blocks / FAN_IN)
+        merged = lists.groupBy("id", "pos", F.floor(F.col("list_id") / FAN_IN).alias("list_id")).agg(best)
+        lists = merged.select("id", "pos", "list_id", F.inline("best"))
+    near = lists.groupBy("id", "pos").agg(best).select(F.col("id").alias("i_"), F.col("pos").alias("p_"), (F.aggregate("best", F.lit(0.0), lambda s, b: s + b["value"]) / F.size("best")).alias("mean"))
+    cells = wide.select("id", F.posexplode("vector").alias("pos", "value"))
+    return cells.join(near, cells["id"].eqNullSafe(near["i_"]) & (cells["pos"] == near["p_"]), "left").select("id", F.element_at(names, F.col("pos") + 1).alias("sample"), F.coalesce("value", "mean").alias("value"))
 
 
 # ---- tests ----

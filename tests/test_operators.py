@@ -210,3 +210,24 @@ def test_best_subjects_and_fallback(spark):
     assert ranks == {("s1", 9.0): (1, 1), ("s1", 5.0): (1, 2), ("s2", 9.0): (2, 1), ("s3", 7.0): (3, 1)}
     cut = relational.subject_cutoff(hits.withColumn("o", F.monotonically_increasing_id()), "q", "s", [F.asc("o")], 2)
     assert cut.count() == 3
+
+
+def test_nearest_neighbours_over_all_features(spark, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(stats, "BLOCK_FEATURES", 20, raising=False)
+    table = {i: [rng.choice([None, rng.uniform(0, 9), rng.uniform(0, 9) + 1000 * (i % 2)]) for _ in range(5)] for i in range(700)}
+    table[700] = [None] * 5
+    df = spark.createDataFrame([(i, f"s{j}", v) for i, row in table.items() for j, v in enumerate(row)], "id long, sample string, value double")
+    got = {(r.id, r.sample): r.value for r in stats.impute_nearest(df, 3).collect()}
+    assert len(got) == 701 * 5 and all(got[700, f"s{j}"] is None for j in range(5))
+
+    def far(a, b):
+        gaps = [(x - y) ** 2 for x, y in zip(a, b, strict=True) if x is not None and y is not None]
+        return sum(gaps) / len(gaps) if gaps else None
+
+    for i in range(0, 700, 7):
+        order = sorted((d, o) for o, row in table.items() if o != i and (d := far(table[i], row)) is not None)
+        for j, v in enumerate(table[i]):
+            near = [table[o][j] for _, o in order if table[o][j] is not None][:3]
+            want = v if v is not None else sum(near) / len(near) if near else None
+            assert got[i, f"s{j}"] == (want if want is None else pytest.approx(want)), (i, j)
