@@ -131,14 +131,16 @@ g AS (SELECT page_id, url, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTE
 SELECT page_id, url, text, length(text) AS n_chars FROM g
 """,
     "op4_license_scan": _license_sql(),
+    # every window of every text, however it lies, against every item with which the text shares a shingle at all
     "op8_decontamination": f"""
 WITH {_SHINGLES},
-p AS (SELECT doc_id, g, unnest(g) AS h, generate_subscripts(g, 1) - 1 AS pos FROM dg),
-a AS (SELECT DISTINCT len(g) AS n, unnest(g) AS h, generate_subscripts(g, 1) - 1 AS item_pos FROM ig),
-win AS (SELECT DISTINCT doc_id, n, g[s + 1:s + n] AS g FROM (SELECT doc_id, g, n, greatest(0, least(pos - item_pos, len(g) - n)) AS s FROM p JOIN a USING (h))),
-x AS (SELECT doc_id, item_id, list_sum(list_transform(list_distinct(win.g), lambda x: least(len(list_filter(win.g, lambda y: y = x)), len(list_filter(ig.g, lambda y: y = x))))) AS shared,
-  len(win.g) + len(ig.g) AS sizes FROM win JOIN ig ON win.n = len(ig.g))
-SELECT doc_id, item_id, max(shared / (sizes - shared)) AS similarity FROM x WHERE 100 * shared >= 80 * (sizes - shared) GROUP BY ALL
+t AS (SELECT DISTINCT doc_id, g FROM dg), i AS (SELECT DISTINCT item_id, g FROM ig),
+p AS MATERIALIZED (SELECT row_number() OVER () AS pair, t.doc_id, i.item_id, t.g AS dg, i.g AS ig, len(i.g) AS n FROM t JOIN i ON list_has_any(t.g, i.g)),
+c AS (SELECT pair, h, count(*) AS held FROM (SELECT pair, unnest(ig) AS h FROM p) GROUP BY ALL),
+pl AS (SELECT pair, n, len(dg) AS size, unnest(dg) AS h, generate_subscripts(dg, 1) - 1 AS pos FROM p),
+win AS (SELECT pl.pair, h, s, count(*) AS seen, any_value(size) AS size, any_value(n) AS n FROM pl SEMI JOIN c USING (pair, h), unnest(range(greatest(0, pos - n + 1), least(pos, greatest(0, size - n)) + 1)) AS u(s) GROUP BY ALL),
+x AS (SELECT pair, s, sum(least(seen, held))::BIGINT AS shared, any_value(least(size, n) + n) AS sizes FROM win JOIN c USING (pair, h) GROUP BY ALL)
+SELECT doc_id, item_id, max(shared / (sizes - shared)) AS similarity FROM x JOIN p USING (pair) WHERE 100 * shared >= 80 * (sizes - shared) GROUP BY ALL
 """,
     "op3_line_dedup": r"""
 WITH l AS (

@@ -139,6 +139,42 @@ def test_decontamination_against_brute_force(spark):
     assert unbounded == set(got)
 
 
+def test_decontamination_finds_moved_parts(spark):
+    words = lambda k, n: " ".join(f"{k}x{i}" for i in range(n))
+    a, b = words("a", 60), words("b", 60)
+    texts = {0: f"{words('c', 200)} {a} {b} {words('d', 200)}", 1: f"{words('c', 200)} {b} {a} {words('d', 200)}", 2: f"{b} {a}", 3: f"{a} {words('e', 60)}", 4: f"{words('f', 9)} {b} {a} {words('g', 3)}"}
+    items = [(1, f"{a} {b}"), (2, f"{words('e', 9)} {a}"), (3, f"{b[: len(b) // 2]} {a}")]
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontam.matches(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute_matches(texts.items(), items) and {(0, 1), (1, 1), (2, 1), (4, 1)} <= set(got)
+
+
+def test_decontamination_recall_at_the_limit(spark):
+    """Edited passages whose similarity is just above 0.8: all are found, which the fingerprints' radius doesn't prove."""
+    rng = random.Random(11)
+    items, docs = [], []
+    for i in range(300):
+        n = (13, 22, 40)[i % 3]
+        words = [f"i{i}w{k}" for k in range(n + 4)]
+        items.append((i, " ".join(words)))
+        text = list(words)
+        text[-1 if rng.random() < 0.5 else 0] = "edited"
+        far = 2 if n >= 40 else 1
+        for k in range(1, far + (n == 22)):
+            text[-1 - k if text[-1] == "edited" else k] = f"more{k}"
+        docs.append((i, " ".join([f"d{i}w{k}" for k in range(30)] + text + [f"e{i}w{k}" for k in range(30)])))
+    want = {k for k, v in brute_matches_own(docs, items).items() if v >= 0.8}
+    got = {(r.doc_id, r.item_id) for r in decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and len(want) == 300
+
+
+def brute_matches_own(docs, items):
+    """Each document against the item of its number."""
+    out = {}
+    for d, i in zip(docs, items, strict=True):
+        out |= brute_matches([d], [i])
+    return out
+
+
 def test_decontamination_with_shuffled_item_tables(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
     sent = sorted(map(tuple, decontam.matches(docs, bench).collect()))
