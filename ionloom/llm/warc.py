@@ -25,10 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import bounded_batches, materialize, temporary
+from ionloom.llm.common import bounded_batches, id_filter, materialize, maybe_in, temporary
 
 #: Bytes after which a task begins a new archive; of one read; and of the gap up to which two ranges are read as one.
 ARCHIVE_BYTES, READ_BYTES, GAP_BYTES = 1 << 30, 8 << 20, 64 << 10
+#: Bytes of records that one task reads at most, about, and at least where there are tasks for all cores.
+TASK_BYTES, LEAST_TASK_BYTES = 256 << 20, 1 << 20
 INDEX = "archive string, offset long, length long, url string, payload_digest string, page_id long, record_type string"
 
 
@@ -85,11 +87,16 @@ def write_archives(df: DataFrame, folder: str | None = None, min_bytes: int = 10
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     pages = df.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     pages = pages.select("*", F.sha2("payload", 256).alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
-    first = pages.where(F.col("payload_bytes") >= min_bytes).groupBy(F.col("payload_digest").alias("same")).agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1)
-    # a short payload's key matches nothing and is unlike others, so that short ones don't meet in one task
-    pages = pages.withColumn("key", F.when(F.col("payload_bytes") >= min_bytes, F.col("payload_digest")).otherwise(F.concat(F.lit("short "), F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
-    joined = pages.join(first, pages["key"] == first["same"], "left")
-    rows = joined.select("page_id", "url", "payload", "payload_digest", "payload_bytes", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    long = pages.where(F.col("payload_bytes") >= min_bytes).groupBy(F.col("payload_digest").alias("same")).agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    # a written table, so that Spark may split a digest of very many pages; and only pages that may share theirs move
+    first = materialize(long.where((F.col("n") > 1) & F.col("first").isNotNull()).select("same", "first", F.xxhash64("same").alias("key")), "warc-first")
+    shared = id_filter(first, "key")
+    pages = pages.withColumn("key", F.xxhash64("payload_digest"))
+    near = maybe_in(pages, "key", shared).drop("key")
+    joined = near.join(first.drop("key"), (near["payload_digest"] == first["same"]) & (near["payload_bytes"] >= min_bytes), "left")
+    record = ["page_id", "url", "payload", "payload_digest", "payload_bytes"]
+    near = joined.select(*record, F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    rows = maybe_in(pages, "key", shared, wanted=False).select(*record, F.lit(None).cast("long").alias("refers_to")).unionByName(near)
     folder = folder or temporary(df.sparkSession, "warc")
     return folder, materialize(rows.mapInArrow(_write(folder, date), INDEX), "warc-index")
 
@@ -136,5 +143,8 @@ def _read(folder: str, payloads: bool):
 def read_records(folder: str, index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records that ``index`` (any rows of it) selects: page_id, url, payload_bytes, payload_digest, record_type,
     refers_to and, with ``payloads``, the payload (null for revisits)."""
-    ranges = index.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    held = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, held // TASK_BYTES, min(held // LEAST_TASK_BYTES, 2 * cores))  # a number of our own is one that Spark doesn't lower to fit the small index
+    ranges = index.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     return ranges.mapInArrow(_read(folder, payloads), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
