@@ -24,9 +24,12 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share, spark.checkpoint.dir. A local master, whose tasks run on this machine,
+    gets a temporary one where the session names none; on a cluster that is an error, as executors write to their own disks."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="ionloom-"))
             atexit.register(shutil.rmtree, _own_dir[0], True)
@@ -56,8 +59,19 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it no column of ``df`` (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Let the batches that go to Python hold about 8 MB, however long the rows, unless the session says otherwise."""
+    """Let the batches that go to Python hold about 8 MB, however long the rows, unless the session says otherwise.
+
+    The setting stays in the session: Spark reads it when a plan runs, which is after the operator has returned the plan.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(name, None) is None:
         spark.conf.set(name, str(8 << 20))

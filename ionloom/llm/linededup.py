@@ -9,7 +9,8 @@ positive costs a shuffled line and never changes a result. Hot keys are counted
 a verdict back to the holders of a key is one that Spark can split.
 
 A null or empty text is one empty line. Rows that repeat a doc_id count as one document; a null doc_id is a document
-smaller than any other. Ties can't occur, as doc_ids order the holders. No rows give no rows. Extra columns are ignored.
+smaller than any other. Ties can't occur, as doc_ids order the holders. No rows give no rows. Extra columns are ignored
+by ``dedup_lines`` and kept by ``with_kept_lines``, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import SPACE, bounded_batches, materialize, mix
+from ionloom.llm.common import SPACE, bounded_batches, free_name, materialize, mix
 
 #: The twice-seen filter is sent to every task, so its bits have a fixed bound (32 MB) whatever the input; beyond about
 #: 10**8 repeated keys it lets more lines through to the exact confirmation.
@@ -148,10 +149,10 @@ def repeated_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bi
     return holders, materialize(repeated, "linededup-keys")  # a table of its own, so that Spark may split the hot keys of the join with it
 
 
-def _gone(holders: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(held_by_, gone_): the keys that a doc_id loses."""
+def _gone(holders: DataFrame, repeated: DataFrame, holder: str = "held_by_", keys: str = "gone_") -> DataFrame:
+    """(held_by_, gone_), or other names: the keys that a doc_id loses."""
     lost = holders.join(repeated.select("key", "keep"), "key").where(~F.col("doc_id").eqNullSafe(F.col("keep")))
-    return lost.groupBy(F.col("doc_id").alias("held_by_")).agg(F.collect_list("key").alias("gone_"))
+    return lost.groupBy(F.col("doc_id").alias(holder)).agg(F.collect_list("key").alias(keys))
 
 
 def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
@@ -162,13 +163,13 @@ def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits:
     return joined.mapInArrow(_apply(min_chars), "doc_id long, n_lines long, n_dropped long, kept string")
 
 
-def _rewrite(min_chars: int, names: list[str]):
+def _rewrite(min_chars: int, names: list[str], keys: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = {c: batch.column(c) for c in names}
             texts = batch.column("text").to_pylist()
             sizes = batch.column("n_chars").to_pylist() if "n_chars" in names else None
-            for i, gone in enumerate(batch.column("gone_").to_pylist()):
+            for i, gone in enumerate(batch.column(keys).to_pylist()):
                 if not gone:
                     continue
                 raw, drop = (texts[i] or "").encode(), {k.encode() for k in gone}
@@ -187,6 +188,7 @@ def _rewrite(min_chars: int, names: list[str]):
 def with_kept_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``df``, all columns, with the lines dropped from text and n_chars set to what is left of it. A text
     that loses no line stays as it is, null included."""
-    gone = _gone(*repeated_lines(df, min_chars, min_docs, max_bits))
-    joined = df.join(gone, df["doc_id"].eqNullSafe(gone["held_by_"]), "left").drop("held_by_")
-    return joined.mapInArrow(_rewrite(min_chars, df.columns), df.schema)
+    holder, keys = free_name(df, "held_by_"), free_name(df, "gone_")
+    gone = _gone(*repeated_lines(df, min_chars, min_docs, max_bits), holder, keys)
+    joined = df.join(gone, df["doc_id"].eqNullSafe(gone[holder]), "left").drop(holder)
+    return joined.mapInArrow(_rewrite(min_chars, df.columns, keys), df.schema)

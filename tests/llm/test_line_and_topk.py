@@ -48,20 +48,17 @@ def test_lines_of_no_rows_and_kept_columns(spark):
     kept = {r.doc_id: r for r in linededup.with_kept_lines(df).collect()}
     assert kept[0].text == "own 0" and kept[0].n_chars == 5 and kept[0].source == "src"
     assert kept[3].text == f"{line}\nown 3" and kept[9].text is None
+    clash = df.withColumn("gone_", F.lit("g")).withColumn("Held_By_", F.lit("h")).withColumn("key", F.lit("k"))
+    again = {r.doc_id: r for r in linededup.with_kept_lines(clash).collect()}
+    assert {i: r.text for i, r in again.items()} == {i: r.text for i, r in kept.items()} and (again[0].gone_, again[0].Held_By_, again[0].key) == ("g", "h", "k")
 
 
 def brute_topk(rows, k, step):
-    valid = {}
-    for i, v in rows:
-        if i is None or not v or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        valid[i] = min(valid.get(i, v), v)
-    quantised = {i: [int(np.floor(256.0 * float(np.float32(x)))) for x in v] for i, v in valid.items()}
+    """Every row against every row of another id; the lists of rows that share an id are one."""
+    valid = [(i, [int(np.floor(256.0 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in quantised:
-        if q % step:
-            continue
-        scored = sorted((-sum(a * b for a, b in zip(quantised[q], quantised[c], strict=True)), c) for c in quantised if c != q and len(quantised[c]) == len(quantised[q]))
+    for q in {i for i, _ in valid if i % step == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(own, v, strict=True)), c) for i, own in valid if i == q for c, v in valid if c != q and len(v) == len(own))
         out += [(q, r, c, -s) for r, (s, c) in enumerate(scored[:k], 1)]
     return sorted(out)
 
@@ -72,7 +69,7 @@ def test_topk_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "FAN_IN", 2)
     rng = random.Random(5)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(150)] + [(i, [0.25] * 6) for i in range(150, 230)]
-    rows += [(300, None), (301, []), (302, [1.0, None] + [0.0] * 4), (303, [float("nan")] * 6), (304, [float("inf")] + [0.0] * 5), (None, [1.0] * 6), (7, [0.1] * 6), (310, [1.0, 2.0]), (320, [0.5, 0.5])]
+    rows += [(300, None), (301, []), (302, [1.0, None] + [0.0] * 4), (303, [float("nan")] * 6), (304, [float("inf")] + [0.0] * 5), (None, [1.0] * 6), (7, [0.1] * 6), (7, [9.0] * 6), (10, [-3.0] * 6), (10, [0.1] * 6), (10, [0.1] * 6), (310, [1.0, 2.0]), (320, [0.5, 0.5])]
     df = spark.createDataFrame([(i, v, 1, "s") for i, v in rows], "vec_id long, embedding array<float>, rank int, shard string")
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 10 == 0).collect())
     assert got == brute_topk(rows, 5, 10)
@@ -84,3 +81,22 @@ def test_topk_of_large_numbers_and_no_rows(spark):
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0).collect())
     assert got == [x for x in brute_topk(rows, 5, 1) if x[0] == 0]
     assert topk.top_k(df.limit(0), F.col("vec_id") == 0).collect() == []
+
+
+def test_topk_of_an_id_that_many_rows_share(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 16)
+    monkeypatch.setattr(topk, "TILE_QUERIES", 8)
+    rng = random.Random(9)
+    rows = [(50, [rng.uniform(-1, 1) for _ in range(4)]) for _ in range(60)] + [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == brute_topk(rows, 5, 50)
+
+
+def test_topk_scores_beyond_a_long_are_the_ends_of_its_range(spark):
+    rows = [(0, [3e16, 1.0]), (1, [3e16, 2.0]), (2, [-3e16, 2.0]), (3, [1.0, 5.0]), (4, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    exact = {i: s for q, _, i, s in brute_topk(rows, 5, 1) if q == 0}
+    clip = lambda x: max(1 - 2**63, min(2**63 - 1, x))
+    assert got == [(r, i, clip(exact[i])) for r, i in enumerate(sorted(exact, key=lambda i: (-clip(exact[i]), i)), 1)]
