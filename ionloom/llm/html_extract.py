@@ -1,16 +1,24 @@
 """Main text of web pages: site template removal beside plain rules.
 
-A page that marks its article (article, main or role=main) gives the text inside it. On every other page the element
-subtrees are hashed; Spark counts for each host on how many different pages a subtree recurs, and the subtrees that recur
-on many of them are deleted as the site's template. On both kinds, elements that are never article text go by rule:
-menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, known by tag, role
-or whole class names and ids. Ids don't judge headings and text elements in an article. No class or id drops an element
-around the page's main, nor one around its only articles if these hold more text than the rest. Copies of one page count once, so that copying a page makes no template of it, and a page that would lose
-all its text keeps it. Character references are decoded, white space inside a block becomes one space, blocks are trimmed
-and joined by \\n.
-
-A null or empty page has an empty text; broken markup is read as far as it goes. Rows are told apart by host and content,
-so repeated rows get the same text each; a null url is a host of its own. No rows give no rows. Extra columns are ignored.
+Every page's block-level elements are hashed, each from its tag, its text and the hashes of what it holds. Spark counts for
+each host on how many different pages a subtree recurs; those on at least ``min_pages`` are candidates. Copies of one
+article on pages that differ elsewhere are no template, so a candidate is one only where its pages differ in what they are
+about: a page's LONGEST longest text blocks (of its article, where one is marked) stand for it, and in at least half of
+these places no single text holds more than half of the candidate's pages. Templates are deleted on every page of the
+host, and a page that holds nothing else has an empty text.
+
+Beside that, a page that marks its article (article, main or role=main) gives the text inside it; the article itself and
+its headings, paragraphs, lists' and tables' cells aren't judged as templates, its other elements are. By rule go, on any
+page: scripts, styles, forms and what HTML's tags, roles or whole class names and ids call menus, page headers, footers,
+sidebars, notices, adverts and reader comments. Ids don't judge headings and text elements in an article. No class or id
+drops an element around the page's main, nor one around its only articles if these hold more text than the rest.
+Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by \\n.
+
+A host needs ``min_pages`` different pages before anything can recur on so many; on smaller hosts the rules alone decide.
+A null or empty page has an empty text; broken markup is read as far as it goes: a tag that never ends is text, and a
+quote that doesn't close doesn't hide the tag's end. Work grows with the length of a page, whatever it holds. Rows are
+told apart by host and content, so repeated rows get the same text each; a null url is a host of its own. No rows give no
+rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,17 +50,68 @@ HEAD_NAMES = frozenset("header masthead banner topbar".split())
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 FENCE = frozenset("html body article main section div aside nav header footer form table td th ul ol dl blockquote".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+MARK = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACES = re.compile(r"\s+")
-HAS_MAIN = r"(?i)<(article|main)[\s>]|\srole\s*=\s*[\"']?main\b"
+MAIN_ROLE = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
+#: Text blocks that stand for what a page is about.
+LONGEST = 4
+#: Open elements that are searched for one that a new element ends.
+MOST_DEPTH = 256
 
 
 class _Element:
-    __slots__ = ("tag", "start", "number", "dropped", "main")
-
-    def __init__(self, tag: str, start: int, number: int, dropped: str, main: bool) -> None:
-        self.tag, self.start, self.number, self.dropped, self.main = tag, start, number, dropped, main
+    """An open or closed element; ``judged`` says whether its subtree may be a template."""
+
+    __slots__ = ("tag", "parent", "number", "dropped", "main", "judged", "digest")
+
+    def __init__(self, tag: str, parent: _Element | None, number: int, dropped: str, main: bool, judged: bool) -> None:
+        self.tag, self.parent, self.number, self.dropped, self.main, self.judged = tag, parent, number, dropped, main, judged
+        self.digest = hashlib.blake2b(tag.encode(), digest_size=8)
+
+
+class _Scanner:
+    """Finds a page's tags. A tag ends at the first > outside of quotes, or, if quotes would hide every one, at the first.
+    Looking in vain is bounded by the length of the page; beyond that quotes are no longer minded."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.patience = page, page.rfind(">"), 4 * len(page)
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(begin, end, kind, name, attributes) of the next tag; kinds are "<", "</" and "!" for comments and declarations."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, len(page) if end < 0 else end + 3, "!", "", ""
+            if at > self.last:
+                return None
+            if page.startswith(("<!", "<?"), at):
+                return at, page.find(">", at) + 1, "!", "", ""
+            kind = "</" if page.startswith("</", at) else "<"
+            name = NAME.match(page, at + len(kind))
+            if name:
+                end = self._end(name.end())
+                return at, end, kind, name[0].lower(), page[name.end() : end - 1]
+            at += 1
+        return None
+
+    def _end(self, begin: int) -> int:
+        page, end = self.page, begin
+        unclosed: set[str] = set()
+        while self.patience > 0 and (m := MARK.search(page, end)):
+            end = m.end()
+            if m[0] == ">":
+                return end
+            close = -1 if m[0] in unclosed else page.find(m[0], end)
+            if close < 0:
+                unclosed.add(m[0])
+            else:
+                end = close + 1
+        self.patience -= len(page) - begin
+        end = page.find(">", begin)
+        return len(page) if end < 0 else end + 1
 
 
 def _names(token: str, names: frozenset[str]) -> bool:
@@ -77,54 +136,66 @@ def _unwanted(tag: str, attributes: str, in_main: bool) -> str:
     return named
 
 
-def blocks(page: str, with_paths: bool = False) -> tuple[list[tuple[str, list[int]]], bool]:
-    """What ``_blocks`` finds, with the names around the page's main or only articles ignored."""
-    found, marked, main, around = _blocks(page, with_paths)
+def blocks(page: str, gone: frozenset[int] = frozenset()) -> tuple[list[tuple[str, _Element | None]], bool, list[_Element]]:
+    """What ``_blocks`` finds, with the names around the page's main or only articles ignored, and without the blocks in
+    subtrees whose hash is in ``gone``."""
+    found, marked, main, elements, around = _blocks(page)
     strong, weak = around
     if strong and not main:
-        return _blocks(page, with_paths, strong)[:2]
-    if weak and not marked:
-        other = _blocks(page, with_paths, weak)[:2]
+        found, marked, _, elements, _ = _blocks(page, strong)
+    elif weak and not marked:
+        other = _blocks(page, weak)
         if sum(len(t) for t, _ in other[0]) > sum(len(t) for t, _ in found):
-            return other
-    return found, marked
+            found, marked, _, elements, _ = other
+    if gone:
+        dead: set[int] = set()
+        for e in elements:  # in order of their beginnings, so parents come first
+            if e.parent is not None and e.parent.number in dead or e.judged and digest(e) in gone:
+                dead.add(e.number)
+        found = [(t, e) for t, e in found if e is None or e.number not in dead]
+    return found, marked, elements
+
 
+def digest(e: _Element) -> int:
+    """The hash of an element's subtree."""
+    return int.from_bytes(e.digest.digest(), "little", signed=True)
 
-def _blocks(page: str, with_paths: bool, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, list[int]]], bool, bool, tuple[frozenset[int], frozenset[int]]]:
-    """(text blocks of the page with the hashes of the subtrees that hold them, whether an article is marked,
-    whether by main or its role, the elements around a main and around articles that their names drop).
 
-    With an article only its blocks come back. Hashes, asked for by ``with_paths``, are those of the block-level elements
-    around a block, the outermost last.
+def _blocks(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, _Element | None]], bool, bool, list[_Element], tuple[frozenset[int], frozenset[int]]]:
+    """(text blocks of the page with their innermost elements, whether an article is marked, whether by main or its role,
+    all elements, the elements around a main and around articles that their names drop).
+
+    With an article only its blocks come back.
     """
-    found: list[tuple[str, list[_Element], bool]] = []
-    canon: list[str] = []
-    hashes: dict[int, int] = {}
+    found: list[tuple[str, _Element | None]] = []
+    elements: list[_Element] = []
     stack: list[_Element] = []
     held: list[str] = []
-    at, number, marked, by_main = 0, 0, False, False
+    open_: dict[str, int] = {}
+    at, marked, by_main = 0, False, False
     strong: set[int] = set()
     weak: set[int] = set()
+    scanner = _Scanner(page)
 
     def flush() -> None:
         text = SPACES.sub(" ", html.unescape("".join(held))).strip()
         held.clear()
         if text:
-            found.append((text, [e for e in reversed(stack) if e.tag in BLOCK and e.tag not in ("html", "body")] if with_paths else [], any(e.main for e in stack)))
+            found.append((text, stack[-1] if stack else None))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
-            e = stack[-1]
-            if e.tag in BLOCK:
+            if stack[-1].tag in BLOCK:
                 flush()
-            stack.pop()
-            if with_paths:
-                canon.append(f"</{e.tag}>")
-                if e.tag in BLOCK:
-                    hashes[e.number] = int.from_bytes(hashlib.blake2b("".join(canon[e.start :]).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-
-    def last(tags, fence=FENCE) -> int:
-        for i in range(len(stack) - 1, -1, -1):
+            e = stack.pop()
+            open_[e.tag] -= 1
+            if e.parent is not None:
+                e.parent.digest.update(e.digest.digest())
+
+    def last(tags: tuple[str, ...], fence: frozenset[str] = FENCE) -> int:
+        if not any(open_.get(t) for t in tags):
+            return -1
+        for i in range(len(stack) - 1, max(-1, len(stack) - 1 - MOST_DEPTH) if fence else -1, -1):
             if stack[i].tag in tags:
                 return i
             if stack[i].tag in fence:
@@ -134,17 +205,17 @@ def _blocks(page: str, with_paths: bool, spared: frozenset[int] = frozenset()) -
     def text(piece: str) -> None:
         if piece and not (stack and stack[-1].dropped):
             held.append(piece)
-            if with_paths and not piece.isspace():
-                canon.append(SPACES.sub(" ", piece))
-
-    while m := TOKEN.search(page, at):
-        text(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+            if stack and not piece.isspace():
+                stack[-1].digest.update(b"\0" + SPACES.sub(" ", piece).encode("utf-8", "replace"))
+
+    while token := scanner.next(at):
+        begin, end, kind, tag, attributes = token
+        text(page[at:begin])
+        at = end
+        if kind == "!":
             continue
-        tag = m[2].lower()
-        if m[1]:
-            depth = last((tag,), ())
+        if kind == "</":
+            depth = last((tag,), frozenset())
             if depth >= 0:
                 close(depth)
             elif tag in BLOCK:
@@ -164,76 +235,92 @@ def _blocks(page: str, with_paths: bool, spared: frozenset[int] = frozenset()) -
                     close(depth)
         above = stack[-1] if stack else None
         in_main = above is not None and above.main
-        attributes = m[3]
+        number = len(elements) + 1
         own = _unwanted(tag, attributes, in_main)
-        if own == "name" and number + 1 in spared:
+        if own == "name" and number in spared:
             own = ""
         dropped = "rule" if "rule" in (own, above.dropped if above else "") else own or (above.dropped if above else "")
-        is_main = tag == "main" or "role" in attributes and bool(re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I))
+        is_main = tag == "main" or "role" in attributes and bool(MAIN_ROLE.search(attributes))
         if dropped == "name" and (is_main or tag == "article"):
-            (strong if is_main else weak).update(e.number for e in stack if e.dropped)
+            kept = strong if is_main else weak
             if own:
-                (strong if is_main else weak).add(number + 1)
+                kept.add(number)
+            e = above
+            while e is not None and e.number not in kept:  # those above one that is in are in as well
+                if e.dropped:
+                    kept.add(e.number)
+                e = e.parent
         main = in_main or not dropped and (is_main or tag == "article")
         marked |= main
         by_main |= main and is_main
         if attributes.rstrip().endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
-        number += 1
-        stack.append(_Element(tag, len(canon), number, dropped, main))
-        if with_paths:
-            canon.append(f"<{tag}>")
+        judged = not dropped and tag in BLOCK and tag not in ("html", "body") and not (main and (not in_main or tag in TEXT_TAGS))
+        elements.append(_Element(tag, above, number, dropped, main, judged))
+        stack.append(elements[-1])
+        open_[tag] = open_.get(tag, 0) + 1
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            close_tag = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+            at = page.find(">", close_tag.end()) + 1 if close_tag else 0
+            at = at or len(page)
             close(len(stack) - 1)
     text(page[at:])
     close(0)
     flush()
-    return [(t, [hashes[e.number] for e in path]) for t, path, main in found if main or not marked], marked, by_main, (frozenset(strong), frozenset(weak))
+    return [(t, e) for t, e in found if not marked or e is not None and e.main], marked, by_main, elements, (frozenset(strong), frozenset(weak))
 
 
-def _main(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start, stop, pages in chunks(batch, "html"):
-            texts = ["\n".join(t for t, _ in blocks((p or b"").decode("utf-8", "replace"))[0]) for p in pages]
-            yield pa.record_batch({"page_id": batch.column("page_id").slice(start, stop - start), "url": batch.column("url").slice(start, stop - start), "text": pa.array(texts, pa.string())})
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))]))
+    """(host, page, subtrees, texts): a page's different subtrees and its LONGEST longest text blocks."""
     for batch in batches:
         for start, stop, pages in chunks(batch, "html"):
-            parts = [[{"text": t, "path": path} for t, path in blocks((p or b"").decode("utf-8", "replace"), True)[0]] for p in pages]
-            digests = [hashlib.sha256(p or b"").hexdigest() for p in pages]
+            subtrees, texts = [], []
+            for page in pages:
+                found, _, elements = blocks((page or b"").decode("utf-8", "replace"))
+                subtrees.append(sorted({digest(e) for e in elements if e.judged}))
+                longest = [_hash(t) for t in sorted({t for t, _ in found}, key=lambda t: (-len(t), t))[:LONGEST]] or [0]
+                texts.append([longest[k % len(longest)] for k in range(LONGEST)])
             own = lambda c: batch.column(c).slice(start, stop - start)  # noqa: B023, E731
-            yield pa.record_batch({"page_id": own("page_id"), "url": own("url"), "host": own("host"), "digest": pa.array(digests, pa.string()), "blocks": pa.array(parts, kind)})
+            yield pa.record_batch({"host": own("host"), "page": own("page"), "subtrees": pa.array(subtrees, pa.list_(pa.int64())), "texts": pa.array(texts, pa.list_(pa.int64()))})
 
 
-def templates(parsed: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """(host, path_hash) of the subtrees that recur on at least ``min_pages`` different pages and ``min_share`` of their host."""
-    pages = parsed.select("host", "digest", "blocks").groupBy("host", "digest").agg(F.first("blocks").alias("blocks"))
-    n_pages = pages.groupBy("host").agg(F.count("*").alias("n_pages"))
-    seen = pages.select("host", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["path"])))).alias("path_hash"))
-    counts = seen.groupBy("host", "path_hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    return counts.join(n_pages, "host").where(F.col("n") >= min_share * F.col("n_pages")).select("host", "path_hash")
+def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        gone = batch.column("gone").to_pylist()
+        for start, stop, pages in chunks(batch, "html"):
+            texts = ["\n".join(t for t, _ in blocks((p or b"").decode("utf-8", "replace"), frozenset(gone[i] or ()))[0]) for i, p in enumerate(pages, start)]
+            yield pa.record_batch({"page_id": batch.column("page_id").slice(start, stop - start), "url": batch.column("url").slice(start, stop - start), "text": pa.array(texts, pa.string())})
+
+
+def templates(seen: DataFrame, min_pages: int) -> DataFrame:
+    """(host, subtree) of those that recur on at least ``min_pages`` pages of their host which differ in their longest texts.
+
+    ``seen`` has a row for each host, page and different subtree. All counts are summed map-side, so no host, however
+    large, comes together in one task.
+    """
+    often = seen.groupBy(F.col("host").alias("h_"), F.col("subtree").alias("s_")).agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    often = materialize(often, "html-often")
+    some = seen.join(often, (seen["host"] == often["h_"]) & (seen["subtree"] == often["s_"])).select("host", "subtree", "n", F.posexplode("texts").alias("place", "text"))
+    most = some.groupBy("host", "subtree", "n", "place", "text").agg(F.count("*").alias("c")).groupBy("host", "subtree", "n", "place").agg(F.max("c").alias("most"))
+    varied = most.groupBy("host", "subtree").agg(F.count_if(2 * F.col("most") <= F.col("n")).alias("varied"))
+    return materialize(varied.where(2 * F.col("varied") >= LONGEST).select("host", "subtree"), "html-templates")
 
 
-def extract(df: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
+def extract(df: DataFrame, min_pages: int = 5) -> DataFrame:
     """page_id, url, text (the main text, empty if none) and n_chars for every row (page_id, url, html) of ``df``."""
     bounded_batches(df.sparkSession)
     page = F.coalesce(F.col("html").cast("string"), F.lit(""))
     pages = df.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), page.alias("html"))
-    marked = F.col("html").rlike(HAS_MAIN)
-    main = pages.where(marked).mapInArrow(_main, "page_id long, url string, text string")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][-+.\w]*://(?:[^/@]*@)?([^/:?#]*)", 1)), F.lit(""))
-    bare = pages.where(~marked).withColumn("host", host)
-    parsed = materialize(bare.mapInArrow(_subtrees, "page_id long, url string, host string, digest string, blocks array<struct<text:string,path:array<long>>>"), "html-subtrees")
-    site = templates(parsed, min_pages, min_share).select(F.col("host").alias("t_host"), "path_hash")
-    held = parsed.groupBy("host", "digest").agg(F.first("blocks").alias("blocks")).select("host", "digest", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["path"])))).alias("path_hash"))
-    gone = held.join(site, (held["host"] == site["t_host"]) & (held["path_hash"] == site["path_hash"])).groupBy(held["host"].alias("g_host"), held["digest"].alias("g_digest")).agg(F.collect_list(held["path_hash"]).alias("gone"))
-    open_ = parsed.join(gone, (parsed["host"] == gone["g_host"]) & (parsed["digest"] == gone["g_digest"]), "left")
-    text = lambda bs: F.array_join(F.transform(bs, lambda b: b["text"]), "\n")
-    left = F.filter("blocks", lambda b: F.size(F.array_intersect(b["path"], F.coalesce("gone", F.array().cast("array<long>")))) == 0)
-    rest = open_.select("page_id", "url", F.when(F.size(left) > 0, text(left)).otherwise(text(F.col("blocks"))).alias("text"))
-    return main.unionByName(rest).withColumn("n_chars", F.char_length("text").cast("long"))
+    pages = pages.withColumn("host", F.xxhash64(host)).withColumn("page", F.xxhash64("host", "html"))  # a page is its host and its content
+    parsed = pages.select("host", "page", "html").mapInArrow(_subtrees, "host long, page long, subtrees array<long>, texts array<long>")
+    seen = materialize(parsed.distinct(), "html-subtrees").select("host", "page", "texts", F.explode("subtrees").alias("subtree"))
+    site = templates(seen, min_pages).select(F.col("host").alias("h_"), F.col("subtree").alias("s_"))
+    gone = seen.join(site, (seen["host"] == site["h_"]) & (seen["subtree"] == site["s_"])).groupBy(F.col("page").alias("of")).agg(F.collect_set("subtree").alias("gone"))
+    gone = materialize(gone, "html-gone")
+    rows = pages.join(gone, pages["page"] == gone["of"], "left").select("page_id", "url", "html", "gone")
+    return rows.mapInArrow(_text, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))

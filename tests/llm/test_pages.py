@@ -64,7 +64,9 @@ def test_names_drop_by_whole_words_only():
 def test_odd_markup():
     get = lambda p: [t for t, _ in html_extract.blocks(p)[0]]
     assert get("") == [] and get("plain &amp; text") == ["plain & text"] and get("a < b <p>c</p> </div>d") == ["a < b", "c", "d"]
-    assert get("<p>open <b>x<p>y<script>z") == ["open x", "y"] and get("<p title='a>b'>t</p><p title=\"unclosed>u") == ["t", '<p title="unclosed>u'][: len(get("<p title='a>b'>t</p><p title=\"unclosed>u"))]
+    assert get("<p>open <b>x<p>y<script>z") == ["open x", "y"] and get("<p title='a>b'>t</p><p title=\"unclosed>u") == ["t", "u"]
+    assert get('<p class="x>Hello</p>') == ["Hello"] and get("<p>a <a href") == ["a <a href"]
+    assert get('<p class="notice-period">A</p><p class="share-price">B</p>') == ["A", "B"]
     assert get("<main><p>in</p></main><p>out</p>") == ["in"] and get("<div role=main>in</div><div>out</div>") == ["in"]
     assert len(get("<div>" * 900 + "deep" + "<p>x" * 20_000)) == 20_001
 
@@ -74,12 +76,40 @@ def test_site_templates_go_and_copies_stay(spark):
     rows = [(i, f"http://h.example/{i}", page(i)) for i in range(12)]
     rows += [(100 + i, "http://h.example/copy", page(3)) for i in range(4)] + [(200, "http://other.example/", page(200)), (201, None, None), (202, "http://h.example/e", ""), (203, "http://h.example/t", "<div>Contact us here</div>")]
     rows += [(300 + i, f"http://same.example/{i}", "<div><p>The one page</p></div>") for i in range(9)]
-    rows += [(400, "http://h.example/a", PAGE)]
+    rows += [(400, "http://h.example/a", PAGE)] + [(401 + i, f"http://four.example/{i}", f"<p>Cookies on this site</p><p>Real text{' ' + str(i) if i else ''}</p>") for i in range(4)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, host string")
     got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract(df).collect()}
     assert len(got) == len(rows)
     assert all(got[i][0] == f"Own text {i}\nMore {i}" for i in range(12)) and got[101][0] == "Own text 3\nMore 3"
     assert got[200][0] == "Home of things\nOwn text 200\nMore 200\nContact us here"  # one page makes no template
-    assert got[201] == ("", 0) and got[202] == ("", 0) and got[203][0] == "Contact us here" and got[300][0] == "The one page"
+    assert got[201] == ("", 0) and got[202] == ("", 0) and got[203] == ("", 0) and got[300][0] == "The one page"
+    assert got[401][0] == "Cookies on this site\nReal text"  # four pages are too few
     assert got[400][0].startswith("Head & line") and got[400][1] == len(got[400][0])
     assert html_extract.extract(df.limit(0)).collect() == []
+
+
+def test_templates_in_marked_articles(spark):
+    box = "<div><b>Read this too</b><ul><li>Our offer</ul></div>"
+    menu = lambda i: f"<div>Home</div><div>Link {i}</div>"
+    own = lambda i: f"{menu(i)}<article><h2>Conclusion</h2><p>Text number {i} of it</p>{box}<p>The rest of {i}</p></article>"
+    quote = "<div><p>A long quotation that this article has</p></div>"
+    copy = lambda i: f"<div>Advert {i}</div><main><h1>Copied</h1><p>The longest paragraph of the copied article comes first</p>{quote}<p>Last{' edited' * (i % 4 == 0)}</p></main>"
+    rows = [(i, f"http://a.example/{i}", own(i)) for i in range(20)] + [(100 + i, f"http://b.example/{i}", copy(i)) for i in range(20)]
+    rows += [(200, "http://a.example/menu", "<div>Home</div>"), (201, "http://a.example/bare", f"<div>Home</div>{box}<p>Bare text</p>")]
+    rows += [(300 + i, f"http://c.example/{i}", f"<div>Notice that is longer than any text</div><p>{i} is this page's</p>") for i in range(9)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Conclusion\nText number {i} of it\nThe rest of {i}" for i in range(20))
+    assert all(got[100 + i] == f"Copied\nThe longest paragraph of the copied article comes first\nA long quotation that this article has\nLast{' edited' * (i % 4 == 0)}" for i in range(20))
+    assert got[200] == "" and got[201] == "Bare text" and all(got[300 + i] == f"{i} is this page's" for i in range(9))
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    n = 60_000
+    pages = ["<a " * 4 * n, "<a '>'" * n, "<a \">" * n + "\"", "<div>" * n + "x", "<b>" * n + "<p>" * n, "<b>" * n + "</i>" * n, "<h2>" * n, "<!" * n, "<script></script " * n, "<td><b>" * n, "<p class='" * n + ">", '<div class="related">' * 2000 + "<article>a" * 2000, "<div>x" * n]
+    for page in pages:
+        began = time.process_time()
+        found = html_extract.blocks(page)[0]
+        assert time.process_time() - began < 8, (page[:20], time.process_time() - began)
+    assert len(found) == n
