@@ -95,21 +95,6 @@ iw AS (SELECT item_id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{
 dg AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS g FROM dw WHERE w[1] <> ''),
 ig AS (SELECT item_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS g FROM iw WHERE w[1] <> '')"""
 
-def _license_sql() -> str:
-    known, ordered = license_scan._tables(license_scan.SENTENCES, license_scan.RULES)
-    rows = lambda table: ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in table)
-    numbered = [(licence, rule, run, i) for i, (licence, rule, run) in enumerate(ordered)]
-    return rf"""
-WITH k(form, sid) AS (VALUES {rows(known.items())}), u(licence, rule, run, n) AS (VALUES {rows(numbered)}),
-c AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '([.!?:;])\s+', '\1' || chr(1), 'g'), '\n\s*\n', chr(1), 'g'), '\n([ \t]*[A-Z0-9*("-])', chr(1) || '\1', 'g'), chr(1)) AS parts FROM documents),
-s AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM c),
-f AS (SELECT doc_id, count(*) AS n_sentences, ',' || string_agg(sid, ',' ORDER BY pos) || ',' AS run
-  FROM s JOIN k ON trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) = form GROUP BY 1)
-SELECT doc_id, licence, rule, n_sentences FROM f JOIN u ON contains(f.run, ',' || u.run || ',')
-QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY n::INTEGER) = 1
-"""
-
-
 ORACLES = {
     "op7_ngram_jaccard": r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
@@ -130,7 +115,16 @@ t AS (SELECT page_id, url, pos, trim(regexp_replace(replace(replace(replace(repl
 g AS (SELECT page_id, url, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE line <> ''), '') AS text FROM t GROUP BY ALL)
 SELECT page_id, url, text, length(text) AS n_chars FROM g
 """,
-    "op4_license_scan": _license_sql(),
+    # the licence lines of the synthetic documents, found by their words alone and without the operator's tables
+    "op4_license_scan": r"""
+WITH k(licence, rule, line) AS (VALUES ('MIT', 'mit_release', 'released under the mit license'), ('Apache-2.0', 'apache_short', 'licensed under the apache license version 2 0'),
+  ('GPL-3.0', 'gpl3_work', 'this work is licensed under the gnu general public license version 3'), ('CC-BY-NC-4.0', 'ccbync_short', 'licensed under cc by nc 4 0')),
+c AS (SELECT row_number() OVER () AS row, doc_id, string_split_regex(text, '[.!?:;]\s+|\n') AS parts FROM documents),
+s AS (SELECT row, doc_id, trim(regexp_replace(lower(unnest(parts)), '[^\p{L}\p{N}]+', ' ', 'g')) AS line FROM c),
+f AS (SELECT row, doc_id, licence, rule FROM s JOIN k USING (line)),
+n AS (SELECT row, count(*) AS n_sentences FROM f GROUP BY 1)
+SELECT DISTINCT ON (row, licence) doc_id, licence, rule, n_sentences FROM f JOIN n USING (row)
+""",
     # every window of every text, however it lies, against every item with which the text shares a shingle at all
     "op8_decontamination": f"""
 WITH {_SHINGLES},
