@@ -77,15 +77,16 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(8 << 20))
 
 
-def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes | None]]]:
-    """Slices (start, stop, texts as bytes) of a batch of about ``limit`` bytes of text; one longer text is a slice of its own."""
+def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """Slices (start, stop, texts as bytes) of a batch of about ``limit`` bytes of text and at most ``rows`` texts; one
+    longer text is a slice of its own."""
     texts, start, held = [], 0, 0
     values = batch.column(column).cast(pa.large_binary())
     for i, value in enumerate(values):
         text = value.as_py()
         texts.append(text)
         held += len(text or b"") + 16
-        if held >= limit:
+        if held >= limit or len(texts) >= rows:
             yield start, i + 1, texts
             texts, start, held = [], i + 1, 0
     if texts:

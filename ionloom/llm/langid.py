@@ -7,7 +7,7 @@ integers, so prototypes are the same however Spark groups the partial sums.
 
 Texts are lower-cased; runs of anything but letters become one space, and a space frames the text. A null text or one
 without a letter gets ``und`` and score 0. Ties go to the label first in order. Labels that are null teach nothing;
-without a single labelled text every text is ``und``. Rows are judged one by one, repeated ones alike; no rows give no
+without a single labelled text every text is ``und``. Very many different letters cost time, not memory. Rows are judged one by one, repeated ones alike; no rows give no
 rows. Extra columns are ignored.
 """
 
@@ -26,8 +26,10 @@ from ionloom.llm.common import bounded_batches, chunks
 #: Length of the vectors, letters in an n-gram, and the seed of the letters' vectors.
 DIM, GRAM, SEED = 1024, 3, 20250
 UNKNOWN = "und"
-#: n-gram codes up to which a chunk's n-grams are numbered by a table instead of a sort.
+#: n-gram codes, or texts times n-grams, up to which a chunk's n-grams are counted in a table instead of by a sort.
 _TABLE = 1 << 23
+#: n-grams whose vectors, and texts whose counts of them, are held at once (16 MB and 4 MB); texts of one chunk.
+_GRAMS, _ROWS, _TEXTS = 4096, 256, 2048
 
 
 @lru_cache(maxsize=1)
@@ -41,17 +43,24 @@ def _letter_vector(code: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64([SEED, code])).integers(0, 2, DIM, dtype=np.int8) * np.int8(2) - np.int8(1)
 
 
-@lru_cache(maxsize=100_000)
 def gram_vector(codes: tuple[int, ...]) -> np.ndarray:
     """The bound vector of one n-gram, given by its code points."""
-    out = np.ones(DIM, np.int8)
-    for place, code in enumerate(reversed(codes)):
-        out *= np.roll(_letter_vector(code), place)
+    return gram_vectors(np.array([codes]))[0]
+
+
+def gram_vectors(codes: np.ndarray) -> np.ndarray:
+    """The bound vectors of n-grams, a row of code points each."""
+    used, place = np.unique(codes, return_inverse=True)
+    letters = np.array([_letter_vector(c) for c in used.tolist()])
+    place, out = place.reshape(codes.shape), np.ones((len(codes), DIM), np.int8)
+    for k in range(codes.shape[1]):  # rotated by the distance from the end
+        out *= np.roll(letters, codes.shape[1] - 1 - k, axis=1)[place[:, k]]
     return out
 
 
-def counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram counts, document by n-gram; the n-grams' code points). Rows without a letter are all zero."""
+def counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, n-gram and count of every pair that occurs, by document; the n-grams' code points). Texts without a
+    letter have no n-grams."""
     raws = [(t or b"").decode("utf-8", "replace").lower().encode("utf-32-le", "replace") for t in texts]
     sizes = [len(r) // 4 + 2 for r in raws]
     pad = b" \0\0\0"
@@ -64,8 +73,9 @@ def counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     code, doc = np.where(letter, code, 32)[keep], doc[keep]
     alphabet, small = np.unique(code, return_inverse=True)
     n, size = len(code) - GRAM + 1, len(alphabet)
+    none = np.zeros(0, np.int64)
     if n <= 0:
-        return np.zeros((len(texts), 0), np.float32), np.zeros((0, GRAM), np.uint32)
+        return none, none, none, np.zeros((0, GRAM), np.uint32)
     gram = np.zeros(n, np.int64)
     for k in range(GRAM):
         gram = gram * size + small[k : k + n]
@@ -78,18 +88,38 @@ def counts(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         gram = number[gram]
     else:
         present, gram = np.unique(gram, return_inverse=True)
-    found = np.bincount(doc * len(present) + gram, minlength=len(texts) * len(present)).reshape(len(texts), len(present))
-    codes = np.stack([alphabet[present // size**k % size] for k in range(GRAM - 1, -1, -1)], axis=1) if len(present) else np.zeros((0, GRAM), np.uint32)
-    return found.astype(np.float32), codes
+    if not len(present):
+        return none, none, none, np.zeros((0, GRAM), np.uint32)
+    if len(texts) * len(present) <= _TABLE:
+        held = np.bincount(doc * len(present) + gram, minlength=len(texts) * len(present))
+        pair = np.flatnonzero(held)
+        found = held[pair]
+    else:
+        pair, found = np.unique(doc * len(present) + gram, return_counts=True)
+    codes = np.stack([alphabet[present // size**k % size] for k in range(GRAM - 1, -1, -1)], axis=1)
+    return pair // len(present), pair % len(present), found, codes
 
 
 def bundles(texts: list[bytes | None]) -> np.ndarray:
-    """One integer vector for each text, zero where the text has no letter."""
-    found, codes = counts(texts)
+    """One integer vector for each text, zero where the text has no letter.
+
+    The n-grams are taken a few thousand at a time and the texts a few hundred, so what is held at once is bounded
+    whatever the letters: a block of counts, a block of vectors and the bundles themselves.
+    """
+    doc, gram, found, codes = counts(texts)
     out = np.zeros((len(texts), DIM), np.float64)
-    for at in range(0, len(codes), 4096):
-        vectors = np.array([gram_vector(tuple(c)) for c in codes[at : at + 4096].tolist()], np.float32)
-        out += found[:, at : at + 4096] @ vectors  # sums below 2**24 are exact in single precision
+    by = np.argsort(gram, kind="stable")
+    doc, gram, found = doc[by], gram[by], found[by]
+    edges = np.searchsorted(gram, np.arange(0, len(codes) + _GRAMS, _GRAMS))
+    for k, at in enumerate(range(0, len(codes), _GRAMS)):
+        vectors = gram_vectors(codes[at : at + _GRAMS]).astype(np.float32)
+        own = slice(edges[k], edges[k + 1])
+        rows, place = np.unique(doc[own], return_inverse=True)
+        for begin in range(0, len(rows), _ROWS):
+            part = (place >= begin) & (place < begin + _ROWS)
+            block = np.zeros((min(_ROWS, len(rows) - begin), len(vectors)), np.float32)
+            block[place[part] - begin, gram[own][part] - at] = found[own][part]
+            out[rows[begin : begin + _ROWS]] += block @ vectors  # sums below 2**24 are exact in single precision
     return out
 
 
@@ -97,7 +127,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
     for batch in batches:
         labels = batch.column("lang")
-        for start, stop, texts in chunks(batch, "text"):
+        for start, stop, texts in chunks(batch, "text", rows=_TEXTS):
             vectors = bundles(texts)
             own = np.array(labels.slice(start, stop - start).to_pylist())
             for label in np.unique(own).tolist():
@@ -124,7 +154,7 @@ def _predict(model, key: str):
         units = np.array([model.value[x] for x in names], np.float64).reshape(len(names), DIM)
         units /= np.linalg.norm(units, axis=1, keepdims=True)
         for batch in batches:
-            for start, stop, texts in chunks(batch, "text"):
+            for start, stop, texts in chunks(batch, "text", rows=_TEXTS):
                 vectors = bundles(texts)
                 length = np.linalg.norm(vectors, axis=1)
                 known = (length > 0) & bool(names)

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -46,6 +47,56 @@ def test_language_bundles_are_the_sums_of_their_grams():
     assert (vectors == want).all()
 
 
+def brute_languages(rows):
+    """(doc_id, language, cosine) by adding up one n-gram at a time."""
+
+    def bound(gram):
+        out = np.ones(langid.DIM, np.int64)
+        for place, letter in enumerate(reversed(gram)):
+            out *= np.roll(langid._letter_vector(ord(letter)), place)
+        return out
+
+    def bundle(text):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        padded = f" {' '.join(words)} " if words else ""
+        grams = Counter(padded[i : i + 3] for i in range(len(padded) - 2))
+        return sum((n * bound(g) for g, n in grams.items()), np.zeros(langid.DIM, np.int64))
+
+    vectors = [bundle(t) for _, t, _ in rows]
+    own = {}
+    for v, (_, _, lang) in zip(vectors, rows, strict=True):
+        if lang is not None and v.any():
+            own[lang] = own.get(lang, 0) + v
+    out = []
+    for v, (doc, _, _) in zip(vectors, rows, strict=True):
+        cosines = {k: float(v @ own[k]) / math.sqrt(float(v @ v) * float(own[k] @ own[k])) for k in sorted(own)} if v.any() else {}
+        best = max(cosines, key=cosines.get) if cosines else "und"
+        out.append((doc, best, round(min(1.0, max(0.0, cosines.get(best, 0.0))), 9)))
+    return sorted(out)
+
+
+def test_languages_of_a_table_against_brute_force(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(r.doc_id + 1000, r.text, r.lang) for r in labelled(spark).collect() if r.doc_id != 35] + [(2000, "漢字の文", "ja"), (2001, "字の漢字", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify(df, langid.train(df)).collect())
+    assert got == brute_languages(rows)
+
+
+def test_short_texts_of_many_letters_need_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9FFF, 20))).encode() for _ in range(1500)]
+    batch = pa.record_batch({"text": pa.array([t.decode() for t in texts])})
+    tracemalloc.start()
+    for _, _, part in langid.chunks(batch, "text", rows=langid._TEXTS):
+        assert len(langid.bundles(part)) == len(part) <= langid._TEXTS
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+
+
 def test_keep_known_keeps_columns_and_short_texts(spark):
     df = labelled(spark)
     kept = langid.keep_known(df.union(spark.createDataFrame([(50, "ξένη γλώσσα " * 60, None, "x", 0.5)], df.schema)), langid.train(df))
