@@ -3,8 +3,10 @@
 A document's set holds the 64-bit hashes of its distinct n-word shingles (words are runs of anything but ASCII white
 space, A-Z lower-cased; a shorter text is one shingle). Two documents link when 100 * |intersection| >= percent * |union|.
 
-1. One global order of shingles: rare before frequent, by a sketch of the counts over all documents, then by hash. The
-   order only steers the work, so the sketch's collisions cost time and never a link.
+1. One global order of shingles: rare before frequent, by their counts over all documents, then by hash. Tasks send the
+   different shingles of a chunk of documents to the slices that count them, one entry for each of few documents or one
+   for many; an answer comes back for those that other documents hold as well. Shingles of one document alone come
+   first in the order, and no answer is needed for them. Slices grow in number with the input.
 2. Linked sets share a shingle among the first |x| - ceil(percent * |x| / 100) + 1 of each, and their sizes are within
    percent of each other. Documents that chain together by such shingles and sizes, first within a task and then, one row
    for each task and shingle, across tasks, form a family; no link leaves a family. Most documents are a family alone.
@@ -24,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,9 @@ from pyspark.sql import functions as F
 from ionloom.llm.common import bounded_batches, chunks, id_filter, materialize, maybe_in, mix, word_hashes
 from ionloom.llm.graph import components
 
-#: Slots of the count sketch (a byte each, sent to every task, whatever the input) and the slices in which it is summed.
-SLOTS, SLICES = 1 << 24, 64
+#: Slices in which shingles are counted at least, bytes of text for each, and documents of a chunk up to which a shingle
+#: is sent for each of them.
+SLICES, SLICE_BYTES, SENT_EACH = 64, 64 << 20, 8
 #: Sets and shingles of a block, about; bytes of text of which a task forms its own families at once.
 BLOCK_SETS, BLOCK_SHINGLES, LOCAL_BYTES = 128, 400_000, 32 << 20
 #: Rounds in which the heads of blocks meet; what they leave apart is for the exact probes.
@@ -68,48 +70,146 @@ def shingle_sets(texts: list[bytes | None], n: int) -> list[np.ndarray]:
     return out
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(40)).astype(np.int64)
+def _token(h: np.ndarray, slices: int) -> np.ndarray:
+    """What stands for a shingle in the order: its slice and 32 more bits."""
+    return ((h >> np.uint64(40)) % np.uint64(slices) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
 
 
-def _sketch(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.uint8)  # of one task, up to 255
-        for batch in batches:
-            for _, _, texts in chunks(batch, "text"):
-                slots, seen = np.unique(_slot(np.concatenate(shingle_sets(texts, n))), return_counts=True)
-                counts[slots] = np.minimum(counts[slots] + seen, 255)
-        parts = counts.reshape(SLICES, -1)
-        used = [k for k in range(SLICES) if parts[k].any()]
-        yield pa.record_batch({"slice": pa.array(used, pa.int32()), "counts": pa.array([zlib.compress(parts[k].tobytes(), 1) for k in used], pa.binary())})
+def _digest(s: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
-    return run
 
+#: Rows between the steps of the count: tokens of one chunk and slice with the document of the chunk that holds each, and
+#: the count or level of each; slice -1 is the chunk's own table of documents, with the tokens that many of them hold.
+SENT = "chunk long, slice int, tokens binary, docs binary, counts binary, ids array<long>, nodes array<long>, sizes array<long>"
+_MANY = 0xFFFFFFFF
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, part in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
-            total[k] = total.get(k, 0) + np.frombuffer(zlib.decompress(part.as_py()), np.uint8).astype(np.uint64)
-    levels = [np.ceil(np.log2(v + 1)).astype(np.uint8) for v in total.values()]
-    yield pa.record_batch({"slice": pa.array(list(total), pa.int32()), "levels": pa.array([zlib.compress(v.tobytes(), 1) for v in levels], pa.binary())})
 
+def _row(chunk: int, slice_: int, tokens: np.ndarray, docs: np.ndarray, counts: np.ndarray, ids=None, nodes=None, sizes=None) -> pa.RecordBatch:
+    long = pa.list_(pa.int64())
+    return pa.record_batch({
+        "chunk": pa.array([chunk], pa.int64()), "slice": pa.array([slice_], pa.int32()), "tokens": pa.array([tokens.tobytes()], pa.binary()), "docs": pa.array([docs.astype("<u4").tobytes()], pa.binary()),
+        "counts": pa.array([counts.tobytes()], pa.binary()), "ids": pa.array([ids], long), "nodes": pa.array([nodes], long), "sizes": pa.array([sizes], long),
+    })
 
-def _order(sent) -> np.ndarray:
-    levels = np.zeros((SLICES, SLOTS // SLICES), np.uint8)
-    for k, v in sent.items():
-        levels[k] = np.frombuffer(zlib.decompress(v), np.uint8)
-    return levels.reshape(-1)
 
+def _chunk_rows(ids: list, sets: list[np.ndarray], nodes: list[int], chunk: int, slices: int) -> Iterator[pa.RecordBatch]:
+    """What one chunk of documents sends to the slices, and its own table. Equal sets are sent once."""
+    first = {k: i for i, k in reversed(list(enumerate(nodes)))}
+    sent = [i for i, k in enumerate(nodes) if first[k] == i and len(sets[i])]
+    token = _token(np.concatenate([sets[i] for i in sent]), slices) if sent else np.zeros(0, np.uint64)
+    doc = np.repeat(np.array(sent, np.int64), [len(sets[i]) for i in sent]) if sent else np.zeros(0, np.int64)
+    order = np.argsort(token, kind="stable")
+    token, doc = token[order], doc[order]
+    begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
+    length = np.diff(begin, append=len(token))
+    many = np.repeat(length > SENT_EACH, length)
+    yield _row(chunk, -1, token[many], doc[many], np.zeros(0, np.uint8), ids, nodes, [len(x) for x in sets])
+    hot = begin[length > SENT_EACH]
+    token = np.concatenate([token[~many], token[hot]])
+    doc = np.concatenate([doc[~many], np.full(len(hot), _MANY)])
+    counts = np.concatenate([np.ones(len(token) - len(hot), np.uint32), length[length > SENT_EACH].astype(np.uint32)])
+    order = np.argsort(token >> np.uint64(32), kind="stable")
+    token, doc, counts = token[order], doc[order], counts[order]
+    edge = np.searchsorted(token >> np.uint64(32), np.arange(slices + 1))
+    for k in np.flatnonzero(np.diff(edge)).tolist():
+        own = slice(edge[k], edge[k + 1])
+        yield _row(chunk, k, token[own].astype("<u4"), doc[own], counts[own] if (doc[own] == _MANY).any() else np.zeros(0, np.uint32))
+
+
+def _send(n: int, slices: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sets, nodes, held, chunk = [], [], [], 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for start, stop, texts in chunks(batch, "text"):
+                ids += batch.column("doc_id").slice(start, stop - start).to_pylist()
+                new = shingle_sets(texts, n)
+                sets += new
+                nodes += [_digest(s) for s in new]
+                held += sum(len(t or b"") for t in texts)
+                if held >= LOCAL_BYTES:
+                    yield from _chunk_rows(ids, sets, nodes, chunk, slices)
+                    ids, sets, nodes, held, chunk = [], [], [], 0, chunk + 1
+        if ids:
+            yield from _chunk_rows(ids, sets, nodes, chunk, slices)
 
-def _digest(s: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+    return run
 
 
-def _prefix(s: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The leading shingles of a sorted set in the global order that any linked set shares one of."""
-    need = -(-percent * len(s) // 100)
-    return s[np.argsort(levels[_slot(s)], kind="stable")[: len(s) - need + 1]]
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts the tokens of one slice after the other; rows come sorted by slice. Tokens that occur once get no answer,
+    the others their level, the logarithm of the count in eighths of a power of two."""
+    now, held = None, []
+
+    def reply() -> Iterator[pa.RecordBatch]:
+        tokens = [np.frombuffer(r["tokens"], "<u4") for r in held]
+        counts = [np.frombuffer(r["counts"], "<u4") if r["counts"] else np.ones(len(t), np.uint32) for r, t in zip(held, tokens, strict=True)]
+        flat, count = np.concatenate(tokens), np.concatenate(counts).astype(np.int64)
+        order = np.argsort(flat, kind="stable")
+        begin = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
+        total = np.add.reduceat(count[order], begin)
+        level = np.empty(len(flat), np.uint8)
+        level[order] = np.repeat(np.where(total > 1, np.rint(8 * np.log2(total)), 0).astype(np.uint8), np.diff(begin, append=len(flat)))
+        at = 0
+        for r, t in zip(held, tokens, strict=True):
+            own, docs = level[at : at + len(t)], np.frombuffer(r["docs"], "<u4")
+            at += len(t)
+            keep = own > 0
+            if keep.any():
+                yield _row(r["chunk"], r["slice"], t[keep], docs[keep], own[keep])
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["slice"] != now:
+                if held:
+                    yield from reply()
+                now, held = r["slice"], []
+            held.append(r)
+    if held:
+        yield from reply()
+
+
+def _prefixes(rows: list[dict], percent: int) -> tuple[list, list[tuple[int, int, np.ndarray]]]:
+    """(ids, (node, size, tokens of the prefix) of each document) of one chunk: of the leading shingles in the global order
+    that any linked set shares one of, those that other documents hold."""
+    own = next(r for r in rows if r["slice"] == -1)
+    tokens, docs, levels = [], [], []
+    known_token, known_level = [], []
+    for r in rows:
+        if r["slice"] < 0:
+            continue
+        t = np.frombuffer(r["tokens"], "<u4").astype(np.uint64) | (np.uint64(r["slice"]) << np.uint64(32))
+        d, v = np.frombuffer(r["docs"], "<u4"), np.frombuffer(r["counts"], np.uint8)
+        many = d == _MANY
+        tokens.append(t[~many])
+        docs.append(d[~many])
+        levels.append(v[~many])
+        known_token.append(t[many])
+        known_level.append(v[many])
+    hot = np.frombuffer(own["tokens"], np.uint64)
+    if len(hot):
+        names, values = np.concatenate(known_token), np.concatenate(known_level)
+        by = np.argsort(names)
+        tokens.append(hot)
+        docs.append(np.frombuffer(own["docs"], "<u4"))
+        levels.append(values[by][np.searchsorted(names[by], hot)])
+    sizes = np.array(own["sizes"], np.int64)
+    empty = np.zeros(0, np.uint64)
+    prefix = {}
+    if tokens:
+        t, d, v = np.concatenate(tokens), np.concatenate(docs).astype(np.int64), np.concatenate(levels)
+        order = np.lexsort((t, v, d))
+        t, d, v = t[order], d[order], v[order]
+        begin = np.searchsorted(d, np.arange(len(sizes)))
+        shared = np.bincount(d, minlength=len(sizes))
+        need = -(-percent * sizes // 100)
+        take = (sizes - need + 1) - (sizes - shared)  # the shingles of no other document come first
+        for i in np.flatnonzero((take > 0) & (sizes > 0)).tolist():
+            end = begin[i] + min(int(take[i]), int(shared[i]))
+            while end < begin[i] + shared[i] and t[end] == t[end - 1]:  # shingles of one token have no order
+                end += 1
+            prefix[own["nodes"][i]] = t[begin[i] : end]
+    return own["ids"], [(k, int(n), prefix.get(k, empty)) for k, n in zip(own["nodes"], sizes.tolist(), strict=True)]
 
 
 def _find(parent: list[int], i: int) -> int:
@@ -121,7 +221,7 @@ def _find(parent: list[int], i: int) -> int:
 
 def _families(ids: list, sets: list[tuple[int, int, np.ndarray]], percent: int, base: int) -> pa.RecordBatch:
     """One row for each document: its node, its size, the number of its family in this task (from ``base`` on), and on one
-    row of the family the shingles, cut to 48 bits, with the range of sizes by which the family may chain to others."""
+    row of the family the tokens of the shingles with the range of sizes by which the family may chain to others."""
     size = np.array([n for _, n, _ in sets], np.int64)
     filled = [i for i, (_, n, _) in enumerate(sets) if n]
     parent = list(range(len(sets)))
@@ -144,24 +244,28 @@ def _families(ids: list, sets: list[tuple[int, int, np.ndarray]], percent: int,
     take = lambda values: pa.array([values[by[a:b]] if b > a else None for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.list_(pa.int64()))
     return pa.record_batch({
         "doc_id": pa.array(ids, pa.int64()), "node": pa.array([k for k, _, _ in sets], pa.int64()), "n": pa.array(size), "root": pa.array([base + r for r in root], pa.int64()),
-        "w": take((w >> np.uint64(16)).astype(np.int64)[first]), "range": take((length[first] << 32) + length[last]),
+        "w": take(w.astype(np.int64)[first]), "range": take((length[first] << 32) + length[last]),
     })
 
 
-def _index(n: int, percent: int, sent):
+def _index(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = _order(sent.value)
-        ids, sets, held, base = [], [], 0, TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for start, stop, texts in chunks(batch, "text"):
-                ids += batch.column("doc_id").slice(start, stop - start).to_pylist()
-                sets += [(_digest(s), len(s), _prefix(s, levels, percent) if len(s) else s) for s in shingle_sets(texts, n)]
-                held += sum(len(t or b"") for t in texts)
-                if held >= LOCAL_BYTES:
-                    yield _families(ids, sets, percent, base)
-                    ids, sets, held, base = [], [], 0, base + len(ids)
-        if ids:
+        base, held = TaskContext.get().partitionId() << 32, []
+
+        def index() -> Iterator[pa.RecordBatch]:
+            nonlocal base
+            ids, sets = _prefixes(held, percent)
             yield _families(ids, sets, percent, base)
+            base += len(ids)
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if held and r["chunk"] != held[0]["chunk"]:
+                    yield from index()
+                    held = []
+                held.append(r)
+        if held:
+            yield from index()
 
     return run
 
@@ -370,9 +474,12 @@ def link_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     spark = df.sparkSession
     bounded_batches(spark)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = docs.select("text").mapInArrow(_sketch(n), "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_add_up, "slice int, levels binary")
-    sent = spark.sparkContext.broadcast({r.slice: bytes(r.levels) for r in parts.collect()})  # SLOTS bytes at most
-    index = materialize(docs.mapInArrow(_index(n, percent, sent), "doc_id long, node long, n long, root long, w array<long>, range array<long>"), "ngram-index")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    slices = max(SLICES, math.ceil(size / SLICE_BYTES))
+    asked = materialize(docs.mapInArrow(_send(n, slices), SENT), "ngram-sent")  # chunks keep their numbers
+    answers = asked.where("slice >= 0").repartition(slices, "slice").sortWithinPartitions("slice").mapInArrow(_answer, SENT)
+    chunked = answers.unionByName(asked.where("slice < 0")).repartition("chunk").sortWithinPartitions("chunk", "slice")
+    index = materialize(chunked.mapInArrow(_index(percent), "doc_id long, node long, n long, root long, w array<long>, range array<long>"), "ngram-index")
 
     tokens = index.where(F.col("w").isNotNull()).select("root", F.explode(F.arrays_zip("w", "range")).alias("t")).select("root", "t.w", "t.range")
     edges = tokens.repartition(F.col("w")).sortWithinPartitions("w", "range").mapInArrow(_chains(percent), "a long, b long")
