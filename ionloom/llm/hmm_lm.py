@@ -1,15 +1,18 @@
 """A hidden Markov language model over word tokens, trained by Baum-Welch across partitions.
 
-Tokens are the words of a text, runs of anything but ASCII white space with A-Z lower-cased, and one end. Each word
-belongs to one of ``classes`` classes by its hash, the end to a class of its own. Latent states emit classes and a class
-emits its words by their smoothed counts, so that the model that every task needs has a fixed size while the counts hold
-every word of the corpus: P(text) = sum over state paths of prod A * B(class | state), times prod P(word | class), with
-P(word | class) = (c + 1) / (N_class + V_class + 1); the last unit is for all words of the class that training didn't see.
+Tokens are the words of a text, runs of anything but ASCII white space with A-Z lower-cased, and one end. Latent states
+emit symbols: each of the at most ``SENT_WORDS`` most frequent words is one, the end is one, and the other words share
+``CLASSES`` by their hash. A class emits its words by their smoothed counts, so the model that every task needs has a
+bounded size while the counts hold every word of the corpus: P(text) = sum over state paths of prod A * B(symbol | state),
+times prod P(word | symbol), which is 1 for a word of its own and else (c + 1) / (N_class + V_class + 1); the last unit is
+for all words of the class that training didn't see.
 
 Expected counts leave the tasks as whole multiples of 2**-16, so their sums don't depend on how Spark groups them.
-Training reads every training document in every round, in segments of ``SEGMENT`` tokens so that many advance together;
-scoring runs the scaled forward recursion over whole texts. Counts of frequent words travel to the tasks as a table of
-bounded size, those of all others are joined.
+Training reads every whole training document in every round; texts advance together, and those of more than ``BLOCK``
+tokens keep one state for each block and compute the rest again on the way back, so memory is bounded and nothing is cut.
+Rounds end when one has gained less than ``LEAST_GAIN`` in log10 probability a token, and after ``ROUNDS``. Scoring runs
+the scaled forward recursion over whole texts. Counts of frequent words travel to the tasks as a table of bounded size,
+those of all others are joined.
 
 A null text is an empty one, which is the end alone. Repeated rows are scored and counted each. Without a training
 document N = V = 0 and the model is uniform. No rows give no rows. Extra columns are ignored.
@@ -18,7 +21,7 @@ document N = V = 0 and the model is uniform. No rows give no rows. Extra columns
 from __future__ import annotations
 
 import math
-import secrets
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,9 +32,10 @@ from pyspark.sql import functions as F
 
 from ionloom.llm.common import CHUNK_BYTES, bounded_batches, chunks, materialize, mix, word_hashes
 
-#: Latent states, word classes, rounds of Baum-Welch, tokens of a training segment, and bytes of text that advance together.
-STATES, CLASSES, ROUNDS, SEGMENT, BATCH_BYTES = 8, 4096, 5, 128, 4 << 20
-#: Words whose counts are sent to every task, at most.
+#: Latent states, word classes, rounds of Baum-Welch at most and the gain below which they end, tokens of a text whose
+#: states are held at once, and bytes of text that advance together.
+STATES, CLASSES, ROUNDS, LEAST_GAIN, BLOCK, BATCH_BYTES = 8, 4096, 6, 0.004, 1 << 15, 4 << 20
+#: Words whose counts are sent to every task, at most, and which are symbols of their own.
 SENT_WORDS = 1 << 16
 _UNIT = 1 << 16
 #: The hash that stands for the end of a text.
@@ -40,12 +44,17 @@ END = np.uint64(0x9D39247E33776D41)
 
 @dataclass
 class Model:
-    """start (states), move (states x states) and emit (states x classes + 1) probabilities; log10 of N_class + V_class + 1."""
+    """start (states), move (states x states) and emit (states x symbols) probabilities; the sorted hashes of the words that
+    are symbols of their own; and what log10 P(word | symbol) subtracts from log10(c + 1)."""
 
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray
     within: np.ndarray
+    heads: np.ndarray
+
+    def symbols(self, h: np.ndarray) -> np.ndarray:
+        return symbols_of(h, self.emit.shape[1] - 1 - len(self.heads), self.heads)
 
 
 def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -71,14 +80,23 @@ def class_of(h: np.ndarray, classes: int) -> np.ndarray:
     return np.where(h == END, classes, (mix(h) % np.uint64(classes)).astype(np.int64))
 
 
-def _first_model(states: int, share: np.ndarray) -> Model:
-    """Where Baum-Welch begins: sticky states that disagree at random about the classes."""
+def symbols_of(h: np.ndarray, classes: int, heads: np.ndarray) -> np.ndarray:
+    """Classes, then the end, then the heads."""
+    out = class_of(h, classes)
+    if len(heads):
+        place = np.minimum(np.searchsorted(heads, h), len(heads) - 1)
+        out = np.where(heads[place] == h, classes + 1 + place, out)
+    return out
+
+
+def _first_model(states: int, share: np.ndarray, classes: int) -> Model:
+    """Where Baum-Welch begins: sticky states that disagree at random about the symbols."""
     noise = np.random.Generator(np.random.PCG64(7)).gamma(2.0, size=(states, len(share)))
-    noise[:, -1] = 1
+    noise[:, classes] = 1
     emit = share * noise
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-    return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=1, keepdims=True), np.zeros(len(share)))
+    return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=1, keepdims=True), np.zeros(len(share)), np.zeros(0, np.uint64))
 
 
 def _layout(length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,38 +106,54 @@ def _layout(length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, (np.cumsum(length) - length)[order], running
 
 
-def expectations(obs: np.ndarray, length: np.ndarray, model: Model, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts (start, move, emit) over segments; ``first`` marks the segments that begin a text."""
-    states, n_classes = model.emit.shape
+def expectations(obs: np.ndarray, length: np.ndarray, model: Model, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts (start, move, emit) over whole sequences, and the natural log of their probability."""
+    states, n_symbols = model.emit.shape
     order, begin, running = _layout(length)
-    by_class, move = np.ascontiguousarray(model.emit.T.astype(np.float32)), model.move.astype(np.float32)
-    alphas, weights, scales = [], [], []
-    alpha = None
-    opening = first[order]
-    lead = np.where(opening[:, None], model.start, np.full(states, 1 / states)).astype(np.float32)
-    for t, n in enumerate(running.tolist()):
-        b = by_class[obs[begin[:n] + t]]
-        alpha = (lead[:n] if t == 0 else alpha[:n] @ move) * b
-        scale = alpha.sum(axis=1, keepdims=True)
-        alpha = alpha / scale
-        alphas.append(alpha)
-        weights.append(b)
-        scales.append(scale)
-    xi, gammas = np.zeros((states, states)), [None] * len(alphas)
-    beta = np.zeros((0, states), np.float32)
-    for t in range(len(alphas) - 1, -1, -1):
-        n = len(alphas[t])
-        new = np.ones((n, states), np.float32)
-        if len(beta):
-            inner = weights[t + 1] * beta / scales[t + 1]
-            xi += alphas[t][: len(beta)].T @ inner
-            new[: len(beta)] = inner @ move.T
-        beta = new
-        gammas[t] = alphas[t] * beta
-    seen = np.concatenate([obs[begin[:n] + t] for t, n in enumerate(running.tolist())])
-    gamma = np.concatenate(gammas)
-    emit = np.stack([np.bincount(seen, weights=gamma[:, k], minlength=n_classes) for k in range(states)])
-    return gammas[0][opening].sum(axis=0, dtype=np.float64), xi * model.move, emit
+    steps = running.tolist()
+    by_symbol, move = np.ascontiguousarray(model.emit.T.astype(np.float32)), model.move.astype(np.float32)
+    start = model.start.astype(np.float32)
+
+    def forward(first: int, stop: int, alpha: np.ndarray | None) -> tuple[list, list, list]:
+        """States, emissions and scales of the steps from ``first`` on; ``alpha`` is the state before."""
+        alphas, weights, scales = [], [], []
+        for t in range(first, stop):
+            n = steps[t]
+            b = by_symbol[obs[begin[:n] + t]]
+            alpha = (start if t == 0 else alpha[:n] @ move) * b
+            scale = alpha.sum(axis=1, keepdims=True)
+            alpha = alpha / scale
+            alphas.append(alpha)
+            weights.append(b)
+            scales.append(scale)
+        return alphas, weights, scales
+
+    blocks = list(range(0, len(steps), block))
+    before: list[np.ndarray | None] = [None]
+    for at in blocks[:-1]:  # only what a long text's later blocks begin with is kept
+        before.append(forward(at, at + block, before[-1])[0][-1])
+    xi, emit, opened, total = np.zeros((states, states)), np.zeros((states, n_symbols)), np.zeros(states), 0.0
+    beta, ahead = np.zeros((0, states), np.float32), None
+    for at, alpha in zip(reversed(blocks), reversed(before), strict=True):
+        alphas, weights, scales = forward(at, min(at + block, len(steps)), alpha)
+        total += sum(float(np.log(x, dtype=np.float64).sum()) for x in scales)
+        gammas = [None] * len(alphas)
+        for t in range(len(alphas) - 1, -1, -1):
+            new = np.ones((len(alphas[t]), states), np.float32)
+            if len(beta):
+                w, scale = (weights[t + 1], scales[t + 1]) if t + 1 < len(alphas) else ahead
+                inner = w * beta / scale
+                xi += alphas[t][: len(beta)].T @ inner
+                new[: len(beta)] = inner @ move.T
+            beta = new
+            gammas[t] = alphas[t] * beta
+        ahead = weights[0], scales[0]
+        seen = np.concatenate([obs[begin[:n] + at + t] for t, n in enumerate(steps[at : at + len(alphas)])])
+        gamma = np.concatenate(gammas)
+        emit += np.stack([np.bincount(seen, weights=gamma[:, k], minlength=n_symbols) for k in range(states)])
+        if at == 0:
+            opened = gammas[0].sum(axis=0, dtype=np.float64)
+    return opened, xi * model.move, emit, total
 
 
 def log_likelihood(obs: np.ndarray, length: np.ndarray, model: Model) -> np.ndarray:
@@ -143,36 +177,33 @@ def log_likelihood(obs: np.ndarray, length: np.ndarray, model: Model) -> np.ndar
     return out
 
 
-def _segments(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths of the segments of texts of these sizes, and which of them begin a text."""
-    parts = -(-size // SEGMENT)
-    of = np.repeat(np.arange(len(size)), parts)
-    place = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
-    return np.minimum(SEGMENT, size[of] - place * SEGMENT), place == 0
-
-
 def _expect(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        states, n_classes = model.emit.shape
-        total = np.zeros((states, 1 + states + n_classes), np.int64)
+        states, n_symbols = model.emit.shape
+        total, gained, n = np.zeros((states, 1 + states + n_symbols), np.int64), 0, 0
         for batch in batches:
             for _, _, texts in chunks(batch, "text", BATCH_BYTES):
                 h, size = tokens(texts)
-                length, first = _segments(size)
-                start, move, emit = expectations(class_of(h, n_classes - 1), length, model, first)
+                start, move, emit, log = expectations(model.symbols(h), size, model)
                 total += np.rint(np.concatenate([start[:, None], move, emit], axis=1) * _UNIT).astype(np.int64)
-        yield pa.record_batch({"state": pa.array(range(states), pa.int32()), "counts": pa.array([row.tobytes() for row in total], pa.binary())})
+                gained, n = gained + round(log * _UNIT), n + len(h)
+        parts = [zlib.compress(row.tobytes(), 1) for row in total] + [np.array([gained, n], np.int64).tobytes()]
+        yield pa.record_batch({"state": pa.array(range(states + 1), pa.int32()), "counts": pa.array(parts, pa.binary())})
 
     return run
 
 
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for state, counts in zip(batch.column("state").to_pylist(), batch.column("counts"), strict=True):
-            total[state] = total.get(state, 0) + np.frombuffer(counts.as_py(), np.int64)
-    yield pa.record_batch({"state": pa.array(list(total), pa.int32()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
+def _sum_counts(states: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for state, counts in zip(batch.column("state").to_pylist(), batch.column("counts"), strict=True):
+                raw = counts.as_py()
+                total[state] = total.get(state, 0) + np.frombuffer(zlib.decompress(raw) if state < states else raw, np.int64)
+        yield pa.record_batch({"state": pa.array(list(total), pa.int32()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
+
+    return run
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,26 +225,51 @@ def count_words(train: DataFrame) -> DataFrame:
     return materialize(train.select("text").mapInArrow(_count, "h long, c long, class long").groupBy("h", "class").agg(F.sum("c").alias("c")), "lm-counts")
 
 
-def fit(train: DataFrame, counts: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> Model:
+def frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(sorted hashes, counts) of the most frequent tokens, at most SENT_WORDS of them, and the count at which they begin."""
+    sizes = {r.size: r.words for r in counts.groupBy(F.floor(F.log2("c")).alias("size")).agg(F.count("*").alias("words")).collect()}  # 64 rows at most
+    least, held = 64, 0
+    while least and held + sizes.get(least - 1, 0) <= SENT_WORDS:
+        least -= 1
+        held += sizes.get(least, 0)
+    bound = 2 ** min(least, 62)
+    rows = counts.where(F.col("c") >= F.lit(bound)).select("h", "c").collect()  # SENT_WORDS rows at most
+    heads = np.array([r.h for r in rows], np.int64).view(np.uint64)
+    by = np.argsort(heads)
+    return heads[by], np.array([r.c for r in rows], np.float64)[by], bound
+
+
+def fit(train: DataFrame, counts: DataFrame, states: int = STATES, rounds: int = ROUNDS, least_gain: float = LEAST_GAIN) -> Model:
     """Baum-Welch over all rows of ``train``; ``counts`` are its word counts."""
     bounded_batches(train.sparkSession)
     context = train.sparkSession.sparkContext
-    share, within = np.ones(CLASSES + 1), np.zeros(CLASSES + 1)
-    for r in counts.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # CLASSES + 1 rows at most
+    heads, known, bound = frequent(counts)
+    own = heads != END
+    heads, known = heads[own], known[own]
+    share, within = np.ones(CLASSES + 1 + len(heads)), np.zeros(CLASSES + 1 + len(heads))
+    shared = counts.where((F.col("c") < F.lit(bound)) | (F.col("class") == CLASSES))
+    for r in shared.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # CLASSES + 1 rows at most
         share[r["class"]] += r.n
         within[r["class"]] = math.log10(r.n + r.v + (r["class"] < CLASSES))
+    share[CLASSES + 1 :] += known
+    within[CLASSES + 1 :] = np.log10(known + 1)
     share /= share.sum()
-    model = _first_model(states, share)
-    model.within = within
+    model = _first_model(states, share, CLASSES)
+    model.within, model.heads = within, heads
+    last = -math.inf
     for _ in range(rounds):
         sent = context.broadcast(model)
-        parts = train.select("text").mapInArrow(_expect(sent), "state int, counts binary").repartition(states, "state").mapInArrow(_sum_counts, "state int, counts binary")
-        rows = {r.state: np.frombuffer(bytes(r.counts), np.int64) / _UNIT for r in parts.collect()}  # a row for each state
-        if len(rows) < states:
+        parts = train.select("text").mapInArrow(_expect(sent), "state int, counts binary").repartition(states + 1, "state").mapInArrow(_sum_counts(states), "state int, counts binary")
+        rows = {r.state: np.frombuffer(bytes(r.counts), np.int64) for r in parts.collect()}  # a row for each state, and one
+        if len(rows) <= states or not rows[states][1]:
             break
-        total = np.stack([rows[k] for k in range(states)])
+        total = np.stack([rows[k] for k in range(states)]) / _UNIT
         start, move, emit = total[:, 0] + 1, total[:, 1 : 1 + states] + 1, total[:, 1 + states :] + states * share
-        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True), within)
+        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True), within, heads)
+        mean = rows[states][0] / _UNIT / math.log(10) / rows[states][1]  # of the model before this round
+        if mean - last < least_gain:
+            break
+        last = mean
     return model
 
 
@@ -224,7 +280,7 @@ def _score(sent, known):
         for batch in batches:
             for start, stop, texts in chunks(batch, "text", 2 * BATCH_BYTES):
                 h, size = tokens(texts)
-                obs = class_of(h, model.emit.shape[1] - 1)
+                obs = model.symbols(h)
                 edge = np.cumsum(size) - size
                 score = log_likelihood(obs, size, model) / math.log(10) - np.add.reduceat(model.within[obs], edge)
                 place = np.minimum(np.searchsorted(heads, h), max(0, len(heads) - 1))
@@ -239,7 +295,7 @@ def _score(sent, known):
                 cut = np.searchsorted(doc[new], np.arange(len(size) + 1)).astype(np.int32)
                 tails = pa.ListArray.from_arrays(pa.array(cut), pa.StructArray.from_arrays([pa.array(rare[new].view(np.int64)), pa.array(tf)], ["h", "tf"]))
                 yield pa.record_batch({
-                    "row": pa.array([secrets.randbits(63) for _ in texts], pa.int64()), "doc_id": batch.column("doc_id").slice(start, stop - start), "n_tokens": pa.array(size), "score": pa.array(score),
+                    "row": batch.column("row").slice(start, stop - start), "doc_id": batch.column("doc_id").slice(start, stop - start), "n_tokens": pa.array(size), "score": pa.array(score),
                     "known": pa.array(np.add.reduceat(hit.astype(np.int64), edge)), "logs": pa.array(np.add.reduceat(np.log10(c + 1), edge)), "tail": tails,
                 })
 
@@ -250,20 +306,13 @@ def score(df: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (both log10) for every row (doc_id, text) of ``df``."""
     bounded_batches(df.sparkSession)
     context = df.sparkSession.sparkContext
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = df.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n, v = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).first())
-    sizes = {r.size: r.words for r in counts.groupBy(F.floor(F.log2("c")).alias("size")).agg(F.count("*").alias("words")).collect()}  # 64 rows at most
-    least, held = 64, 0
-    while least and held + sizes.get(least - 1, 0) <= SENT_WORDS:
-        least -= 1
-        held += sizes.get(least, 0)
-    frequent = counts.where(F.col("c") >= F.lit(2**min(least, 62))).select("h", "c").collect()  # SENT_WORDS rows at most
-    heads = np.array([r.h for r in frequent], np.int64).view(np.uint64)
-    by = np.argsort(heads)
-    known = context.broadcast((heads[by], np.array([r.c for r in frequent], np.float64)[by]))
+    heads, times, bound = frequent(counts)
+    known = context.broadcast((heads, times))
     scored = docs.mapInArrow(_score(context.broadcast(model), known), "row long, doc_id long, n_tokens long, score double, known long, logs double, tail array<struct<h:long,tf:long>>")
-    scored = materialize(scored, "lm-scored")
-    rare = counts.where(F.col("c") < F.lit(2**min(least, 62))).select(F.col("h").alias("word"), "c")
+    scored = materialize(scored, "lm-scored")  # rows keep their numbers from here on
+    rare = counts.where(F.col("c") < F.lit(bound)).select(F.col("h").alias("word"), "c")
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.h", "t.tf")
     summed = tail.join(rare, tail["h"] == rare["word"]).groupBy(F.col("row").alias("of")).agg(F.sum("tf").alias("more"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("more_logs"))
     joined = scored.drop("tail").join(summed, scored["row"] == summed["of"], "left")
