@@ -229,14 +229,35 @@ def paths(obs, model):
 def test_forward_and_baum_welch_against_all_paths():
     rng = np.random.default_rng(2)
     draw = lambda *s: (lambda x: x / x.sum(axis=-1, keepdims=True))(rng.random(s))
-    model = hmm_lm.Model(draw(3), draw(3, 3), draw(3, 5), np.zeros(5))
+    none = np.zeros(0, np.uint64)
+    model = hmm_lm.Model(draw(3), draw(3, 3), draw(3, 5), np.zeros(5), none)
     length = np.array([4, 1, 6])
     obs = rng.integers(0, 5, length.sum())
     parts = np.split(obs, np.cumsum(length)[:-1])
     want = [paths(p.tolist(), model) for p in parts]
     assert np.allclose(hmm_lm.log_likelihood(obs, length, model), np.log([w[0] for w in want]))
-    start, move, emit = hmm_lm.expectations(obs, length, model, np.ones(3, bool))
-    assert np.allclose(start, sum(w[1] for w in want), atol=1e-5) and np.allclose(move, sum(w[2] for w in want), atol=1e-5) and np.allclose(emit, sum(w[3] for w in want), atol=1e-5)
+    for block in (100, 4, 2, 1):  # whole texts, however few tokens are held at once
+        start, move, emit, total = hmm_lm.expectations(obs, length, model, block)
+        assert np.allclose(start, sum(w[1] for w in want), atol=1e-5) and np.allclose(move, sum(w[2] for w in want), atol=1e-5) and np.allclose(emit, sum(w[3] for w in want), atol=1e-5)
+        assert total == pytest.approx(sum(math.log(w[0]) for w in want), abs=1e-4)
+
+
+def test_states_tell_frequent_words_apart():
+    words = hmm_lm.tokens([b"a b c d"])[0][:4]
+    heads = np.sort(words[:2])
+    model = hmm_lm.Model(np.ones(1), np.ones((1, 1)), np.ones((1, 7 + 1 + 2)), np.zeros(10), heads)
+    got = model.symbols(np.concatenate([words, [hmm_lm.END]]))
+    assert set(got[:2].tolist()) == {8, 9} and got[4] == 7 and (got[2:4] < 7).all()
+
+
+def test_held_out_texts_gain_over_the_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    train = docs.where(~hmm_lm.held_out(F.col("doc_id")))
+    counts = hmm_lm.count_words(train)
+    scored = hmm_lm.score(docs.where(hmm_lm.held_out(F.col("doc_id"))), counts, hmm_lm.fit(train, counts))
+    gain = scored.agg((F.sum("score") - F.sum("base_score")) / F.sum("n_tokens")).first()[0]
+    print("held-out gain", gain)
+    assert gain > 0.13
 
 
 def test_probabilities_of_all_short_texts_sum_to_one():
@@ -244,7 +265,7 @@ def test_probabilities_of_all_short_texts_sum_to_one():
     rng = np.random.default_rng(3)
     emit = rng.random((2, 4))
     emit /= emit.sum(axis=1, keepdims=True)
-    model = hmm_lm.Model(np.array([0.3, 0.7]), np.array([[0.6, 0.4], [0.1, 0.9]]), emit, np.zeros(4))
+    model = hmm_lm.Model(np.array([0.3, 0.7]), np.array([[0.6, 0.4], [0.1, 0.9]]), emit, np.zeros(4), np.zeros(0, np.uint64))
     end = 3
     ended = sum(math.exp(hmm_lm.log_likelihood(np.array([*w, end]), np.array([len(w) + 1]), model)[0]) for w in [()] + [(a,) for a in range(3)] + [(a, b) for a in range(3) for b in range(3)])
     running = sum(math.exp(hmm_lm.log_likelihood(np.array([a, b, c]), np.array([3]), model)[0]) for a in range(3) for b in range(3) for c in range(3))
