@@ -1,17 +1,23 @@
 """Offset-preserving SentencePiece encoding.
 
 Texts are normalised by the model's compiled character map: at every position the longest key of the map's double-array
-trie is replaced, and each output byte records the source byte that it came from. A piece covers a run of normalised
-bytes, so its span in the original text follows from the recorded alignment. The ids come from the sentencepiece library,
-chunk by chunk inside the tasks.
+trie is replaced, and each output byte records the source byte that it came from. The normalised text is cut into segments
+that no piece reaches across (spaces and the word behind them), and each segment's characters are merged, best piece
+first; what no piece covers becomes byte pieces. A piece covers a run of normalised bytes, so its span in the original
+text follows from the recorded alignment. Segments recur, so their ids are remembered within a task. The tests hold the
+ids against the sentencepiece library, which does the decoding. Models of another kind (no merges, no byte pieces, pieces
+across words, pieces defined by the user) are encoded by the library, and their spans come from the widths of its pieces.
 
 A null text is an empty text. Texts are encoded whole, however long. Ids and spans belong to one row each, so ties and
-repeated rows need no rule; no rows give no rows. Extra columns are ignored.
+repeated rows need no rule; no rows give no rows. A text whose pieces don't cover its normalised bytes, which no model we
+know brings about, has null spans and keeps its ids. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
+import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,6 +32,9 @@ from sentencepiece import sentencepiece_model_pb2
 from ionloom.llm.common import bounded_batches, chunks
 
 _SPACE = "▁".encode()  # stands for a space in pieces
+_SEGMENT = re.compile("▁*[^▁]+|▁+")
+#: Segments whose ids a task remembers; it forgets all when there are more, and longer ones at once.
+REMEMBERED, REMEMBERED_CHARS = 1 << 18, 64
 
 
 class Normaliser:
@@ -119,17 +128,67 @@ class Encoder:
         none = (kinds.CONTROL, kinds.UNKNOWN)
         self.width = np.array([1 if p.type == kinds.BYTE else 0 if p.type in none else len(p.piece.encode()) for p in proto.pieces], np.int64)
         self.unknown = self.model.unk_id()
-
-    def spans(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.scores = {p.piece: (p.score, i) for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
+        self.bytes = [i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE]
+        self.frame = [self.model.bos_id()], [self.model.eos_id()]
+        odd = any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) or re.search("[^▁]▁", p.piece) for p in proto.pieces)
+        self.merges = proto.trainer_spec.model_type == proto.trainer_spec.BPE and len(self.bytes) == 256 and not odd and min(*self.frame[0], *self.frame[1]) >= 0
+        self.known: dict[str, list[int]] = {}
+
+    def segment(self, text: str) -> list[int]:
+        """Ids of one segment: of all neighbours that make a piece, the best first, ties to the left."""
+        left, right = list(range(-1, len(text) - 1)), list(range(1, len(text) + 1))
+        part: list[str | None] = list(text)
+        queue: list[tuple[float, int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            if i >= 0 and j < len(part) and (found := self.scores.get(part[i] + part[j])):
+                heapq.heappush(queue, (-found[0], i, j, len(part[i]) + len(part[j])))
+
+        for i in range(len(text) - 1):
+            offer(i, i + 1)
+        while queue:
+            _, i, j, size = heapq.heappop(queue)
+            if part[i] is None or part[j] is None or right[i] != j or len(part[i]) + len(part[j]) != size:
+                continue
+            part[i], part[j] = part[i] + part[j], None
+            right[i] = right[j]
+            if right[i] < len(part):
+                left[right[i]] = i
+            offer(left[i], i)
+            offer(i, right[i])
+        out: list[int] = []
+        for piece in part:
+            if piece is not None:
+                found = self.scores.get(piece)
+                out += [found[1]] if found else [self.bytes[b] for b in piece.encode()]
+        return out
+
+    def ids(self, text: bytes, normal: bytes) -> list[int]:
+        """Ids of a text with begin and end; ``normal`` is what the normaliser made of it."""
+        if not self.merges:
+            return self.model.encode(text.decode("utf-8", "replace"), add_bos=True, add_eos=True)
+        out, known = list(self.frame[0]), self.known
+        for part in _SEGMENT.findall(normal.decode("utf-8", "replace")):
+            ids = known.get(part)
+            if ids is None:
+                ids = self.segment(part)
+                if len(part) <= REMEMBERED_CHARS:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[part] = ids
+            out += ids
+        return out + self.frame[1]
+
+    def spans(self, text: bytes, ids: np.ndarray, normal: bytes, source: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
         """Byte spans in ``text`` of the pieces ``ids``, begin and end ids included with empty spans."""
-        normal, source = self.normaliser(text)
         width = self.width[ids]
-        if (ids == self.unknown).any():  # only models without byte pieces have unknown runs; their width is in the library's answer
-            pieces = self.model.encode(text.decode("utf-8", "replace"), out_type="immutable_proto").pieces
+        if not self.merges and (ids == self.unknown).any():  # unknown runs, whose width is in the library's answer
+            pieces = self.model.encode(text.decode("utf-8", "replace"), return_type="proto").pieces
             width[1:-1] = [len(p.piece.encode()) for p in pieces]
         ends = np.cumsum(width)
         if ends.size and ends[-1] != len(normal):
-            raise ValueError("the pieces don't cover the normalised text")
+            return None
         return source[ends - width], source[ends]
 
 
@@ -138,27 +197,29 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _encode(path: str, arrays: bool):
+def _encode(path: str, arrays: tuple[str, ...], digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
             for start, stop, raw in chunks(batch, "text"):
-                texts = [(t or b"").decode("utf-8", "replace") for t in raw]
-                ids = coder.model.encode(texts, num_threads=1, add_bos=True, add_eos=True)
-                decoded = coder.model.decode(ids, num_threads=1)
-                ids = [np.array(x, np.int64) for x in ids]
-                spans = [coder.spans(t.encode(), x) for t, x in zip(texts, ids, strict=True)]
+                texts = [t or b"" for t in raw]
+                normals = [coder.normaliser(t) for t in texts]
+                lists = [coder.ids(t, normal) for t, (normal, _) in zip(texts, normals, strict=True)]
+                decoded = coder.model.decode(lists, num_threads=1)
+                ids = [np.array(x, np.int64) for x in lists]
+                spans = [coder.spans(t, x, *normal) for t, x, normal in zip(texts, ids, normals, strict=True)]
                 out = {
                     "doc_id": batch.column("doc_id").slice(start, stop - start),
                     "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                    "n_bytes_spanned": pa.array([int((e - b).sum()) for b, e in spans], pa.int64()),
+                    "n_bytes_spanned": pa.array([int((s[1] - s[0]).sum()) if s else None for s in spans], pa.int64()),
+                    "spans_sha256": pa.array([hashlib.sha256(b"".join(x.astype("<u8").tobytes() for x in s)).hexdigest() if s else None for s in spans], pa.string()),
                     "ids_le": pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
                     "decoded": pa.array(decoded, pa.string()),
                 }
-                if arrays:
-                    for name, values in (("ids", ids), ("begins", [b for b, _ in spans]), ("ends", [e for _, e in spans])):
+                for name, values in (("ids", ids), ("begins", [s and s[0] for s in spans]), ("ends", [s and s[1] for s in spans])):
+                    if name in arrays:
                         out[name] = pa.array(values, pa.list_(pa.int64()))
-                else:  # the digests leave the task, not the bytes
+                if digests:  # the digests leave the task, not the bytes
                     out["ids_le"] = pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in out["ids_le"]], pa.string())
                     out["decoded"] = pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string())
                 yield pa.record_batch(out)
@@ -166,17 +227,20 @@ def _encode(path: str, arrays: bool):
     return run
 
 
-def encode(df: DataFrame, model_path: str, digests: bool = False) -> DataFrame:
+def encode(df: DataFrame, model_path: str, digests: bool = False, with_ids: bool = False) -> DataFrame:
     """Encode every whole text with begin and end ids and decode it again.
 
-    Returns doc_id, n_tokens, n_bytes_spanned (source bytes under all pieces), ids, begins and ends (byte spans in the
-    original text, one for each id), ids_le (the ids as little-endian 32-bit integers) and decoded. With ``digests``
-    the last two are the SHA-256 of their bytes (ids_sha256, decoded_sha256) and the arrays stay out, so that nothing
+    Returns doc_id, n_tokens, n_bytes_spanned (source bytes under all pieces), spans_sha256 (of all begins and then all
+    ends as little-endian 64-bit integers), ids, begins and ends (byte spans in the original text, one for each id), ids_le
+    (the ids as little-endian 32-bit integers) and decoded. With ``digests`` the last two are the SHA-256 of their bytes
+    (ids_sha256, decoded_sha256) and the arrays stay out, but for the ids if ``with_ids``, so that nothing else that is
     long leaves the tasks. Executors read the model from ``model_path``.
     """
     bounded_batches(df.sparkSession)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    head = "doc_id long, n_tokens long, n_bytes_spanned long, spans_sha256 string"
     if digests:
-        out = docs.mapInArrow(_encode(model_path, False), "doc_id long, n_tokens long, n_bytes_spanned long, ids_le string, decoded string")
+        ids = ("ids",) if with_ids else ()
+        out = docs.mapInArrow(_encode(model_path, ids, True), f"{head}, ids_le string, decoded string" + ", ids array<long>" * with_ids)
         return out.withColumnsRenamed({"ids_le": "ids_sha256", "decoded": "decoded_sha256"})
-    return docs.mapInArrow(_encode(model_path, True), "doc_id long, n_tokens long, n_bytes_spanned long, ids_le binary, decoded string, ids array<long>, begins array<long>, ends array<long>")
+    return docs.mapInArrow(_encode(model_path, ("ids", "begins", "ends"), False), f"{head}, ids_le binary, decoded string, ids array<long>, begins array<long>, ends array<long>")

@@ -5,13 +5,17 @@ import math
 import struct
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2
 
 from ionloom.llm import hmm_lm, langid, sptok
 from ionloom.llm.common import word_hashes
@@ -50,6 +54,7 @@ def test_language_bundles_are_the_sums_of_their_grams():
 def brute_languages(rows):
     """(doc_id, language, cosine) by adding up one n-gram at a time."""
 
+    @lru_cache(maxsize=None)
     def bound(gram):
         out = np.ones(langid.DIM, np.int64)
         for place, letter in enumerate(reversed(gram)):
@@ -124,6 +129,7 @@ def test_sentencepiece_is_the_library(spark):
         assert list(r.ids) == ids and r.decoded == model.decode(ids) and bytes(r.ids_le) == struct.pack(f"<{len(ids)}I", *ids)
         raw = text.encode()
         assert b"".join(raw[a:b] for a, b in zip(r.begins, r.ends, strict=True)) == raw and r.n_bytes_spanned == len(raw)
+        assert r.spans_sha256 == hashlib.sha256(struct.pack(f"<{2 * len(ids)}Q", *r.begins, *r.ends)).hexdigest()
     for r in sptok.encode(df, MODEL, digests=True).collect():
         ids = model.encode(([*TEXTS, None][r.doc_id]) or "", add_bos=True, add_eos=True)
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
@@ -175,6 +181,41 @@ def test_normaliser_takes_the_longest_prefix_and_records_its_source():
     assert sptok.Normaliser(Mapped)(b"   ")[0] == b""
 
 
+@given(st.text(st.one_of(st.sampled_from(list("  \n▁aeihnorst.,é漢<0xs>/")), st.characters(codec="utf-8"))))
+@settings(max_examples=400, deadline=None)
+def test_merges_are_the_library_s(text):
+    coder = sptok.encoder(MODEL)
+    normal, source = coder.normaliser(text.encode())
+    ids = coder.ids(text.encode(), normal)
+    assert coder.merges and ids == coder.model.encode(text, add_bos=True, add_eos=True)
+    begins, ends = coder.spans(text.encode(), np.array(ids), normal, source)
+    assert b"".join(text.encode()[a:b] for a, b in zip(begins, ends, strict=True)) == text.encode()
+
+
+def test_merges_of_real_and_long_texts(spark):
+    coder = sptok.encoder(MODEL)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in [*texts, "漢字かな交じり文" * 3000, "abcdefgh" * 5000, " " * 3000 + "x"]:
+        assert coder.ids(text.encode(), coder.normaliser(text.encode())[0]) == coder.model.encode(text, add_bos=True, add_eos=True)
+
+
+def test_spans_of_a_model_with_a_character_map(spark, tmp_path):
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(sentencepiece.SentencePieceProcessor(model_file=MODEL).serialized_model_proto())
+    proto.normalizer_spec.precompiled_charsmap = trie({"ﬁ".encode(): b"fi", b"A": b"a", b"AB": b"xyz", b"\t": b" "})
+    proto.normalizer_spec.remove_extra_whitespaces = True
+    path = tmp_path / "mapped.model"
+    path.write_bytes(proto.SerializeToString())
+    model = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    texts = ["the ﬁsh", "  A  river\tAB end  ", "ABA ﬁﬁ", "", "   ", "plain words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sptok.encode(df, str(path)).collect():
+        text = texts[r.doc_id]
+        assert list(r.ids) == model.encode(text, add_bos=True, add_eos=True)
+        want = [(p.begin, p.end) for p in model.encode(text, return_type="proto").pieces]
+        assert list(zip(r.begins, r.ends, strict=True))[1:-1] == want, text
+
+
 def test_hmm_counts_and_base_against_brute_force(spark):
     texts = {0: "the cat sat", 1: "THE dog", 2: None, 3: "", 4: "cat cat cat bird", 5: "unseen words here the", 6: "the " * 3000, 8: "dog cat"}
     rows = [(i, t) for i, t in texts.items()] + [(8, "dog cat")]
