@@ -349,18 +349,20 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{source}/benchmark.parquet").collect()]
     leaks = {d for d, _ in brute_matches([(i, lined[i].text) for i in near], bench)}
     assert {r.doc_id for r in left.collect()} == near - leaks and leaks
-    whole = {r.doc_id: r.n_tokens for r in pipeline.run(spark, source).collect()}
-    assert set(whole) == near - leaks
+    whole = {r.doc_id: r for r in pipeline.run(spark, source).collect()}
+    assert set(whole) == near - leaks and all(len(r.ids) == r.n_tokens for r in whole.values())
 
 
 def test_pipeline_on_odd_rows(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     rows = [(1, "a few words that make a text here", "en", "s", 33, "x"), (1, "a few words that make a text here", "en", "s", 33, "y"), (2, None, None, None, None, None), (3, "", "en", "s", 0, "x"), (None, "other words of a text without an id", "en", "s", 35, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, gone string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, gone_ string")
+    docs = docs.withColumn("row_", F.lit(1)).withColumn("HELD_by_", F.lit(2)).withColumn("id_", F.lit("i")).withColumn("copy", F.lit(None).cast("string"))
+    names = docs.columns
     spark.createDataFrame([(1, "words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for _, stage in pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "gone"]
+        assert docs.columns == names
     assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "None"]
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0).select("doc_id", "text", "lang", "source", "n_chars"), str(tmp_path)).collect() == []
