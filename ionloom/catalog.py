@@ -563,10 +563,10 @@ _MASSES = ", ".join(f"('{a}', {m})" for a, m in sequences.RESIDUE_MASS.items())
 
 @query(f"""WITH m(r, w) AS (VALUES {_MASSES}), p AS (SELECT doc_id, unnest(string_split(regexp_replace(regexp_replace({_LETTERS}, '([RK])([^P])', '\\1|\\2', 'g'), '([RK])([^P|])', '\\1|\\2', 'g'), '|')) AS s FROM documents),
 k AS (SELECT DISTINCT s FROM p WHERE length(s) BETWEEN 7 AND 30 AND NOT regexp_matches(s, '[XZB]')), x AS (SELECT s, unnest(string_split(s, '')) AS r FROM k)
-SELECT s AS peptide, round(sum(w + CASE WHEN r = 'C' THEN 57.021464 ELSE 0 END)::DOUBLE + 18.010565, 3) AS mass FROM x JOIN m USING (r) GROUP BY 1""")
+SELECT s AS peptide, round(sum(w + CASE WHEN r = 'C' THEN 57.021464 ELSE 0 END)::DOUBLE + 18.010565, 6) AS mass FROM x JOIN m USING (r) GROUP BY 1""")
 def peptide_mass(spark, d):
     rows = peptides_of(spark, d).select(F.explode_outer(sequences.tryptic_peptides("seq")).alias("peptide")).where("peptide IS NOT NULL").distinct()
-    return rows.withColumn("mass", F.round(sequences.peptide_mass("peptide"), 3)).where(F.col("mass") < 1e9)
+    return rows.withColumn("mass", F.round(sequences.peptide_mass("peptide"), 6)).where(F.col("mass") < 1e9)
 
 
 @query(f"""WITH p AS (SELECT doc_id, {_LETTERS} AS s FROM documents), q AS (SELECT doc_id, s, unnest(range(1, length(s) - 2)) AS i FROM p WHERE length(s) >= 4)

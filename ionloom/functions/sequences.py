@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 # Monoisotopic residue masses in Da, of water, and of carbamidomethyl on C.
 RESIDUE_MASS = {
-    "A": 71.03711, "R": 156.10111, "N": 114.04293, "D": 115.02694, "C": 103.00919, "E": 129.04259, "Q": 128.05858, "G": 57.02146,
-    "H": 137.05891, "I": 113.08406, "L": 113.08406, "K": 128.09496, "M": 131.04049, "F": 147.06841, "P": 97.05276, "S": 87.03203,
-    "T": 101.04768, "W": 186.07931, "Y": 163.06333, "V": 99.06841, "U": 150.95364, "O": 237.14773, "J": 113.08406,
+    "A": 71.037114, "R": 156.101111, "N": 114.042927, "D": 115.026943, "C": 103.009185, "E": 129.042593, "Q": 128.05858, "G": 57.021464,
+    "H": 137.058912, "I": 113.084064, "L": 113.084064, "K": 128.09496, "M": 131.04049, "F": 147.068414, "P": 97.05276, "S": 87.03203,
+    "T": 101.04768, "W": 186.07931, "Y": 163.06333, "V": 99.06841, "U": 150.95363, "O": 237.147735, "J": 113.084064,
 }
 WATER, CARBAMIDOMETHYL = 18.010565, 57.021464
 #: Where trypsin cuts: after K or R, not before P.
@@ -121,3 +121,28 @@ def to_genome(strand: Column | str, orf_start: Column | str, orf_end: Column | s
     plus = F.struct((orf_start + 3 * at).alias("start"), (orf_start + 3 * (at + n) - 1).alias("end"))
     minus = F.struct((orf_end - 3 * (at + n) + 1).alias("start"), (orf_end - 3 * at).alias("end"))
     return F.when(strand == "+", plus).otherwise(minus)
+
+
+def context(seq: Column | str, start: Column, end: Column) -> Column:
+    """(start, end, before, first, last, after): a closed 1-based span of a sequence and the residues around it, null at its ends."""
+    at = lambda i: F.nullif(F.substring(_col(seq), i, F.lit(1)), F.lit(""))
+    before = F.when(start > 1, at(start - 1))
+    return F.struct(start.alias("start"), end.alias("end"), before.alias("before"), at(start).alias("first"), at(end).alias("last"), at(end + 1).alias("after"))
+
+
+def previous_codon(contig: Column | str, strand: Column | str, start: Column, end: Column) -> Column:
+    """The codon before a closed 1-based span of a contig, read along the strand; null where the contig doesn't hold it."""
+    plus, minus = F.when(start > 3, F.substring(_col(contig), start - 3, F.lit(3))), F.substring(_col(contig), end + 1, F.lit(3))
+    codon = F.when(_col(strand) == "-", reverse_complement(minus)).otherwise(plus)
+    return F.when(F.length(codon) == 3, codon)
+
+
+def agrees_with_precursor(sequence: Column | str, precursor: Column | str, ppm: float) -> Column:
+    """Whether a sequence's mass is within ``ppm`` of its precursor's."""
+    mass = _col(precursor)
+    return F.abs(peptide_mass(sequence) - mass) / mass * 1e6 <= ppm
+
+
+def without_stops(seq: Column | str) -> Column:
+    """A sequence without the stops behind it."""
+    return F.rtrim(_col(seq), F.lit("*"))

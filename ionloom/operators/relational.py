@@ -144,10 +144,15 @@ def base_coverage(features: DataFrame, value: str, keys: list[str]) -> DataFrame
     plus = features.select(*keys, F.col("start").alias("at"), F.col(value).alias("change"), F.lit(1).alias("open"))
     minus = features.select(*keys, (F.col("end") + 1).alias("at"), (-F.col(value)).alias("change"), F.lit(-1).alias("open"))
     events = plus.union(minus).groupBy(*keys, "at").agg(F.sum("change").alias("change"), F.sum("open").alias("open"))
-    along = Window.partitionBy(*keys).orderBy("at")
-    run = along.rowsBetween(Window.unboundedPreceding, 0)
-    levels = events.select(*keys, F.col("at").alias("start"), (F.lead("at").over(along) - 1).alias("end"), F.sum("change").over(run).alias("value"), F.sum("open").over(run).alias("open"))
-    return levels.where(F.col("open") > 0).drop("open")
+    sums = running_totals(events.where(F.col("at").isNotNull()), "at", {"value": F.col("change"), "held": F.col("open")}, within=tuple(keys))
+    # the next event, over the events alone: each is one of its key's places, numbered like the sums
+    placed = running_totals(sums.select(*keys, "at", "value", "held"), "at", {"place": F.lit(1).cast("bigint")}, within=tuple(keys))
+    after = placed.select(*(F.col(k).alias(f"{k}_n_") for k in keys), (F.col("place") - 1).alias("p_"), F.col("at").alias("next_"))
+    same = F.col("place") == F.col("p_")
+    for k in keys:
+        same &= F.col(k) == F.col(f"{k}_n_")
+    levels = placed.join(after, same, "left").select(*keys, F.col("at").alias("start"), (F.col("next_") - 1).alias("end"), "value", "held")
+    return levels.where(F.col("held") > 0).drop("held")
 
 
 def membership_regions(df: DataFrame, key: str, group: str, groups: list) -> DataFrame:
@@ -231,3 +236,27 @@ def taxon_scores(hits: DataFrame) -> DataFrame:
     best = top_per_key(joined.withColumn("weight_", weight).where(F.col("m_") > 0), ["query"], [F.desc("weight_"), F.asc("acc"), F.desc("score")])
     best = best.withColumn("prob", F.col("weight_") / (F.col("n_") * F.col("n_")))
     return best.select("query", "acc", "organism", "prob")
+
+
+def with_ranked_taxon(hits: DataFrame, taxa: DataFrame) -> DataFrame:
+    """The hits whose taxon has a rank; ``taxa`` is (taxon, taxon_rank)."""
+    return hits.join(taxa.where(F.col("taxon_rank") != "no rank").select("taxon"), "taxon", "left_semi")
+
+
+def jaccard_percent(df: DataFrame) -> DataFrame:
+    """(a, b, shared, percent): for each two groups (a < b) that share a key how many they share, and of how many.
+
+    ``df`` is (key, grp); a key makes one pair for each two of its groups, so groups should be few."""
+    seen = df.where(F.col("key").isNotNull() & F.col("grp").isNotNull()).groupBy("key").agg(F.array_sort(F.collect_set("grp")).alias("own"))
+    pairs = F.flatten(F.transform("own", lambda a, i: F.transform(F.slice("own", i + 2, F.size("own")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    shared = seen.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("shared"))
+    sizes = seen.select(F.explode("own").alias("grp")).groupBy("grp").agg(F.count("*").alias("n"))
+    both = shared.join(sizes.select(F.col("grp").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("grp").alias("b"), F.col("n").alias("nb")), "b")
+    return both.select("a", "b", "shared", (100 * F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("percent"))
+
+
+def large_features(long: DataFrame, share: float) -> DataFrame:
+    """The rows (id, grp, value) of ids whose values sum up to at least ``share`` of all."""
+    own = long.groupBy("id").agg(F.sum("value").alias("own_"))
+    whole = own.agg(F.sum("own_").alias("all_"))
+    return long.join(own.crossJoin(F.broadcast(whole)).where(F.col("own_") >= share * F.col("all_")).select("id"), "id", "left_semi")  # one row

@@ -128,9 +128,13 @@ def mean_normalise(long: DataFrame) -> DataFrame:
 
 
 def impute_low(long: DataFrame, seed: int, shift: float = 1.8, width: float = 0.3) -> DataFrame:
-    """Missing values drawn from a normal ``shift`` deviations below the sample's mean, ``width`` deviations wide."""
+    """Missing values drawn from a normal ``shift`` deviations below the sample's mean, ``width`` deviations wide.
+
+    Draws are hashes of the seed, the id and the sample, so that a rerun, however the rows are dealt, gives the same."""
+    uniform = lambda k: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), F.col("id"), F.col("sample")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    normal = F.sqrt(-2 * F.log(uniform(0))) * F.cos(2 * math.pi * uniform(1))
     parts = long.groupBy("sample").agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))
-    drawn = F.col("m") - shift * F.col("s") + width * F.col("s") * F.randn(seed)
+    drawn = F.col("m") - shift * F.col("s") + width * F.col("s") * normal
     return long.join(F.broadcast(parts), "sample").select("id", "sample", F.coalesce("value", drawn).alias("value"))
 
 
