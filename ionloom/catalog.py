@@ -234,16 +234,16 @@ def either_form_join(spark, d):
     return relational.either_form_join(left, keys, "full_id", "part_id", "id").select("s_suppkey", "full_id", "id")
 
 
-@query("SELECT DISTINCT l_suppkey AS grp, p_brand AS term FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 1")
+@query("SELECT DISTINCT l_suppkey AS grp, p_brand AS term FROM lineitem JOIN part ON l_partkey = p_partkey")
 def two_hop_terms(spark, d):
-    entries = table(spark, d, "part").where("p_size = 1").select(F.col("p_partkey").alias("entry"), F.col("p_brand").alias("term"))
+    entries = table(spark, d, "part").select(F.col("p_partkey").alias("entry"), F.col("p_brand").alias("term"))
     return table(spark, d, "lineitem").join(entries, F.col("l_partkey") == F.col("entry")).select(F.col("l_suppkey").alias("grp"), "term").distinct()
 
 
-@query("""WITH p AS (SELECT DISTINCT l_suppkey % 50 AS a, l_partkey % 50 AS b FROM lineitem WHERE l_quantity > 45)
+@query("""WITH p AS (SELECT DISTINCT l_suppkey AS a, l_partkey AS b FROM lineitem)
 SELECT p.a, p.b FROM p JOIN p r ON p.a = r.b AND p.b = r.a WHERE p.a < p.b""")
 def reciprocal(spark, d):
-    pairs = table(spark, d, "lineitem").where("l_quantity > 45").select((F.col("l_suppkey") % 50).alias("x"), (F.col("l_partkey") % 50).alias("y"))
+    pairs = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("x"), F.col("l_partkey").alias("y"))
     return relational.reciprocal(pairs, "x", "y")
 
 
@@ -347,10 +347,10 @@ def start_site_histogram(spark, d):
     return starts.groupBy("starts").agg(F.count("*").alias("n_orfs"))
 
 
-@query("SELECT l_suppkey, string_agg(DISTINCT l_returnflag, ';' ORDER BY l_returnflag) AS strains FROM lineitem WHERE l_quantity > 49 GROUP BY 1")
+@query("SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ';' ORDER BY l_returnflag) AS strains FROM lineitem GROUP BY 1")
 def acetylated_strains(spark, d):
-    rows = table(spark, d, "lineitem").where("l_quantity > 49")
-    return relational.joined_set(rows, "l_suppkey", "l_returnflag").withColumnRenamed("values", "strains")
+    rows = table(spark, d, "lineitem")
+    return relational.joined_set(rows, "l_orderkey", "l_returnflag").withColumnRenamed("values", "strains")
 
 
 @query("""WITH f AS (SELECT l_suppkey AS contig, l_partkey * 3 AS s, l_partkey * 3 + p_size AS e, l_quantity::BIGINT AS v FROM lineitem JOIN part ON l_partkey = p_partkey),
@@ -462,22 +462,22 @@ def natural_order(spark, d):
     return ranked.select("p_name", "p_partkey", "place")
 
 
-_MASK = "SELECT mask, count(*) AS n FROM (SELECT l_partkey, (max((l_returnflag = 'A')::INT) + 2 * max((l_returnflag = 'N')::INT) + 4 * max((l_returnflag = 'R')::INT))::INT AS mask FROM lineitem WHERE l_quantity > 40 GROUP BY 1) GROUP BY 1"
+_MASK = "SELECT mask, count(*) AS n FROM (SELECT l_orderkey, (max((l_returnflag = 'A')::INT) + 2 * max((l_returnflag = 'N')::INT) + 4 * max((l_returnflag = 'R')::INT))::INT AS mask FROM lineitem GROUP BY 1) GROUP BY 1"
 
 
 @query(_MASK)
 def venn_bitmask(spark, d):
-    return relational.membership_regions(table(spark, d, "lineitem").where("l_quantity > 40"), "l_partkey", "l_returnflag", ["A", "N", "R"])
+    return relational.membership_regions(table(spark, d, "lineitem"), "l_orderkey", "l_returnflag", ["A", "N", "R"])
 
 
-@query("SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 45 AND l_returnflag = 'A' AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45 AND l_returnflag <> 'A')")
+@query("SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'A' AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'A')")
 def exclusive_set(spark, d):
-    return relational.exclusive_to(table(spark, d, "lineitem").where("l_quantity > 45"), "l_partkey", "l_returnflag", "A")
+    return relational.exclusive_to(table(spark, d, "lineitem"), "l_orderkey", "l_returnflag", "A")
 
 
-@query("SELECT l_partkey FROM lineitem WHERE l_quantity > 45 GROUP BY 1 HAVING count(DISTINCT l_returnflag) = (SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_quantity > 45)")
+@query("SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) = (SELECT count(DISTINCT l_returnflag) FROM lineitem)")
 def common_set(spark, d):
-    return relational.common_to_all(table(spark, d, "lineitem").where("l_quantity > 45"), "l_partkey", "l_returnflag")
+    return relational.common_to_all(table(spark, d, "lineitem"), "l_orderkey", "l_returnflag")
 
 
 @query("SELECT 'customer' AS kind, c_name AS name, c_acctbal AS bal, NULL::INTEGER AS size FROM customer UNION ALL SELECT 'part', p_name, NULL, p_size FROM part")
@@ -893,10 +893,10 @@ def windowed_counts(spark, d):
 
 # ---- tags, variants and headers ----
 
-@query("""WITH s AS (SELECT DISTINCT l_returnflag AS strain, l_suppkey || ':' || l_linenumber AS cluster FROM lineitem WHERE l_quantity > 47), k AS (SELECT DISTINCT strain FROM s)
+@query("""WITH s AS (SELECT DISTINCT l_returnflag AS strain, l_partkey || ':' || l_linenumber AS cluster FROM lineitem), k AS (SELECT DISTINCT strain FROM s)
 SELECT s.strain, k.strain AS other, cluster FROM s JOIN k ON s.strain <> k.strain WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.strain = k.strain AND o.cluster = s.cluster)""")
 def strain_differences(spark, d):
-    rows = table(spark, d, "lineitem").where("l_quantity > 47").select(F.col("l_returnflag").alias("strain"), F.col("l_suppkey").alias("protein"), F.col("l_linenumber").alias("position"))
+    rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("strain"), F.col("l_partkey").alias("protein"), F.col("l_linenumber").alias("position"))
     return metaproteomics.map_clusters(rows)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ionloom.catalog import _GROUPS, _LETTERS, _MASSES, _RANKS, ORACLES, QUERIES, _two_groups, peptides_of, query
 from ionloom.functions import sequences
 from ionloom.operators import inference, relational
+from ionloom.plans import metaproteomics
 from ionloom.session import table
 
 # Tails that have a finite or a fast series, written as such: Student's t with whole degrees of freedom, the normal.
@@ -150,3 +151,59 @@ def large_feature_means(spark, d):
     rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), F.col("l_returnflag").alias("grp"), F.col("l_extendedprice").alias("value"))
     kept = relational.large_features(rows, 0.01)
     return kept.groupBy("id", "grp").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.var_samp("value"), 2).alias("var"))
+
+
+# ---- strains and databases ----
+
+_MAPPING = "mp AS (SELECT l_suppkey AS orf, CASE WHEN l_partkey % 3 = 0 THEN 'M' ELSE 'A' END || l_partkey AS peptide, CASE WHEN l_linenumber > 2 THEN '+' ELSE '-' END AS sp, CASE WHEN l_linenumber % 2 = 0 THEN 'ATG;GTG' ELSE 'GTG;TTG' END AS cd FROM lineitem)"
+_CLASSES = _MAPPING + """, cl AS (SELECT peptide, count(DISTINCT orf) AS n_orfs, bool_or(sp = '+') AS specific, bool_or(sp = '-') AS non_specific, bool_or(sp = '+') AND count(DISTINCT orf) > 1 AS paralogous,
+  peptide[1] = 'M' AND bool_or(NOT list_contains(string_split(cd, ';'), 'ATG')) AS non_atg_start FROM mp GROUP BY 1)"""
+
+
+def _mapping(spark, d):
+    peptide = F.concat(F.when(F.col("l_partkey") % 3 == 0, "M").otherwise("A"), F.col("l_partkey").cast("string"))
+    return table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("orf"), peptide.alias("peptide"), F.when(F.col("l_linenumber") > 2, "+").otherwise("-").alias("cluster_specific"),
+        F.when(F.col("l_linenumber") % 2 == 0, "ATG;GTG").otherwise("GTG;TTG").alias("first_codon"), "l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber",
+    )
+
+
+@query(f"WITH {_CLASSES} SELECT * FROM cl")
+def peptide_classes(spark, d):
+    return metaproteomics.peptide_classes(_mapping(spark, d))
+
+
+_COMBINED = _CLASSES + """, ev AS (SELECT DISTINCT l_orderkey % 1000 AS g, CASE WHEN l_partkey % 3 = 0 THEN 'M' ELSE 'A' END || l_partkey AS peptide FROM lineitem),
+ob AS (SELECT CASE WHEN l_partkey % 3 = 0 THEN 'M' ELSE 'A' END || l_partkey AS peptide, l_returnflag || l_linestatus AS sample, l_returnflag AS strain, CASE WHEN l_partkey % 3 = 0 THEN 'M' ELSE 'A' END || l_partkey || '_' || l_linenumber AS modified FROM lineitem),
+se AS (SELECT DISTINCT g, ev.peptide, strain, sample, modified FROM ev JOIN ob USING (peptide))"""
+
+
+def _combined(spark, d):
+    rows = _mapping(spark, d)
+    members = rows.select((F.col("l_orderkey") % 1000).alias("group_id"), "peptide")
+    sample = F.concat("l_returnflag", "l_linestatus")
+    evidence = rows.select("peptide", sample.alias("sample"), F.concat("peptide", F.lit("_"), F.col("l_linenumber").cast("string")).alias("modified"))
+    design = rows.select(sample.alias("sample"), F.col("l_returnflag").alias("strain")).distinct()
+    return metaproteomics.combined_groups(members, evidence, design, metaproteomics.peptide_classes(rows))
+
+
+@query(f"""WITH {_COMBINED}, sh AS (SELECT g, peptide, count(DISTINCT strain) AS n FROM se GROUP BY ALL)
+SELECT g AS group_id, coalesce(string_agg(DISTINCT peptide, ';' ORDER BY peptide) FILTER (WHERE specific AND NOT non_specific), '') AS specific_peptides, coalesce(string_agg(DISTINCT peptide, ';' ORDER BY peptide) FILTER (WHERE paralogous), '') AS paralogous_peptides,
+  CASE WHEN bool_or(paralogous) THEN '+' ELSE '-' END AS paralogous, coalesce(string_agg(DISTINCT peptide, ';' ORDER BY peptide) FILTER (WHERE specific AND NOT non_specific AND n = 1), '') AS one_strain_peptides
+FROM ev LEFT JOIN cl USING (peptide) LEFT JOIN sh USING (g, peptide) GROUP BY 1""")
+def combined_groups(spark, d):
+    return _combined(spark, d)[0]
+
+
+@query(f"WITH {_COMBINED} SELECT g AS group_id, strain, count(DISTINCT sample) AS n_samples, string_agg(DISTINCT modified, ';' ORDER BY modified) AS peptides FROM se GROUP BY ALL")
+def combined_strains(spark, d):
+    return _combined(spark, d)[1]
+
+
+@query("""WITH a AS (SELECT 'one' AS database, l_orderkey::VARCHAR AS g, l_partkey::VARCHAR AS protein FROM lineitem WHERE l_linestatus = 'O' UNION SELECT 'two', l_orderkey::VARCHAR, l_partkey::VARCHAR FROM lineitem WHERE l_linestatus = 'F')
+SELECT protein, string_agg(DISTINCT database, ';' ORDER BY database) AS databases, count(DISTINCT database) AS n_databases, string_agg(DISTINCT database || ':' || g, ';' ORDER BY database || ':' || g) AS groups FROM a GROUP BY 1""")
+def merged_groups(spark, d):
+    """The groups of two databases, one for each line status."""
+    rows = table(spark, d, "lineitem")
+    of = lambda s: rows.where(F.col("l_linestatus") == s).groupBy(F.col("l_orderkey").alias("group_id")).agg(F.array_join(F.collect_list(F.col("l_partkey").cast("string")), ";").alias("proteins"))
+    return metaproteomics.merged_groups({"one": of("O"), "two": of("F")})

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from ionloom.functions import sequences
 from ionloom.functions.sequences import RESIDUE_MASS, START_CODONS, STOP_CODONS, WATER
 from ionloom.operators.ordered import row_numbers
+from ionloom.storage import materialize
 
 #: Patterns that one automaton holds; more are dealt into several passes.
 MAX_PATTERNS = 200_000
+#: Bases of a chunk of a contig that variants are joined with.
+CHUNK = 10_000
 
 
 def match_all(texts: DataFrame, patterns: DataFrame, max_patterns: int = MAX_PATTERNS) -> DataFrame:
@@ -91,6 +94,7 @@ def open_frames(contigs: DataFrame, min_codons: int = 20, chunk: int = 300) -> D
     # a piece is a chunk with the next one's first two bases, for the codons that cross
     cut = F.expr("transform(parts, (p, i) -> struct(p AS part, concat(p, coalesce(left(get(parts, i + 1), 2), '')) AS piece))")
     pieces = strands.select("contig", "n", "strand", F.posexplode_outer(cut).alias("i", "p")).select("contig", "n", "strand", "i", "p.part", "p.piece")
+    pieces = materialize(pieces, "frames-pieces")  # read for the stops, and for the sequences
     stop = "|".join(STOP_CODONS)
     at_first = F.col("piece").rlike(f"^({stop})")
     within = F.transform(sequences.cut_starts(F.col("piece"), F.lit(f"(?={stop})"), at_first), lambda k: (F.col("i") * chunk + k).cast("int"))
@@ -156,17 +160,24 @@ def apply_variants(genome: DataFrame, variants: DataFrame) -> DataFrame:
     """(contig, seq): every contig with its variants (contig, pos, ref, alt) replaced from left to right; overlapping
     variants after the first are left out, and the contig's remaining bases fill the gaps.
 
-    Each variant contributes the bases since the previous one and its alternative; the pieces join in order."""
+    Each variant contributes the bases since the previous one and its alternative, and the contig those behind its last;
+    contigs are cut into chunks, so no variant carries more than the chunks that it needs. The pieces join in order."""
     along = Window.partitionBy("contig").orderBy("pos", "alt")
     after = F.col("pos") + F.length("ref")
     reach = F.max(after).over(along.rowsBetween(Window.unboundedPreceding, -1))
     kept = variants.withColumn("reach", F.coalesce(reach, F.lit(1))).where(F.col("pos") >= F.col("reach"))
     last = F.coalesce(F.lag(after).over(along), F.lit(1))
-    pieces = kept.withColumn("from", last).join(genome.select(F.col("contig").alias("c_"), F.col("seq")), F.col("contig") == F.col("c_"))
-    pieces = pieces.select("contig", "pos", after.alias("after"), F.concat(F.expr("substring(seq, from, pos - from)"), F.col("alt")).alias("piece"))
-    built = pieces.groupBy("contig").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "").alias("head"), F.max("after").alias("after"))
-    joined = genome.join(built, "contig", "left")
-    return joined.select("contig", F.when(F.col("head").isNull(), F.col("seq")).otherwise(F.concat(F.col("head"), F.expr("substring(seq, after)"))).alias("seq"))
+    edits = materialize(kept.select("contig", last.alias("from"), "pos", "alt", after.alias("after")), "variants-kept")
+    tails = genome.select("contig", (F.length("seq") + 1).alias("n_")).join(edits.groupBy(F.col("contig").alias("c_")).agg(F.max("after").alias("behind")), F.col("contig") == F.col("c_"), "left")
+    gaps = edits.select("contig", "from", "pos").unionByName(tails.select("contig", F.coalesce("behind", F.lit(1)).alias("from"), F.col("n_").alias("pos"))).where(F.col("pos") > F.col("from"))
+    spans = gaps.withColumn("i", F.explode(F.expr(f"sequence(CAST((from - 1) DIV {CHUNK} AS INT), CAST((pos - 2) DIV {CHUNK} AS INT))")))
+    parts = genome.select(F.col("contig").alias("c_"), F.posexplode_outer(F.expr(f"regexp_extract_all(seq, '(?s)(.{{1,{CHUNK}}})', 1)")).alias("i_", "part"))
+    held = spans.join(parts, (F.col("contig") == F.col("c_")) & (F.col("i") == F.col("i_")))
+    begin = F.greatest(F.col("from") - F.col("i") * CHUNK, F.lit(1))
+    kept_bases = held.select("contig", "pos", "i", F.substring("part", begin, F.least(F.col("pos") - F.col("i") * CHUNK, F.lit(CHUNK + 1)) - begin).alias("piece"))
+    whole = kept_bases.unionByName(edits.select("contig", "pos", F.lit(2**31 - 1).alias("i"), F.col("alt").alias("piece")))
+    built = whole.groupBy(F.col("contig").alias("c_")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "i", "piece"))), lambda x: x["piece"]), "").alias("seq"))
+    return genome.select("contig").join(built, F.col("contig") == F.col("c_"), "left").select("contig", F.coalesce("seq", F.lit("")).alias("seq"))
 
 
 def alignment_differences(alignments: DataFrame) -> DataFrame:

@@ -1,31 +1,50 @@
 """Ranks and running totals over a whole table, without bringing it into one task.
 
 The order column is cut at quantiles into buckets; equal values share a bucket, so a window inside each bucket plus the
-totals of the buckets before it gives what one window over everything would.
+totals of the buckets before it gives what one window over everything would. A value that fills several quantiles is cut
+again by the first of the ties, if that is a number. The table is written once, since cutting, adding up and numbering
+each read it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from ionloom.storage import materialize
 
 #: Buckets by which a table is ordered.
 BUCKETS = 64
 
 
-def _bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
-    """``df`` with bucket_, rising with ``by``."""
-    numeric = df.select(F.col(by).cast("double").alias("v_"))
-    cuts = sorted(set(numeric.approxQuantile("v_", [i / buckets for i in range(1, buckets)], 0.005))) if buckets > 1 else []
+def _bucketed(df: DataFrame, by: str, buckets: int, ties: tuple[str, ...] = (), descending: bool = False) -> DataFrame:
+    """``df`` with bucket_, rising with ``by``, and where one value fills several buckets also by the first of ``ties``, in
+    the direction in which the buckets are read."""
+    value = F.col(by).cast("double")
+    quantiles = [i / buckets for i in range(1, buckets)]
+    found = df.select(value.alias("v_")).approxQuantile("v_", quantiles, 0.005) if buckets > 1 else []
+    cuts = sorted(set(found))
     if not cuts:
         return df.withColumn("bucket_", F.lit(0))
-    return df.withColumn("bucket_", F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c < F.col(by).cast("double"))))
+    main = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c < value)) * F.lit(buckets)
+    part = F.lit(0)
+    if ties and isinstance(df.schema[ties[0]].dataType, NumericType):
+        tie = F.col(ties[0]).cast("double")
+        for hot in [c for c in cuts if found.count(c) > 1]:  # at most half as many as buckets
+            parts = min(buckets, 2 * found.count(hot))
+            inner = sorted(set(df.where(value == hot).select(tie.alias("t_")).approxQuantile("t_", [i / parts for i in range(1, parts)], 0.01)))
+            if inner:
+                place = F.size(F.filter(F.array(*(F.lit(c) for c in inner)), lambda c: c < tie))
+                part = F.when(value == hot, (len(inner) - place) if descending else place).otherwise(part)
+    return df.withColumn("bucket_", main + part)
 
 
 def running_totals(df: DataFrame, by: str, totals: dict[str, Column], ties: tuple[str, ...] = (), descending: bool = False, buckets: int = BUCKETS, within: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with running sums, by ``by`` and then ``ties``; each of ``totals`` names the sum of a column expression.
     (by, ties) must be unique; rows whose ``by`` is null are left out. ``within`` starts the sums anew for each of its values."""
-    held = _bucketed(df.where(F.col(by).isNotNull()).withColumns({f"{n}_x_": e for n, e in totals.items()}), by, buckets)
+    held = materialize(df.where(F.col(by).isNotNull()).withColumns({f"{n}_x_": e for n, e in totals.items()}), "ordered")
+    held = _bucketed(held, by, buckets, ties, descending)
     own = [F.col(w).alias(f"{w}_w_") for w in within]
     sums = held.groupBy(F.col("bucket_").alias("b_"), *own).agg(*(F.sum(f"{n}_x_").alias(f"{n}_s_") for n in totals))
     over = Window.partitionBy(*(f"{w}_w_" for w in within)).orderBy(F.desc("b_") if descending else F.asc("b_")).rowsBetween(Window.unboundedPreceding, -1)  # over the buckets alone
@@ -46,7 +65,7 @@ def row_numbers(df: DataFrame, by: str, ties: tuple[str, ...], name: str = "rank
 
 def running_min(df: DataFrame, by: str, value: str, name: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """``df`` with the least ``value`` so far in the order of the unique ``by``."""
-    held = _bucketed(df.where(F.col(by).isNotNull()), by, buckets)
+    held = _bucketed(materialize(df.where(F.col(by).isNotNull()), "ordered"), by, buckets)
     least = held.groupBy(F.col("bucket_").alias("b_")).agg(F.min(value).alias("m_"))
     over = Window.orderBy(F.desc("b_") if descending else F.asc("b_")).rowsBetween(Window.unboundedPreceding, -1)
     before = least.select("b_", F.min("m_").over(over).alias("o_"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ionloom.operators.ordered import row_numbers, running_totals
+from ionloom.storage import materialize
 
 #: Places to which scores are rounded before they rank, so that the order doesn't hang on the order of float sums.
 PLACES = 12
@@ -33,6 +34,7 @@ def greedy_cover(ranked: DataFrame, evidence: DataFrame) -> DataFrame:
     ``ranked`` is (acc, rank); the walk down the list that this stands for needs no order here: a scan is new to the
     best-ranked protein that has it, so one min per scan decides. Returns (acc, rank, new_scans).
     """
+    ranked = materialize(ranked, "rank-order")
     held = evidence.select("acc", "scan").distinct().join(ranked, "acc")
     first = held.groupBy("scan").agg(F.min("rank").alias("rank"))
     return ranked.join(first.groupBy("rank").agg(F.count("*").alias("new_scans")), "rank").select("acc", "rank", "new_scans")
@@ -60,13 +62,11 @@ def organism_prob(scored: DataFrame, retained: DataFrame, proteins: DataFrame) -
 
 def ranked_proteins(evidence: DataFrame, proteins: DataFrame) -> DataFrame:
     """The whole ranking: NSAF, cover, organism probability, cover again by the combined probability."""
-    scans = evidence.select("acc", "sample", "scan").distinct().persist()  # a row for each scan of a protein; used four times
-    scored = nsaf(saf(spectral_counts(scans), proteins)).persist()  # a row for each protein, as are those below
-    first = greedy_cover(with_rank(scored, "summed_nsaf").select("acc", "rank"), scans).persist()
-    prob = organism_prob(scored, first, proteins).persist()
-    second = with_rank(prob, "combined_prob").persist()
-    evidence = scans
-    return second.join(greedy_cover(second.select("acc", "rank"), evidence).select("acc", "new_scans"), "acc")
+    scans = materialize(evidence.select("acc", "sample", "scan").distinct(), "rank-scans")  # each is read several times
+    scored = materialize(nsaf(saf(spectral_counts(scans), proteins)), "rank-scored")
+    first = materialize(greedy_cover(with_rank(scored, "summed_nsaf").select("acc", "rank"), scans), "rank-first")
+    second = materialize(with_rank(organism_prob(scored, first, proteins), "combined_prob"), "rank-second")
+    return second.join(greedy_cover(second.select("acc", "rank"), scans).select("acc", "new_scans"), "acc")
 
 
 def cumulative_coverage(covered: DataFrame) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ionloom.operators.ordered import row_numbers, running_min, running_totals
+from ionloom.storage import materialize
 
 
 def split_targets(df: DataFrame, flag: str) -> tuple[DataFrame, DataFrame]:
@@ -201,7 +203,13 @@ def dense_ids(df: DataFrame, key: str, name: str) -> DataFrame:
     """1-based ids of the distinct keys in their order; only the distinct keys pass the one ordered task."""
     ids = df.select(key).where(F.col(key).isNotNull()).distinct()
     numeric = isinstance(df.schema[key].dataType, NumericType)
-    ids = row_numbers(ids, key, (), name, descending=False) if numeric else row_numbers(ids.withColumn("head_", F.conv(F.rpad(F.substring(F.hex(key), 1, 12), 12, "0"), 16, 10).cast("double")), "head_", (key,), name, descending=False).drop("head_")
+    if numeric:
+        return df.join(row_numbers(ids, key, (), name, descending=False), key)
+    ids = materialize(ids, "dense-ids")
+    ends = ids.agg(F.min(key), F.max(key)).first()
+    same = len(commonprefix([x or "" for x in ends]))  # what all keys begin with tells none of them apart
+    head = F.conv(F.rpad(F.substring(F.hex(F.substring(key, same + 1, 6)), 1, 12), 12, "0"), 16, 10).cast("double")
+    ids = row_numbers(ids.withColumn("head_", head), "head_", (key,), name, descending=False).drop("head_")
     return df.join(ids, key)
 
 
