@@ -70,3 +70,46 @@ def test_jaccard_and_taxa(spark):
     taxa = spark.createDataFrame([(1, "no rank"), (2, "genus"), (3, None)], "taxon long, taxon_rank string")
     hits = spark.createDataFrame([("p", 1), ("q", 2), ("r", 3), ("s", None)], "peptide string, taxon long")
     assert [r.peptide for r in relational.with_ranked_taxon(hits, taxa).collect()] == ["q"]
+
+
+def test_ranks_of_one_hot_score(spark):
+    from ionloom.operators.ordered import row_numbers, running_totals
+
+    rows = [(i, 5.0 if i % 4 else float(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, score double").repartition(5)
+    for descending in (True, False):
+        got = {r.id: r["rank"] for r in row_numbers(df, "score", ("id",), descending=descending).collect()}
+        order = sorted(rows, key=lambda r: (-r[1] if descending else r[1], r[0]))
+        assert got == {i: k for k, (i, _) in enumerate(order, 1)}
+    held = running_totals(df, "score", {"t": F.lit(1)}, ("id",))
+    assert held.agg(F.max("t")).first()[0] == 3000
+
+
+def test_text_ids_with_a_common_beginning(spark):
+    df = spark.createDataFrame([(f"prefix_that_is_long_{i:03d}",) for i in (5, 3, 9, 3, 100, 42)], "k string")
+    assert {r.k[-3:]: r.n for r in relational.dense_ids(df, "k", "n").collect()} == {"003": 1, "005": 2, "009": 3, "042": 4, "100": 5}
+
+
+def test_variants_across_chunks(spark, monkeypatch):
+    from ionloom.operators import matching
+
+    monkeypatch.setattr(matching, "CHUNK", 4)
+    genome = spark.createDataFrame([("a", "ACGTACGTACGT"), ("b", "TTTT"), ("c", "ACGT")], "contig string, seq string")
+    edits = [("a", 1, "A", "GG"), ("a", 4, "TAC", ""), ("a", 6, "C", "T"), ("a", 12, "T", "TTA"), ("c", 2, "CGT", "X")]
+    got = {r.contig: r.seq for r in matching.apply_variants(genome, spark.createDataFrame(edits, "contig string, pos int, ref string, alt string")).collect()}
+    assert got == {"a": "GGCG" + "GTACG" + "TTA", "b": "TTTT", "c": "AX"}
+
+
+def test_combined_table_of_odd_rows(spark):
+    from ionloom.plans import metaproteomics
+
+    mapping = spark.createDataFrame([(1, "MA", "+", "GTG"), (2, "MA", "+", "ATG"), (1, "K", "-", None), (1, None, "+", "ATG")], "orf long, peptide string, cluster_specific string, first_codon string")
+    classes = metaproteomics.peptide_classes(mapping)
+    by = {r.peptide: r for r in classes.collect()}
+    assert by["MA"].paralogous and by["MA"].non_atg_start and by["MA"].n_orfs == 2 and not by["K"].specific and by["K"].non_specific
+    members = spark.createDataFrame([(7, "MA"), (7, "K"), (8, "Z")], "group_id long, peptide string")
+    evidence = spark.createDataFrame([("MA", "s1", "_MA_"), ("MA", "s2", "_MA_"), ("K", "s3", "_K_")], "peptide string, sample string, modified string")
+    design = spark.createDataFrame([("s1", "x"), ("s2", "x"), ("s3", "y")], "sample string, strain string")
+    groups, strains = metaproteomics.combined_groups(members, evidence, design, classes)
+    assert {r.group_id: (r.specific_peptides, r.paralogous, r.one_strain_peptides) for r in groups.collect()} == {7: ("MA", "+", "MA"), 8: ("", "-", "")}
+    assert {(r.group_id, r.strain): (r.n_samples, r.peptides) for r in strains.collect()} == {(7, "x"): (2, "_MA_"), (7, "y"): (1, "_K_")}
