@@ -8,8 +8,10 @@ times prod P(word | symbol), which is 1 for a word of its own and else (c + 1) /
 for all words of the class that training didn't see.
 
 Expected counts leave the tasks as whole multiples of 2**-16, so their sums don't depend on how Spark groups them.
-Training reads every whole training document in every round; texts advance together, and those of more than ``BLOCK``
-tokens keep one state for each block and compute the rest again on the way back, so memory is bounded and nothing is cut.
+Training reads every whole training document in every round. Texts are dealt into segments of ``SEGMENT`` tokens that
+advance together; for texts of several segments each one's transfer matrix (from the state before it to that behind it) is
+found first, so that every segment begins with the forward and ends with the backward state of the whole text, and the
+counts are those of whole texts.
 Rounds end when one has gained less than ``LEAST_GAIN`` in log10 probability a token, and after ``ROUNDS``. Scoring runs
 the scaled forward recursion over whole texts. Counts of frequent words travel to the tasks as a table of bounded size,
 those of all others are joined.
@@ -32,9 +34,9 @@ from pyspark.sql import functions as F
 
 from ionloom.llm.common import CHUNK_BYTES, bounded_batches, chunks, materialize, mix, word_hashes
 
-#: Latent states, word classes, rounds of Baum-Welch at most and the gain below which they end, tokens of a text whose
-#: states are held at once, and bytes of text that advance together.
-STATES, CLASSES, ROUNDS, LEAST_GAIN, BLOCK, BATCH_BYTES = 8, 4096, 6, 0.004, 1 << 15, 4 << 20
+#: Latent states, word classes, rounds of Baum-Welch at most and the gain below which they end, tokens of a segment, and
+#: bytes of text that advance together.
+STATES, CLASSES, ROUNDS, LEAST_GAIN, SEGMENT, BATCH_BYTES = 8, 4096, 6, 0.004, 256, 4 << 20
 #: Words whose counts are sent to every task, at most, and which are symbols of their own.
 SENT_WORDS = 1 << 16
 _UNIT = 1 << 16
@@ -106,54 +108,101 @@ def _layout(length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, (np.cumsum(length) - length)[order], running
 
 
-def expectations(obs: np.ndarray, length: np.ndarray, model: Model, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+def _edges(obs: np.ndarray, begin: np.ndarray, length: np.ndarray, parts: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """For every segment of texts of several segments the forward state before it and the backward state behind it, each
+    up to a factor. ``parts`` is the number of segments of each text; the segments lie in the order of the texts."""
+    states = len(model.start)
+    by_symbol, move = np.ascontiguousarray(model.emit.T.astype(np.float32)), model.move.astype(np.float32)
+    opening = np.zeros(len(begin), bool)
+    opening[np.cumsum(parts) - parts] = True
+    order, _, running = _layout(length)
+    at, first = begin[order], opening[order]
+    transfer = np.zeros((len(begin), states, states), np.float32)
+    held = None
+    for t, n in enumerate(running.tolist()):
+        b = by_symbol[obs[at[:n] + t]]
+        if t == 0:
+            held = np.where(first[:, None, None], np.eye(states, dtype=np.float32), move) * b[:, None, :]
+        else:
+            transfer[order[n : len(held)]] = held[n:]
+            held = (held[:n].reshape(-1, states) @ move).reshape(n, states, states) * b[:, None, :]
+        if t % 4 == 3:
+            held /= held.sum(axis=(1, 2), keepdims=True)
+    transfer[order[: len(held)]] = held
+    transfer /= transfer.sum(axis=(1, 2), keepdims=True)
+    before, behind = np.ones((len(begin), states), np.float32), np.ones((len(begin), states), np.float32)
+    start = np.cumsum(parts) - parts
+    state = np.repeat(model.start.astype(np.float32)[None, :], len(parts), axis=0)
+    for k in range(int(parts.max())):
+        live = np.flatnonzero(parts > k)
+        own = start[live] + k
+        before[own] = state[live]
+        after = np.einsum("ni,nij->nj", state[live], transfer[own])
+        state[live] = after / after.sum(axis=1, keepdims=True)
+    state = np.ones((len(parts), states), np.float32)
+    for k in range(int(parts.max())):
+        live = np.flatnonzero(parts > k)
+        own = start[live] + parts[live] - 1 - k
+        behind[own] = state[live]
+        ahead = np.einsum("nij,nj->ni", transfer[own], state[live])
+        state[live] = ahead / ahead.sum(axis=1, keepdims=True)
+    return before, behind
+
+
+def expectations(obs: np.ndarray, length: np.ndarray, model: Model, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts (start, move, emit) over whole sequences, and the natural log of their probability."""
     states, n_symbols = model.emit.shape
-    order, begin, running = _layout(length)
-    steps = running.tolist()
+    parts = -(-length // segment)
+    of = np.repeat(np.arange(len(length)), parts)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = (np.cumsum(length) - length)[of] + place * segment
+    size = np.minimum(segment, length[of] - place * segment)
+    opening = place == 0
     by_symbol, move = np.ascontiguousarray(model.emit.T.astype(np.float32)), model.move.astype(np.float32)
-    start = model.start.astype(np.float32)
-
-    def forward(first: int, stop: int, alpha: np.ndarray | None) -> tuple[list, list, list]:
-        """States, emissions and scales of the steps from ``first`` on; ``alpha`` is the state before."""
-        alphas, weights, scales = [], [], []
-        for t in range(first, stop):
-            n = steps[t]
-            b = by_symbol[obs[begin[:n] + t]]
-            alpha = (start if t == 0 else alpha[:n] @ move) * b
-            scale = alpha.sum(axis=1, keepdims=True)
-            alpha = alpha / scale
-            alphas.append(alpha)
-            weights.append(b)
-            scales.append(scale)
-        return alphas, weights, scales
-
-    blocks = list(range(0, len(steps), block))
-    before: list[np.ndarray | None] = [None]
-    for at in blocks[:-1]:  # only what a long text's later blocks begin with is kept
-        before.append(forward(at, at + block, before[-1])[0][-1])
-    xi, emit, opened, total = np.zeros((states, states)), np.zeros((states, n_symbols)), np.zeros(states), 0.0
-    beta, ahead = np.zeros((0, states), np.float32), None
-    for at, alpha in zip(reversed(blocks), reversed(before), strict=True):
-        alphas, weights, scales = forward(at, min(at + block, len(steps)), alpha)
-        total += sum(float(np.log(x, dtype=np.float64).sum()) for x in scales)
-        gammas = [None] * len(alphas)
-        for t in range(len(alphas) - 1, -1, -1):
-            new = np.ones((len(alphas[t]), states), np.float32)
-            if len(beta):
-                w, scale = (weights[t + 1], scales[t + 1]) if t + 1 < len(alphas) else ahead
-                inner = w * beta / scale
-                xi += alphas[t][: len(beta)].T @ inner
-                new[: len(beta)] = inner @ move.T
-            beta = new
-            gammas[t] = alphas[t] * beta
-        ahead = weights[0], scales[0]
-        seen = np.concatenate([obs[begin[:n] + at + t] for t, n in enumerate(steps[at : at + len(alphas)])])
-        gamma = np.concatenate(gammas)
-        emit += np.stack([np.bincount(seen, weights=gamma[:, k], minlength=n_symbols) for k in range(states)])
-        if at == 0:
-            opened = gammas[0].sum(axis=0, dtype=np.float64)
-    return opened, xi * model.move, emit, total
+    lead = np.repeat(model.start.astype(np.float32)[None, :], len(of), axis=0)
+    behind = np.ones((len(of), states), np.float32)
+    several = parts[of] > 1
+    if several.any():
+        before, behind[several] = _edges(obs, begin[several], size[several], parts[parts > 1], model)
+        lead[several] = np.where(opening[several][:, None], before, before @ move)
+
+    order, _, running = _layout(size)
+    steps, at = running.tolist(), begin[order]
+    alphas, weights, scales = [], [], []
+    alpha = lead[order]
+    for t, n in enumerate(steps):
+        b = by_symbol[obs[at[:n] + t]]
+        alpha = (alpha if t == 0 else alpha[:n] @ move) * b
+        scale = alpha.sum(axis=1, keepdims=True)
+        alpha = alpha / scale
+        alphas.append(alpha)
+        weights.append(b)
+        scales.append(scale)
+    total = sum(float(np.log(x, dtype=np.float64).sum()) for x in scales)
+    ends = np.empty((len(of), states), np.float32)
+    xi, gammas = np.zeros((states, states)), [None] * len(alphas)
+    beta, behind = np.zeros((0, states), np.float32), behind[order]
+    for t in range(len(alphas) - 1, -1, -1):
+        n, m = len(alphas[t]), len(beta)
+        new = np.empty((n, states), np.float32)
+        if m:
+            inner = weights[t + 1] * beta / scales[t + 1]
+            xi += alphas[t][:m].T @ inner
+            new[:m] = inner @ move.T
+        if m < n:  # segments that end here
+            ends[m:n] = alphas[t][m:]
+            new[m:] = behind[m:n] / (alphas[t][m:] * behind[m:n]).sum(axis=1, keepdims=True)
+        beta = new
+        gammas[t] = alphas[t] * beta
+    back = np.empty(len(of), np.int64)
+    back[order] = np.arange(len(of))
+    later = np.flatnonzero(~opening)  # the moves from one segment to the next
+    inner = (weights[0] * beta / scales[0])[back[later]]
+    xi += ends[back[later - 1]].T @ inner
+    seen = np.concatenate([obs[at[:n] + t] for t, n in enumerate(steps)])
+    gamma = np.concatenate(gammas)
+    emit = np.stack([np.bincount(seen, weights=gamma[:, k], minlength=n_symbols) for k in range(states)])
+    return gammas[0][opening[order]].sum(axis=0, dtype=np.float64), xi * model.move, emit, total
 
 
 def log_likelihood(obs: np.ndarray, length: np.ndarray, model: Model) -> np.ndarray:
