@@ -921,12 +921,19 @@ def consistent_tags(spark, d):
     return matching.consistent_tags(rows, 100.0, 1.5).select("sequence")
 
 
-@query(f"""WITH p AS (SELECT doc_id, {_LETTERS} AS s FROM documents), q AS (SELECT doc_id, substr(s, 10, 1) AS before, substr(s, 11, 1) AS first, substr(s, 20, 1) AS last, substr(s, 21, 1) AS after FROM p WHERE length(s) > 30)
-SELECT doc_id, (before IN ('K', 'R') AND first <> 'P') AND last IN ('K', 'R') AS specific, (before IN ('K', 'R') AND first <> 'P') OR last IN ('K', 'R') AS semi FROM q""")
+_CUT = "(c[i] IN ('K', 'R') AND c[i + 1] <> 'P')"
+
+
+@query(f"""WITH p AS (SELECT doc_id, string_split({_LETTERS}, '') AS c FROM documents)
+SELECT doc_id, len(list_filter(range(1, len(c) - 10), lambda i: {_CUT} AND c[i + 10] IN ('K', 'R'))) AS specific, len(list_filter(range(1, len(c) - 10), lambda i: {_CUT} OR c[i + 10] IN ('K', 'R'))) AS semi FROM p WHERE len(c) > 30""")
 def cleavage(spark, d):
-    at = lambda i: F.substring("seq", i, 1)
-    ok = lambda s: sequences.valid_cleavage(at(10), at(11), at(20), at(21), "Trypsin", s)
-    return peptides_of(spark, d).where("length(seq) > 30").select("doc_id", ok("specific").alias("specific"), ok("semi-specific").alias("semi"))
+    """How many of all runs of ten residues of a text the enzyme could make at both ends, and at one at least."""
+    at = lambda i: F.get("chars", i)
+    ok = lambda i, s: sequences.valid_cleavage(at(i), at(i + 1), at(i + 10), at(i + 11), "Trypsin", s)
+    runs = F.sequence(F.lit(0), F.size("chars") - 12)
+    chars = peptides_of(spark, d).where("length(seq) > 30").select("doc_id", F.filter(F.split("seq", ""), lambda r: r != "").alias("chars"))
+    count = lambda s: F.size(F.filter(runs, lambda i: ok(i, s))).cast("bigint")
+    return chars.select("doc_id", count("specific").alias("specific"), count("semi-specific").alias("semi"))
 
 
 @query(f"""WITH g AS ({_ACGT}), v AS (SELECT DISTINCT doc_id AS contig, 20 * (1 + (doc_id * 7 + k) % 25) AS pos, 2 AS n, repeat('T', (k % 4)::INTEGER) AS alt, k FROM documents, (SELECT unnest(range(0, 5)) AS k)),

@@ -232,12 +232,18 @@ def best_mapped(peptides: DataFrame, lineages: DataFrame, target: Column) -> Dat
     return near.withColumn("r_", F.rank().over(Window.partitionBy("grp").orderBy(F.desc("overlap")))).where("r_ = 1").select("grp", "entry", "n_peptides", "overlap")
 
 
+def _sent_if_small(counts: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A written table of counts, broadcast if it has at most so many rows (some 20 MB)."""
+    held = materialize(counts, "counts")
+    return F.broadcast(held) if held.count() <= rows else held
+
+
 def taxon_scores(hits: DataFrame) -> DataFrame:
     """The best hit of each query by organism share * accession share * match share, ties to the smaller accession.
     ``hits`` is (query, acc, organism, score)."""
     n = hits.agg(F.count("*").alias("n_"))
-    organism = hits.groupBy("organism").agg(F.count("*").alias("o_"))
-    acc = hits.groupBy("acc").agg(F.count("*").alias("a_"))
+    organism = _sent_if_small(hits.groupBy("organism").agg(F.count("*").alias("o_")))  # organisms are skewed, so that hits shouldn't move by them
+    acc = _sent_if_small(hits.groupBy("acc").agg(F.count("*").alias("a_")))
     match = hits.groupBy("query").agg(F.sum("score").alias("m_"))
     joined = hits.join(organism, "organism").join(acc, "acc").join(match, "query").crossJoin(F.broadcast(n))
     weight = F.round(F.col("o_") * F.col("a_") * F.col("score") / F.col("m_"), 8)  # orders as the product of the shares does
