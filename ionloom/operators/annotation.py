@@ -113,24 +113,62 @@ def sample_components(long: DataFrame, k: int = 2) -> DataFrame:
     return long.sparkSession.createDataFrame(rows, f"sample {kind}, component int, score double")
 
 
-def linkage(long: DataFrame, method: str = "average") -> list[tuple[list, list, float]]:
-    """Merges (left members, right members, height) of a clustering of samples by Euclidean distance over complete features;
-    ``method`` is single, complete or average. Distances are summed in Spark, the few samples are merged here."""
+#: The published update of distances when groups i and j merge, as functions of the sizes of i, j and another group k: the
+#: weights of the distances (i, k), (j, k), (i, j) and of |(i, k) - (j, k)|. The last three work on squared distances.
+LINKAGES = {
+    "single": lambda i, j, k: (0.5, 0.5, 0.0, -0.5),
+    "complete": lambda i, j, k: (0.5, 0.5, 0.0, 0.5),
+    "average": lambda i, j, k: (i / (i + j), j / (i + j), 0.0, 0.0),
+    "weighted": lambda i, j, k: (0.5, 0.5, 0.0, 0.0),
+    "centroid": lambda i, j, k: (i / (i + j), j / (i + j), -i * j / (i + j) ** 2, 0.0),
+    "median": lambda i, j, k: (0.5, 0.5, -0.25, 0.0),
+    "ward": lambda i, j, k: ((i + k) / (i + j + k), (j + k) / (i + j + k), -k / (i + j + k), 0.0),
+}
+_SQUARED = ("centroid", "median", "ward")
+
+
+def sample_distances(long: DataFrame) -> dict[tuple, float]:
+    """Euclidean distances of samples over complete features, by pairs in order; summed in Spark, samples squared come back."""
     n = long.select(F.count_distinct("sample").alias("n"))
     whole = long.where(F.col("value").isNotNull()).groupBy("id").agg(F.count("*").alias("own")).crossJoin(F.broadcast(n)).where("own = n").select("id")
     kept = long.join(whole, "id", "left_semi")
     pairs = kept.join(kept.select("id", F.col("sample").alias("other"), F.col("value").alias("y")), "id").where("sample < other")
-    far = {(r["sample"], r["other"]): r.d for r in pairs.groupBy("sample", "other").agg(F.sqrt(F.sum((F.col("value") - F.col("y")) ** 2)).alias("d")).collect()}
-    between = lambda a, b: [far[min(x, y), max(x, y)] for x in a for y in b]
-    join = {"single": min, "complete": max, "average": lambda v: sum(v) / len(v)}[method]
-    groups, merges = [[s] for s in sorted({s for p in far for s in p})], []
+    return {(r["sample"], r["other"]): r.d for r in pairs.groupBy("sample", "other").agg(F.sqrt(F.sum((F.col("value") - F.col("y")) ** 2)).alias("d")).collect()}
+
+
+def linkage(long: DataFrame, method: str = "average") -> list[tuple[list, list, float]]:
+    """Merges (left members, right members, height) of a clustering of samples by one of LINKAGES; the few samples merge here."""
+    return _merges(sample_distances(long), method)
+
+
+def _merges(far: dict[tuple, float], method: str) -> list[tuple[list, list, float]]:
+    power = 2 if method in _SQUARED else 1
+    groups = {k: [s] for k, s in enumerate(sorted({s for p in far for s in p}))}
+    at = {s[0]: k for k, s in groups.items()}
+    between = {(at[a], at[b]): d**power for (a, b), d in far.items()}
+    merges, new = [], len(groups)
     while len(groups) > 1:
-        height, i, j = min((join(between(a, b)), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j)
-        merges.append((groups[i], groups[j], height))
-        groups = [g for k, g in enumerate(groups) if k not in (i, j)] + [sorted(groups[i] + groups[j])]
+        height, i, j = min((d, i, j) for (i, j), d in between.items())
+        merges.append((groups[i], groups[j], max(0.0, height) ** (1 / power)))
+        for k in [k for k in groups if k not in (i, j)]:
+            a, b, c, e = LINKAGES[method](len(groups[i]), len(groups[j]), len(groups[k]))
+            left, right = between[min(i, k), max(i, k)], between[min(j, k), max(j, k)]
+            between[k, new] = a * left + b * right + c * height + e * abs(left - right)
+        groups[new] = sorted(groups[i] + groups[j])
+        del groups[i], groups[j]
+        between = {p: d for p, d in between.items() if not {i, j} & set(p)}
+        new += 1
     return merges
 
 
+def cophenetic_correlation(long: DataFrame, method: str = "average") -> float:
+    """How well the heights at which samples meet follow their distances; nan with fewer than three samples."""
+    far = sample_distances(long)
+    met = {(min(x, y), max(x, y)): h for a, b, h in _merges(far, method) for x in a for y in b}
+    pairs = sorted(far)
+    return float(np.corrcoef([far[p] for p in pairs], [met[p] for p in pairs])[0, 1]) if len(pairs) > 2 else float("nan")
+
+
 def significant_summary(results: DataFrame, p: str, cut: float = 0.05) -> DataFrame:
     """(direction, n, text): how many rows are significant, by the sign of their change."""
     rows = results.where(F.col(p) < cut).select(F.when(F.col("log_fc") > 0, "up").otherwise("down").alias("direction"))

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ionloom.operators.annotation import dunn
-from ionloom.operators.stats import average_ranks, chi2_tail, correlations, group_moments, incomplete_beta, kruskal_wallis, t_p_value, t_tail
+from ionloom.operators.stats import average_ranks, chi2_tail, correlations, group_moments, incomplete_beta, kruskal_wallis, t_p_value, t_tail, variance_prior
+from ionloom.storage import materialize
 
 _erfc = np.vectorize(math.erfc, otypes=[float])
 
@@ -188,3 +189,48 @@ def tukey(long: DataFrame) -> DataFrame:
     diff = F.col("ma") - F.col("mb")
     error = F.sqrt(F.col("within") / F.col("df") / 2 * (1 / F.col("na") + 1 / F.col("nb")))
     return pairs.select("id", "a", "b", diff.alias("diff"), F.try_divide(F.abs(diff), error).alias("q"), "k", "df").withColumn("p", tukey_p("q", "k", "df")).drop("k")
+
+
+def _solve(weights: list[list[float]], size: int):
+    """Least squares of every id from its sums, and each contrast's estimate and unscaled variance."""
+
+    def run(frames):
+        c = np.array(weights, float)
+        for pdf in frames:
+            out = []
+            for r in pdf.itertuples(index=False):
+                xx, xy = np.array(r.xx, float).reshape(size, size), np.array(r.xy, float)
+                if np.linalg.matrix_rank(xx) < size or r.n <= size:
+                    continue
+                inverse = np.linalg.inv(xx)
+                beta, df = inverse @ xy, float(r.n - size)
+                s2 = max(0.0, float(r.yy - xy @ beta)) / df
+                out += [(r.id, k, float(w @ beta), float(w @ inverse @ w), s2, df) for k, w in enumerate(c)]
+            yield pd.DataFrame(out, columns=["id", "k", "log_fc", "unscaled", "s2", "df"])
+
+    return run
+
+
+def moderated_contrasts(long: DataFrame, design: DataFrame, contrasts: dict[str, list[float]]) -> DataFrame:
+    """id, contrast, log_fc, t, df and p of contrasts in a linear model of any design, variances shrunk to a common prior.
+
+    ``long`` is (id, sample, value), ``design`` (sample, x): a row of the design matrix for each sample, which is small;
+    ``contrasts`` names weights of its columns. Spark adds up each id's products; the few numbers of an id are solved in
+    the tasks. Ids whose samples don't determine all columns, or leave nothing over, have no row."""
+    size = len(next(iter(contrasts.values())))
+    x = lambda i: F.get("x", F.lit(i))
+    held = long.where(F.col("value").isNotNull()).join(F.broadcast(design), "sample")  # a row for each sample
+    sums = held.groupBy("id").agg(
+        F.array(*(F.sum(x(i) * x(j)) for i in range(size) for j in range(size))).alias("xx"), F.array(*(F.sum(x(i) * F.col("value")) for i in range(size))).alias("xy"),
+        F.sum(F.col("value") * F.col("value")).alias("yy"), F.count("*").alias("n"),
+    )
+    kind = long.schema["id"].dataType.simpleString()
+    fits = materialize(sums.mapInPandas(_solve(list(contrasts.values()), size), f"id {kind}, k int, log_fc double, unscaled double, s2 double, df double"), "contrasts")
+    prior = variance_prior(fits.where("k = 0"))
+    names = F.get(F.array(*(F.lit(n) for n in contrasts)), F.col("k")).alias("contrast")
+    if prior is None:
+        return fits.select("id", names, "log_fc", F.lit(None).cast("double").alias("t"), "df", F.lit(None).cast("double").alias("p"))
+    d0, s0 = prior
+    shrunk = (F.lit(d0 * s0) + F.col("df") * F.col("s2")) / (F.lit(d0) + F.col("df")) if math.isfinite(d0) else F.lit(s0)
+    tested = fits.select("id", names, "log_fc", F.try_divide(F.col("log_fc"), F.sqrt(shrunk * F.col("unscaled"))).alias("t"), (F.col("df") + F.lit(d0)).alias("df"))
+    return tested.withColumn("p", t_p_value("t", F.least("df", F.lit(1e10))))

@@ -261,6 +261,17 @@ def correlations(pairs: DataFrame) -> DataFrame:
     return ranked.groupBy("id").agg(F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"))
 
 
+def variance_prior(rows: DataFrame) -> tuple[float, float] | None:
+    """(degrees of freedom, variance) of the prior that the rows' variances (s2, df) suggest; None without a variance."""
+    mean, var, d = rows.where("s2 > 0").agg(F.avg(F.log("s2")), F.var_samp(F.log("s2")), F.avg("df")).first()
+    if mean is None:
+        return None
+    e_mean = mean - _digamma(d / 2) + math.log(d / 2)
+    excess = (var or 0.0) - _trigamma(d / 2)
+    d0 = 2 * trigamma_inverse(excess) if excess > 0 else math.inf
+    return d0, math.exp(e_mean + _digamma(d0 / 2) - math.log(d0 / 2)) if math.isfinite(d0) else math.exp(e_mean)
+
+
 def moderated_t(long: DataFrame, treated: str, control: str) -> DataFrame:
     """id, log_fc, t and df with each row's variance shrunk to a common prior (the published empirical-Bayes method).
 
@@ -269,14 +280,10 @@ def moderated_t(long: DataFrame, treated: str, control: str) -> DataFrame:
     df = (F.col("n_a") + F.col("n_b") - 2).cast("double")
     s2 = ((F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b")) / df
     rows = m.withColumn("df", df).withColumn("s2", s2)
-    usual = rows.where("s2 > 0").agg(F.avg(F.log("s2")), F.var_samp(F.log("s2")), F.avg("df")).first()
-    if usual[0] is None:
+    prior = variance_prior(rows)
+    if prior is None:
         return rows.select("id", (F.col("mean_a") - F.col("mean_b")).alias("log_fc"), F.lit(None).cast("double").alias("t"), "df")
-    mean, var, d = usual[0], usual[1] or 0.0, usual[2]
-    e_mean = mean - _digamma(d / 2) + math.log(d / 2)
-    excess = var - _trigamma(d / 2)
-    d0 = 2 * trigamma_inverse(excess) if excess > 0 else math.inf
-    s0 = math.exp(e_mean + _digamma(d0 / 2) - math.log(d0 / 2)) if math.isfinite(d0) else math.exp(e_mean)
+    d0, s0 = prior
     shrunk = (F.lit(d0) * s0 + F.col("df") * F.col("s2")) / (F.lit(d0) + F.col("df")) if math.isfinite(d0) else F.lit(s0)
     diff = F.col("mean_a") - F.col("mean_b")
     return rows.select("id", diff.alias("log_fc"), F.try_divide(diff, F.sqrt(shrunk * (1 / F.col("n_a") + 1 / F.col("n_b")))).alias("t"), (F.col("df") + F.lit(d0)).alias("df"))

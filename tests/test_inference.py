@@ -113,3 +113,34 @@ def test_combined_table_of_odd_rows(spark):
     groups, strains = metaproteomics.combined_groups(members, evidence, design, classes)
     assert {r.group_id: (r.specific_peptides, r.paralogous, r.one_strain_peptides) for r in groups.collect()} == {7: ("MA", "+", "MA"), 8: ("", "-", "")}
     assert {(r.group_id, r.strain): (r.n_samples, r.peptides) for r in strains.collect()} == {(7, "x"): (2, "_MA_"), (7, "y"): (1, "_K_")}
+
+
+def test_contrasts_of_two_groups_are_the_moderated_t(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, f"s{k}", "a" if k < 4 else "b", rng.gauss(i % 3 if k < 4 else 0, 1 + i % 5 / 4)) for i in range(60) for k in range(9) if (i + k) % 11] + [(99, "s0", "a", 1.0), (98, "s1", "a", None)]
+    df = spark.createDataFrame(rows, "id long, sample string, grp string, value double")
+    design = spark.createDataFrame([(f"s{k}", [1.0, 0.0] if k < 4 else [0.0, 1.0]) for k in range(9)], "sample string, x array<double>")
+    want = {r.id: r for r in stats.moderated_t(df, "a", "b").collect()}
+    got = {r.id: r for r in inference.moderated_contrasts(df, design, {"a-b": [1.0, -1.0]}).collect()}
+    assert set(got) == set(want) and len(got) == 60
+    for i, r in got.items():
+        assert r.log_fc == pytest.approx(want[i].log_fc) and r.t == pytest.approx(want[i].t) and r.df == pytest.approx(want[i].df) and 0 <= r.p <= 1
+    three = spark.createDataFrame([(f"s{k}", [1.0, float(k), float(k % 2)]) for k in range(9)], "sample string, x array<double>")
+    both = inference.moderated_contrasts(df, three, {"slope": [0.0, 1.0, 0.0], "parity": [0.0, 0.0, 1.0]}).collect()
+    assert {r.contrast for r in both} == {"slope", "parity"} and len(both) == 120
+    assert inference.moderated_contrasts(df.limit(0), design, {"a-b": [1.0, -1.0]}).collect() == []
+
+
+def test_linkages(spark):
+    from ionloom.operators import annotation
+
+    points = {"a": (0.0, 0.0), "b": (1.0, 0.0), "c": (5.0, 0.0), "d": (5.0, 2.0), "e": (9.0, 9.0)}
+    df = spark.createDataFrame([(k, s, p[k]) for s, p in points.items() for k in (0, 1)], "id long, sample string, value double")
+    heights = {m: [round(h, 6) for _, _, h in annotation.linkage(df, m)] for m in annotation.LINKAGES}
+    assert all(h[:2] == [1.0, 2.0] for h in heights.values())
+    assert heights["single"][2:] == [4.0, round(65**0.5, 6)] and heights["complete"][2:] == [round(29**0.5, 6), round(162**0.5, 6)]
+    assert heights["centroid"][2] == round((4.5**2 + 1) ** 0.5, 6) and heights["ward"][2] == round((2 * (4.5**2 + 1)) ** 0.5, 6)
+    assert heights["median"][2] == heights["centroid"][2] and heights["weighted"][2] == heights["average"][2]
+    assert 0.8 < annotation.cophenetic_correlation(df) <= 1
