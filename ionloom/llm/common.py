@@ -1,11 +1,7 @@
-"""What the corpus operators share: the shared folder, tables that cut lineage, and small array helpers."""
+"""What the corpus operators share: written tables that cut lineage, free names, id filters and small array helpers."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -14,51 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ionloom.storage import materialize, shared_dir, temporary  # noqa: F401  (the operators' own names for them)
+
 #: Bytes of text that a Python worker turns into arrays at once.
 CHUNK_BYTES = 1 << 20
 #: ASCII white space, the set [\x20\x09-\x0D] of the contracts; bytes.split() splits on just these.
 SPACE = b" \t\n\x0b\x0c\r"
 
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, spark.checkpoint.dir. A local master, whose tasks run on this machine,
-    gets a temporary one where the session names none; on a cluster that is an error, as executors write to their own disks."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if not _own_dir:
-            _own_dir.append(tempfile.mkdtemp(prefix="ionloom-"))
-            atexit.register(shutil.rmtree, _own_dir[0], True)
-        found = f"file://{_own_dir[0]}"
-    if "://" not in found:  # a plain path lies in the cluster's default store, which only its configuration names
-        path = spark._jvm.org.apache.hadoop.fs.Path(found)
-        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().replace("file:/", "file:///", 1)
-    return found.rstrip("/")
-
-
-def temporary(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder, which goes when the driver ends in good order."""
-    name = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.mkdirs(path.getParent())
-    store.create(path, True).close()  # only what exists can be marked
-    store.deleteOnExit(path)
-    store.delete(path, False)
-    return name
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back, so that lost executors cost no rerun of what led to it."""
-    path = temporary(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores behind it as make it no column of ``df`` (names differ by more than case)."""
     taken = {c.lower() for c in df.columns}
