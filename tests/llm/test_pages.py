@@ -113,3 +113,45 @@ def test_hostile_pages_take_linear_time():
         found = html_extract.blocks(page)[0]
         assert time.process_time() - began < 8, (page[:20], time.process_time() - began)
     assert len(found) == n
+
+
+def brute_texts(rows, least=5):
+    """Templates by counting one page after the other."""
+    from collections import Counter
+
+    host = lambda url: (url or "").partition("://")[2].partition("/")[0].lower()
+    pages = {}
+    for _, url, page in rows:
+        found, _, elements = html_extract.blocks(page or "")
+        longest = sorted({t for t, _ in found}, key=lambda t: (-len(t), t))[:4] or [""]
+        pages[host(url), page or ""] = {html_extract.digest(e) for e in elements if e.judged}, [longest[k % len(longest)] for k in range(4)]
+    gone = defaultdict(set)
+    for h in {h for h, _ in pages}:
+        own = [v for (x, _), v in pages.items() if x == h]
+        for subtree in set().union(*(s for s, _ in own)):
+            texts = [t for s, t in own if subtree in s]
+            if len(texts) >= least and sum(2 * max(Counter(t[k] for t in texts).values()) <= len(texts) for k in range(4)) >= 2:
+                gone[h].add(subtree)
+    return sorted((i, "\n".join(t for t, _ in html_extract.blocks(page or "", frozenset(gone[host(url)]))[0])) for i, url, page in rows)
+
+
+def test_template_removal_against_brute_force(spark):
+    import random
+
+    rng = random.Random(12)
+    word = lambda: rng.choice("abcdefgh") * rng.randint(1, 6)
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows = []
+    for h in range(6):
+        parts = [f"<div><p>{text(rng.randint(1, 9))}</p></div>" for _ in range(5)]
+        articles = [f"<h1>{text(2)}</h1><p>{text(20)}</p><p>{text(8)}</p>" for _ in range(6)]
+        for _ in range(rng.choice([3, 12, 30])):
+            body = rng.choice(articles).replace("</p><p>", rng.choice(["</p><p>", f" {word()}</p><p>"]))
+            box = "".join(p for p in parts[2:4] if rng.random() < 0.8)
+            inside = f"<article>{body}{box}</article>" if h % 2 else f"<section>{body}</section>{box}"
+            rows.append((len(rows), f"https://h{h}.example/{len(rows)}", "".join(p for p in parts[:2] if rng.random() < 0.9) + inside + f"<div>{text(3)}</div>" + parts[4]))
+    rows += [(1000, None, None), (1001, "https://h0.example/x", ""), (1002, "https://h1.example/copy", rows[-1][2])]
+    got = sorted((r.page_id, r.text) for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect())
+    assert got == brute_texts(rows)
+    kept = sum(len(t) for _, t in got)
+    assert kept < sum(len("\n".join(t for t, _ in html_extract.blocks(p or "")[0])) for _, _, p in rows)

@@ -216,13 +216,37 @@ def test_spans_of_a_model_with_a_character_map(spark, tmp_path):
         assert list(zip(r.begins, r.ends, strict=True))[1:-1] == want, text
 
 
+def brute_score(words, c, model):
+    """log10 probability of one text, token by token, from the model's arrays and the training counts."""
+    heads = {int(h): i for i, h in enumerate(model.heads)}
+    n_classes = model.emit.shape[1] - 1 - len(heads)
+    hashes = hmm_lm.tokens([" ".join(w for w in words if w).encode()])[0]
+    known = Counter()
+    for w, n in c.items():
+        h = hmm_lm.END if w is None else hmm_lm.tokens([w.encode()])[0][0]
+        if int(h) not in heads:
+            k = int(hmm_lm.class_of(np.array([h]), n_classes)[0])
+            known[k, "n"] += n
+            known[k, "v"] += 1
+    total, state = 0.0, None
+    for w, h in zip(words, hashes, strict=True):
+        k = n_classes + 1 + heads[int(h)] if int(h) in heads else int(hmm_lm.class_of(np.array([h]), n_classes)[0])
+        state = (model.start if state is None else state @ model.move) * model.emit[:, k]
+        total += math.log10(state.sum())
+        state = state / state.sum()
+        if int(h) not in heads:
+            total += math.log10((c[w] + 1) / (known[k, "n"] + known[k, "v"] + (k < n_classes)))
+    return total
+
+
 def test_hmm_counts_and_base_against_brute_force(spark):
     texts = {0: "the cat sat", 1: "THE dog", 2: None, 3: "", 4: "cat cat cat bird", 5: "unseen words here the", 6: "the " * 3000, 8: "dog cat"}
     rows = [(i, t) for i, t in texts.items()] + [(8, "dog cat")]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, c int")
     train = df.where("doc_id <> 5")
     counts = hmm_lm.count_words(train)
-    got = hmm_lm.score(df, counts, hmm_lm.fit(train, counts, states=3, rounds=2)).collect()
+    model = hmm_lm.fit(train, counts, states=3, rounds=2)
+    got = hmm_lm.score(df, counts, model).collect()
     split = lambda t: [*(t or "").lower().split(), None]
     c = Counter(w for i, t in rows if i != 5 for w in split(t))
     n, v = sum(c.values()), len(c)
@@ -231,7 +255,7 @@ def test_hmm_counts_and_base_against_brute_force(spark):
         words = split(texts[r.doc_id])
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(c[w] > 0 for w in words), n)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words))
-        assert r.score < 0
+        assert r.score == pytest.approx(brute_score(words, c, model), rel=1e-6)
     same = [r.score for r in got if r.doc_id == 8]
     assert same[0] == pytest.approx(same[1])
     none = hmm_lm.score(df, hmm_lm.count_words(train.limit(0)), hmm_lm.fit(train.limit(0), hmm_lm.count_words(train.limit(0)))).collect()
