@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -34,7 +35,9 @@ from ionloom.llm.common import bounded_batches, chunks
 _SPACE = "▁".encode()  # stands for a space in pieces
 _SEGMENT = re.compile("▁*[^▁]+|▁+")
 #: Segments whose ids a task remembers; it forgets all when there are more, and longer ones at once.
-REMEMBERED, REMEMBERED_CHARS = 1 << 18, 64
+REMEMBERED, REMEMBERED_CHARS = 1 << 19, 64
+#: Characters of a segment up to which no queue is kept.
+SHORT_CHARS = 48
 
 
 class Normaliser:
@@ -128,7 +131,8 @@ class Encoder:
         none = (kinds.CONTROL, kinds.UNKNOWN)
         self.width = np.array([1 if p.type == kinds.BYTE else 0 if p.type in none else len(p.piece.encode()) for p in proto.pieces], np.int64)
         self.unknown = self.model.unk_id()
-        self.scores = {p.piece: (p.score, i) for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
+        self.pieces = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
+        self.costs = {p.piece: -p.score for p in proto.pieces if p.type == kinds.NORMAL}
         self.bytes = [i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE]
         self.frame = [self.model.bos_id()], [self.model.eos_id()]
         odd = any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) or re.search("[^▁]▁", p.piece) for p in proto.pieces)
@@ -137,13 +141,40 @@ class Encoder:
 
     def segment(self, text: str) -> list[int]:
         """Ids of one segment: of all neighbours that make a piece, the best first, ties to the left."""
+        parts = self._merged_long(text) if len(text) > SHORT_CHARS else self._merged(text)
+        out: list[int] = []
+        for piece in parts:
+            found = self.pieces.get(piece)
+            if found is None:
+                out += [self.bytes[b] for b in piece.encode()]
+            else:
+                out.append(found)
+        return out
+
+    def _merged(self, text: str) -> list[str]:
+        """The pieces of a short segment; the best neighbours are sought anew each time."""
+        cost, never = self.costs.get, math.inf
+        parts = list(text)
+        costs = [cost(a + b, never) for a, b in zip(parts, parts[1:], strict=False)]
+        while costs and (least := min(costs)) < never:
+            i = costs.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del costs[i]
+            if i:
+                costs[i - 1] = cost(parts[i - 1] + parts[i], never)
+            if i < len(costs):
+                costs[i] = cost(parts[i] + parts[i + 1], never)
+        return parts
+
+    def _merged_long(self, text: str) -> list[str]:
+        """The pieces of a long segment; the neighbours wait in a queue."""
         left, right = list(range(-1, len(text) - 1)), list(range(1, len(text) + 1))
         part: list[str | None] = list(text)
         queue: list[tuple[float, int, int, int]] = []
 
         def offer(i: int, j: int) -> None:
-            if i >= 0 and j < len(part) and (found := self.scores.get(part[i] + part[j])):
-                heapq.heappush(queue, (-found[0], i, j, len(part[i]) + len(part[j])))
+            if i >= 0 and j < len(part) and (cost := self.costs.get(part[i] + part[j])) is not None:
+                heapq.heappush(queue, (cost, i, j, len(part[i]) + len(part[j])))
 
         for i in range(len(text) - 1):
             offer(i, i + 1)
@@ -157,12 +188,7 @@ class Encoder:
                 left[right[i]] = i
             offer(left[i], i)
             offer(i, right[i])
-        out: list[int] = []
-        for piece in part:
-            if piece is not None:
-                found = self.scores.get(piece)
-                out += [found[1]] if found else [self.bytes[b] for b in piece.encode()]
-        return out
+        return [piece for piece in part if piece is not None]
 
     def ids(self, text: bytes, normal: bytes) -> list[int]:
         """Ids of a text with begin and end; ``normal`` is what the normaliser made of it."""
