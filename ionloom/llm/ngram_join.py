@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +39,11 @@ from ionloom.llm.common import bounded_batches, chunks, id_filter, materialize,
 from ionloom.llm.graph import components
 
 #: Slices in which shingles are counted at least, bytes of text for each, and documents of a chunk up to which a shingle
-#: is sent for each of them.
-SLICES, SLICE_BYTES, SENT_EACH = 64, 64 << 20, 8
+#: is sent for each of them. A chunk (LOCAL_BYTES) sends a row to each slice, so beyond some terabytes both should grow
+#: with the executors' memory: a task holds some 12 bytes for each byte of either.
+SLICES, SLICE_BYTES, SENT_EACH = 64, 16 << 20, 8
 #: Sets and shingles of a block, about; bytes of text of which a task forms its own families at once.
-BLOCK_SETS, BLOCK_SHINGLES, LOCAL_BYTES = 128, 400_000, 32 << 20
+BLOCK_SETS, BLOCK_SHINGLES, LOCAL_BYTES = 128, 400_000, 8 << 20
 #: Rounds in which the heads of blocks meet; what they leave apart is for the exact probes.
 HEAD_ROUNDS = 3
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -82,13 +84,23 @@ def _digest(s: np.ndarray) -> int:
 #: Rows between the steps of the count: tokens of one chunk and slice with the document of the chunk that holds each, and
 #: the count or level of each; slice -1 is the chunk's own table of documents, with the tokens that many of them hold.
 SENT = "chunk long, slice int, tokens binary, docs binary, counts binary, ids array<long>, nodes array<long>, sizes array<long>"
-_MANY = 0xFFFFFFFF
+#: Documents of a chunk, so that two bytes number them, and what stands for many of them.
+CHUNK_DOCS, CHUNK_ROWS, _MANY = 65_000, 8192, 65_535
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Document numbers, as the steps from one to the next."""
+    return zlib.compress(np.diff(numbers.astype(np.uint16), prepend=np.uint16(0)).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), np.uint16), dtype=np.uint16)
 
 
 def _row(chunk: int, slice_: int, tokens: np.ndarray, docs: np.ndarray, counts: np.ndarray, ids=None, nodes=None, sizes=None) -> pa.RecordBatch:
     long = pa.list_(pa.int64())
     return pa.record_batch({
-        "chunk": pa.array([chunk], pa.int64()), "slice": pa.array([slice_], pa.int32()), "tokens": pa.array([tokens.tobytes()], pa.binary()), "docs": pa.array([docs.astype("<u4").tobytes()], pa.binary()),
+        "chunk": pa.array([chunk], pa.int64()), "slice": pa.array([slice_], pa.int32()), "tokens": pa.array([tokens.tobytes()], pa.binary()), "docs": pa.array([_packed(docs)], pa.binary()),
         "counts": pa.array([counts.tobytes()], pa.binary()), "ids": pa.array([ids], long), "nodes": pa.array([nodes], long), "sizes": pa.array([sizes], long),
     })
 
@@ -98,36 +110,37 @@ def _chunk_rows(ids: list, sets: list[np.ndarray], nodes: list[int], chunk: int,
     first = {k: i for i, k in reversed(list(enumerate(nodes)))}
     sent = [i for i, k in enumerate(nodes) if first[k] == i and len(sets[i])]
     token = _token(np.concatenate([sets[i] for i in sent]), slices) if sent else np.zeros(0, np.uint64)
-    doc = np.repeat(np.array(sent, np.int64), [len(sets[i]) for i in sent]) if sent else np.zeros(0, np.int64)
+    doc = np.repeat(np.array(sent, np.uint16), [len(sets[i]) for i in sent]) if sent else np.zeros(0, np.uint16)
     order = np.argsort(token, kind="stable")
     token, doc = token[order], doc[order]
+    del order
     begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
     length = np.diff(begin, append=len(token))
     many = np.repeat(length > SENT_EACH, length)
-    yield _row(chunk, -1, token[many], doc[many], np.zeros(0, np.uint8), ids, nodes, [len(x) for x in sets])
-    hot = begin[length > SENT_EACH]
+    hot, held = begin[length > SENT_EACH], length[length > SENT_EACH].astype(np.uint32)
+    yield _row(chunk, -1, token[hot], doc[many], held, ids, nodes, [len(x) for x in sets])
     token = np.concatenate([token[~many], token[hot]])
-    doc = np.concatenate([doc[~many], np.full(len(hot), _MANY)])
-    counts = np.concatenate([np.ones(len(token) - len(hot), np.uint32), length[length > SENT_EACH].astype(np.uint32)])
-    order = np.argsort(token >> np.uint64(32), kind="stable")
+    doc = np.concatenate([doc[~many], np.full(len(hot), _MANY, np.uint16)])
+    counts = np.concatenate([np.ones(len(token) - len(hot), np.uint32), held])
+    order = np.lexsort((doc, token >> np.uint64(32)))
     token, doc, counts = token[order], doc[order], counts[order]
     edge = np.searchsorted(token >> np.uint64(32), np.arange(slices + 1))
     for k in np.flatnonzero(np.diff(edge)).tolist():
         own = slice(edge[k], edge[k + 1])
-        yield _row(chunk, k, token[own].astype("<u4"), doc[own], counts[own] if (doc[own] == _MANY).any() else np.zeros(0, np.uint32))
+        yield _row(chunk, k, token[own].astype("<u4"), doc[own], counts[own] if doc[edge[k + 1] - 1] == _MANY else np.zeros(0, np.uint32))
 
 
 def _send(n: int, slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sets, nodes, held, chunk = [], [], [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
-            for start, stop, texts in chunks(batch, "text"):
+            for start, stop, texts in chunks(batch, "text", rows=CHUNK_ROWS):
                 ids += batch.column("doc_id").slice(start, stop - start).to_pylist()
                 new = shingle_sets(texts, n)
                 sets += new
                 nodes += [_digest(s) for s in new]
                 held += sum(len(t or b"") for t in texts)
-                if held >= LOCAL_BYTES:
+                if held >= LOCAL_BYTES or len(ids) > CHUNK_DOCS - CHUNK_ROWS:
                     yield from _chunk_rows(ids, sets, nodes, chunk, slices)
                     ids, sets, nodes, held, chunk = [], [], [], 0, chunk + 1
         if ids:
@@ -152,11 +165,11 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level[order] = np.repeat(np.where(total > 1, np.rint(8 * np.log2(total)), 0).astype(np.uint8), np.diff(begin, append=len(flat)))
         at = 0
         for r, t in zip(held, tokens, strict=True):
-            own, docs = level[at : at + len(t)], np.frombuffer(r["docs"], "<u4")
+            own = level[at : at + len(t)]
             at += len(t)
             keep = own > 0
             if keep.any():
-                yield _row(r["chunk"], r["slice"], t[keep], docs[keep], own[keep])
+                yield _row(r["chunk"], r["slice"], t[keep], _unpacked(r["docs"])[keep], own[keep])
 
     for batch in batches:
         for r in batch.to_pylist():
@@ -179,7 +192,7 @@ def _prefixes(rows: list[dict], percent: int) -> tuple[list, list[tuple[int, int
         if r["slice"] < 0:
             continue
         t = np.frombuffer(r["tokens"], "<u4").astype(np.uint64) | (np.uint64(r["slice"]) << np.uint64(32))
-        d, v = np.frombuffer(r["docs"], "<u4"), np.frombuffer(r["counts"], np.uint8)
+        d, v = _unpacked(r["docs"]), np.frombuffer(r["counts"], np.uint8)
         many = d == _MANY
         tokens.append(t[~many])
         docs.append(d[~many])
@@ -190,9 +203,10 @@ def _prefixes(rows: list[dict], percent: int) -> tuple[list, list[tuple[int, int
     if len(hot):
         names, values = np.concatenate(known_token), np.concatenate(known_level)
         by = np.argsort(names)
-        tokens.append(hot)
-        docs.append(np.frombuffer(own["docs"], "<u4"))
-        levels.append(values[by][np.searchsorted(names[by], hot)])
+        held = np.frombuffer(own["counts"], np.uint32)
+        tokens.append(np.repeat(hot, held))
+        docs.append(_unpacked(own["docs"]))
+        levels.append(np.repeat(values[by][np.searchsorted(names[by], hot)], held))
     sizes = np.array(own["sizes"], np.int64)
     empty = np.zeros(0, np.uint64)
     prefix = {}
