@@ -63,7 +63,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BYTE = np.random.Generator(np.random.PCG64(41)).integers(0, 2**64, 256, dtype=np.uint64)
+_EXACT = np.random.Generator(np.random.PCG64(41)).integers(0, 2**64, 256, dtype=np.uint64)
+_BYTE = _EXACT.copy()
 _BYTE[65:91] = _BYTE[97:123]  # A-Z hash like a-z
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE)] = True
@@ -71,21 +72,28 @@ _BASE = 0x2545F4914F6CDD1D
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hashes of all words, number of words of each text): words are runs of anything but ASCII white space, A-Z
-    lower-cased. A word's hash is a polynomial over random values of its bytes, found for all words at once from running sums."""
-    raw = np.frombuffer(b"\n".join([*(t or b"" for t in texts), b""]), np.uint8)
-    n = len(raw)
-    if len(_powers[0]) < n + 1:
+def powers(n: int) -> list[np.ndarray]:
+    """The first ``n`` powers, at least, of the base of the polynomial hashes and of its inverse modulo 2**64."""
+    if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(max(n + 1, 3 << 19), base, np.uint64)
+            steps = np.full(max(n, 3 << 19), base, np.uint64)
             steps[0] = 1
             _powers[k] = np.cumprod(steps)
+    return _powers
+
+
+def word_hashes(texts: list[bytes | None], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all words, number of words of each text): words are runs of anything but ASCII white space, A-Z
+    lower-cased if ``fold``. A word's hash is a polynomial over random values of its bytes, found for all words at once
+    from running sums."""
+    raw = np.frombuffer(b"\n".join([*(t or b"" for t in texts), b""]), np.uint8)
+    n = len(raw)
+    powers(n + 1)
     space = _IS_SPACE[raw]
     before = np.concatenate([[True], space[:-1]])
     start, stop = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * _powers[0][:n], out=sums[1:])
+    np.cumsum((_BYTE if fold else _EXACT)[raw] * _powers[0][:n], out=sums[1:])
     h = mix((sums[stop] - sums[start]) * _powers[1][start] + (stop - start).astype(np.uint64))
     ends = np.cumsum([len(t or b"") + 1 for t in texts])
     return h, np.diff(np.searchsorted(start, ends), prepend=0)
@@ -131,20 +139,29 @@ def id_filter(ids: DataFrame, column: str):
     return spark.sparkContext.broadcast((bits, {r.slice: bytes(r.bits) for r in rows}))
 
 
+def membership(held):
+    """A function from ids (long) to whether the broadcast filter may hold each; unpacks the filter once."""
+    bits, parts = held.value
+    size = bits // FILTER_SLICES // 8
+    flat = np.zeros(bits // 8, np.uint8)
+    for k, v in parts.items():
+        flat[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(v), np.uint8)
+
+    def may_hold(ids: np.ndarray) -> np.ndarray:
+        places = _places(ids, bits)
+        return ((flat[places >> np.uint64(3)] >> (np.uint8(7) - (places & np.uint64(7)).astype(np.uint8))) & 1).all(axis=0)
+
+    return may_hold
+
+
 def maybe_in(df: DataFrame, column: str, held, wanted: bool = True) -> DataFrame:
     """The rows whose id the filter may hold, or with ``wanted`` false those whose id it surely doesn't; a null id may be held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, parts = held.value
-        size = bits // FILTER_SLICES // 8
-        flat = np.zeros(bits // 8, np.uint8)
-        for k, v in parts.items():
-            flat[k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(v), np.uint8)
+        may_hold = membership(held)
         for batch in batches:
             ids = batch.column(column).cast(pa.int64())
-            places = _places(ids.fill_null(0).to_numpy(), bits)
-            hit = ((flat[places >> np.uint64(3)] >> (np.uint8(7) - (places & np.uint64(7)).astype(np.uint8))) & 1).all(axis=0)
-            hit |= ids.is_null().to_numpy(zero_copy_only=False)
+            hit = may_hold(ids.fill_null(0).to_numpy()) | ids.is_null().to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(hit == wanted))
 
     return df.mapInArrow(run, df.schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm import decontam, hmm_lm, html_extract, langid, license_scan, linededup, ngram_join, sptok, topk, warc
+from ionloom.llm import decontam, hmm_lm, html_extract, langid, license_scan, linededup, ngram_join, resample, spelling, sptok, substring_dedup, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,23 @@ def op9_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", hmm_lm.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated word with its near words counted, the frequent form that it stands for, and where the forms lead."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 13-word windows that a document with a smaller id holds too are removed."""
+    kept = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn by how much their words and word pairs are those of the benchmark."""
+    drawn = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
@@ -86,8 +103,21 @@ QUERIES = {
     "op9_hmm_scoring": op9_hmm_scoring,
     "op10_html_extraction": op10_html_extraction,
     "op6_exact_topk": op6_exact_topk,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8, bit by bit: bytes enter the sum, each followed by eight shifts."""
+    steps = f"flatten(list_transform(range(octet_length(encode({text}))), lambda j: [('0x' || hex(array_slice(encode({text}), j + 1, j + 1)))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {step}), 4294967295)"
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 #: Words and shingles as strings: the exact search that the fingerprints only speed up.
 _SHINGLES = r"""
 dw AS (SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
@@ -96,6 +126,48 @@ dg AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w)
 ig AS (SELECT item_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS g FROM iw WHERE w[1] <> '')"""
 
 ORACLES = {
+    # near words by what is left when one letter goes: the same rest at the same place is a replacement, a word that is
+    # another one's rest an insertion
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE t AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+u AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM t WHERE length(run) >= 7 GROUP BY ALL),
+h AS MATERIALIZED (SELECT run, n, {_crc32("concat(doc_id, ':', run)")} AS h FROM u),
+c AS (SELECT CASE WHEN h % 31 = 0 THEN run[:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM c WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+d AS MATERIALIZED (SELECT word, n, i, word[:i] || word[i + 2:] AS rest FROM w, unnest(range(length(word))) AS r(i)),
+p AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT a.word, a.n, b.word, b.n FROM d a JOIN w b ON a.rest = b.word UNION SELECT b.word, b.n, a.word, a.n FROM d a JOIN w b ON a.rest = b.word),
+f AS MATERIALIZED (SELECT word, any_value(n) AS n, count(*) AS n_near, max(other_n) FILTER (WHERE other_n >= 10 * n) AS form_n FROM p GROUP BY 1),
+g AS MATERIALIZED (SELECT f.word, f.n_near, f.form_n, min(p.other) AS form FROM f LEFT JOIN p ON p.word = f.word AND p.other_n = f.form_n GROUP BY ALL),
+r(word, here, steps) AS (SELECT word, form, 1 FROM g WHERE form IS NOT NULL UNION ALL SELECT r.word, g.form, steps + 1 FROM r JOIN g ON g.word = r.here WHERE g.form IS NOT NULL),
+e AS (SELECT DISTINCT ON (word) word, here FROM r ORDER BY word, steps DESC)
+SELECT w.word, g.form, coalesce(e.here, w.word) AS root, w.n, coalesce(g.n_near, 0) AS n_near, g.form_n FROM w LEFT JOIN g ON g.word = w.word LEFT JOIN e ON e.word = w.word
+""",
+    "op12_substring_dedup": r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+p AS MATERIALIZED (SELECT row, doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM d, unnest(range(1, len(w) - 11)) AS r(i)),
+f AS MATERIALIZED (SELECT g, min(doc_id) AS least FROM p GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
+m AS MATERIALIZED (SELECT DISTINCT row, i + o AS pos FROM p JOIN f USING (g), unnest(range(13)) AS k(o) WHERE least < doc_id),
+x AS MATERIALIZED (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+k AS (SELECT row, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept FROM x ANTI JOIN m USING (row, pos) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (row)
+""",
+    "op13_importance_resampling": rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS MATERIALIZED (SELECT row, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM d),
+bf AS MATERIALIZED (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM b),
+v AS MATERIALIZED (SELECT f, {_crc32("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM df UNION SELECT f FROM bf)),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN v USING (f) GROUP BY 1), t AS (SELECT bucket, count(*) AS n FROM bf JOIN v USING (f) GROUP BY 1),
+z AS (SELECT (SELECT count(*) FROM df) + 10000 AS s, (SELECT count(*) FROM bf) + 10000 AS t),
+g AS MATERIALIZED (SELECT r.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * z.s) / ((coalesce(s.n, 0) + 1)::DOUBLE * z.t)))::BIGINT AS gain
+  FROM range(10000) AS r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), z),
+a AS (SELECT row, sum(gain)::BIGINT AS total, count(*) AS n FROM df JOIN v USING (f) JOIN g USING (bucket) GROUP BY 1),
+x AS MATERIALIZED (SELECT row, doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(floor(total / n), 0)::BIGINT AS weight,
+  floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS noise FROM d LEFT JOIN a USING (row)),
+y AS (SELECT row, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS place, count(*) OVER () AS eligible FROM x WHERE words >= 20)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN place <= floor(25 * eligible / 100) THEN place END AS rank FROM x LEFT JOIN y USING (row)
+""",
     "op7_ngram_jaccard": r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
