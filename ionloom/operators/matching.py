@@ -12,42 +12,19 @@ from pyspark.sql import functions as F
 from ionloom.functions import sequences
 from ionloom.functions.sequences import RESIDUE_MASS, START_CODONS, STOP_CODONS, WATER
 from ionloom.operators.ordered import row_numbers
+from ionloom.operators.seeds import find_patterns
 from ionloom.storage import materialize
 
-#: Patterns that one automaton holds; more are dealt into several passes.
-MAX_PATTERNS = 200_000
 #: Bases of a chunk of a contig that variants are joined with.
 CHUNK = 10_000
 
 
-def match_all(texts: DataFrame, patterns: DataFrame, max_patterns: int = MAX_PATTERNS) -> DataFrame:
+def match_all(texts: DataFrame, patterns: DataFrame, max_patterns: int = 10_000) -> DataFrame:
     """Every occurrence, overlapping ones included, of every pattern: (text_id, pattern, start, end), 1-based and closed.
 
-    ``texts`` is (text_id, text), ``patterns`` is (pattern). The patterns go to the tasks as an automaton, which reads a
-    text once however many there are; a pattern set beyond ``max_patterns`` is dealt by hash into as many passes."""
-    import ahocorasick
-
-    distinct = patterns.select("pattern").where("pattern <> ''").distinct()
-    passes = -(-distinct.count() // max_patterns) or 1
-    spark, kind = texts.sparkSession, texts.schema["text_id"].dataType.simpleString()
-    out = None
-    for k in range(passes):
-        words = [r.pattern for r in distinct.where(F.pmod(F.xxhash64("pattern"), F.lit(passes)) == k).collect()]  # max_patterns, about
-        sent = spark.sparkContext.broadcast(words)
-
-        def run(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            machine = ahocorasick.Automaton()
-            for w in sent.value:
-                machine.add_word(w, w)
-            if sent.value:
-                machine.make_automaton()
-            for pdf in frames:
-                rows = [(i, w, end - len(w) + 2, end + 1) for i, t in zip(pdf["text_id"], pdf["text"], strict=True) if t and sent.value for end, w in machine.iter(t)]
-                yield pd.DataFrame(rows, columns=["text_id", "pattern", "start", "end"])
-
-        found = texts.select("text_id", "text").mapInPandas(run, f"text_id {kind}, pattern string, start long, end long")
-        out = found if out is None else out.union(found)
-    return out
+    ``texts`` is (text_id, text), ``patterns`` is (pattern): an equi-join on seeds, whose index is broadcast up to
+    ``max_patterns`` rows and shuffled beyond them."""
+    return find_patterns(texts, patterns, max_patterns)
 
 
 def covered(hits: DataFrame) -> DataFrame:
