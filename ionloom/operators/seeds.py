@@ -261,10 +261,10 @@ def similar(queries: DataFrame, subjects: DataFrame, least: int = 60, k: int = S
     ready = whole.join(queries.select("query_id", "query"), "query_id").select("query_id", "subject_id", "query", F.col("part").alias("subject"), (F.col("centre") - F.col("first") + 1).alias("centre"), "first")
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((queries, "query_id"), (subjects, "subject_id"))}
     found = ready.mapInArrow(_extend(band, least), f"query_id {kinds['query_id']}, subject_id {kinds['subject_id']}, score long, query_start long, query_end long, subject_start long, subject_end long")
-    order = F.struct(-F.col("score"), F.col("query_start"), F.col("subject_start"), F.col("query_end"), F.col("subject_end"))
+    order = F.struct((-F.col("score")).alias("rank"), F.col("query_start"), F.col("subject_start"), F.col("query_end"), F.col("subject_end"))
     best = found.groupBy("query_id", "subject_id").agg(F.min(order).alias("b"))
     names = ["query_start", "subject_start", "query_end", "subject_end"]
-    best = best.select("query_id", "subject_id", (-F.col("b.col1")).alias("score"), *(F.col(f"b.{n}") for n in names))
+    best = best.select("query_id", "subject_id", (-F.col("b.rank")).alias("score"), *(F.col(f"b.{n}") for n in names))
     rate, letters = letter_statistics(subjects)
     score, size = F.col("score"), F.length("query")
     chance = F.lit(CHANCE) * size * F.lit(float(letters)) * F.exp(-F.lit(rate) * score)
