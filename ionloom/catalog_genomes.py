@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ionloom.catalog import _CODE, _ORFS, benchmark_letters, nucleotides, peptides_of, query
+from ionloom.catalog import _ACGT, _CODE, _LETTERS, _ORFS, benchmark_letters, nucleotides, peptides_of, query
 from ionloom.functions import sequences
-from ionloom.operators import matching, seeds, startsites
+from ionloom.operators import matching, seeds, startsites, variants
 from ionloom.storage import materialize
 
 
@@ -70,3 +70,81 @@ SELECT orf, form, pos AS at, CASE WHEN annotated IS NULL THEN 'no annotation' WH
   CASE WHEN coding AND left(text, 3) IN ('TTG', 'CTG', 'ATT', 'ATC', 'ATA', 'ATG', 'GTG') AND right(text, 3) IN ('TAA', 'TAG', 'TGA') AND length(text) % 3 = 0 THEN 'M' || substr(rtrim(prot, '*'), 2) ELSE replace(prot, '*', '') END AS protein FROM te""")
 def start_site_forms(spark, d):
     return _start_sites(spark, d)[1]
+
+
+# ---- variants ----
+
+_SPREAD = f"""g AS ({_ACGT}), va AS MATERIALIZED (SELECT contig, j, 61 * j + 7 AS pos, seq, substr(seq, (61 * j + 7)::INTEGER, (1 + j % 4)::INTEGER) AS ref FROM g, unnest(range(length(seq) // 61)) AS r(j)),
+v AS MATERIALIZED (SELECT contig, pos, ref, translate(left(ref, 1), 'ACGT', 'CGTA') || repeat('GA', ((j // 4) % 3)::INTEGER) AS alt FROM va WHERE pos + length(ref) <= length(seq) + 1 AND ref <> ''),
+fe AS MATERIALIZED (SELECT contig, contig || '/' || i AS feature, CASE WHEN i % 2 = 0 THEN '+' ELSE '-' END AS strand, 300 * i + 1 AS start, 300 * i + 3 * (least(300, length(seq) - 300 * i) // 3) AS "end" FROM g, unnest(range((length(seq) - 3) // 300 + 1)) AS r(i) WHERE length(seq) >= 3)"""
+
+
+def _variants(spark, d):
+    """A variant every 61 bases, of one to four bases for one, three or five, and a coding feature every 300."""
+    contigs = nucleotides(spark, d)
+    at = F.explode(F.expr("transform(filter(sequence(0, CAST(length(seq) DIV 61 AS INT)), j -> j < length(seq) DIV 61), j -> struct(CAST(j AS BIGINT) AS j, substring(seq, 61 * j + 7, 1 + j % 4) AS ref))")).alias("x")
+    rows = contigs.select("contig", F.length("seq").alias("n"), at).select("contig", "n", "x.j", "x.ref", (61 * F.col("x.j") + 7).alias("pos"))
+    alt = F.concat(F.translate(F.expr("left(ref, 1)"), "ACGT", "CGTA"), F.expr("repeat('GA', CAST((j DIV 4) % 3 AS INT))"))
+    variants = rows.where("pos + length(ref) <= n + 1 AND ref <> ''").select("contig", "pos", "ref", alt.alias("alt"))
+    every = F.explode(F.expr("sequence(0L, (length(seq) - 3L) DIV 300)")).alias("i")
+    cut = contigs.where("length(seq) >= 3").select("contig", F.length("seq").cast("long").alias("n"), every)
+    features = cut.select("contig", F.concat(F.col("contig").cast("string"), F.lit("/"), F.col("i").cast("string")).alias("feature"), F.when(F.col("i") % 2 == 0, "+").otherwise("-").alias("strand"), (300 * F.col("i") + 1).alias("start"), (300 * F.col("i") + 3 * F.floor(F.least(F.lit(300), F.col("n") - 300 * F.col("i")) / 3)).alias("end"))
+    return contigs, variants, features
+
+
+@query(f"""WITH k(codon, aa) AS (VALUES {_CODE}), {_SPREAD},
+p AS (SELECT v.*, feature, strand, start, "end", pos >= start AND pos + length(ref) - 1 <= "end" AS inside, CASE strand WHEN '+' THEN pos - start ELSE "end" - (pos + length(ref) - 1) END AS o FROM v JOIN fe ON v.contig = fe.contig AND pos <= "end" AND pos + length(ref) - 1 >= start),
+c AS (SELECT p.*, o // 3 AS c0, (o + length(ref) - 1) // 3 AS c1, CASE strand WHEN '+' THEN substr(seq, start::INTEGER, ("end" - start + 1)::INTEGER) ELSE reverse(translate(substr(seq, start::INTEGER, ("end" - start + 1)::INTEGER), 'ACGT', 'TGCA')) END AS cds,
+  CASE strand WHEN '+' THEN alt ELSE reverse(translate(alt, 'ACGT', 'TGCA')) END AS t FROM p JOIN g USING (contig) WHERE inside),
+b AS (SELECT contig, pos, ref, alt, feature, c0, substr(cds, (3 * c0 + 1)::INTEGER, (3 * (c1 - c0 + 1))::INTEGER) AS rc, substr(cds, (3 * c0 + 1)::INTEGER, (o - 3 * c0)::INTEGER) || t || substr(cds, (o + length(ref) + 1)::INTEGER, (3 * (c1 + 1) - o - length(ref))::INTEGER) AS ac FROM c),
+ra AS (SELECT feature, pos, string_agg(aa, '' ORDER BY i) AS ra FROM (SELECT feature, pos, i, substr(rc, (3 * i + 1)::INTEGER, 3) AS codon FROM b, unnest(range(length(rc) // 3)) AS r(i)) JOIN k USING (codon) GROUP BY ALL),
+aa AS (SELECT feature, pos, string_agg(aa, '' ORDER BY i) AS aa FROM (SELECT feature, pos, i, substr(ac, (3 * i + 1)::INTEGER, 3) AS codon FROM b, unnest(range(length(ac) // 3)) AS r(i)) JOIN k USING (codon) GROUP BY ALL),
+z AS (SELECT b.*, coalesce(ra, '') AS ra, coalesce(aa, '') AS aa FROM b LEFT JOIN ra USING (feature, pos) LEFT JOIN aa USING (feature, pos))
+SELECT contig, pos, ref, alt, feature, c0 + 1 AS codon, rc AS ref_codons, ac AS alt_codons, ra AS ref_residues, aa AS alt_residues, CASE WHEN (length(alt) - length(ref)) % 3 <> 0 THEN 'frameshift'
+  WHEN c0 = 0 AND left(rc, 3) IN ('TTG', 'CTG', 'ATT', 'ATC', 'ATA', 'ATG', 'GTG') AND left(ac, 3) NOT IN ('TTG', 'CTG', 'ATT', 'ATC', 'ATA', 'ATG', 'GTG') THEN 'start lost' WHEN contains(aa, '*') AND NOT contains(ra, '*') THEN 'stop gained'
+  WHEN contains(ra, '*') AND NOT contains(aa, '*') THEN 'stop lost' WHEN ra = aa THEN 'synonymous' WHEN length(alt) > length(ref) THEN 'insertion' WHEN length(alt) < length(ref) THEN 'deletion' ELSE 'missense' END AS kind FROM z
+UNION ALL SELECT contig, pos, ref, alt, feature, NULL, NULL, NULL, NULL, NULL, 'crosses an end' FROM p WHERE NOT inside""")
+def coding_impact(spark, d):
+    return variants.coding_impact(*_variants(spark, d))
+
+
+@query(f"""WITH {_SPREAD}, b AS (SELECT contig, feature, start, "end", start AS at, 0 AS side FROM fe UNION ALL SELECT contig, feature, start, "end", "end" + 1, 1 FROM fe),
+m AS (SELECT b.contig, feature, start, "end", side, b.at + coalesce(sum(length(alt) - length(ref)) FILTER (WHERE pos + length(ref) <= b.at), 0) AS new, coalesce(bool_or(pos < b.at AND pos + length(ref) > b.at), false) AS inner_base
+  FROM b LEFT JOIN v ON v.contig = b.contig AND v.pos < b.at GROUP BY b.contig, feature, start, "end", side, b.at)
+SELECT contig, feature, start, "end", (max(new) FILTER (WHERE side = 0 AND NOT inner_base))::BIGINT AS new_start, (max(new) FILTER (WHERE side = 1 AND NOT inner_base) - 1)::BIGINT AS new_end FROM m GROUP BY ALL""")
+def moved_features(spark, d):
+    _, changes, features = _variants(spark, d)
+    return variants.moved_features(features.drop("strand"), changes)
+
+
+# ---- masks ----
+
+_MASKS = f"""t AS (SELECT doc_id AS text_id, {_LETTERS} AS s FROM documents), mk AS MATERIALIZED (SELECT text_id, 200 * i + 50 + text_id % 40 AS m_start, 200 * i + 90 + (text_id + i * 17) % 90 AS m_end FROM t, unnest(range(length(s) // 200 + 1)) AS r(i))"""
+
+
+def _masks(spark, d):
+    texts = peptides_of(spark, d).select(F.col("doc_id").alias("text_id"), F.col("seq").alias("text"))
+    spots = texts.select("text_id", F.explode(F.expr("sequence(0L, length(text) DIV 200L)")).alias("i"))
+    return texts, spots.select("text_id", (200 * F.col("i") + 50 + F.col("text_id") % 40).alias("m_start"), (200 * F.col("i") + 90 + (F.col("text_id") + F.col("i") * 17) % 90).alias("m_end"))
+
+
+@query(f"""WITH {_MASKS}, p AS (SELECT DISTINCT unnest(string_split(regexp_replace(regexp_replace({_LETTERS}, '([RK])([^P])', '\\1|\\2', 'g'), '([RK])([^P|])', '\\1|\\2', 'g'), '|')) AS pattern FROM benchmark),
+k AS (SELECT pattern FROM p WHERE length(pattern) BETWEEN 7 AND 30), f AS (SELECT text_id, pattern, s FROM t JOIN k ON contains(s, pattern)),
+h AS (SELECT text_id, pattern, i AS start, i + length(pattern) - 1 AS stop FROM f, unnest(range(1, length(s) - length(pattern) + 2)) AS r(i) WHERE substr(s, i::INTEGER, length(pattern)) = pattern),
+u AS (SELECT h.*, EXISTS (SELECT 1 FROM mk WHERE mk.text_id = h.text_id AND m_start <= stop AND m_end >= start AND m_start <= m_end) AS under FROM h)
+SELECT pattern, count(*) AS n, count(*) FILTER (WHERE NOT under) AS n_left FROM u GROUP BY 1""")
+def masked_peptides(spark, d):
+    """How often the benchmark's tryptic peptides occur in the documents, and how often outside of masked spans."""
+    texts, masks = _masks(spark, d)
+    patterns = benchmark_letters(spark, d).select(F.explode_outer(sequences.tryptic_peptides("seq")).alias("pattern")).where("pattern IS NOT NULL")
+    return variants.masked_counts(matching.match_all(texts, patterns), masks)
+
+
+@query(f"""WITH {_MASKS}, fe AS (SELECT text_id, 150 * i + 1 AS start, 150 * i + 170 AS stop FROM t, unnest(range(length(s) // 150 + 1)) AS r(i)),
+x AS (SELECT fe.*, spot FROM fe, unnest(range(start, stop + 1)) AS r(spot)), y AS (SELECT x.* FROM x WHERE NOT EXISTS (SELECT 1 FROM mk WHERE mk.text_id = x.text_id AND m_start <= spot AND spot <= m_end)),
+z AS (SELECT *, spot - row_number() OVER (PARTITION BY text_id, start ORDER BY spot) AS grp FROM y)
+SELECT text_id, start, stop AS "end", min(spot) AS part_start, max(spot) AS part_end FROM z GROUP BY text_id, start, stop, grp""")
+def unmasked_parts(spark, d):
+    texts, masks = _masks(spark, d)
+    features = texts.select("text_id", F.explode(F.expr("sequence(0L, length(text) DIV 150L)")).alias("i")).select("text_id", (150 * F.col("i") + 1).alias("start"), (150 * F.col("i") + 170).alias("end"))
+    return variants.without_spans(features, masks)

@@ -73,18 +73,18 @@ def seed_rows(df: DataFrame, name: str, text: str, k: int, width: int) -> DataFr
     return df.select(name, F.col(text).alias("letters_")).mapInArrow(run, f"{name} {kind}, place long, seed long")
 
 
-def pieces(df: DataFrame, name: str, text: str, size: int = PIECE) -> DataFrame:
-    """(``name``, i, part): the texts in pieces of ``size`` letters, cut in one pass."""
-    return df.select(name, F.posexplode(F.expr(f"regexp_extract_all({text}, '(?s)(.{{1,{size}}})', 1)")).alias("i", "part"))
+def pieces(df: DataFrame, name: str, text: str) -> DataFrame:
+    """(``name``, i, part): the texts in pieces of PIECE letters, cut in one pass."""
+    return df.select(name, F.posexplode(F.expr(f"regexp_extract_all({text}, '(?s)(.{{1,{PIECE}}})', 1)")).alias("i", "part"))
 
 
-def spans(found: DataFrame, parts: DataFrame, name: str, start: str, length: Column, size: int = PIECE) -> DataFrame:
+def spans(found: DataFrame, parts: DataFrame, name: str, start: str, length: Column) -> DataFrame:
     """``found`` with a row for each piece that the span of ``length`` letters from ``start`` (from 1) touches: lo and hi
     (from 1) in the text, and the piece's letters between them as ``held``."""
-    wide = found.withColumn("stop_", F.col(start) + length - 1).withColumn("i", F.explode(F.expr(f"sequence(CAST(({start} - 1) DIV {size} AS INT), CAST((stop_ - 1) DIV {size} AS INT))")))
+    wide = found.withColumn("stop_", F.col(start) + length - 1).withColumn("i", F.explode(F.expr(f"sequence(CAST(({start} - 1) DIV {PIECE} AS INT), CAST((stop_ - 1) DIV {PIECE} AS INT))")))
     met = wide.join(parts, [name, "i"])
-    lo, hi = F.greatest(F.col(start), F.col("i") * size + 1), F.least(F.col("stop_"), (F.col("i") + 1) * size)
-    return met.withColumn("lo", lo).withColumn("hi", hi).withColumn("held", F.substring("part", (F.col("lo") - F.col("i") * size).cast("int"), (F.col("hi") - F.col("lo") + 1).cast("int"))).drop("part")
+    lo, hi = F.greatest(F.col(start), F.col("i") * PIECE + 1), F.least(F.col("stop_"), (F.col("i") + 1) * PIECE)
+    return met.withColumn("lo", lo).withColumn("hi", hi).withColumn("held", F.substring("part", (F.col("lo") - F.col("i") * PIECE).cast("int"), (F.col("hi") - F.col("lo") + 1).cast("int"))).drop("part")
 
 
 def find_patterns(texts: DataFrame, patterns: DataFrame, sent: int = 10_000) -> DataFrame:
