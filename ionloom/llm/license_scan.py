@@ -9,7 +9,9 @@ whatever licence it belongs to: one that lies within a longer one is not reporte
 one row, that of the longest, or of the first listed.
 
 Pieces meet the known sentences, and identifiers the rules, by broadcast equi-joins, so that neither grows the work of a
-row; what is known of a text is small and bounded by its length.
+row. A sentence of many pieces is dealt into blocks of BLOCK before any run is joined, each with the pieces that a run may
+still need; a run ends where it gets longer than the longest known sentence, so a text of any length without a stop costs
+rows in proportion to its pieces and none that grows with it.
 
 A null or empty text has no sentences and no licence; rows without a licence give no row. Repeated rows are reported
 each. Of rules of equal length over the same sentences all licences are reported. No rows give no rows. Extra columns are
@@ -27,6 +29,8 @@ from ionloom.llm.common import materialize
 
 #: Unknown sentences that may lie between two of a rule; rows of either table up to which it is broadcast.
 GAP, BROADCAST_ROWS = 3, 200_000
+#: Pieces of a sentence that are searched for runs together.
+BLOCK = 256
 
 # Sentences of public licence texts and notices.
 SENTENCES = {
@@ -215,13 +219,19 @@ def scan(df: DataFrame, sentences: dict[str, str] | None = None, rules: dict[str
     text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), _WORD_LEADER, "# ")
     cut = F.regexp_replace(F.regexp_replace(text, r"([.!?:;])\s+", f"$1{_CUT}"), r"\n\s*\n", _CUT)
     docs = df.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.split(F.regexp_replace(cut, _BREAK, _WRAP), _CUT).alias("parts"))
-    most = max(len(form.split(" ")) for form in known)  # a sentence has no more pieces than words
+    most, longest = max(len(form.split(" ")) for form in known), max(map(len, known))  # a sentence has no more pieces than words
     begins = ", ".join(f"'{word}'" for word in sorted({form.split(" ")[0] for form in known}))
-    cut_up = docs.select("row", "doc_id", F.expr(f"transform(parts, p -> filter(transform(split(p, '{_WRAP}'), s -> {_NORMAL}), s -> s <> ''))").alias("pieces"))
-    # (sentence, piece, pieces, form) of every run of pieces that begins like a known sentence
-    runs = f"""flatten(transform(pieces, (ps, s) -> flatten(transform(ps, (p, i) -> IF(substring_index(p, ' ', 1) IN ({begins}),
-      transform(sequence(1, least({most}, size(ps) - i)), k -> named_struct('s', s, 'p', i, 'k', k, 'f', array_join(slice(ps, i + 1, k), ' '))), CAST(array() AS ARRAY<STRUCT<s: INT, p: INT, k: INT, f: STRING>>))))))"""
-    asked = cut_up.select("row", "doc_id", F.explode_outer(F.expr(runs)).alias("c")).select("row", "doc_id", "c.s", "c.p", "c.k", "c.f")
+    sentences_ = docs.select("row", "doc_id", F.posexplode_outer("parts").alias("s", "part"))
+    pieces = f"filter(transform(split(part, '{_WRAP}'), s -> left({_NORMAL}, {longest + 1})), s -> s <> '')"  # longer ones are in no run
+    cut_up = sentences_.select("row", "doc_id", "s", F.expr(pieces).alias("pieces"))
+    blocks = f"transform(sequence(0, size(pieces) - 1, {BLOCK}), b -> struct(b, slice(pieces, b + 1, {BLOCK + most - 1}) AS ps))"
+    dealt = cut_up.where(F.size("pieces") > 0).select("row", "doc_id", "s", F.explode_outer(F.expr(blocks)).alias("x")).select("row", "doc_id", "s", "x.b", "x.ps")
+    # what stands from each piece on that begins like a known sentence, no longer than one; then its runs, by their pieces' ends
+    ahead = f"transform(ps, (p, i) -> IF(i < {BLOCK} AND substring_index(p, ' ', 1) IN ({begins}), left(concat(array_join(slice(ps, i + 1, {most}), '{_WRAP}'), '{_WRAP}'), {longest + 1}), NULL))"
+    open_ = dealt.select("row", "doc_id", "s", "b", F.posexplode_outer(F.expr(ahead)).alias("i", "next")).where("next IS NOT NULL")
+    ends = F.expr(f"length(next) - length(replace(next, '{_WRAP}', ''))")
+    runs = open_.select("row", "doc_id", "s", (F.col("b") + F.col("i")).alias("p"), "next", ends.alias("ends")).where("ends > 0")
+    asked = runs.select("row", "doc_id", "s", "p", "next", F.explode_outer(F.sequence(F.lit(1), "ends")).alias("k")).select("row", "doc_id", "s", "p", "k", F.expr(f"replace(substring_index(next, '{_WRAP}', k), '{_WRAP}', ' ')").alias("f"))
     hits = materialize(asked.join(forms, asked["f"] == forms["form"]).select("row", "doc_id", "s", "p", "k", "sid"), "license-hits")  # rows keep their numbers from here on
 
     longest = hits.repartition("row").groupBy("row", "doc_id", "s", "p").agg(F.max_by("sid", "k").alias("sid"))

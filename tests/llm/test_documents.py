@@ -407,3 +407,10 @@ def test_pipeline_drops_rows_not_ids(spark, tmp_path):
 def test_digest_of_sets_is_stable():
     assert ngram_join._digest(ngram_join.shingle_sets([b"A b c d e"], 4)[0]) == ngram_join._digest(ngram_join.shingle_sets([b"x", b"a  B\nc d e"], 4)[1])
     assert hashlib.blake2b(b"").digest()
+
+
+def test_licences_in_texts_without_a_stop(spark):
+    many = "\n".join(f"The list item number {i} of a long list that never ends" for i in range(400_000))
+    rows = [(1, many), (2, "\n".join(["The MIT License (MIT)"] + ["The list item"] * 600 + ["Released under the", "MIT License"])), (3, "THE MIT LICENSE " * 200_000)]
+    got = {(r.doc_id, r.licence) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(2, "MIT")}
