@@ -44,6 +44,9 @@ NEVER_NAMES = frozenset("ad ads adsense advert adverts advertisement advertising
 # A name of theirs also comes before one of AFTER or behind one of BEFORE, as in share-bar and site-footer.
 AFTER = frozenset("banner bar box buttons container form icons links list overlay posts signup slot thread widget widgets wrap wrapper".split())
 BEFORE = frozenset("main page primary secondary site top".split())
+# Words that say where or how a part is laid out; a name made of these and of at least one of NEVER_NAMES is one of theirs.
+LAYOUT = AFTER | BEFORE | frozenset("area articles block bottom column google group header inner item items left outer panel post posts right row section".split())
+WHOLE_NAMES = frozenset("adsbygoogle widget-area site-info".split())
 TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p li dt dd blockquote pre table caption td th tr figure figcaption ol ul dl span a b i em strong".split())
 HEAD_NAMES = frozenset("header masthead banner topbar".split())
 # What an opening tag ends when it is still open, and where the search for it stops.
@@ -57,8 +60,6 @@ SPACES = re.compile(r"\s+")
 MAIN_ROLE = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
 #: Text blocks that stand for what a page is about.
 LONGEST = 4
-#: Open elements that are searched for one that a new element ends.
-MOST_DEPTH = 256
 
 
 class _Element:
@@ -73,10 +74,12 @@ class _Element:
 
 class _Scanner:
     """Finds a page's tags. A tag ends at the first > outside of quotes, or, if quotes would hide every one, at the first.
-    Looking in vain is bounded by the length of the page; beyond that quotes are no longer minded."""
+    Marks from which no end is reached are remembered, so that none is looked at twice in vain."""
 
     def __init__(self, page: str) -> None:
-        self.page, self.last, self.patience = page, page.rfind(">"), 4 * len(page)
+        self.page, self.last = page, page.rfind(">")
+        self.last_of = {q: page.rfind(q) for q in "\"'"}
+        self.vain: set[int] = set()
 
     def next(self, at: int) -> tuple[int, int, str, str, str] | None:
         """(begin, end, kind, name, attributes) of the next tag; kinds are "<", "</" and "!" for comments and declarations."""
@@ -98,18 +101,15 @@ class _Scanner:
         return None
 
     def _end(self, begin: int) -> int:
-        page, end = self.page, begin
-        unclosed: set[str] = set()
-        while self.patience > 0 and (m := MARK.search(page, end)):
+        page, end, seen = self.page, begin, []
+        while (m := MARK.search(page, end)) and m.start() not in self.vain:
             end = m.end()
             if m[0] == ">":
                 return end
-            close = -1 if m[0] in unclosed else page.find(m[0], end)
-            if close < 0:
-                unclosed.add(m[0])
-            else:
-                end = close + 1
-        self.patience -= len(page) - begin
+            seen.append(m.start())
+            if self.last_of[m[0]] >= end:  # else the quote never closes and hides nothing
+                end = page.find(m[0], end) + 1
+        self.vain.update(seen)
         end = page.find(">", begin)
         return len(page) if end < 0 else end + 1
 
@@ -119,6 +119,13 @@ def _names(token: str, names: frozenset[str]) -> bool:
     return token in names or first in names and rest in AFTER or first in BEFORE and rest in names
 
 
+def _never(token: str) -> bool:
+    if token in NEVER_NAMES or token in WHOLE_NAMES:
+        return True
+    parts = token.replace("_", "-").split("-")
+    return any(p in NEVER_NAMES for p in parts) and all(p in NEVER_NAMES or p in LAYOUT for p in parts)
+
+
 def _unwanted(tag: str, attributes: str, in_main: bool) -> str:
     """What drops the element: "rule", "name" (its class or id) or nothing."""
     if tag in NEVER or tag == "header" and not in_main:
@@ -131,7 +138,7 @@ def _unwanted(tag: str, attributes: str, in_main: bool) -> str:
         if name == "role" and value in NEVER_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return "rule"
         if name == "class" or name == "id" and not (in_main and tag in TEXT_TAGS):
-            if tag not in ("body", "html", "article", "main") and any(_names(t, NEVER_NAMES) or not in_main and _names(t, HEAD_NAMES) for t in value.split()):
+            if tag not in ("body", "html", "article", "main") and any(_never(t) or not in_main and _names(t, HEAD_NAMES) for t in value.split()):
                 named = "name"
     return named
 
@@ -171,7 +178,8 @@ def _blocks(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple
     elements: list[_Element] = []
     stack: list[_Element] = []
     held: list[str] = []
-    open_: dict[str, int] = {}
+    places: dict[str, list[int]] = {}  # of the open elements by tag, and of those that end a search
+    fences: list[int] = []
     at, marked, by_main = 0, False, False
     strong: set[int] = set()
     weak: set[int] = set()
@@ -188,19 +196,16 @@ def _blocks(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple
             if stack[-1].tag in BLOCK:
                 flush()
             e = stack.pop()
-            open_[e.tag] -= 1
+            places[e.tag].pop()
+            if e.tag in FENCE:
+                fences.pop()
             if e.parent is not None:
                 e.parent.digest.update(e.digest.digest())
 
-    def last(tags: tuple[str, ...], fence: frozenset[str] = FENCE) -> int:
-        if not any(open_.get(t) for t in tags):
-            return -1
-        for i in range(len(stack) - 1, max(-1, len(stack) - 1 - MOST_DEPTH) if fence else -1, -1):
-            if stack[i].tag in tags:
-                return i
-            if stack[i].tag in fence:
-                return -1
-        return -1
+    def last(tags: tuple[str, ...], fenced: bool = True) -> int:
+        """The innermost open element of these tags, unless an element of FENCE lies inside it; else -1."""
+        found = max((places[t][-1] for t in tags if places.get(t)), default=-1)
+        return -1 if fenced and fences and fences[-1] > found else found
 
     def text(piece: str) -> None:
         if piece and not (stack and stack[-1].dropped):
@@ -215,7 +220,7 @@ def _blocks(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple
         if kind == "!":
             continue
         if kind == "</":
-            depth = last((tag,), frozenset())
+            depth = last((tag,), False)
             if depth >= 0:
                 close(depth)
             elif tag in BLOCK:
@@ -257,8 +262,10 @@ def _blocks(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple
             continue
         judged = not dropped and tag in BLOCK and tag not in ("html", "body") and not (main and (not in_main or tag in TEXT_TAGS))
         elements.append(_Element(tag, above, number, dropped, main, judged))
+        places.setdefault(tag, []).append(len(stack))
+        if tag in FENCE:
+            fences.append(len(stack))
         stack.append(elements[-1])
-        open_[tag] = open_.get(tag, 0) + 1
         if tag in RAW:
             close_tag = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
             at = page.find(">", close_tag.end()) + 1 if close_tag else 0

@@ -155,3 +155,29 @@ def test_template_removal_against_brute_force(spark):
     assert got == brute_texts(rows)
     kept = sum(len(t) for _, t in got)
     assert kept < sum(len("\n".join(t for t, _ in html_extract.blocks(p or "")[0])) for _, _, p in rows)
+
+
+def read_by_parts(page):
+    found, _, _ = html_extract.blocks(page)
+    return "\n".join(t for t, _ in found)
+
+
+def test_depth_and_hostile_quotes():
+    for depth in (3, 100, 300, 5000):
+        page = "<table><tr><td hidden>x" + "<b>" * depth + "<td>visible</table>"
+        assert read_by_parts(page) == "visible"
+    hidden = "<p>one <a title=\"it's > here\">two</a> three</p>"
+    assert read_by_parts(hidden) == "one two three"
+    for n in (10, 5000):  # quotes that hide every end, however many: the same reading at any length
+        assert read_by_parts("<p>a</p>" + "<i \"'>b" * n).count("b") == -(-n // 3)
+    assert read_by_parts("<p>" + "<a '" * 20_000 + ">end").endswith("end")
+
+
+def test_names_by_parts():
+    gone = "comments-area comments-section comment-respond cookie-notice cookie-consent gdpr-popup widget-area left-sidebar sidebar-primary related-articles breadcrumbs-nav post-navigation adsbygoogle google-ads site-info share_bar".split()
+    for name in gone:
+        assert read_by_parts(f"<article><p>text</p><div class='x {name}'>other</div></article>") == "text", name
+        assert read_by_parts(f"<p>text</p><div class='{name}'>other</div>") == "text", name
+    for name in "has-sidebar no-sidebar notice-period market-share related-work social-impact content-sidebar elementor-widget-container post-content".split():
+        assert read_by_parts(f"<div class='{name}'><article><p>text</p></article></div>") == "text", name
+        assert read_by_parts(f"<article><div class='{name}'>text</div></article>") == "text", name
