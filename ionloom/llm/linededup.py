@@ -1,12 +1,14 @@
 """Line de-duplication with two Bloom filters, one for hashes seen once and one for hashes seen twice.
 
-Lines are split at \\n; a line's key is the line stripped of ASCII white space with A-Z lower-cased. Keys of at least
+Lines are split at \n; a line's key is the line stripped of ASCII white space with A-Z lower-cased. Keys of at least
 ``min_chars`` code points in at least ``min_docs`` documents lose all their lines but those of the largest doc_id that
-holds them. Every task sends the 64-bit hashes of its keys to the owner of their slice; the owner fills the slice's two
-filters as the hashes stream by and keeps only the twice-seen one. A line that the twice-seen filter doesn't know is in
-one document only and stays where it is; the others, the suspects, shuffle with their whole keys, so that a false
-positive costs a shuffled line and never changes a result. Hot keys are counted map-side first, and the join that sends
-a verdict back to the holders of a key is one that Spark can split.
+holds them. Every task sends the 64-bit hashes of its keys to the owner of their slice, whose once-seen filter finds those
+that come again; there are as many slices as the keys of the text can fill, so this filter is as sparse at any size. The
+hashes seen again, which repeated keys alone make many of, form the twice-seen filter, which is broadcast up to
+``max_bits``; of more, lines meet them in a join on the hash. A line whose hash isn't among them is in one document only
+and stays where it is; the others, the suspects, shuffle with their whole keys, so that a false positive costs a shuffled
+line and never changes a result. Hot keys are counted map-side first, and the join that sends a verdict back to the
+holders of a key is one that Spark can split. Only texts whose doc_id may have lost a line move to meet the verdicts.
 
 A null or empty text is one empty line. Rows that repeat a doc_id count as one document; a null doc_id is a document
 smaller than any other. Ties can't occur, as doc_ids order the holders. No rows give no rows. Extra columns are ignored
@@ -16,19 +18,19 @@ by ``dedup_lines`` and kept by ``with_kept_lines``, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import SPACE, bounded_batches, free_name, materialize, mix
+from ionloom.llm.common import FILTER_BITS, SPACE, bounded_batches, free_name, id_filter, materialize, maybe_in, membership, mix
 
-#: The twice-seen filter is sent to every task, so its bits have a fixed bound (32 MB) whatever the input; beyond about
-#: 10**8 repeated keys it lets more lines through to the exact confirmation.
-MAX_BITS, MIN_BITS, BITS_PER_DOC, SLICES, PROBES = 1 << 28, 1 << 20, 512, 64, 4
+#: Bits of a slice of the once-seen filter, bits for each key that the text may hold, and probes for a key.
+SLICE_BITS, KEY_BITS, PROBES = 1 << 22, 16, 4
+#: Bits at most of the twice-seen filter, which goes to every task (32 MB), and bits for each of its hashes.
+MAX_BITS, HASH_BITS = FILTER_BITS, 12
 
 
 def keys_of(text: bytes | None, min_chars: int) -> list[bytes | None]:
@@ -55,7 +57,9 @@ def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-def _hashes(min_chars: int):
+def _hashes(min_chars: int, slices: int):
+    """(slice, h, twice) of the keys of all texts, each once for 512 texts; ``twice`` where several of these hold it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -63,50 +67,45 @@ def _hashes(min_chars: int):
                 for text in _texts(batch.slice(at, 512)):
                     found += {_hash(k) for k in keys_of(text, min_chars) if k is not None}
                 h, seen = np.unique(np.array(found, np.uint64), return_counts=True)
-                yield pa.record_batch({"slice": (h % np.uint64(SLICES)).astype(np.int32), "h": h.view(np.int64), "twice": seen > 1})
+                yield pa.record_batch({"slice": (h % np.uint64(slices)).astype(np.int64), "h": h.view(np.int64), "twice": seen > 1})
 
     return run
 
 
-def _filters(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            slices, hashes, more = batch.column("slice").to_numpy(), batch.column("h").to_numpy().view(np.uint64), batch.column("twice").to_numpy(zero_copy_only=False)
-            for k in np.unique(slices).tolist():
-                own = slices == k
-                h, first, seen = np.unique(hashes[own], return_index=True, return_counts=True)
-                more_h = np.zeros(len(h), bool)
-                more_h[np.searchsorted(h, hashes[own][more[own]])] = True
-                once, twice = held.setdefault(k, (np.zeros(bits, bool), np.zeros(bits, bool)))
-                at = _probes(h, bits)
-                again = once[at].all(axis=0) | (seen > 1) | more_h
-                twice[at[:, again].ravel()] = True
-                once[at.ravel()] = True
-        yield pa.record_batch({"slice": pa.array(list(held), pa.int32()), "bits": pa.array([zlib.compress(np.packbits(twice).tobytes(), 1) for _, twice in held.values()], pa.binary())})
+def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes that the once-seen filter of their slice has met before, or that come as seen twice."""
+    once: dict[int, np.ndarray] = {}
+    for batch in batches:
+        slices, hashes, more = batch.column("slice").to_numpy(), batch.column("h").to_numpy().view(np.uint64), batch.column("twice").to_numpy(zero_copy_only=False)
+        for k in np.unique(slices).tolist():
+            own = slices == k
+            h, seen = np.unique(hashes[own], return_counts=True)
+            known = once.setdefault(k, np.zeros(SLICE_BITS, bool))
+            at = _probes(h, SLICE_BITS)
+            hit = known[at].all(axis=0) | (seen > 1)
+            hit[np.searchsorted(h, hashes[own][more[own]])] = True
+            known[at.ravel()] = True
+            yield pa.record_batch({"h": h[hit].view(np.int64)})
 
-    return run
 
+def _lines(min_chars: int, held=None):
+    """(doc_id, part, key, h) of the different keys of every text, or of those whose hash the filter may hold."""
 
-def _suspects(min_chars: int, bits: int, filters):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {k: np.frombuffer(zlib.decompress(v), np.uint8) for k, v in filters.value.items()}
-        flat = np.zeros(SLICES * bits // 8, np.uint8)
-        for k, v in known.items():
-            flat[k * (bits // 8) : (k + 1) * (bits // 8)] = v
+        may_hold = None if held is None else membership(held)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids, keys = [], []
-                for doc, text in zip(part.column("doc_id").to_pylist(), _texts(part), strict=True):
+                rows = batch.slice(at, 512)
+                owner, keys = [], []
+                for i, text in enumerate(_texts(rows)):
                     own = {k for k in keys_of(text, min_chars) if k is not None}
-                    ids += [doc] * len(own)
+                    owner += [i] * len(own)
                     keys += own
-                h = np.array([_hash(k) for k in keys], np.uint64)
-                place = _probes(h, bits) + (h % np.uint64(SLICES)) * np.uint64(bits)
-                hit = ((flat[place >> np.uint64(3)] >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8))) & 1).all(axis=0) if len(h) else np.zeros(0, bool)
-                at_hit = np.flatnonzero(hit).tolist()
-                yield pa.record_batch({"doc_id": pa.array([ids[i] for i in at_hit], pa.int64()), "key": pa.array([keys[i].decode("utf-8", "replace") for i in at_hit], pa.string())})
+                h = np.array([_hash(k) for k in keys], np.uint64).view(np.int64)
+                hit = np.arange(len(h)) if may_hold is None or not len(h) else np.flatnonzero(may_hold(h))
+                of = pa.array(np.array(owner, np.int64)[hit], pa.int64())
+                columns = {c: rows.column(c).take(of) for c in ("doc_id", "part")}
+                yield pa.record_batch(columns | {"key": pa.array([keys[i].decode("utf-8", "replace") for i in hit.tolist()], pa.string()), "h": h[hit]})
 
     return run
 
@@ -130,37 +129,48 @@ def _apply(min_chars: int):
     return run
 
 
+def _part(doc_id: Column, text: Column) -> Column:
+    """What tells the texts of null doc_ids apart, which are one document."""
+    return F.when(doc_id.isNull(), F.coalesce(F.xxhash64(text), F.lit(0))).otherwise(F.lit(0).cast("long"))
+
+
 def repeated_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
-    """(holders, repeated): the suspected (doc_id, key) pairs, and of their keys those in ``min_docs`` documents with the
+    """(holders, repeated): the suspected (doc_id, part, key), and of their keys those in ``min_docs`` documents with the
     doc_id that keeps them (key, n_docs, keep)."""
-    spark = df.sparkSession
-    bounded_batches(spark)
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bits = MIN_BITS
-    while bits < min(max_bits, BITS_PER_DOC * docs.count()):
-        bits *= 2
-    bits //= SLICES
-    hashes = docs.select("text").mapInArrow(_hashes(min_chars), "slice int, h long, twice boolean")
-    slices = hashes.repartition(SLICES, "slice").mapInArrow(_filters(bits), "slice int, bits binary")
-    filters = spark.sparkContext.broadcast({r.slice: bytes(r.bits) for r in slices.collect()})  # at most max_bits bits in all
-    suspects = docs.mapInArrow(_suspects(min_chars, bits, filters), "doc_id long, key string")
-    holders = materialize(suspects.distinct(), "linededup")
-    repeated = holders.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep")).where(F.col("n_docs") >= min_docs)
+    bounded_batches(df.sparkSession)
+    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    docs = df.select(id_.alias("doc_id"), _part(id_, text).alias("part"), text.alias("text"))
+    bytes_ = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
+    slices = 1 + bytes_ * KEY_BITS // ((min_chars + 1) * SLICE_BITS)  # no text holds more keys than that many
+    hashes = docs.select("text").mapInArrow(_hashes(min_chars, slices), "slice long, h long, twice boolean")
+    again = materialize(hashes.repartition(slices, "slice").mapInArrow(_again, "h long").distinct(), "linededup-again")
+    if HASH_BITS * again.count() <= max_bits:
+        suspects = docs.mapInArrow(_lines(min_chars, id_filter(again, "h")), "doc_id long, part long, key string, h long")
+    else:
+        suspects = docs.mapInArrow(_lines(min_chars), "doc_id long, part long, key string, h long").join(again, "h", "left_semi")
+    holders = materialize(suspects.select("doc_id", "part", "key").distinct(), "linededup")
+    count = F.count("doc_id") + F.max(F.col("doc_id").isNull().cast("long"))
+    repeated = holders.groupBy("key").agg(count.alias("n_docs"), F.max("doc_id").alias("keep")).where(F.col("n_docs") >= min_docs)
     return holders, materialize(repeated, "linededup-keys")  # a table of its own, so that Spark may split the hot keys of the join with it
 
 
-def _gone(holders: DataFrame, repeated: DataFrame, holder: str = "held_by_", keys: str = "gone_") -> DataFrame:
-    """(held_by_, gone_), or other names: the keys that a doc_id loses."""
+def _gone(holders: DataFrame, repeated: DataFrame, holder: str = "held_by_", part: str = "part_", keys: str = "gone_") -> DataFrame:
+    """(held_by_, part_, gone_), or other names: the keys that a doc_id, or one text of the null doc_id, loses."""
     lost = holders.join(repeated.select("key", "keep"), "key").where(~F.col("doc_id").eqNullSafe(F.col("keep")))
-    return lost.groupBy(F.col("doc_id").alias(holder)).agg(F.collect_list("key").alias(keys))
+    return materialize(lost.groupBy(F.col("doc_id").alias(holder), F.col("part").alias(part)).agg(F.collect_set("key").alias(keys)), "linededup-gone")
 
 
 def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, n_lines (before dropping), n_dropped, kept (the remaining lines joined by \\n) for every row of ``df``."""
     gone = _gone(*repeated_lines(df, min_chars, min_docs, max_bits))
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["held_by_"]), "left").select("doc_id", "text", F.col("gone_").alias("gone"))
-    return joined.mapInArrow(_apply(min_chars), "doc_id long, n_lines long, n_dropped long, kept string")
+    held = id_filter(gone.select("held_by_").distinct(), "held_by_")
+    moved = maybe_in(docs, "doc_id", held)
+    same = F.col("doc_id").eqNullSafe(F.col("held_by_")) & (_part(F.col("doc_id"), F.col("text")) == F.col("part_"))
+    joined = moved.join(gone, same, "left").select("doc_id", "text", F.col("gone_").alias("gone"))
+    whole = maybe_in(docs, "doc_id", held, wanted=False).withColumn("gone", F.lit(None).cast("array<string>"))
+    result = "doc_id long, n_lines long, n_dropped long, kept string"
+    return whole.mapInArrow(_apply(min_chars), result).unionByName(joined.mapInArrow(_apply(min_chars), result))
 
 
 def _rewrite(min_chars: int, names: list[str], keys: str):
@@ -188,7 +198,12 @@ def _rewrite(min_chars: int, names: list[str], keys: str):
 def with_kept_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``df``, all columns, with the lines dropped from text and n_chars set to what is left of it. A text
     that loses no line stays as it is, null included."""
-    holder, keys = free_name(df, "held_by_"), free_name(df, "gone_")
-    gone = _gone(*repeated_lines(df, min_chars, min_docs, max_bits), holder, keys)
-    joined = df.join(gone, df["doc_id"].eqNullSafe(gone[holder]), "left").drop(holder)
-    return joined.mapInArrow(_rewrite(min_chars, df.columns, keys), df.schema)
+    holder, part, keys = free_name(df, "held_by_"), free_name(df, "part_"), free_name(df, "gone_")
+    gone = _gone(*repeated_lines(df, min_chars, min_docs, max_bits), holder, part, keys)
+    number = free_name(df, "number_")
+    docs = df.withColumn(number, F.col("doc_id").cast("long"))
+    held = id_filter(gone.select(holder).distinct(), holder)
+    moved = maybe_in(docs, number, held)
+    text = F.col("text").cast("string")
+    joined = moved.join(gone, F.col(number).eqNullSafe(F.col(holder)) & (_part(F.col(number), text) == F.col(part)), "left").drop(holder, part, number)
+    return maybe_in(docs, number, held, wanted=False).drop(number).unionByName(joined.mapInArrow(_rewrite(min_chars, df.columns, keys), df.schema))

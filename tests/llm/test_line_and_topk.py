@@ -100,3 +100,27 @@ def test_topk_scores_beyond_a_long_are_the_ends_of_its_range(spark):
     exact = {i: s for q, _, i, s in brute_topk(rows, 5, 1) if q == 0}
     clip = lambda x: max(1 - 2**63, min(2**63 - 1, x))
     assert got == [(r, i, clip(exact[i])) for r, i in enumerate(sorted(exact, key=lambda i: (-clip(exact[i]), i)), 1)]
+
+
+def test_many_null_ids_are_one_document_and_meet_their_own_verdicts(spark):
+    line = "a line that the documents without an id share"
+    rows = [(None, f"{line}\nown text of number {i}") for i in range(40)] + [(None, line), (None, line), (1, "nothing of it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in linededup.dedup_lines(df).collect()), key=str)
+    assert got == brute_lines(rows) and not any(r[2] for r in got)  # one document
+    rows += [(2, line), (3, line + "\nand more")]
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_lines(rows) and sum(r[2] for r in got) == 43
+    holders, repeated = linededup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    gone = linededup._gone(holders, repeated)
+    assert gone.where("held_by_ IS NULL").count() == 41  # a row for each different text
+
+
+def test_the_once_seen_filter_grows_with_the_keys(spark, monkeypatch):
+    rows = [(i, "\n".join(f"line {i} {k} of its own, of some length" for k in range(60))) for i in range(300)] + [(900 + i, "a line that some documents share") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(linededup, "SLICE_BITS", 1 << 12)  # as many keys as one slice has bits fill it ten times over
+    holders, repeated = linededup.repeated_lines(df)
+    assert [r.key for r in repeated.collect()] == ["a line that some documents share"]
+    assert holders.count() <= 3 + 0.01 * 18_000  # few suspects among keys seen once
+    assert linededup.repeated_lines(df, max_bits=1)[0].count() <= 3 + 0.01 * 18_000  # by a join beyond the filter's bound
