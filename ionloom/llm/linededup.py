@@ -110,11 +110,18 @@ def _lines(min_chars: int, held=None):
     return run
 
 
-def _apply(min_chars: int):
+def _apply(min_chars: int, unheld=None):
+    """What is left of texts without the keys in ``gone``, or of those whose doc_id the filter ``unheld`` surely doesn't hold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        may_hold = None if unheld is None else membership(unheld)
         for batch in batches:
+            if may_hold is not None:
+                ids = batch.column("doc_id")
+                batch = batch.filter(pa.array(~(may_hold(ids.fill_null(0).to_numpy()) | ids.is_null().to_numpy(zero_copy_only=False))))
+            lost = [None] * batch.num_rows if may_hold is not None else batch.column("gone").to_pylist()
             out = {"doc_id": [], "n_lines": [], "n_dropped": [], "kept": []}
-            for doc, text, gone in zip(batch.column("doc_id").to_pylist(), _texts(batch), batch.column("gone").to_pylist(), strict=True):
+            for doc, text, gone in zip(batch.column("doc_id").to_pylist(), _texts(batch), lost, strict=True):
                 lines = (text or b"").split(b"\n")
                 kept = lines
                 if gone:
@@ -168,9 +175,8 @@ def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_bits:
     moved = maybe_in(docs, "doc_id", held)
     same = F.col("doc_id").eqNullSafe(F.col("held_by_")) & (_part(F.col("doc_id"), F.col("text")) == F.col("part_"))
     joined = moved.join(gone, same, "left").select("doc_id", "text", F.col("gone_").alias("gone"))
-    whole = maybe_in(docs, "doc_id", held, wanted=False).withColumn("gone", F.lit(None).cast("array<string>"))
     result = "doc_id long, n_lines long, n_dropped long, kept string"
-    return whole.mapInArrow(_apply(min_chars), result).unionByName(joined.mapInArrow(_apply(min_chars), result))
+    return docs.mapInArrow(_apply(min_chars, held), result).unionByName(joined.mapInArrow(_apply(min_chars), result))
 
 
 def _rewrite(min_chars: int, names: list[str], keys: str):
