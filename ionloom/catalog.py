@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ionloom.functions import ids, numeric, sequences
-from ionloom.operators import annotation, matching, quant, relational, stats
+from ionloom.operators import annotation, matching, ordered, quant, relational, stats
 from ionloom.plans import metaproteomics
 from ionloom.session import table
 
@@ -331,7 +331,9 @@ def top_sources(spark, d):
 
 @query("SELECT l_shipdate::DATE::VARCHAR AS day, round(median(l_extendedprice), 4) AS median, round(stddev_pop(l_extendedprice), 4) AS deviation FROM lineitem GROUP BY 1")
 def class_distributions(spark, d):
-    return table(spark, d, "lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")).agg(F.round(F.median("l_extendedprice"), 4).alias("median"), F.round(F.stddev_pop("l_extendedprice"), 4).alias("deviation"))
+    rows = table(spark, d, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_extendedprice")
+    spread = rows.groupBy("day").agg(F.round(F.stddev_pop("l_extendedprice"), 4).alias("deviation"))
+    return ordered.medians(rows, "l_extendedprice", ("day",)).join(spread, "day").select("day", F.round("median", 4).alias("median"), "deviation")
 
 
 @query("SELECT coalesce(l_returnflag, 'combined') AS strain, count(DISTINCT l_partkey) AS orfs, count(DISTINCT l_orderkey) AS peptides FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), ())")

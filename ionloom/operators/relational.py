@@ -146,14 +146,8 @@ def base_coverage(features: DataFrame, value: str, keys: list[str]) -> DataFrame
     plus = features.select(*keys, F.col("start").alias("at"), F.col(value).alias("change"), F.lit(1).alias("open"))
     minus = features.select(*keys, (F.col("end") + 1).alias("at"), (-F.col(value)).alias("change"), F.lit(-1).alias("open"))
     events = plus.union(minus).groupBy(*keys, "at").agg(F.sum("change").alias("change"), F.sum("open").alias("open"))
-    sums = running_totals(events.where(F.col("at").isNotNull()), "at", {"value": F.col("change"), "held": F.col("open")}, within=tuple(keys))
-    # the next event, over the events alone: each is one of its key's places, numbered like the sums
-    placed = running_totals(sums.select(*keys, "at", "value", "held"), "at", {"place": F.lit(1).cast("bigint")}, within=tuple(keys))
-    after = placed.select(*(F.col(k).alias(f"{k}_n_") for k in keys), (F.col("place") - 1).alias("p_"), F.col("at").alias("next_"))
-    same = F.col("place") == F.col("p_")
-    for k in keys:
-        same &= F.col(k) == F.col(f"{k}_n_")
-    levels = placed.join(after, same, "left").select(*keys, F.col("at").alias("start"), (F.col("next_") - 1).alias("end"), "value", "held")
+    sums = running_totals(events.where(F.col("at").isNotNull()), "at", {"value": F.col("change"), "held": F.col("open")}, within=tuple(keys), following="next_")
+    levels = sums.select(*keys, F.col("at").alias("start"), (F.col("next_") - 1).alias("end"), "value", "held")
     return levels.where(F.col("held") > 0).drop("held")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ionloom.operators.ordered import row_numbers
+from ionloom.operators.ordered import medians, row_numbers
 
 # ---- tails ----
 
@@ -112,9 +112,8 @@ def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
 def median_normalise(long: DataFrame) -> DataFrame:
     """Every sample scaled to the median of all values; 0 is missing."""
     seen = long.withColumn("value", F.when(F.col("value") != 0, F.col("value")))
-    own = seen.groupBy("sample").agg(F.median("value").alias("own"))
-    whole = seen.agg(F.median("value").alias("whole"))
-    scaled = seen.join(F.broadcast(own), "sample").crossJoin(F.broadcast(whole))  # a row for each sample; one row
+    own, whole = medians(seen, "value", ("sample",), "own"), medians(seen, "value", (), "whole")
+    scaled = seen.join(F.broadcast(own), "sample", "left").crossJoin(F.broadcast(whole))  # a row for each sample; one row
     return scaled.select("id", "sample", (F.col("value") * F.col("whole") / F.col("own")).alias("value"))
 
 
