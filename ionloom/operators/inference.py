@@ -234,3 +234,34 @@ def moderated_contrasts(long: DataFrame, design: DataFrame, contrasts: dict[str,
     shrunk = (F.lit(d0 * s0) + F.col("df") * F.col("s2")) / (F.lit(d0) + F.col("df")) if math.isfinite(d0) else F.lit(s0)
     tested = fits.select("id", names, "log_fc", F.try_divide(F.col("log_fc"), F.sqrt(shrunk * F.col("unscaled"))).alias("t"), (F.col("df") + F.lit(d0)).alias("df"))
     return tested.withColumn("p", t_p_value("t", F.least("df", F.lit(1e10))))
+
+
+def repeated_measures(long: DataFrame) -> DataFrame:
+    """A within-subject analysis of variance with its sphericity correction: id, n, k, f, epsilon, df1, df2 and p.
+
+    ``long`` is (id, subject, condition, value); cells are averaged, and the subjects of an id without one of its
+    conditions are left out. ``epsilon`` is the correction by the covariances of the conditions, with which both degrees of
+    freedom are multiplied before p is taken. Sums of squares and covariances are aggregates by id, condition and pair of
+    conditions, so an id of many subjects is no group of its own. Ids with fewer than two subjects or conditions have no
+    row; f and p are null where nothing varies within subjects."""
+    cells = long.where(F.col("value").isNotNull()).groupBy("id", "subject", "condition").agg(F.avg("value").alias("value"))
+    conditions = cells.groupBy("id").agg(F.count_distinct("condition").alias("k"))
+    whole = cells.groupBy("id", "subject").agg(F.count("*").alias("own")).join(conditions, "id").where("own = k").select("id", "subject", "k")
+    held = materialize(cells.join(whole, ["id", "subject"]), "repeated-cells")
+    square = lambda keys, name: held.groupBy("id", *keys).agg(F.avg("value").alias("m"), F.count("*").alias("c")).groupBy("id").agg(F.sum("c").alias("all"), (F.sum(F.col("c") * F.col("m") ** 2) - F.sum(F.col("c") * F.col("m")) ** 2 / F.sum("c")).alias(name), F.count("*").alias(f"{name}_n"))
+    by_condition, by_subject = square(["condition"], "between"), square(["subject"], "subjects").drop("all")
+    total = held.groupBy("id").agg((F.var_pop("value") * F.count("*")).alias("total"))
+    pair = lambda side: held.select("id", "subject", F.col("condition").alias(side), F.col("value").alias(f"v{side}"))
+    shared = pair("a").join(pair("b"), ["id", "subject"]).groupBy("id", "a", "b").agg(F.covar_samp("va", "vb").alias("s"))
+    rows = shared.groupBy("id", "a").agg(F.avg("s").alias("mean"), F.sum(F.col("s") ** 2).alias("squares"), F.sum("s").alias("sum"), F.max(F.when(F.col("a") == F.col("b"), F.col("s"))).alias("own"))
+    spread = rows.groupBy("id").agg(F.avg("own").alias("diagonal"), F.avg("mean").alias("grand"), F.sum("squares").alias("squares"), F.sum(F.col("mean") ** 2).alias("row_squares"))
+    k, n = F.col("between_n").cast("double"), F.col("subjects_n").cast("double")
+    joined = by_condition.join(by_subject, "id").join(total, "id").join(spread, "id").where("between_n >= 2 AND subjects_n >= 2")
+    rest = F.greatest(F.col("total") - F.col("between") - F.col("subjects"), F.lit(0.0))
+    free = (k - 1) * (n - 1)
+    corrected = (k * (F.col("diagonal") - F.col("grand"))) ** 2 / F.nullif((k - 1) * (F.col("squares") - 2 * k * F.col("row_squares") + k**2 * F.col("grand") ** 2), F.lit(0.0))
+    epsilon = F.least(F.lit(1.0), F.greatest(1 / (k - 1), corrected))
+    f = F.when(rest > 1e-12 * F.col("total"), (F.col("between") / (k - 1)) / (rest / free))
+    out = joined.select("id", n.cast("long").alias("n"), k.cast("long").alias("k"), f.alias("f"), epsilon.alias("epsilon"))
+    out = out.withColumn("df1", F.col("epsilon") * (F.col("k") - 1)).withColumn("df2", F.col("epsilon") * (F.col("k") - 1) * (F.col("n") - 1))
+    return out.withColumn("p", F.when(F.col("f").isNotNull(), f_p("f", "df1", "df2")))
