@@ -6,10 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
+_recorders: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,9 +41,33 @@ def temporary(spark: SparkSession, tag: str) -> str:
     store.create(path, True).close()  # only what exists can be marked
     store.deleteOnExit(path)
     store.delete(path, False)
+    for made in _recorders:
+        made.append(name)
     return name
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The temporary paths that are given out inside."""
+    _recorders.append(made := [])
+    try:
+        yield made
+    finally:
+        _recorders[:] = [r for r in _recorders if r is not made]
+
+
+def release(spark: SparkSession, paths: list[str], kept: DataFrame) -> list[str]:
+    """Delete the temporary ``paths`` that ``kept`` doesn't read, and return the others. Whoever calls this knows that no
+    other DataFrame still reads them, as when a step's result is written."""
+    names = {name.rsplit("/", 1)[-1] for name in paths}
+    read = {part for file in kept.inputFiles() for part in file.split("/") if part in names}
+    for name in paths:
+        if name.rsplit("/", 1)[-1] not in read:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return [name for name in paths if name.rsplit("/", 1)[-1] in read]
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, so that lost executors cost no rerun of what led to it."""
     path = temporary(df.sparkSession, tag)
