@@ -5,16 +5,23 @@ but for line dedup, where rows of one doc_id are one document and a null one is
 text has no letter and goes in the first stage; very long ones are read whole. Of rows with equal texts the one with the
 smallest doc_id stays, a null one only if there is no other, and of equal ids any one. No rows give no rows. Extra columns
 pass through all stages but the last, whatever their names.
+
+A stage's result is written before the next stage is called. That one then deletes the temporary tables of the stages
+before it, but for those that its docs still read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ionloom.llm import decontam, langid, linededup, ngram_join, sptok
 from ionloom.llm.common import free_name, id_filter, materialize, maybe_in
 from ionloom.llm.queries import PIECE_MODEL
+from ionloom.storage import recorded, release
 
 #: Words of a shingle and Jaccard percentage of the near-duplicate stage; op7's query has its own.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -23,6 +30,26 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 LETTERS, LEAST_SCORE = 200, 0.1
 
 
+#: Temporary tables of the stages called so far.
+_tables: list[str] = []
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _freeing(stage: Stage) -> Stage:
+    """The stage, which first deletes what those before it have left."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _tables[:] = release(spark, _tables, docs)
+        with recorded() as made:
+            out = stage(spark, docs, sf_dir)
+        _tables.extend(made)
+        return out
+
+    return run_stage
+
+
 def _numbered(docs: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``docs`` with a number for every row, written so that it stays the row's, and the number's name."""
     row = free_name(docs, "row_")
@@ -35,17 +62,20 @@ def _without(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
     return rows.join(gone.select(F.col("row_").alias(other)), F.col(row) == F.col(other), "left_anti").drop(row)
 
 
+@_freeing
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter and long texts that are like no language of the labelled documents."""
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
     return langid.keep_known(docs, model, LETTERS, LEAST_SCORE)
 
 
+@_freeing
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay in the largest doc_id only; texts and n_chars change, no document goes."""
     return linededup.with_kept_lines(docs)
 
 
+@_freeing
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of rows that links connect, one with the smallest doc_id stays, a null one only if there is no other."""
     rows, row = _numbered(docs, "pipeline-rows")
@@ -61,6 +91,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return maybe_in(rows, row, judged, wanted=False).drop(row).unionByName(_without(near, row, copies))
 
 
+@_freeing
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the rows whose text holds a passage like a benchmark item."""
     rows, row = _numbered(docs, "pipeline-rows")
@@ -68,6 +99,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without(rows, row, found.select(F.col("doc_id").alias("row_")).distinct())
 
 
+@_freeing
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text that is left, with counts and digests."""
     return sptok.encode(docs, PIECE_MODEL, digests=True, with_ids=True)

@@ -211,5 +211,5 @@ def with_kept_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, max_b
     held = id_filter(gone.select(holder).distinct(), holder)
     moved = maybe_in(docs, number, held)
     text = F.col("text").cast("string")
-    joined = moved.join(gone, F.col(number).eqNullSafe(F.col(holder)) & (_part(F.col(number), text) == F.col(part)), "left").drop(holder, part, number)
+    joined = moved.join(gone.hint("merge"), F.col(number).eqNullSafe(F.col(holder)) & (_part(F.col(number), text) == F.col(part)), "left").drop(holder, part, number)
     return maybe_in(docs, number, held, wanted=False).drop(number).unionByName(joined.mapInArrow(_rewrite(min_chars, df.columns, keys), df.schema))
