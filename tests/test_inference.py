@@ -115,6 +115,23 @@ def test_combined_table_of_odd_rows(spark):
     assert {(r.group_id, r.strain): (r.n_samples, r.peptides) for r in strains.collect()} == {(7, "x"): (2, "_MA_"), (7, "y"): (1, "_K_")}
 
 
+def test_combined_table_without_the_pairs_of_its_rows(spark):
+    import re
+
+    from ionloom.plans import metaproteomics
+
+    # 300 groups hold a peptide with 400 equal observations: its groups must meet what it shows, not each observation
+    members = spark.createDataFrame([(g, p) for g in range(300) for p in ("K", "R", None)] + [(None, "K")], "group_id long, peptide string")
+    evidence = spark.createDataFrame([("K", f"s{k % 2}", f"K_{k % 3}") for k in range(400)] + [("R", "s1", None), ("R", "s9", "x")], "peptide string, sample string, modified string")
+    design = spark.createDataFrame([("s0", "x"), ("s1", "y")], "sample string, strain string")
+    classes = spark.createDataFrame([("K", True, False, True), ("R", True, False, False)], "peptide string, specific boolean, non_specific boolean, paralogous boolean")
+    groups, strains = metaproteomics.combined_groups(members, evidence, design, classes)
+    assert {tuple(r)[1:] for r in groups.where("group_id IS NOT NULL").collect()} == {("K;R", "K", "+", "R")}
+    assert sorted(map(tuple, strains.where("group_id IS NULL OR group_id = 7").collect()), key=str) == sorted([(7, "x", 1, "K_0;K_1;K_2"), (7, "y", 1, "K_0;K_1;K_2"), (None, "x", 1, "K_0;K_1;K_2"), (None, "y", 1, "K_0;K_1;K_2")], key=str)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"keys=\[[^]]*group_id[^]]*sample", plan(strains)) and not re.search(r"keys=\[[^]]*group_id[^]]*\], functions=\[[^]]*collect_set", plan(groups))
+
+
 def test_contrasts_of_two_groups_are_the_moderated_t(spark):
     import random
 
