@@ -9,6 +9,7 @@ from ionloom.functions import sequences
 from ionloom.functions.sequences import START_CODONS
 from ionloom.operators.relational import overlaps
 from ionloom.operators.seeds import pieces, spans
+from ionloom.storage import materialize
 
 #: Bases of a bin in which variants meet features, and in which shifts are added up.
 BIN = 1 << 16
@@ -70,21 +71,20 @@ def moved_features(features: DataFrame, variants: DataFrame) -> DataFrame:
     (contig, pos, ref, alt), none overlapping another, are applied: null where the bound is a replaced base behind a
     variant's first one, which has no place of its own.
 
-    The old-to-new map is piecewise: a bound moves by the lengths that the variants before it add. Shifts are added up by
-    bin, over the bins of a contig, and then inside the bin, so that no task holds a contig."""
+    The old-to-new map is piecewise: a bound moves by the lengths that the variants before it add. A variant is one event,
+    behind its first base: where it reaches beyond a bound the bound has no place, and else it counts in full. Events and
+    bounds are written once; shifts are added up by bin, over the bins of a contig, and then inside the bin, so that no task
+    holds a contig."""
     size = F.length("ref").cast("long")
     old = F.col("pos").cast("long")
-    shift = variants.select("contig", (old + size).alias("at"), (F.length("alt") - F.length("ref")).cast("long").alias("shift"), F.lit(0).cast("long").alias("reach"))
-    reach = variants.select("contig", (old + 1).alias("at"), F.lit(0).cast("long").alias("shift"), (old + size).alias("reach"))
+    events = variants.select("contig", (old + F.least(size, F.lit(1))).alias("at"), (F.length("alt") - F.length("ref")).cast("long").alias("shift"), (old + size).alias("reach"))
     # a closed end is the base behind it, less one
     bounds = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("start").cast("long").alias("at")), F.struct(F.lit(1).alias("side"), (F.col("end") + 1).cast("long").alias("at"))))
     asked = features.select("contig", "feature", "start", "end", bounds.alias("b")).select("contig", "feature", "start", "end", "b.side", "b.at")
-    events = shift.unionByName(reach).withColumn("bin", F.floor(F.col("at") / BIN))
-    totals = events.groupBy("contig", "bin").agg(F.sum("shift").alias("shift"), F.max("reach").alias("reach"))
-    rows = events.unionByName(asked.withColumn("bin", F.floor(F.col("at") / BIN)), allowMissingColumns=True)
-    bins = totals.unionByName(asked.select("contig", F.floor(F.col("at") / BIN).alias("bin")).distinct(), allowMissingColumns=True).groupBy("contig", "bin").agg(F.sum("shift").alias("shift"), F.max("reach").alias("reach"))
+    rows = materialize(events.unionByName(asked, allowMissingColumns=True).withColumn("bin", F.floor(F.col("at") / BIN)), "moved-rows")
+    totals = rows.groupBy("contig", "bin").agg(F.sum("shift").alias("shift"), F.max("reach").alias("reach"))
     before = Window.partitionBy("contig").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # a row for each bin
-    base = bins.select("contig", "bin", F.sum("shift").over(before).alias("base_shift"), F.max("reach").over(before).alias("base_reach"))
+    base = totals.select("contig", "bin", F.sum("shift").over(before).alias("base_shift"), F.max("reach").over(before).alias("base_reach"))
     inside = Window.partitionBy("contig", "bin").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
     run = rows.withColumn("s", F.sum("shift").over(inside)).withColumn("r", F.max("reach").over(inside)).where("side IS NOT NULL").join(base, ["contig", "bin"])
     zero = F.lit(0).cast("long")

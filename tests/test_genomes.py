@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from ionloom import catalog_genomes
 from ionloom.functions.sequences import CODONS, START_CODONS
 from ionloom.operators import matching, seeds, startsites, variants
 
@@ -209,3 +211,26 @@ def test_parts_that_masks_leave(spark):
     assert sorted(map(tuple, variants.without_spans(features, masks).collect())) == [(1, 1, 10, 1, 2), (1, 1, 10, 9, 9), (3, 4, 4, 4, 4)]
     hits = spark.createDataFrame([(1, "p", 1, 2), (1, "p", 2, 3), (2, "q", 2, 3), (9, "r", 1, 1)], "text_id int, pattern string, start int, end int")
     assert sorted(map(tuple, variants.masked_counts(hits, masks).collect())) == [("p", 2, 1), ("q", 1, 0), ("r", 1, 1)]
+
+
+def counted(spark, df, name):
+    """``df`` and how often its rows were made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def one(x):
+        made.add(1)
+        return x
+
+    return df.withColumn(name, F.udf(one, df.schema[name].dataType)(F.col(name))), made
+
+
+def test_variants_and_features_are_made_once(spark):
+    changes, n = counted(spark, spark.createDataFrame([("x", 5, "A", "CC"), ("x", 9, "AG", "T")], "contig string, pos int, ref string, alt string"), "alt")
+    features, m = counted(spark, spark.createDataFrame([("x", "f", "+", 1, 12)], "contig string, feature string, strand string, start int, end int"), "end")
+    assert [(r.new_start, r.new_end) for r in variants.moved_features(features.drop("strand"), changes).collect()] == [(1, 12)]
+    assert (n.value, m.value) == (2, 1)
+
+
+def test_variants_of_a_text_are_cut_in_one_pass(spark):
+    _, changes, _ = catalog_genomes._variants(spark, "/root/testdata/sf0.001")
+    assert "substring(seq, ((61" not in changes._jdf.queryExecution().optimizedPlan().toString()
