@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ionloom.functions import sequences
 from ionloom.functions.sequences import START_CODONS
+from ionloom.operators import seeds
 from ionloom.operators.relational import overlaps
 from ionloom.operators.seeds import pieces, spans
 from ionloom.storage import materialize
@@ -35,13 +36,15 @@ def coding_impact(contigs: DataFrame, variants: DataFrame, features: DataFrame)
     plus = F.col("strand") == "+"
     inside = (F.col("a_start") >= F.col("b_start")) & (F.col("a_end") <= F.col("b_end"))
     offset = F.when(plus, F.col("a_start") - F.col("b_start")).otherwise(F.col("b_end") - F.col("a_end"))
-    met = met.withColumn("inside", inside).withColumn("offset", offset).withColumn("c0", F.floor(F.col("offset") / 3)).withColumn("c1", F.floor((F.col("offset") + size - 1) / 3))
+    met = materialize(met.withColumn("inside", inside).withColumn("offset", offset).withColumn("c0", F.floor(F.col("offset") / 3)).withColumn("c1", F.floor((F.col("offset") + size - 1) / 3)), "impact-met")
     lo = F.when(plus, F.col("b_start") + 3 * F.col("c0")).otherwise(F.greatest(F.col("b_end") - 3 * F.col("c1") - 2, F.col("b_start")))
     hi = F.when(plus, F.least(F.col("b_start") + 3 * F.col("c1") + 2, F.col("b_end"))).otherwise(F.col("b_end") - 3 * F.col("c0"))
     keys = ["contig", "a_start", "a_end", "ref", "alt", "feature", "strand", "offset", "c0"]
     asked = met.where("inside").withColumn("from", lo).withColumn("bases", hi - lo + 1).select(*keys, "from", "bases")
-    cells = spans(asked, pieces(contigs, "contig", "seq"), "contig", "from", F.col("bases"))
-    joined = cells.groupBy(*keys, "from").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "held"))), lambda x: x["held"]), "").alias("held"))  # the variant's own codons
+    parts, across = pieces(contigs, "contig", "seq"), F.expr(f"(from - 1) DIV {seeds.PIECE} <> (from + bases - 2) DIV {seeds.PIECE}")
+    cells = lambda rows: spans(rows, parts, "contig", "from", F.col("bases"))
+    several = cells(asked.where(across)).groupBy(*keys, "from").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "held"))), lambda x: x["held"]), "").alias("held"))  # the variant's own codons
+    joined = cells(asked.where(~across)).select(*keys, "held").unionByName(several.select(*keys, "held"))
     along = lambda c: F.when(F.col("strand") == "+", F.upper(c)).otherwise(sequences.reverse_complement(F.upper(c)))
     rows = joined.select(*keys, along(F.col("held")).alias("ref_codons"), along(F.col("ref")).alias("r"), along(F.col("alt")).alias("t"), (F.col("offset") - 3 * F.col("c0")).cast("int").alias("at"))
     changed = F.expr("concat(left(ref_codons, at), t, substring(ref_codons, at + length(r) + 1))")

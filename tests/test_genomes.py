@@ -229,6 +229,9 @@ def test_variants_and_features_are_made_once(spark):
     features, m = counted(spark, spark.createDataFrame([("x", "f", "+", 1, 12)], "contig string, feature string, strand string, start int, end int"), "end")
     assert [(r.new_start, r.new_end) for r in variants.moved_features(features.drop("strand"), changes).collect()] == [(1, 12)]
     assert (n.value, m.value) == (2, 1)
+    contigs = spark.createDataFrame([("x", "ATGCATGCAGCATGC")], "contig string, seq string")
+    assert {r.pos for r in variants.coding_impact(contigs, changes, features).collect()} == {5, 9}
+    assert n.value == 4
 
 
 def test_variants_of_a_text_are_cut_in_one_pass(spark):
