@@ -39,7 +39,7 @@ def normal_p(z: pd.Series) -> pd.Series:
 @F.pandas_udf(DoubleType())
 def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     """Upper tail of chi-squared."""
-    return _by_row(lambda a, d: np.array([float(chi2_tail(v, k)) for v, k in zip(a, d, strict=True)]), x, df)
+    return _by_row(chi2_tail, x, df)
 
 
 @F.pandas_udf(DoubleType())

@@ -51,15 +51,18 @@ def t_tail(t, df) -> np.ndarray:
     return incomplete_beta(df / 2, 0.5, df / (df + t * t))
 
 
-def chi2_tail(x, df: float) -> np.ndarray:
-    """Upper tail of chi-squared, by the series of the incomplete gamma function."""
-    a, x = df / 2, np.asarray(x, float) / 2
+def chi2_tail(x, df) -> np.ndarray:
+    """Upper tail of chi-squared for each x and its df, by the series of the incomplete gamma function, of all values at
+    once and only as far as it still changes one."""
+    x, a = np.broadcast_arrays(np.asarray(x, float) / 2, np.asarray(df, float) / 2)
     term = total = np.where(x > 0, 1 / a, 0.0)
-    for k in range(1, 2000):
-        term = term * x / (a + k)
-        total = total + term
-    with np.errstate(divide="ignore"):
-        low = total * np.exp(-x + a * np.log(np.where(x > 0, x, 1)) - math.lgamma(a))
+    with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
+        for k in range(1, 2000):
+            term = term * x / (a + k)
+            before, total = total, total + term
+            if np.array_equal(before, total, equal_nan=True) and not ((x > a + k) & np.isfinite(total)).any():  # terms fall from here on
+                break
+        low = np.where(np.isposinf(total), 1.0, total * np.exp(-x + a * np.log(np.where(x > 0, x, 1)) - _lgamma(a)))  # a sum beyond floats leaves no tail
     return np.clip(1 - np.where(x > 0, low, 0), 0, 1)
 
 

@@ -200,6 +200,8 @@ def test_tails():
     assert stats.t_tail(2.0, 10.0) == pytest.approx(0.07338803, abs=1e-7)
     assert stats.t_tail([0.0, 12.706205], [1.0, 1.0]) == pytest.approx([1.0, 0.05], abs=1e-6)
     assert stats.chi2_tail(5.991465, 2) == pytest.approx(0.05, abs=1e-6)
+    # many at once, each with its own degrees of freedom, and beyond the range of floats
+    assert stats.chi2_tail(np.array([5.991465, 3.841459, 0.0, 3000.0]), np.array([2.0, 1.0, 3.0, 2.0])) == pytest.approx([0.05, 0.05, 1.0, 0.0], abs=1e-6)
     for y in (0.3, 1.0, 4.0, 30.0):
         assert stats.trigamma_inverse(stats._trigamma(y)) == pytest.approx(y, rel=1e-6)
     assert stats._digamma(1.0) == pytest.approx(-0.5772156649)
