@@ -21,6 +21,8 @@ from ionloom.storage import materialize
 K, WIDTH = 8, 5
 #: Letters of a sequence that a task turns into seeds at once, and of a piece of a text that candidates are checked in.
 LETTERS, PIECE = 1 << 20, 1024
+#: Letters of all patterns that tasks hold themselves, at most.
+SENT_LETTERS = 1 << 20
 _BASE, _MIX = np.uint64(0x2545F4914F6CDD1D), np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -87,15 +89,79 @@ def spans(found: DataFrame, parts: DataFrame, name: str, start: str, length: Col
     return met.withColumn("lo", lo).withColumn("hi", hi).withColumn("held", F.substring("part", (F.col("lo") - F.col("i") * PIECE).cast("int"), (F.col("hi") - F.col("lo") + 1).cast("int"))).drop("part")
 
 
+def _scanned(texts: DataFrame, patterns: list[str]) -> DataFrame:
+    """Occurrences of a few patterns, whose letters every task holds, in one pass over each text.
+
+    A pattern is known by its first K + WIDTH - 1 letters, or by all of fewer. The hashes of a text's runs of each such
+    length, each grown from the one before, meet those of the patterns, and what meets is compared letter by letter."""
+    longest = K + WIDTH - 1
+    by_head: dict[int, dict[int, dict[int, set[str]]]] = {}  # length of the head, its hash, pattern's length
+    for p in patterns:
+        codes = np.frombuffer(p.encode("utf-32-le", "replace"), np.uint32)
+        n = min(len(codes), longest)
+        by_head.setdefault(n, {}).setdefault(int(_runs(codes, {n})[n][0]), {}).setdefault(len(codes), set()).add(p)
+    known = {}
+    for n, heads in by_head.items():
+        bits = np.zeros(1 << 16, bool)
+        hashes = np.array(sorted(heads), np.uint64)
+        bits[hashes >> np.uint64(48)] = True
+        known[n] = bits, hashes
+    kind = texts.schema["text_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found, starts, ends = [], [], [], []
+            for i, value in enumerate(batch.column("text")):
+                text = value.as_py() or ""
+                codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+                for at in range(0, len(codes), LETTERS):
+                    for n, h in _runs(codes[at : at + LETTERS + longest - 1], set(known)).items():
+                        bits, hashes = known[n]
+                        h = h[:LETTERS]
+                        near = np.flatnonzero(bits[h >> np.uint64(48)])
+                        near = near[np.isin(h[near], hashes)]
+                        for place, seed in zip((near + at).tolist(), h[near].tolist(), strict=True):
+                            for size, held in by_head[n][seed].items():
+                                word = text[place : place + size]
+                                if word in held:
+                                    rows.append(i)
+                                    found.append(word)
+                                    starts.append(place + 1)
+                                    ends.append(place + size)
+                        if len(rows) > LETTERS:
+                            yield pa.record_batch([batch.column("text_id").take(pa.array(rows, pa.int64())), pa.array(found, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names)
+                            rows, found, starts, ends = [], [], [], []
+            yield pa.record_batch([batch.column("text_id").take(pa.array(rows, pa.int64())), pa.array(found, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names)
+
+    names = ["text_id", "pattern", "start", "end"]
+    return texts.select("text_id", "text").mapInArrow(run, f"text_id {kind}, pattern string, start long, end long")
+
+
+def _runs(codes: np.ndarray, lengths: set[int]) -> dict[int, np.ndarray]:
+    """64-bit hashes of all runs of each of ``lengths``."""
+    h, out = np.zeros(len(codes), np.uint64), {}
+    plus = codes.astype(np.uint64) + np.uint64(1)
+    for j in range(min(max(lengths), len(codes))):
+        h = h[: len(codes) - j] * _BASE + plus[j:]
+        if j + 1 in lengths:
+            mixed = (h ^ (h >> np.uint64(32))) * _MIX
+            out[j + 1] = mixed ^ (mixed >> np.uint64(29))
+    return out
+
+
 def find_patterns(texts: DataFrame, patterns: DataFrame, sent: int = 10_000) -> DataFrame:
     """Every occurrence, overlapping ones included, of every pattern: (text_id, pattern, start, end), 1-based and closed.
 
     ``texts`` is (text_id, text), where an id names one text, ``patterns`` is (pattern). A pattern files the one of its
     seeds that is rarest in the texts, so that a frequent k-mer finds only the patterns that have nothing else; the
     texts' seeds meet the index in an equi-join, and what meets is checked letter by letter in the pieces of the text that
-    it lies in. An index of at most ``sent`` rows, which are counted, is broadcast; a larger one is shuffled. Null and
-    empty texts and patterns have no occurrences."""
+    it lies in. An index of at most ``sent`` rows, which are counted, is broadcast; a larger one is shuffled. At most
+    ``sent`` patterns of at most SENT_LETTERS letters in all go to the tasks themselves, and one pass over the texts finds
+    them where they stand: no seed and no text moves. Null and empty texts and patterns have no occurrences."""
     held = materialize(patterns.select("pattern").where("pattern <> ''").distinct().withColumn("size", F.length("pattern")), "patterns")
+    n, letters = held.agg(F.count("*"), F.sum("size")).first()
+    if 0 < n <= sent and letters <= SENT_LETTERS:
+        return _scanned(texts, [r.pattern for r in held.select("pattern").collect()])  # at most sent rows and SENT_LETTERS letters
     lengths = [r.size for r in held.where(F.col("size") < K + WIDTH - 1).select("size").distinct().collect()]  # fewer than K + WIDTH - 1
     near = None
     for k, width, own in [(K, WIDTH, held.where(F.col("size") >= K + WIDTH - 1)), *((n, 1, held.where(F.col("size") == n)) for n in sorted(lengths))]:

@@ -115,8 +115,9 @@ def without_spans(features: DataFrame, masks: DataFrame) -> DataFrame:
 
 def masked_counts(hits: DataFrame, masks: DataFrame) -> DataFrame:
     """(pattern, n, n_left): how often each pattern of ``hits`` (text_id, pattern, start, end) occurs, and how often outside
-    of all masks (text_id, m_start, m_end); a pattern with n_left 0 is gone once the masks are applied."""
-    a = hits.select("text_id", "pattern", F.col("start").alias("a_start"), F.col("end").alias("a_end"))
+    of all masks (text_id, m_start, m_end); a pattern with n_left 0 is gone once the masks are applied. Hits, which are
+    read twice, are written once."""
+    a = materialize(hits.select("text_id", "pattern", F.col("start").alias("a_start"), F.col("end").alias("a_end")), "masked-hits")
     b = masks.select("text_id", F.col("m_start").alias("b_start"), F.col("m_end").alias("b_end"))
     keys = ["text_id", "pattern", "a_start", "a_end"]
     under = overlaps(a, b, NEAR, ["text_id"]).select(*keys).distinct()

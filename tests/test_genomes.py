@@ -237,3 +237,15 @@ def test_variants_and_features_are_made_once(spark):
 def test_variants_of_a_text_are_cut_in_one_pass(spark):
     _, changes, _ = catalog_genomes._variants(spark, "/root/testdata/sf0.001")
     assert "substring(seq, ((61" not in changes._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_patterns_move_no_text(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [(i, "".join(rng.choice("aé𝛼") for _ in range(200))) for i in range(5)]
+    words = sorted({t[k : k + n] for _, t in texts for n in (1, 7, 12, 30) for k in (0, 31, 90)})
+    patterns = spark.createDataFrame([(w,) for w in words], "pattern string")
+    monkeypatch.setattr(seeds, "LETTERS", 37)  # edges inside each text, and many blocks of rows
+    hits = matching.match_all(spark.createDataFrame(texts, "text_id int, text string"), patterns)
+    assert sorted(map(tuple, hits.collect())) == sorted((i, w, k + 1, k + len(w)) for i, t in texts for w in words for k in range(len(t)) if t.startswith(w, k))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
