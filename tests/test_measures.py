@@ -91,3 +91,13 @@ def test_regions_are_read_from_their_blocks(spark, tmp_path):
     assert len(regions.blocks_of(spark, folder, "a", 100, 160)) <= 3
     plan = regions.read_region(spark, folder, "a", 100, 160)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(block" in plan or "PartitionFilters: [block" in plan  # other blocks aren't opened
+
+
+def test_features_of_one_place_fill_several_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(regions, "RANGES", 2)  # fewer than the blocks
+    rows = [("a", 5, 9, i) for i in range(1000)] + [("a", 100 + i, 100 + i, i) for i in range(1000)]
+    folder = f"file://{tmp_path}/x"
+    index = regions.write_indexed(spark.createDataFrame(rows, "seqid string, start int, end int, i int"), folder, 100)
+    assert index.agg(F.max("n"), F.sum("n")).first()[:] == (100, 2000)
+    assert sorted(r.i for r in regions.read_region(spark, folder, "a", 9, 9).collect()) == list(range(1000))
+    assert [r.i for r in regions.read_region(spark, folder, "a", 1099, 1099).collect()] == [999]
