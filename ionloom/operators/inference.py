@@ -172,7 +172,7 @@ def fligner(long: DataFrame) -> DataFrame:
     """id, x2, df and p of the rank test of equal variances, about the groups' medians."""
     seen = long.where(F.col("value").isNotNull()).select("id", "grp", F.col("value").cast("double").alias("value"))
     centred = seen.join(seen.groupBy("id", "grp").agg(F.median("value").alias("mid")), ["id", "grp"]).select("id", "grp", F.abs(F.col("value") - F.col("mid")).alias("far"))
-    ranked = average_ranks(centred, ["id"], "far", "r").withColumn("n", F.count("*").over(Window.partitionBy("id")))
+    ranked = average_ranks(centred, ["id"], "far", "r", seen.count()).withColumn("n", F.count("*").over(Window.partitionBy("id")))
     scored = ranked.withColumn("score", normal_quantile(0.5 + F.col("r") / (F.col("n") + 1) / 2))
     moments = scored.groupBy("id").agg(F.avg("score").alias("level"), F.var_samp("score").alias("spread"))
     own = scored.groupBy("id", "grp").agg(F.count("*").alias("n"), F.avg("score").alias("mean")).join(moments, "id")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ionloom.operators.ordered import medians, row_numbers
+from ionloom.operators.ordered import WINDOW_ROWS, medians, row_numbers
 
 # ---- tails ----
 
@@ -229,8 +229,19 @@ def t_test(long: DataFrame, treated: str, control: str, welch: bool = False) ->
     return m.select("id", diff.alias("log_fc"), F.try_divide(diff, error).alias("t"), df.alias("df"))
 
 
-def average_ranks(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Ranks within each key, ties sharing their mean."""
+def by_key(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``df`` of about ``rows`` rows, dealt by key into so many parts that a task sorts some WINDOW_ROWS of them, whatever the
+    number of shuffle partitions; a key lies in one part."""
+    n = 1 + rows // WINDOW_ROWS
+    return df if n == 1 else df.repartition(max(n, df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
+def average_ranks(df: DataFrame, keys: list[str], value: str, name: str, rows: int | None = None) -> DataFrame:
+    """Ranks within each key, ties sharing their mean. ``df`` has ``rows`` rows, which are counted where that isn't known."""
+    return _average_ranks(by_key(df, keys, df.count() if rows is None else rows), keys, value, name)
+
+
+def _average_ranks(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     over = Window.partitionBy(*keys).orderBy(value)
     same = Window.partitionBy(*keys, value)
     return df.withColumn(name, F.rank().over(over) + (F.count("*").over(same) - 1) / 2)
@@ -259,7 +270,8 @@ def kruskal_wallis(long: DataFrame) -> DataFrame:
 def correlations(pairs: DataFrame) -> DataFrame:
     """id, pearson and spearman of (id, x, y)."""
     whole = pairs.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    ranked = average_ranks(average_ranks(whole, ["id"], "x", "rx"), ["id"], "y", "ry")
+    dealt = by_key(whole, ["id"], whole.count())
+    ranked = _average_ranks(_average_ranks(dealt, ["id"], "x", "rx"), ["id"], "y", "ry")
     return ranked.groupBy("id").agg(F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"))
 
 

@@ -161,3 +161,12 @@ def test_linkages(spark):
     assert heights["centroid"][2] == round((4.5**2 + 1) ** 0.5, 6) and heights["ward"][2] == round((2 * (4.5**2 + 1)) ** 0.5, 6)
     assert heights["median"][2] == heights["centroid"][2] and heights["weighted"][2] == heights["average"][2]
     assert 0.8 < annotation.cophenetic_correlation(df) <= 1
+
+
+def test_ranks_by_key_in_parts_that_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(stats, "WINDOW_ROWS", 50)
+    df = spark.range(2000).selectExpr("id % 97 AS id", "CAST(id * 7919 % 31 AS DOUBLE) AS x", "CAST(id * 104729 % 1009 AS DOUBLE) AS y")
+    got = stats.correlations(df)
+    assert "hashpartitioning(id" in (plan := got._jdf.queryExecution().executedPlan().toString()) and ", 41)" in plan  # 4 shuffle partitions are set
+    want = df.toPandas().groupby("id")[["x", "y"]].corr("spearman")["x"].unstack()["y"]
+    assert {r.id: r.spearman for r in got.collect()} == pytest.approx(want.to_dict())
