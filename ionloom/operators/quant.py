@@ -32,10 +32,10 @@ def greedy_cover(ranked: DataFrame, evidence: DataFrame) -> DataFrame:
     """The proteins that, taken in order of ``rank``, each add a scan: exactly those that are the first of some scan.
 
     ``ranked`` is (acc, rank); the walk down the list that this stands for needs no order here: a scan is new to the
-    best-ranked protein that has it, so one min per scan decides. Returns (acc, rank, new_scans).
+    best-ranked protein that has it, so one min per scan decides, for which repeated rows need not go. Returns (acc, rank, new_scans).
     """
     ranked = materialize(ranked, "rank-order")
-    held = evidence.select("acc", "scan").distinct().join(ranked, "acc")
+    held = evidence.select("acc", "scan").join(ranked, "acc")
     first = held.groupBy("scan").agg(F.min("rank").alias("rank"))
     return ranked.join(first.groupBy("rank").agg(F.count("*").alias("new_scans")), "rank").select("acc", "rank", "new_scans")
 

@@ -184,6 +184,14 @@ def test_tag_extension_against_all_spans(spark):
     assert set(want) <= set(got) and all(sum(a < s < b for s in sites) <= 2 for _, _, a, b in got)
 
 
+def test_cover_moves_no_evidence_to_drop_repeats(spark, monkeypatch):
+    monkeypatch.setattr(quant, "materialize", lambda df, tag: df)
+    evidence = spark.createDataFrame([("p", 1), ("p", 1), ("q", 1), ("q", 2), ("r", None)], "acc string, scan int")
+    got = quant.greedy_cover(spark.createDataFrame([("q", 2), ("p", 1), ("r", 3)], "acc string, rank int"), evidence)
+    assert sorted(map(tuple, got.collect())) == [("p", 1, 1), ("q", 2, 1), ("r", 3, 1)]
+    assert "keys=[acc" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tags_in_a_text_of_many_sites(spark):
     protein, water = "AGK" * 100_000, WATER
     gap = RESIDUE_MASS["A"]
