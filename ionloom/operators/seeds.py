@@ -199,8 +199,8 @@ SAME, ALIKE, OTHER, OPEN, EXTEND = 5, 1, -3, 9, 2
 #: k-mer and window of the seeds of similarity, diagonals that count as one, and residues beside a seed's diagonal that an
 #: alignment may reach.
 SIMILAR_K, SIMILAR_WIDTH, DIAGONALS, BAND = 5, 4, 16, 32
-#: Pairs that are aligned at once, and their cells at most.
-PAIRS, CELLS = 64, 1 << 22
+#: Pairs that are aligned at once, pairs that are scored at once, and their cells at most.
+PAIRS, SCORED, CELLS = 64, 256, 1 << 22
 #: The constant of the expected number of chance hits, for scores without gaps.
 CHANCE = 0.1
 
@@ -278,17 +278,50 @@ def _aligned(queries: list[str], subjects: list[str], centre: list[int], band: i
     return np.stack([best >> 40, mask - ((best >> 20) & mask), end[:, 0], mask - (best & mask), end[:, 1]], axis=1)
 
 
+def _scores(queries: list[str], subjects: list[str], centre: list[int], band: int, table: np.ndarray) -> np.ndarray:
+    """The score of the best local alignment of each pair, as ``_aligned`` finds it, without its place.
+
+    A cell below zero begins anew, so no place has to be carried and small integers do; each subject is laid so that its
+    band at a query's residue is the same slice for all pairs."""
+    n, w, rows = len(queries), 2 * band + 1, max(len(q) for q in queries)
+    q, s = np.full((n, rows), 127, np.int64), np.full((n, rows + w), 127, np.int64)
+    for i, (x, y, c) in enumerate(zip(queries, subjects, centre, strict=True)):
+        q[i, : len(x)] = np.frombuffer(x.encode("ascii", "replace"), np.uint8) & 127
+        low = c - band  # the subject's place in column 0
+        reach = np.frombuffer(y.encode("ascii", "replace"), np.uint8)[max(low, 0) : max(low + rows + w, 0)] & 127
+        s[i, max(-low, 0) : max(-low, 0) + len(reach)] = reach
+    table = table.astype(np.int32)
+    table[127, :] = table[:, 127] = -(1 << 20)
+    flat, lane = table.ravel(), (EXTEND * np.arange(w)).astype(np.int32)
+    held, gap, best = np.zeros((n, w + 1), np.int32), np.zeros((n, w + 1), np.int32), np.zeros((n, w), np.int32)
+    for i in range(rows):
+        here = held[:, :w] + flat.take(s[:, i : i + w] + 128 * q[:, i : i + 1])
+        gap[:, :w] = np.maximum(held[:, 1:] - (OPEN + EXTEND), gap[:, 1:] - EXTEND)
+        np.maximum(here, gap[:, :w], out=here)
+        run = np.maximum.accumulate(here + lane, axis=1)
+        np.maximum(here[:, 1:], run[:, :-1] - lane[1:] - OPEN, out=here[:, 1:])
+        np.maximum(here, 0, out=held[:, :w])
+        np.maximum(best, here, out=best)
+    return best.max(axis=1)
+
+
 def _extend(band: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = score_table()
         for batch in batches:
             query, part, centre = batch.column("query").to_pylist(), batch.column("subject").to_pylist(), batch.column("centre").to_pylist()
-            order = sorted(range(len(query)), key=lambda i: len(query[i]))  # pairs of like length together
-            while order:
-                take, size = [], 0
-                while order and len(take) < PAIRS and (not take or (size := max(size, len(part[order[-1]]) + 2 * len(query[order[-1]]))) * (len(take) + 1) <= CELLS):
-                    take.append(order.pop())
-                found = _aligned([query[i] for i in take], [part[i] for i in take], [centre[i] for i in take], band, table)
+
+            def groups(order: list[int], most: int) -> Iterator[tuple[list[int], tuple]]:
+                order = sorted(order, key=lambda i: len(query[i]))  # pairs of like length together
+                while order:
+                    take, size = [], 0
+                    while order and len(take) < most and (not take or (size := max(size, len(part[order[-1]]) + 2 * len(query[order[-1]]))) * (len(take) + 1) <= CELLS):
+                        take.append(order.pop())
+                    yield take, ([query[i] for i in take], [part[i] for i in take], [centre[i] for i in take], band, table)
+
+            enough = [i for take, pairs in groups(range(len(query)), SCORED) for i, score in zip(take, _scores(*pairs), strict=True) if score >= least]
+            for take, pairs in groups(enough, PAIRS):  # few of all
+                found = _aligned(*pairs)
                 good = np.flatnonzero(found[:, 0] >= least)
                 rows = pa.array(np.array(take)[good], pa.int64())
                 first = batch.column("first").take(rows).to_numpy(zero_copy_only=False)
@@ -339,11 +372,18 @@ def similar(queries: DataFrame, subjects: DataFrame, least: int = 60, k: int = S
 
 
 def letter_statistics(subjects: DataFrame) -> tuple[float, int]:
-    """(lambda, number of letters) of the subjects."""
-    alphabet = "".join(GROUPS)
-    counts = [F.sum(F.length("subject") - F.length(F.replace(F.col("subject"), F.lit(c)))).alias(c) for c in alphabet]
-    row = subjects.agg(*counts, F.sum(F.length("subject")).alias("all_")).first()  # a number for each letter
-    total = sum(row[c] or 0 for c in alphabet)
+    """(lambda, number of letters) of the subjects, counted in one pass over each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(256, np.int64)
+        for batch in batches:
+            for value in batch.column("subject"):
+                seen += np.bincount(np.frombuffer((value.as_py() or "").encode(), np.uint8), minlength=256)
+        yield pa.record_batch({"byte": np.arange(256), "n": seen})
+
+    counts = {r.byte: r.n for r in subjects.select("subject").mapInArrow(run, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()}  # 256 at most
+    letters = {c: counts[ord(c)] for c in "".join(GROUPS) if counts.get(ord(c))}
+    total = sum(letters.values())
     if not total:
         return math.log(2), 0
-    return decay(score_table(), {c: row[c] / total for c in alphabet if row[c]}), row["all_"]
+    return decay(score_table(), {c: n / total for c, n in letters.items()}), sum(n for byte, n in counts.items() if byte & 0xC0 != 0x80)  # code points

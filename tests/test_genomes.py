@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,28 @@ def test_similar_sequences_against_full_alignment(spark, monkeypatch):
         assert 0 < r.expected < 1e-3 and r.bits > 0
 
 
+def test_pairs_below_the_least_score_are_scored_alone(monkeypatch):
+    rng = random.Random(7)
+    random_text = lambda n: "".join(rng.choice(AMINO + "é") for _ in range(n))
+    table, queries, subjects, centre = seeds.score_table(), [], [], []
+    for _ in range(300):
+        queries.append(random_text(rng.randint(1, 60)))
+        subjects.append(random_text(rng.randint(0, 30)) + changed(rng, queries[-1], rng.choice([0, 0.1, 0.3, 1])) + random_text(rng.randint(1, 30)))
+        centre.append(rng.randint(-70, 100))
+    for band in (0, 5, 32):
+        assert seeds._scores(queries, subjects, centre, band, table).tolist() == seeds._aligned(queries, subjects, centre, band, table)[:, 0].tolist()
+    aligned, found = [], seeds._aligned
+    monkeypatch.setattr(seeds, "_aligned", lambda q, *rest: aligned.extend(q) or found(q, *rest))
+    batch = pa.record_batch({"query_id": range(300), "subject_id": range(300), "query": queries, "subject": subjects, "centre": centre, "first": [1] * 300})
+    rows = [r for out in seeds._extend(32, 60)(iter([batch])) for r in out.to_pylist()]
+    assert 0 < len(rows) == len(aligned) < 300 and min(r["score"] for r in rows) >= 60
+
+
+def test_letters_are_counted_as_code_points(spark):
+    rate, letters = seeds.letter_statistics(spark.createDataFrame([("ADC",), ("é𝛼FHI",), (None,), ("",)], "subject string"))
+    assert letters == 8 and rate == seeds.decay(seeds.score_table(), dict.fromkeys("ACDFHI", 1 / 6))
+
+
 def test_similar_sequences_of_nothing(spark):
     none = spark.createDataFrame([], "query_id int, query string"), spark.createDataFrame([], "subject_id int, subject string")
     assert seeds.similar(*none).collect() == []
