@@ -78,6 +78,18 @@ def test_overlaps_against_all_pairs(spark):
     assert got == sorted((i, j) for i, s, e in a for j, t, f in b if s <= f and t <= e)
 
 
+def test_overlaps_lists_a_behind_each_b(spark):
+    a, b = [(i, 1, 9) for i in range(30)], [(i, i % 7, 20) for i in range(40)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = relational.overlaps(spark.createDataFrame(a, "a_id int, a_start int, a_end int"), spark.createDataFrame(b, "b_id int, b_start int, b_end int"), 100).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.a_id, r.b_id) for r in rows) == [(i, j) for i in range(30) for j in range(40)]
+    assert sum(x.b_id != y.b_id for x, y in zip(rows, rows[1:], strict=False)) == 39  # each b stands in one run
+
+
 def test_match_all_and_coverage_against_scanning(spark):
     rng = random.Random(6)
     texts = [(i, "".join(rng.choice("AK") for _ in range(rng.randint(0, 60)))) for i in range(20)] + [(99, None), (98, "")]
