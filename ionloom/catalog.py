@@ -7,10 +7,12 @@ letters are peptides or, translated to ACGT, nucleotides.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ionloom.functions import ids, numeric, sequences
 from ionloom.operators import annotation, matching, ordered, quant, relational, stats
@@ -543,6 +545,20 @@ def nucleotides(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").alias("contig"), letters.alias("seq"))
 
 
+def bases(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of ``nucleotides``, whose letters are looked up in Arrow batches, as the frames are."""
+    letters = bytes.maketrans(bytes(range(65, 91)) + bytes(range(97, 123)), 2 * b"ACGTACGTACGTACGTACGTACGTAC")
+    other = bytes(k for k in range(256) if not chr(k).isascii() or not chr(k).isalpha())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seqs = [t and t.encode().translate(letters, other).decode() for t in (x.as_py() for x in batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("contig"), pa.array(seqs, pa.string())], ["contig", "seq"])
+
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("contig"), "text")
+    return rows.mapInArrow(run, StructType([rows.schema["contig"], StructField("seq", StringType())]))
+
+
 _ACGT = "SELECT doc_id AS contig, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents"
 
 
@@ -619,14 +635,14 @@ orfs AS (SELECT contig, strand, (CASE strand WHEN '+' THEN f ELSE n - t + 1 END)
 
 @query("WITH " + _ORFS + " SELECT * FROM orfs")
 def six_frame(spark, d):
-    return matching.open_frames(nucleotides(spark, d), 20, 250)
+    return matching.open_frames(bases(spark, d), 20, 250)
 
 
 @query(f"""WITH {_ORFS}, k AS (SELECT contig || strand || start || ':' || "end" AS orf, seq FROM orfs), x AS (SELECT orf, seq, unnest(range(0, length(seq) // 3)) AS i FROM k)
 SELECT orf, (row_number() OVER (PARTITION BY orf ORDER BY i) - 1)::INTEGER AS k, (3 * i + 1)::INTEGER AS start, substr(seq, (3 * i + 1)::INTEGER) AS seq FROM x WHERE substr(seq, (3 * i + 1)::INTEGER, 3) IN ('TTG', 'CTG', 'ATT', 'ATC', 'ATA', 'ATG', 'GTG')""")
 def alt_tss(spark, d):
     orf = F.concat(F.col("contig").cast("string"), "strand", F.col("start").cast("string"), F.lit(":"), F.col("end").cast("string"))
-    return matching.alternative_starts(matching.open_frames(nucleotides(spark, d), 20).select(orf.alias("orf"), "seq"))
+    return matching.alternative_starts(matching.open_frames(bases(spark, d), 20).select(orf.alias("orf"), "seq"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'F' THEN l_partkey * 100 + 3 * l_linenumber ELSE l_partkey * 100 + 899 - 3 * (l_linenumber + l_suppkey % 9 + 1) + 1 END AS start,

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ionloom import catalog_genomes
+from ionloom import catalog, catalog_genomes
 from ionloom.functions.sequences import CODONS, START_CODONS
 from ionloom.operators import matching, seeds, startsites, variants
 
@@ -159,6 +159,27 @@ def test_sites_need_no_shuffle(spark, capfd):
         assert "Exchange" not in capfd.readouterr().out
 
 
+def test_sites_of_contigs_are_those_of_their_frames(spark):
+    rng = random.Random(8)
+    contigs = [(k, "".join(rng.choice("ACGT") for _ in range(rng.randint(0, 900)))) for k in range(30)] + [(98, "ACGTé𝛼nTAAacg" * 20), (99, None), (None, "ATG" * 30)]
+    df = spark.createDataFrame(contigs, "contig long, seq string")
+    frames = matching.open_frames(df, 20).where("contig IS NOT NULL").collect()
+    held = []
+    for f in frames:
+        protein = "".join(CODONS.get(f.seq[i : i + 3], "X") for i in range(0, len(f.seq), 3))
+        held.append((f"{f.contig}{f.strand}{f.start}:{f.end}", f.strand, f.start, f.end, f.seq, list(catalog_genomes._named_peptides(protein).items()), protein.find("M") if "M" in protein else None))
+    inside = spark.createDataFrame(held, "orf string, strand string, start int, end int, seq string, peptides array<struct<peptide:string,acetylated:boolean>>, annotated int")
+    got = startsites.sites_in_contigs(df, 20, catalog_genomes._named_peptides)
+    for a, b in zip(got, startsites.sites_in_frames(inside), strict=True):
+        assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect())) != []
+
+
+def test_start_sites_read_codons_once(spark):
+    for name in ("start_site_forms", "start_site_peptides", "six_frame"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "regexp" not in plan and "transform(" not in plan and "Exchange" not in plan
+
+
 def brute_impact(seq, pos, ref, alt, strand, start, end):
     flip = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA")) if strand == "-" else s
     if pos < start or pos + len(ref) - 1 > end:
