@@ -132,6 +132,31 @@ def test_combined_table_without_the_pairs_of_its_rows(spark):
     assert not re.search(r"keys=\[[^]]*group_id[^]]*sample", plan(strains)) and not re.search(r"keys=\[[^]]*group_id[^]]*\], functions=\[[^]]*collect_set", plan(groups))
 
 
+def test_strains_of_odd_modified_peptides(spark):
+    import random
+
+    from ionloom.plans import metaproteomics
+
+    rng = random.Random(9)
+    odd = ["", "a;b", "a\nb", "a!", "a", "ab", 'a"', "é", "𝛼;", "a" * 70, "a" * 70 + "b", None]
+    evidence = [(p, rng.choice(["s1", "s2", "s3", "s4", None]), rng.choice(odd) if p in "xy" else f"{p}_{rng.randint(1, 4)}") for p in ["x", "y", "K", "KK", "K_", "M", "Z"] for _ in range(12)] + [("W", "s3", None), ("V", "s1", "")]
+    members = [(g, p) for g in range(6) for p in ["x", "y", "K", "KK", "K_", "M", "Z", "W", "V", "Q"] if rng.random() < 0.5] + [(99, "W"), (98, "V"), (None, "K")]
+    strain = {"s1": 1, "s2": 1, "s3": 2, "s4": None}
+    want = {}
+    for g, p in set(members):
+        for q, s, m in evidence:
+            if q == p and s in strain:
+                samples, values = want.setdefault((g, strain[s]), (set(), set()))
+                samples.add(s)
+                values |= {m} - {None}
+    classes = spark.createDataFrame([], "peptide string, specific boolean, non_specific boolean, paralogous boolean")
+    design = spark.createDataFrame(list(strain.items()), "sample string, strain int")
+    _, got = metaproteomics.combined_groups(spark.createDataFrame(members, "group_id long, peptide string"), spark.createDataFrame(evidence, "peptide string, sample string, modified string"), design, classes)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.group_id, r.strain): (r.n_samples, r.peptides) for r in got.collect()} == {k: (len(n), ";".join(sorted(v))) for k, (n, v) in want.items()}
+    assert plan.count("Exchange hashpartitioning(group_id") == 1 and "Exchange hashpartitioning(sample" not in plan and plan.count("Exchange hashpartitioning(peptide") == 2
+
+
 def test_contrasts_of_two_groups_are_the_moderated_t(spark):
     import random
 
