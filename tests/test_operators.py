@@ -90,6 +90,22 @@ def test_overlaps_lists_a_behind_each_b(spark):
     assert sum(x.b_id != y.b_id for x, y in zip(rows, rows[1:], strict=False)) == 39  # each b stands in one run
 
 
+def test_overlaps_pass_one_part_of_a_after_another(spark, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(relational, "HELD", 8)
+    make = lambda n: [(i, rng.choice("xy"), s := rng.randint(-50, 200), s + rng.randint(-3, 90)) for i in range(n)]
+    a, b = make(90), make(120)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = relational.overlaps(spark.createDataFrame(a, "a_id int, k string, a_start int, a_end int"), spark.createDataFrame(b, "b_id int, k string, b_start int, b_end int"), 64, ["k"], parts=11).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.a_id, r.b_id) for r in rows) == sorted((i, j) for i, k, s, e in a for j, q, t, f in b if k == q and s <= e and t <= f and s <= f and t <= e)
+    # any 40 rows hold few values of a, whatever the number of those that overlap
+    assert max(len({r.a_id for r in rows[k : k + 40]}) for k in range(0, len(rows) - 40, 40)) <= 24
+
+
 def test_match_all_and_coverage_against_scanning(spark):
     rng = random.Random(6)
     texts = [(i, "".join(rng.choice("AK") for _ in range(rng.randint(0, 60)))) for i in range(20)] + [(99, None), (98, "")]
